@@ -1,19 +1,22 @@
 """Strict conversion rules: one raw cell to one declared type.
 
-Every rule is a pair of Column expressions, the converted value and the reason
-it was refused (null when accepted). Nothing here raises: values are guarded
-before they are cast, and the casts are the try variants.
+Every rule gives the converted value and the cases in which it is refused, each
+with its text. Keeping condition and text apart lets a job that wants only the
+accepted rows evaluate conditions and never build a text. Nothing here raises:
+values are guarded before they are cast, and the casts are the try variants.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.errors import BAD_VALUE, UNSUPPORTED, fault
+from freshet.errors import UNSUPPORTED, fault
 from freshet.functions.cells import Cell
 from freshet.functions.logical import (
     INT_BOUNDS,
@@ -61,14 +64,14 @@ def _kinds_outside(cell: Cell, *views: str) -> Column:
     return outside
 
 
-def _integer(cell: Cell, logical: str) -> tuple[Column, Column]:
+def _integer(cell: Cell, logical: str) -> tuple[Column, Cases]:
     lo, hi, target = INT_BOUNDS[logical]
     reasons: Cases = [(_kinds_outside(cell, "integer", "number", "moment"), _say("expected a number, got ", cell.kind))]
     values: Cases = []
 
     def ranged(condition: Column, x: Column) -> None:
         reasons.append((condition & ~x.between(lo, hi), _say(f"expected integer in {lo}..={hi}, got ", x)))
-        values.append((condition, x.try_cast(target)))
+        values.append((condition & x.between(lo, hi), x.try_cast(target)))
 
     if "integer" in cell.views:
         ranged(*cell.views["integer"])
@@ -83,14 +86,14 @@ def _integer(cell: Cell, logical: str) -> tuple[Column, Column]:
                 _say("number ", x, " is beyond the exact integer range of a double (2^53-1); pass an exact integer"),
             )
         )
-        ranged(condition, x.try_cast("bigint"))
+        ranged(condition & (F.rint(x) == x) & ~_unsafe(x), x.try_cast("bigint"))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
         ranged(condition, F.unix_millis(x))
-    return _first(values, F.lit(None)).cast(target), _first(reasons, F.lit(None).cast("string"))
+    return _first(values, F.lit(None)).cast(target), reasons
 
 
-def _float(cell: Cell, logical: str) -> tuple[Column, Column]:
+def _float(cell: Cell, logical: str) -> tuple[Column, Cases]:
     target = TYPES[logical][0]
     values: Cases = []
     for view in ("number", "integer"):
@@ -101,13 +104,12 @@ def _float(cell: Cell, logical: str) -> tuple[Column, Column]:
         values.append((condition, F.unix_millis(x)))
     values = [(condition, x.cast("double")) for condition, x in values]
     outside = _kinds_outside(cell, "number", "integer", "moment")
-    reason = F.when(outside, _say("expected a number, got ", cell.kind))
-    return _first(values, F.lit(None)).cast(target), reason
+    return _first(values, F.lit(None)).cast(target), [(outside, _say("expected a number, got ", cell.kind))]
 
 
-def _single(cell: Cell, view: str, expected: str, target: T.DataType) -> tuple[Column, Column]:
+def _single(cell: Cell, view: str, expected: str, target: T.DataType) -> tuple[Column, Cases]:
     value = _first([cell.views[view]] if view in cell.views else [], F.lit(None)).cast(target)
-    return value, F.when(_kinds_outside(cell, view), _say(f"expected {expected}, got ", cell.kind))
+    return value, [(_kinds_outside(cell, view), _say(f"expected {expected}, got ", cell.kind))]
 
 
 def _millis(cell: Cell) -> tuple[Cases, Cases]:
@@ -135,7 +137,7 @@ def _millis(cell: Cell) -> tuple[Cases, Cases]:
                 ),
             )
         )
-        values.append((condition, x.try_cast("bigint")))  # drops the fraction toward zero
+        values.append((condition & ~_unsafe(x), x.try_cast("bigint")))  # drops the fraction toward zero
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
         values.append((condition, F.unix_millis(x)))
@@ -149,14 +151,14 @@ def floor_div(x: Column, by: int) -> Column:
     return whole - F.when((x < 0) & (x % step != 0), F.lit(1)).otherwise(F.lit(0))
 
 
-def _date(cell: Cell, logical: str) -> tuple[Column, Column]:
+def _date(cell: Cell, logical: str) -> tuple[Column, Cases]:
     values, reasons = _millis(cell)
     days = floor_div(_first(values, F.lit(None)).cast("bigint"), MILLIS_PER_DAY)
     reasons.append((~days.between(-2147483648, 2147483647), _say("date out of range: ", days, " days")))
-    return F.date_from_unix_date(days.try_cast("int")), _first(reasons, F.lit(None).cast("string"))
+    return F.date_from_unix_date(days.try_cast("int")), reasons
 
 
-def _timestamp(cell: Cell, logical: str) -> tuple[Column, Column]:
+def _timestamp(cell: Cell, logical: str) -> tuple[Column, Cases]:
     values, reasons = _millis(cell)
     millis = _first(values, F.lit(None)).cast("bigint")
     bound = MILLIS_BOUND[logical]
@@ -170,14 +172,14 @@ def _timestamp(cell: Cell, logical: str) -> tuple[Column, Column]:
         value = F.timestamp_millis(safe)
         if "moment" in cell.views and logical in ("timestamp_us", "timestamp_ns"):
             value = cell.views["moment"][1]  # already a timestamp: keep its microseconds
-    return value, _first(reasons, F.lit(None).cast("string"))
+    return value, reasons
 
 
-def _null_only(cell: Cell, logical: str) -> tuple[Column, Column]:
-    return F.lit(None).cast("string"), F.when(F.lit(True), _say("typed null column only accepts null"))
+def _null_only(cell: Cell, logical: str) -> tuple[Column, Cases]:
+    return F.lit(None).cast("string"), [(F.lit(True), _say("typed null column only accepts null"))]
 
 
-_RULES: dict[str, Callable[[Cell, str], tuple[Column, Column]]] = {
+_RULES: dict[str, Callable[[Cell, str], tuple[Column, Cases]]] = {
     **{name: _integer for name in INT_BOUNDS},
     "float32": _float,
     "float64": _float,
@@ -189,8 +191,17 @@ _RULES: dict[str, Callable[[Cell, str], tuple[Column, Column]]] = {
 }
 
 
-def convert(field: T.StructField, cell: Cell) -> tuple[Column, Column]:
-    """The typed value of ``cell`` for ``field`` and the reason it is refused."""
+@dataclass(frozen=True)
+class Converted:
+    """A typed column: its value, whether it is refused, and why."""
+
+    value: Column
+    refused: Column
+    reason: Column
+
+
+def convert(field: T.StructField, cell: Cell) -> Converted:
+    """``cell`` as the declared column ``field``."""
     logical = logical_of(field)
     if logical not in _RULES:
         raise fault(
@@ -198,19 +209,16 @@ def convert(field: T.StructField, cell: Cell) -> tuple[Column, Column]:
             f"row ingestion does not support column '{field.name}' of type {field.dataType.simpleString()}; "
             "use the Arrow input",
         )
-    value, reason = _RULES[logical](cell, logical)
-    before: Cases = []
+    value, cases = _RULES[logical](cell, logical)
+    general: Cases = []
     if cell.wide and "integer" in cell.views:
         condition, x = cell.views["integer"]
         lo, hi, _ = INT_BOUNDS["int64"]
-        before.append((condition & ~x.between(lo, hi), _say("integer exceeds the 64-bit signed range: ", x)))
-    before.append((cell.kind == "object", _say("unsupported row value type: ", cell.kind)))
+        general.append((condition & ~x.between(lo, hi), _say("integer exceeds the 64-bit signed range: ", x)))
+    general.append((cell.kind == "object", _say("unsupported row value type: ", cell.kind)))
+    cases = [(cell.present & condition, text) for condition, text in [*general, *cases]]
     if not field.nullable:
-        empty: Cases = [(~cell.present, _say("null in non-nullable column"))]
-    else:
-        empty = [(~cell.present, F.lit(None).cast("string"))]
-    reason = _first([*empty, *before], reason)
-    return F.when(cell.present, value), F.concat(F.lit(f"column '{field.name}': "), reason)
-
-
-REJECT_CODE = BAD_VALUE
+        cases.insert(0, (~cell.present, _say("null in non-nullable column")))
+    refused = reduce(Column.__or__, [condition for condition, _ in cases])
+    reason = F.concat(F.lit(f"column '{field.name}': "), _first(cases, F.lit(None).cast("string")))
+    return Converted(F.when(cell.present, value), F.coalesce(refused, F.lit(False)), reason)

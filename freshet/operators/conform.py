@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,30 +19,39 @@ REJECT = "_reject"
 
 @dataclass(frozen=True)
 class Conformed:
-    """Result of one pass of rules over the raw rows.
+    """Raw rows with the rules of a schema attached; nothing has run yet.
 
-    ``tagged`` holds the raw row, the typed columns and the reject; the other
-    views are projections of it, so Spark evaluates only what is asked for.
+    Each view is one projection over one scan of ``raw`` and evaluates what it
+    shows: the accepted rows never build a reason.
     """
 
-    tagged: DataFrame
-    schema: T.StructType
+    raw: DataFrame
+    typed: list[Column]
+    refused: Column
+    reject: Column
 
     @property
     def accepted(self) -> DataFrame:
         """Rows every column accepted, in the declared schema."""
-        return self.tagged.where(F.col(REJECT).isNull()).select(*self._names())
+        return self.raw.where(~self.refused).select(*self.typed)
 
     @property
     def rejected(self) -> DataFrame:
         """Raw rows with the first column that refused them, code and reason."""
-        return self.tagged.where(F.col(REJECT).isNotNull()).select(
-            f"{RAW}.*",
+        reject = self.raw.where(self.refused).withColumn(REJECT, self.reject)
+        return reject.select(
+            *[F.col(f"`{c}`") for c in self.raw.columns],
             F.col(f"{REJECT}.column").alias("reject_column"),
             F.col(f"{REJECT}.code").alias("reject_code"),
             F.col(f"{REJECT}.reason").alias("reject_reason"),
         )
 
+    @property
+    def tagged(self) -> DataFrame:
+        """All rows: the raw row, the typed columns, and the reject or null."""
+        raw_row = F.struct(*[F.col(f"`{c}`") for c in self.raw.columns]).alias(RAW)
+        return self.raw.select(raw_row, *self.typed, self.reject.alias(REJECT))
+
     @property
     def strict(self) -> DataFrame:
         """Typed rows of a job that fails at the first reject.
@@ -49,16 +59,13 @@ class Conformed:
         Written with a committer that publishes at job end, the write stores
         every row or none, and the data is read once.
         """
-        failure = F.raise_error(F.concat(F.lit(marked(BAD_VALUE, "")), F.col(f"{REJECT}.reason")))
-        checked = self.tagged.where(F.when(F.col(REJECT).isNotNull(), failure.cast("boolean")).otherwise(F.lit(True)))
-        return checked.select(*self._names())
-
-    def _names(self) -> list[Column]:
-        return [F.col(f"`{f.name}`") for f in self.schema.fields]
+        failure = F.raise_error(F.concat(F.lit(marked(BAD_VALUE, "")), self.reject["reason"]))
+        checked = F.when(self.refused, failure.cast("boolean")).otherwise(F.lit(True))
+        return self.raw.where(checked).select(*self.typed)
 
 
 def conform(raw: DataFrame, schema: T.StructType, row_id: str | None = None) -> Conformed:
-    """Convert raw rows to ``schema`` by strict rules.
+    """Attach the strict rules of ``schema`` to raw rows.
 
     A declared column missing from ``raw`` counts as null; extra raw columns
     are carried only into the rejects. ``row_id`` names a raw column that
@@ -66,19 +73,21 @@ def conform(raw: DataFrame, schema: T.StructType, row_id: str | None = None) ->
     """
     opened = open_variants(raw)
     kinds = {f.name: f.dataType for f in opened.schema.fields}
-    typed, refusals = [], []
+    typed, refusals, rejects = [], [], []
     for field in schema.fields:
         if field.name in kinds:
             cell = cell_of(F.col(f"`{field.name}`"), kinds[field.name])
         else:
             cell = cell_of(F.lit(None), T.NullType())
-        value, reason = convert(field, cell)
+        done = convert(field, cell)
+        reason = done.reason
         if row_id:
             reason = F.concat(reason, F.lit(" (row "), F.col(row_id).cast("string"), F.lit(")"))
-        typed.append(value.alias(field.name))
-        refusals.append(
+        typed.append(done.value.alias(field.name))
+        refusals.append(done.refused)
+        rejects.append(
             F.when(
-                reason.isNotNull(),
+                done.refused,
                 F.struct(
                     F.lit(field.name).alias("column"),
                     F.lit(BAD_VALUE).alias("code"),
@@ -86,11 +95,10 @@ def conform(raw: DataFrame, schema: T.StructType, row_id: str | None = None) ->
                 ),
             )
         )
-    raw_row = F.struct(*[F.col(f"`{n}`") for n in kinds]).alias(RAW)
-    return Conformed(opened.select(raw_row, *typed, F.coalesce(*refusals).alias(REJECT)), schema)
+    return Conformed(opened, typed, reduce(Column.__or__, refusals), F.coalesce(*rejects))
 
 
-def reject_summary(result: Conformed, reason: Column | None = None) -> DataFrame:
-    """Rows per rejected column, accepted rows under a null column."""
-    label = F.col(f"{REJECT}.column") if reason is None else reason
-    return result.tagged.groupBy(label.alias("reject_column")).agg(F.count(F.lit(1)).alias("n"))
+def reject_summary(result: Conformed) -> DataFrame:
+    """Rows per refusing column, accepted rows under a null column."""
+    label = result.tagged.select(F.col(f"{REJECT}.column").alias("reject_column"))
+    return label.groupBy("reject_column").agg(F.count(F.lit(1)).alias("n"))

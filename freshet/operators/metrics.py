@@ -17,15 +17,28 @@ from freshet.sources.source import APPEND_ID
 BACKPRESSURE_SHARE = 0.8
 
 
-def source_metrics(log: DataFrame, name: str, processed_through: int, capacity: int) -> DataFrame:
-    """Totals of one source: rows, rows not yet processed, pressure, watermark."""
+def source_metrics(
+    log: DataFrame,
+    name: str,
+    capacity: int,
+    processed_through: int | None = None,
+    processed_rows: int | None = None,
+) -> DataFrame:
+    """Totals of one source: rows, rows not yet processed, pressure, watermark.
+
+    What was processed is given as the last append taken in or, where batches
+    do not follow appends, as a number of rows.
+    """
     rows = F.coalesce(F.sum("rows"), F.lit(0))
-    waiting = F.coalesce(F.sum(F.when(F.col(APPEND_ID) > processed_through, F.col("rows"))), F.lit(0))
+    if processed_through is not None:
+        waiting = F.coalesce(F.sum(F.when(F.col(APPEND_ID) > processed_through, F.col("rows"))), F.lit(0))
+    else:
+        waiting = F.greatest(rows - F.lit(processed_rows or 0), F.lit(0))
     share = F.col("pending") / F.lit(float(capacity))
     return (
         log.agg(
             rows.alias("total_events"),
-            waiting.alias("pending"),
+            waiting.cast("bigint").alias("pending"),
             F.expr("max(max_event_us) div 1000").alias("watermark"),
         )
         .withColumn("name", F.lit(name))
@@ -44,16 +57,22 @@ def stream_metrics(feed_log: DataFrame, name: str, sql: str | None = None) -> Da
 
 
 def pipeline_totals(source_logs: list[DataFrame], feed_logs: list[DataFrame]) -> DataFrame:
-    """Rows in, appends in, rows out and micro-batches run, over the pipeline."""
-    names = ["total_events_ingested", "total_batches", "total_events_emitted", "total_cycles"]
-
-    def totals(log: DataFrame, rows: str, commits: str) -> DataFrame:
-        counted = log.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias(rows), F.count(F.lit(1)).alias(commits))
-        return counted.select(*[F.col(n) if n in (rows, commits) else F.lit(0).cast("bigint").alias(n) for n in names])
-
-    each = [totals(log, names[0], names[1]) for log in source_logs]
-    each += [totals(log, names[2], names[3]) for log in feed_logs]
-    return reduce(DataFrame.unionByName, each).agg(*[F.sum(n).alias(n) for n in names])
+    """Over the pipeline: rows in, rows late on arrival, appends, rows out, micro-batches."""
+    names = [
+        "total_events_ingested", "total_events_dropped", "total_batches", "total_events_emitted", "total_cycles",
+    ]
+
+    def totals(log: DataFrame, **sums: str) -> DataFrame:
+        zero = F.lit(0).cast("bigint")
+        filled = {out: F.coalesce(F.sum(F.expr(expr)), zero).alias(out) for out, expr in sums.items()}
+        return log.agg(*[filled.get(n, F.max(zero).alias(n)) for n in names])
+
+    each = [
+        totals(log, total_events_ingested="rows", total_events_dropped="late_rows", total_batches="1L")
+        for log in source_logs
+    ]
+    each += [totals(log, total_events_emitted="rows", total_cycles="1L") for log in feed_logs]
+    return reduce(DataFrame.unionByName, each).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
 def source_watermark(rows: DataFrame, name: str, time: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from freshet.errors import FELL_BEHIND, fault, from_task
 from freshet.session import Storage
 
-_LOG_FIELDS = "rows bigint, max_event_us bigint, committed_ms bigint"
+_LOG_FIELDS = "rows bigint, late_rows bigint, max_event_us bigint, committed_ms bigint"
 
 
 class EpochTable:
@@ -47,17 +47,22 @@ class EpochTable:
 
     # -- writing ---------------------------------------------------------
 
-    def commit(self, df: DataFrame, number: int, event_time: Column | None = None) -> dict:
+    def commit(
+        self, df: DataFrame, number: int, event_time: Column | None = None, late: Column | None = None
+    ) -> dict:
         """Write ``df`` as commit ``number`` and log it; returns the log entry.
 
-        Row count and newest event time are observed by the write itself, so
-        neither costs another pass.
+        Row count, newest event time and the number of rows for which ``late``
+        holds are observed by the write itself, so none costs another pass.
         """
         if self.has(number):
             return self.entry(number)
         seen = Observation()
         newest = F.unix_micros(F.max(event_time)) if event_time is not None else F.lit(None).cast("bigint")
-        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
+        behind = F.count_if(late) if late is not None else F.lit(None).cast("bigint")
+        observed = df.observe(
+            seen, F.count(F.lit(1)).alias("rows"), behind.alias("late_rows"), newest.alias("newest")
+        )
         try:
             observed.write.mode("overwrite").parquet(f"{self.data_path}/{self.key}={number}")
         except Exception as error:
@@ -69,6 +74,7 @@ class EpochTable:
         entry = {
             self.key: number,
             "rows": seen.get["rows"],
+            "late_rows": seen.get["late_rows"],
             "max_event_us": seen.get["newest"],
             "committed_ms": int(time.time() * 1000),
         }

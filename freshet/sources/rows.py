@@ -7,8 +7,10 @@ import decimal
 from collections.abc import Iterable, Mapping
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from freshet.errors import UNSUPPORTED, fault
 from freshet.functions.cells import MIXED
@@ -17,38 +19,45 @@ ROW_ID = "_row"
 _EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 _MILLISECOND = dt.timedelta(milliseconds=1)
 _WIDEST = 10**38 - 1
+_ROWS_PER_TASK = 100_000
 
 
-def mixed_cell(value: Any) -> tuple | None:
+def mixed_cell(value: Any) -> dict | None:
     """One Python value as a cell that keeps its kind; dates become milliseconds."""
     if value is None:
         return None
     if isinstance(value, bool):
-        return ("boolean", None, None, None, value)
+        return {"kind": "boolean", "flag": value}
     if isinstance(value, int):
-        return ("bigint", decimal.Decimal(max(-_WIDEST, min(_WIDEST, value))), None, None, None)
+        return {"kind": "bigint", "integer": decimal.Decimal(max(-_WIDEST, min(_WIDEST, value)))}
     if isinstance(value, float):
-        return ("number", None, value, None, None)
+        return {"kind": "number", "number": value}
     if isinstance(value, decimal.Decimal):
-        return mixed_cell(int(value)) if value == value.to_integral_value() else mixed_cell(float(value))
+        whole = value.is_finite() and value == value.to_integral_value()
+        return mixed_cell(int(value)) if whole else mixed_cell(float(value))
     if isinstance(value, str):
-        return ("string", None, None, value, None)
+        return {"kind": "string", "text": value}
     if isinstance(value, dt.datetime):
         aware = value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)
         return mixed_cell((aware - _EPOCH) // _MILLISECOND)
     if isinstance(value, dt.date):
         return mixed_cell(dt.datetime(value.year, value.month, value.day))
-    return ("object", None, None, None, None)
+    return {"kind": "object"}
 
 
 def rows_frame(spark: SparkSession, schema: T.StructType, rows: Iterable[Mapping[str, Any]]) -> DataFrame:
     """A raw frame of the declared columns; keys outside the schema are ignored."""
-    data = []
-    for index, row in enumerate(rows):
+    cells: dict[str, list] = {name: [] for name in schema.names}
+    count = 0
+    for count, row in enumerate(rows, 1):
         if not isinstance(row, Mapping):
             raise fault(UNSUPPORTED, f"expected row objects, got {type(row).__name__}")
-        data.append((index, *(mixed_cell(row.get(name)) for name in schema.names)))
+        for name, column in cells.items():
+            column.append(mixed_cell(row.get(name)))
+    mixed = to_arrow_type(MIXED)
+    arrays = [pa.array(range(count), pa.int64()), *(pa.array(column, mixed) for column in cells.values())]
     layout = T.StructType(
         [T.StructField(ROW_ID, T.LongType()), *(T.StructField(name, MIXED) for name in schema.names)]
     )
-    return spark.createDataFrame(data, layout)
+    frame = spark.createDataFrame(pa.table(arrays, names=layout.names), layout)
+    return frame.coalesce(1 + count // _ROWS_PER_TASK)

@@ -108,6 +108,12 @@ class Source:
         )
         beat.coalesce(1).write.mode("append").parquet(self.heartbeat_path)
 
+    def repeat_event_time(self) -> None:
+        """Say again how far event time has come, for queries that start anew."""
+        reached = self.explicit_watermark()
+        if reached is not None:
+            self.heartbeat(reached)
+
     def explicit_watermark(self) -> int | None:
         """The furthest heartbeat in epoch milliseconds."""
         if not self.heartbeat_path:
@@ -131,6 +137,7 @@ class StoredSource(Source):
         beats = f"{path}/heartbeats" if watermark_column else None
         super().__init__(spark, name, schema, f"{path}/data", watermark_column, delay, beats)
         self.table = EpochTable(spark, path, schema, APPEND_ID)
+        self._newest_us: int | None = None
 
     def bounded(self, upto: int | None = None) -> DataFrame:
         """The rows accepted so far, or up to one append."""
@@ -142,12 +149,38 @@ class StoredSource(Source):
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path).drop(APPEND_ID)
 
+    def watermark(self) -> int | None:
+        """How far event time has come: newest row or heartbeat, in milliseconds."""
+        newest, beat = self._newest_event(), self.explicit_watermark()
+        known = [ms for ms in (newest // 1000 if newest is not None else None, beat) if ms is not None]
+        return max(known) if known else None
+
+    def repeat_event_time(self) -> None:
+        reached = self.watermark()
+        if reached is not None:
+            self.heartbeat(reached)
+
+    def _newest_event(self) -> int | None:
+        if self._newest_us is None and self.table.last() is not None:
+            self._newest_us = self.table.log().agg(F.max("max_event_us").alias("newest")).first()["newest"]
+        return self._newest_us
+
     # -- writing ---------------------------------------------------------
 
     def _commit(self, df: DataFrame) -> int:
         last = self.table.last()
-        event_time = F.col(self.watermark_column) if self.watermark_column else None
-        return self.table.commit(df, 0 if last is None else last + 1, event_time)["rows"]
+        number = 0 if last is None else last + 1
+        if self.watermark_column is None:
+            return self.table.commit(df, number)["rows"]
+        time = F.col(self.watermark_column)
+        self._newest_event()
+        late = None
+        if self._newest_us is not None:
+            late = time < F.timestamp_micros(F.lit(self._newest_us)) - F.expr(f"INTERVAL {self.delay}")
+        entry = self.table.commit(df, number, time, late)
+        seen = [us for us in (self._newest_us, entry["max_event_us"]) if us is not None]
+        self._newest_us = max(seen) if seen else None
+        return entry["rows"]
 
     def append(self, df: DataFrame) -> int:
         """Append typed rows. Columns must match by name and type, in order."""

@@ -62,6 +62,7 @@ class Stream:
         state_partitions: int | None = None,
         max_files: int | None = None,
         feed_time: str | None = None,
+        checkpoint_path: str | None = None,
     ):
         self._spark = spark
         self._storage = Storage(spark)
@@ -72,6 +73,7 @@ class Stream:
         self.emit = emit
         self.sql = query if isinstance(query, str) else None
         self._feed_time = feed_time
+        self._checkpoint_path = checkpoint_path or f"{path}/checkpoint"
         inputs = {s.name: s.stream(self._session, max_files) for s in sources}
         if isinstance(query, str):
             for source_name, rows in inputs.items():
@@ -119,7 +121,7 @@ class Stream:
                 query = (
                     self._output.writeStream.queryName(f"{self.name}-{uuid.uuid4().hex[:8]}")
                     .outputMode(mode)
-                    .option("checkpointLocation", f"{self.path}/checkpoint")
+                    .option("checkpointLocation", self._checkpoint_path)
                     .trigger(**trigger)
                     .foreachBatch(self._write)
                     .start()
@@ -134,12 +136,15 @@ class Stream:
     def start(self, interval_ms: int | None = None) -> None:
         """Run until stopped; a second call does nothing."""
         if not self.active:
+            self._remind_sources()
             self._query = self._start(processingTime=f"{interval_ms or 0} milliseconds")
             self.stopped = False
 
     def run_available(self) -> Checkpoint:
         """Process what has arrived since the last run, then end (or wait, if running)."""
         began = time.monotonic()
+        if not self.active:
+            self._remind_sources()
         query = self._query if self.active else self._start(availableNow=True)
         if query is self._query:
             query.processAllAvailable()
@@ -150,6 +155,17 @@ class Stream:
         epoch = -1 if epoch is None else epoch
         return Checkpoint(True, epoch + 1, epoch, int((time.monotonic() - began) * 1000))
 
+    def _remind_sources(self) -> None:
+        """Repeat every source's event time to a query that starts again.
+
+        Spark keeps only the minimum over sources across a restart. Without
+        the reminder a source with nothing new would hold that minimum back.
+        """
+        timed = [s for s in self.sources if s.watermark_column]
+        if len(timed) > 1:
+            for source in timed:
+                source.repeat_event_time()
+
     def stop(self) -> None:
         if self._query is not None:
             self._query.stop()
@@ -173,8 +189,8 @@ class Stream:
     def _record(self, query: StreamingQuery) -> None:
         lines = []
         for p in query.recentProgress:
-            if p["batchId"] < 0 or p["numInputRows"] is None:
-                continue
+            if not self.feed.has(p["batchId"]):
+                continue  # an idle report, not a batch
             mark = p["eventTime"].get("watermark") if "eventTime" in p else None
             lines.append(
                 json.dumps(
@@ -193,6 +209,8 @@ class Stream:
 
     def progress(self) -> DataFrame:
         """One row per micro-batch that ended: rows in, watermark, duration."""
+        if self._query is not None:
+            self._record(self._query)
         self._storage.mkdirs(f"{self.path}/progress")
         reported = self._spark.read.schema(PROGRESS).json(f"{self.path}/progress")
         return reported.groupBy("stream", EPOCH).agg(

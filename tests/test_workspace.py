@@ -1,0 +1,212 @@
+"""The user's handle, end to end."""
+
+import datetime as dt
+import time
+
+import pyarrow as pa
+import pytest
+
+from freshet.errors import FreshetError, IngestionFault, QueryFault, SchemaFault, fault
+from freshet.workspace import CheckpointConfig, Config
+
+SENSORS = "CREATE SOURCE sensors (ts TIMESTAMP, device VARCHAR, value DOUBLE)"
+ROLLUP = "CREATE STREAM rollup AS SELECT device, avg(value) AS avg_v FROM sensors GROUP BY device"
+
+
+def code_of(call):
+    with pytest.raises(FreshetError) as error:
+        call()
+    return error.value.code
+
+
+def test_quickstart(open_ws):
+    ws = open_ws()
+    ws.execute(SENSORS)
+    ws.start()
+    now = dt.datetime.now(dt.timezone.utc)
+    ws.insert("sensors", [{"ts": now, "device": "d1", "value": 21.5}, {"ts": now, "device": "d2", "value": 18.25}])
+    result = ws.query("SELECT device, avg(value) AS avg_value FROM sensors GROUP BY device")
+    assert sorted(tuple(r.values()) for r in result.to_rows()) == [("d1", 21.5), ("d2", 18.25)]
+    assert result.to_arrow().num_rows == 2
+    assert pa.ipc.open_stream(result.to_ipc()).read_all().num_rows == 2
+
+
+def test_statements(open_ws):
+    ws = open_ws()
+    made = ws.execute("CREATE SOURCE t (a INT)")
+    assert (made.kind, made.statement_type, made.object_name) == ("ddl", "CREATE SOURCE", "t")
+    assert code_of(lambda: ws.execute("CREATE SOURCE t (a INT)")) == 400
+    assert code_of(lambda: ws.execute("NOT SQL AT ALL(")) == 401
+    assert code_of(lambda: ws.execute("SELECT FROM WHERE")) in (400, 401)
+    assert code_of(lambda: ws.execute("SELECT nothing FROM t")) == 400
+    assert code_of(lambda: ws.execute(42)) == 900
+    assert code_of(lambda: ws.query("SHOW SOURCES")) == 400
+    assert code_of(lambda: ws.stream_query("SHOW SOURCES")) == 400
+    shown = ws.execute("SHOW SOURCES")
+    assert shown.kind == "metadata" and shown.result.to_rows() == [{"name": "t"}]
+    assert ws.execute("DESCRIBE t").result.to_rows()[0]["data_type"] == "int32"
+    inserted = ws.execute("INSERT INTO t VALUES (1), (2)")
+    assert (inserted.kind, inserted.rows_affected) == ("rows-affected", 2)
+    assert ws.execute("INSERT INTO t SELECT a + 10 FROM t WHERE a > 1").rows_affected == 1
+    got = ws.execute("SELECT a FROM t WHERE a > 1")
+    assert got.kind == "query" and sorted(r["a"] for r in got.result.to_rows()) == [2.0, 12.0]
+    assert code_of(lambda: ws.execute("INSERT INTO t VALUES (1, 2)")) == 400
+
+
+def test_exact_integers_and_rejections(open_ws):
+    ws = open_ws()
+    ws.execute("CREATE SOURCE b (id BIGINT)")
+    big = [2**53 + 1, 2**63 - 1, -(2**63 - 1)]
+    assert ws.insert("b", [{"id": v} for v in big]) == 3
+    assert sorted(r["id"] for r in ws.query("SELECT * FROM b").to_rows()) == sorted(big)
+    for bad, word in ((2**63, "64-bit signed"), (2**63 + 100, "64-bit signed"), (2.0**63, "exact integer")):
+        with pytest.raises(IngestionFault) as error:
+            ws.insert("b", [{"id": bad}])
+        assert error.value.code == 300 and word in error.value.message
+    assert ws.query("SELECT * FROM b").num_rows() == 3
+    assert code_of(lambda: ws.insert("missing", [{"a": 1}])) == 200
+    assert code_of(lambda: ws.writer("missing")) == 200
+    assert code_of(lambda: ws.insert("b", "not rows")) == 900
+    assert code_of(lambda: ws.insert("b", ["not a row"])) == 900
+
+
+def test_close(open_ws):
+    ws = open_ws()
+    assert not ws.is_closed
+    ws.execute("CREATE SOURCE t (a INT)")
+    ws.close()
+    ws.close()
+    assert ws.is_closed
+    for call in (lambda: ws.execute("SELECT 1"), lambda: ws.insert("t", []), ws.start, lambda: ws.query("SELECT 1")):
+        assert code_of(call) == 101
+
+
+def test_catalog(open_ws):
+    ws = open_ws()
+    ws.create_source("sensors", "ts TIMESTAMP, device VARCHAR NOT NULL, value DOUBLE", "ts", "1 minute")
+    ws.execute(ROLLUP)
+    assert (ws.list_sources(), ws.list_streams(), ws.list_sinks()) == (["sensors"], ["rollup"], [])
+    schema = [tuple(r) for r in ws.schema("sensors").orderBy("pos").collect()]
+    assert schema == [
+        (0, "ts", "timestamp_us", True),
+        (1, "device", "utf8", False),
+        (2, "value", "float64", True),
+    ]
+    assert code_of(lambda: ws.schema("nope")) == 200 and code_of(lambda: ws.schema("rollup")) == 200
+    info = ws.source_infos().first()
+    assert (info["name"], info["watermark_column"], info["schema"][1]["data_type"]) == ("sensors", "ts", "utf8")
+    ws.start()
+    assert code_of(lambda: ws.execute("CREATE SOURCE late (a INT)")) == 400
+
+
+def test_checkpoint_needs_configuration_and_a_stream(open_ws, tmp_path):
+    ws = open_ws(f"file:{tmp_path}/db", Config(checkpoint=CheckpointConfig()))
+    ws.execute(SENSORS)
+    assert ws.is_checkpoint_enabled() and code_of(ws.checkpoint) == 100
+    ws.execute(ROLLUP)
+    ws.insert("sensors", [{"ts": 1, "device": "d1", "value": 1}])
+    outcome = ws.checkpoint()
+    assert outcome.success and outcome.checkpoint_id > 0 and outcome.duration_ms > 0
+    plain = open_ws()
+    assert not plain.is_checkpoint_enabled() and code_of(plain.checkpoint) == 100
+    assert code_of(lambda: open_ws(None, Config(buffer_size=0))) == 100
+
+
+def test_storage_dir_wins_and_reopening_resumes(open_ws, tmp_path):
+    config = Config(storage_dir=f"file:{tmp_path}/kept", checkpoint=CheckpointConfig(data_dir=f"file:{tmp_path}/ck"))
+    ws = open_ws(f"file:{tmp_path}/ignored", config)
+    ws.execute(SENSORS)
+    ws.execute(ROLLUP)
+    ws.insert("sensors", [{"device": "a", "value": 1}])
+    assert ws.checkpoint().epoch == 0
+    ws.close()
+    assert (tmp_path / "kept").exists() and not (tmp_path / "ignored").exists()
+    assert (tmp_path / "ck" / "rollup").exists()
+    again = open_ws(None, config)
+    assert again.list_streams() == ["rollup"]
+    again.insert("sensors", [{"device": "a", "value": 4}])
+    assert again.checkpoint().epoch == 1
+    frames = [f for f in again.subscribe("rollup", from_epoch=-1).committed() if f.kind == "data"]
+    assert [f.batch.first()["avg_v"] for f in frames] == [1.0, 2.5]
+    assert again.query("SELECT * FROM sensors").num_rows() == 2
+
+
+def test_running_pipeline(open_ws):
+    ws = open_ws()
+    ws.execute(SENSORS)
+    ws.execute(ROLLUP)
+    assert ws.pipeline_state() == "Created"
+    ws.start()
+    ws.start()
+    assert ws.pipeline_state() == "Running"
+    sub = ws.subscribe("rollup")
+    frames, errors, closed = [], [], []
+    push = ws.subscribe_with("rollup", frames.append, errors.append, lambda: closed.append(1))
+    assert ws.insert("sensors", [{"ts": 1, "device": "d1", "value": 3}]) == 1
+    first = sub.next_frame(timeout=60)
+    assert first.kind == "data" and [tuple(r) for r in first.batch.collect()] == [("d1", 3.0)]
+    deadline = time.monotonic() + 60
+    while not frames and time.monotonic() < deadline:
+        time.sleep(0.05)
+    push.close()
+    assert frames[0].batch.first()["avg_v"] == 3.0 and errors == [] and closed == [1]
+    assert code_of(lambda: ws.subscribe("sensors")) == 200 and code_of(lambda: ws.subscribe("missing")) == 200
+    bad = ws.subscribe_with("missing", frames.append, errors.append, lambda: closed.append(2))
+    bad.close()
+    assert [e.code for e in errors] == [200] and closed == [1, 2]
+    assert sub.next_frame(timeout=60).kind == "barrier"
+    ws.close()
+    assert code_of(sub.next_frame) == 500
+    assert sub.next_frame() is None
+
+
+def test_stream_query_and_cancel(open_ws):
+    ws = open_ws()
+    ws.execute(SENSORS)
+    ws.insert("sensors", [{"device": "d1"}, {"device": "d2"}])
+    query_id, stream = ws.stream_query("SELECT device FROM sensors")
+    assert query_id > 0
+    assert sorted(v for b in stream for v in b.to_pydict()["device"]) == ["d1", "d2"]
+    query_id, stream = ws.stream_query("SELECT * FROM sensors")
+    ws.cancel_query(query_id)
+    assert stream.next_batch() is None
+    assert code_of(lambda: ws.cancel_query(999_999)) == 400
+
+
+def test_telemetry(open_ws, tmp_path):
+    ws = open_ws(None, Config(buffer_size=4, checkpoint=CheckpointConfig()))
+    ws.create_source("sensors", "ts TIMESTAMP, device VARCHAR, value DOUBLE", "ts", "1 second")
+    view = ws.create_view("state", "SELECT device, count(value) AS n FROM sensors GROUP BY device", ["device"])
+    sink = ws.create_sink("out", "state", f"file:{tmp_path}/out")
+    ws.insert("sensors", [{"ts": 5000, "device": "d1", "value": 1}, {"ts": 9000, "device": "d2", "value": 1}])
+    ws.checkpoint()
+    ws.insert("sensors", [{"ts": 6000, "device": "d1", "value": 1}] * 4)
+    row = ws.source_metrics("sensors").first()
+    assert (row["total_events"], row["pending"], row["is_backpressured"], row["watermark"]) == (6, 4, True, 9000)
+    ws.writer("sensors").watermark(12_000)
+    assert ws.pipeline_watermark() == 12_000
+    ws.checkpoint()
+    row = ws.all_source_metrics().first()
+    assert (row["pending"], row["utilization"], row["is_backpressured"]) == (0, 0.0, False)
+    assert ws.total_events_processed() >= 6
+    m = ws.metrics().first()
+    assert (m["total_events_ingested"], m["total_events_dropped"], m["total_batches"]) == (6, 4, 2)
+    assert (m["source_count"], m["stream_count"], m["sink_count"], m["state"]) == (1, 1, 1, "Created")
+    assert m["mv_updates"] >= 3 and m["mv_bytes_stored"] > 0 and m["pipeline_watermark"] == 12_000
+    stream = ws.stream_metrics("state").first()
+    assert stream["name"] == "state" and stream["sql"].startswith("SELECT device") and stream["total_events"] >= 3
+    assert ws.all_stream_metrics().count() == 1
+    assert code_of(lambda: ws.source_metrics("missing")) == 200
+    assert code_of(lambda: ws.stream_metrics("missing")) == 200
+    assert sorted(tuple(r) for r in view.read().collect()) == [("d1", 5), ("d2", 1)]
+    assert sink.read().count() >= 3
+
+
+def test_error_classes():
+    assert isinstance(fault(400, "x"), QueryFault) and isinstance(fault(200, "x"), SchemaFault)
+    assert fault(777, "x").code == 777
+
+
+def test_many_opens(open_ws):
+    for _ in range(20):
+        open_ws().close()
