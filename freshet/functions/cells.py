@@ -25,22 +25,30 @@ MIXED = T.StructType(
     ]
 )
 
-_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_WHOLE = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _KIND_OF_VIEW = {"integer": "bigint", "number": "number", "text": "string", "flag": "boolean", "moment": "date"}
 
 
 @dataclass(frozen=True)
 class Cell:
-    """A raw value. ``views`` maps a view to (when it applies, the value)."""
+    """A raw value. ``views`` maps a view to (when it applies, the value).
+
+    ``bounds`` are what the raw type itself guarantees for its integers, so
+    that a check it already implies stays out of the plan.
+    """
 
     present: Column
     kind: Column
     views: dict[str, tuple[Column, Column]]
-    wide: bool = False  # integers may exceed 64 bits
+    bounds: tuple[int, int] | None = None
+
+    def within(self, lo: int, hi: int) -> bool:
+        """True when every integer of the raw type lies in ``lo..hi``."""
+        return self.bounds is not None and lo <= self.bounds[0] and self.bounds[1] <= hi
 
 
-def _typed(value: Column, view: str, wide: bool = False) -> Cell:
-    return Cell(value.isNotNull(), F.lit(_KIND_OF_VIEW[view]), {view: (F.lit(True), value)}, wide)
+def _typed(value: Column, view: str, bounds: tuple[int, int] | None = None) -> Cell:
+    return Cell(value.isNotNull(), F.lit(_KIND_OF_VIEW[view]), {view: (F.lit(True), value)}, bounds)
 
 
 def cell_of(value: Column, kind: T.DataType) -> Cell:
@@ -51,13 +59,12 @@ def cell_of(value: Column, kind: T.DataType) -> Cell:
             value.isNotNull() & (tag != "null"),
             tag,
             {v: (tag == _KIND_OF_VIEW[v], value[v]) for v in ("integer", "number", "text", "flag")},
-            wide=True,
         )
-    if isinstance(kind, _WHOLE):
-        return _typed(value, "integer")
+    if bits := _WHOLE.get(type(kind)):
+        return _typed(value, "integer", (-(1 << bits - 1), (1 << bits - 1) - 1))
     if isinstance(kind, T.DecimalType):
         if kind.scale == 0:
-            return _typed(value, "integer", wide=True)
+            return _typed(value, "integer")
         return _typed(value.cast("double"), "number")
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return _typed(value.cast("double"), "number")

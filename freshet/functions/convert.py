@@ -1,9 +1,10 @@
 """Strict conversion rules: one raw cell to one declared type.
 
-Every rule gives the converted value and the cases in which it is refused, each
-with its text. Keeping condition and text apart lets a job that wants only the
-accepted rows evaluate conditions and never build a text. Nothing here raises:
-values are guarded before they are cast, and the casts are the try variants.
+A rule gives three things: the converted value, the condition under which it is
+accepted, and the cases that put a refusal into words. The condition is all a
+job needs that wants only accepted rows; the cases are evaluated for refused
+rows alone and always cover what the condition excludes. Nothing here raises:
+the casts are the try variants.
 """
 
 from __future__ import annotations
@@ -28,6 +29,16 @@ from freshet.functions.logical import (
 )
 
 Cases = list[tuple[Column, Column]]
+_LO64, _HI64, _ = INT_BOUNDS["int64"]
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What one rule says about a value that is present."""
+
+    value: Column
+    accepted: Column
+    cases: Cases
 
 
 def _first(cases: Cases, default: Column) -> Column:
@@ -40,96 +51,123 @@ def _first(cases: Cases, default: Column) -> Column:
     return chain.otherwise(default)
 
 
+def _any(conditions: list[Column]) -> Column:
+    return reduce(Column.__or__, conditions) if conditions else F.lit(False)
+
+
 def _say(text: str, got: Column | None = None, tail: str = "") -> Column:
-    parts = [F.lit(text)]
-    if got is not None:
-        parts.append(F.coalesce(got.cast("string"), F.lit("null")))
-    return F.concat(*parts, F.lit(tail)) if (got is not None or tail) else parts[0]
+    if got is None:
+        return F.lit(text)
+    return F.concat(F.lit(text), F.coalesce(got.cast("string"), F.lit("null")), F.lit(tail))
+
+
+def _other_kind(cell: Cell, expected: str, *views: str) -> tuple[Column, Column]:
+    """The case that the value is of none of the accepted kinds."""
+    outside = ~_any([cell.views[v][0] for v in views if v in cell.views])
+    return outside, _say(f"expected {expected}, got ", cell.kind)
 
 
 def _not_finite(x: Column) -> Column:
     return F.isnan(x) | (F.abs(x) == float("inf"))
 
 
-def _unsafe(x: Column) -> Column:
-    return F.abs(x) > float(MAX_SAFE_INTEGER)
+def _safe(x: Column) -> Column:
+    """Doubles that stand for one integer only; false for not-a-number."""
+    return F.abs(x) <= float(MAX_SAFE_INTEGER)
 
 
-def _kinds_outside(cell: Cell, *views: str) -> Column:
-    """True when the value is of none of the accepted kinds."""
-    accepted = [cell.views[v][0] for v in views if v in cell.views]
-    outside = F.lit(True)
-    for condition in accepted:
-        outside = outside & ~condition
-    return outside
+def _in_range(cell: Cell, lo: int, hi: int, whole_numbers: bool) -> Column:
+    """Accepted numeric cells: integers, doubles and moments within ``lo..hi``.
 
+    Bounds the value cannot leave anyway are not checked: those of the raw
+    integer type, 2^53-1 for doubles, the microsecond range for moments.
+    """
+    accepted = []
+    if "integer" in cell.views:
+        condition, x = cell.views["integer"]
+        accepted.append(condition if cell.within(lo, hi) else condition & x.between(lo, hi))
+    if "number" in cell.views:
+        condition, x = cell.views["number"]
+        condition = condition & _safe(x)
+        if whole_numbers:
+            condition = condition & (F.rint(x) == x)
+        if not lo <= -MAX_SAFE_INTEGER:
+            condition = condition & (x >= float(lo))
+        if not hi >= MAX_SAFE_INTEGER:
+            condition = condition & (x <= float(hi))
+        accepted.append(condition)
+    if "moment" in cell.views:
+        condition, x = cell.views["moment"]
+        implied = lo <= -MILLIS_BOUND["timestamp_us"] - 1 and hi >= MILLIS_BOUND["timestamp_us"]
+        accepted.append(condition if implied else condition & F.unix_millis(x).between(lo, hi))
+    return _any(accepted)
 
-def _integer(cell: Cell, logical: str) -> tuple[Column, Cases]:
+
+def _integer(cell: Cell, logical: str) -> Rule:
     lo, hi, target = INT_BOUNDS[logical]
-    reasons: Cases = [(_kinds_outside(cell, "integer", "number", "moment"), _say("expected a number, got ", cell.kind))]
+    cases: Cases = [_other_kind(cell, "a number", "integer", "number", "moment")]
     values: Cases = []
-
-    def ranged(condition: Column, x: Column) -> None:
-        reasons.append((condition & ~x.between(lo, hi), _say(f"expected integer in {lo}..={hi}, got ", x)))
-        values.append((condition & x.between(lo, hi), x.try_cast(target)))
-
     if "integer" in cell.views:
-        ranged(*cell.views["integer"])
+        condition, x = cell.views["integer"]
+        values.append((condition, x.try_cast(target)))
+        cases.append((condition & ~x.between(lo, hi), _say(f"expected integer in {lo}..={hi}, got ", x)))
     if "number" in cell.views:
         condition, x = cell.views["number"]
-        reasons.append(
+        values.append((condition, x.try_cast(target)))
+        cases.append(
             (condition & (_not_finite(x) | (F.rint(x) != x)), _say(f"expected an integer in {lo}..={hi}, got ", x))
         )
-        reasons.append(
+        cases.append(
             (
-                condition & _unsafe(x),
+                condition & ~_safe(x),
                 _say("number ", x, " is beyond the exact integer range of a double (2^53-1); pass an exact integer"),
             )
         )
-        ranged(condition & (F.rint(x) == x) & ~_unsafe(x), x.try_cast("bigint"))
+        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", x.try_cast("bigint"))))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
-        ranged(condition, F.unix_millis(x))
-    return _first(values, F.lit(None)).cast(target), reasons
+        values.append((condition, F.unix_millis(x).try_cast(target)))
+        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", F.unix_millis(x))))
+    value = _first(values, F.lit(None)).cast(target)
+    return Rule(value, _in_range(cell, lo, hi, whole_numbers=True), cases)
 
 
-def _float(cell: Cell, logical: str) -> tuple[Column, Cases]:
-    target = TYPES[logical][0]
-    values: Cases = []
-    for view in ("number", "integer"):
-        if view in cell.views:
-            values.append(cell.views[view])
+def _float(cell: Cell, logical: str) -> Rule:
+    values: Cases = [cell.views[v] for v in ("number", "integer") if v in cell.views]
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
         values.append((condition, F.unix_millis(x)))
-    values = [(condition, x.cast("double")) for condition, x in values]
-    outside = _kinds_outside(cell, "number", "integer", "moment")
-    return _first(values, F.lit(None)).cast(target), [(outside, _say("expected a number, got ", cell.kind))]
+    accepted = []
+    for condition, x in values:
+        is_whole = "integer" in cell.views and x is cell.views["integer"][1]
+        bounded = not is_whole or cell.within(_LO64, _HI64)
+        accepted.append(condition if bounded else condition & x.between(_LO64, _HI64))
+    value = _first([(condition, x.cast("double")) for condition, x in values], F.lit(None))
+    return Rule(
+        value.cast(TYPES[logical][0]), _any(accepted), [_other_kind(cell, "a number", "number", "integer", "moment")]
+    )
 
 
-def _single(cell: Cell, view: str, expected: str, target: T.DataType) -> tuple[Column, Cases]:
-    value = _first([cell.views[view]] if view in cell.views else [], F.lit(None)).cast(target)
-    return value, [(_kinds_outside(cell, view), _say(f"expected {expected}, got ", cell.kind))]
+def _single(cell: Cell, view: str, expected: str, target: T.DataType) -> Rule:
+    held = [cell.views[view]] if view in cell.views else []
+    value = _first(held, F.lit(None)).cast(target)
+    return Rule(value, _any([condition for condition, _ in held]), [_other_kind(cell, expected, view)])
 
 
-def _millis(cell: Cell) -> tuple[Cases, Cases]:
-    """Exact milliseconds of a temporal cell, and why there are none."""
-    reasons: Cases = [
-        (
-            _kinds_outside(cell, "integer", "number", "moment"),
-            _say("expected a number of milliseconds, got ", cell.kind),
-        )
-    ]
+def _millis(cell: Cell) -> tuple[Column, Cases]:
+    """Exact milliseconds of a temporal cell, and the cases without any."""
+    cases: Cases = [_other_kind(cell, "a number of milliseconds", "integer", "number", "moment")]
     values: Cases = []
     if "integer" in cell.views:
         condition, x = cell.views["integer"]
         values.append((condition, x.try_cast("bigint")))
     if "number" in cell.views:
         condition, x = cell.views["number"]
-        reasons.append((condition & _not_finite(x), _say("expected finite milliseconds, got ", x)))
-        reasons.append(
+        values.append((condition, x.try_cast("bigint")))  # drops the fraction toward zero
+        cases.append((condition & _not_finite(x), _say("expected finite milliseconds, got ", x)))
+        cases.append(
             (
-                condition & _unsafe(x),
+                condition & ~_safe(x),
                 _say(
                     "millisecond magnitude ",
                     x,
@@ -137,11 +175,10 @@ def _millis(cell: Cell) -> tuple[Cases, Cases]:
                 ),
             )
         )
-        values.append((condition & ~_unsafe(x), x.try_cast("bigint")))  # drops the fraction toward zero
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
         values.append((condition, F.unix_millis(x)))
-    return values, reasons
+    return _first(values, F.lit(None)).cast("bigint"), cases
 
 
 def floor_div(x: Column, by: int) -> Column:
@@ -151,35 +188,35 @@ def floor_div(x: Column, by: int) -> Column:
     return whole - F.when((x < 0) & (x % step != 0), F.lit(1)).otherwise(F.lit(0))
 
 
-def _date(cell: Cell, logical: str) -> tuple[Column, Cases]:
-    values, reasons = _millis(cell)
-    days = floor_div(_first(values, F.lit(None)).cast("bigint"), MILLIS_PER_DAY)
-    reasons.append((~days.between(-2147483648, 2147483647), _say("date out of range: ", days, " days")))
-    return F.date_from_unix_date(days.try_cast("int")), reasons
+def _date(cell: Cell, logical: str) -> Rule:
+    millis, cases = _millis(cell)
+    days = floor_div(millis, MILLIS_PER_DAY)
+    cases.append((F.lit(True), _say("date out of range: ", days, " days")))
+    lo, hi = INT_BOUNDS["int32"][0] * MILLIS_PER_DAY, (INT_BOUNDS["int32"][1] + 1) * MILLIS_PER_DAY - 1
+    accepted = _in_range(cell, lo, hi, whole_numbers=False)
+    return Rule(F.date_from_unix_date(days.try_cast("int")), accepted, cases)
 
 
-def _timestamp(cell: Cell, logical: str) -> tuple[Column, Cases]:
-    values, reasons = _millis(cell)
-    millis = _first(values, F.lit(None)).cast("bigint")
+def _timestamp(cell: Cell, logical: str) -> Rule:
+    millis, cases = _millis(cell)
     bound = MILLIS_BOUND[logical]
-    reasons.append(
-        (~millis.between(-bound, bound), _say("timestamp ", millis, f" ms is out of range for a {logical} column"))
-    )
-    safe = F.when(millis.between(-bound, bound), millis)
+    cases.append((F.lit(True), _say("timestamp ", millis, f" ms is out of range for a {logical} column")))
+    accepted = _in_range(cell, -bound, bound, whole_numbers=False)
+    if "moment" in cell.views and logical in ("timestamp_us", "timestamp_ns"):
+        return Rule(cell.views["moment"][1], accepted, cases)  # a timestamp already: keep its microseconds
+    if not cell.within(-bound, bound):
+        # The one conversion without a try variant must not see what is refused.
+        millis = F.when(millis.between(-bound, bound), millis)
     if logical == "timestamp_s":
-        value = F.timestamp_seconds(floor_div(safe, 1000))
-    else:
-        value = F.timestamp_millis(safe)
-        if "moment" in cell.views and logical in ("timestamp_us", "timestamp_ns"):
-            value = cell.views["moment"][1]  # already a timestamp: keep its microseconds
-    return value, reasons
+        return Rule(F.timestamp_seconds(floor_div(millis, 1000)), accepted, cases)
+    return Rule(F.timestamp_millis(millis), accepted, cases)
 
 
-def _null_only(cell: Cell, logical: str) -> tuple[Column, Cases]:
-    return F.lit(None).cast("string"), [(F.lit(True), _say("typed null column only accepts null"))]
+def _null_only(cell: Cell, logical: str) -> Rule:
+    return Rule(F.lit(None).cast("string"), F.lit(False), [(F.lit(True), _say("typed null column only accepts null"))])
 
 
-_RULES: dict[str, Callable[[Cell, str], tuple[Column, Cases]]] = {
+_RULES: dict[str, Callable[[Cell, str], Rule]] = {
     **{name: _integer for name in INT_BOUNDS},
     "float32": _float,
     "float64": _float,
@@ -193,7 +230,7 @@ _RULES: dict[str, Callable[[Cell, str], tuple[Column, Cases]]] = {
 
 @dataclass(frozen=True)
 class Converted:
-    """A typed column: its value, whether it is refused, and why."""
+    """A typed column: its value where accepted, whether it is refused, and why."""
 
     value: Column
     refused: Column
@@ -209,16 +246,16 @@ def convert(field: T.StructField, cell: Cell) -> Converted:
             f"row ingestion does not support column '{field.name}' of type {field.dataType.simpleString()}; "
             "use the Arrow input",
         )
-    value, cases = _RULES[logical](cell, logical)
-    general: Cases = []
-    if cell.wide and "integer" in cell.views:
+    rule = _RULES[logical](cell, logical)
+    refused = cell.present & ~F.coalesce(rule.accepted, F.lit(False))
+    cases = list(rule.cases)
+    cases.insert(0, (cell.kind == "object", _say("unsupported row value type: ", cell.kind)))
+    if "integer" in cell.views and not cell.within(_LO64, _HI64):
         condition, x = cell.views["integer"]
-        lo, hi, _ = INT_BOUNDS["int64"]
-        general.append((condition & ~x.between(lo, hi), _say("integer exceeds the 64-bit signed range: ", x)))
-    general.append((cell.kind == "object", _say("unsupported row value type: ", cell.kind)))
-    cases = [(cell.present & condition, text) for condition, text in [*general, *cases]]
+        too_wide = condition & ~x.between(_LO64, _HI64)
+        cases.insert(0, (too_wide, _say("integer exceeds the 64-bit signed range: ", x)))
     if not field.nullable:
+        refused = ~cell.present | refused
         cases.insert(0, (~cell.present, _say("null in non-nullable column")))
-    refused = reduce(Column.__or__, [condition for condition, _ in cases])
-    reason = F.concat(F.lit(f"column '{field.name}': "), _first(cases, F.lit(None).cast("string")))
-    return Converted(F.when(cell.present, value), F.coalesce(refused, F.lit(False)), reason)
+    reason = F.concat(F.lit(f"column '{field.name}': "), _first(cases, F.lit("not convertible")))
+    return Converted(rule.value, refused, reason)

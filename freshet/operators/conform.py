@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from freshet.errors import BAD_VALUE, marked
 from freshet.functions.cells import cell_of, open_variants
-from freshet.functions.convert import convert
+from freshet.functions.convert import Converted, convert
+from freshet.session import tune
 
 RAW = "_raw"
 REJECT = "_reject"
@@ -26,14 +27,39 @@ class Conformed:
     """
 
     raw: DataFrame
-    typed: list[Column]
-    refused: Column
-    reject: Column
+    typed: dict[str, Converted]
+    row_id: str | None = None
+
+    @property
+    def refused(self) -> Column:
+        """Whether any column refuses the row."""
+        return reduce(Column.__or__, [done.refused for done in self.typed.values()])
+
+    @property
+    def reject(self) -> Column:
+        """The first refusing column with its code and reason, or null."""
+        chain = F
+        for name, done in self.typed.items():
+            chain = chain.when(
+                done.refused,
+                F.struct(
+                    F.lit(name).alias("column"), F.lit(BAD_VALUE).alias("code"), self._located(done).alias("reason")
+                ),
+            )
+        return chain
+
+    def _located(self, done: Converted) -> Column:
+        if not self.row_id:
+            return done.reason
+        return F.concat(done.reason, F.lit(" (row "), F.col(self.row_id).cast("string"), F.lit(")"))
+
+    def _values(self) -> list[Column]:
+        return [done.value.alias(name) for name, done in self.typed.items()]
 
     @property
     def accepted(self) -> DataFrame:
         """Rows every column accepted, in the declared schema."""
-        return self.raw.where(~self.refused).select(*self.typed)
+        return self.raw.where(~self.refused).select(*self._values())
 
     @property
     def rejected(self) -> DataFrame:
@@ -48,9 +74,10 @@ class Conformed:
 
     @property
     def tagged(self) -> DataFrame:
-        """All rows: the raw row, the typed columns, and the reject or null."""
+        """All rows: the raw row, the typed columns (null where refused), the reject or null."""
         raw_row = F.struct(*[F.col(f"`{c}`") for c in self.raw.columns]).alias(RAW)
-        return self.raw.select(raw_row, *self.typed, self.reject.alias(REJECT))
+        values = [F.when(~done.refused, done.value).alias(name) for name, done in self.typed.items()]
+        return self.raw.select(raw_row, *values, self.reject.alias(REJECT))
 
     @property
     def strict(self) -> DataFrame:
@@ -61,7 +88,7 @@ class Conformed:
         """
         failure = F.raise_error(F.concat(F.lit(marked(BAD_VALUE, "")), self.reject["reason"]))
         checked = F.when(self.refused, failure.cast("boolean")).otherwise(F.lit(True))
-        return self.raw.where(checked).select(*self.typed)
+        return self.raw.where(checked).select(*self._values())
 
 
 def conform(raw: DataFrame, schema: T.StructType, row_id: str | None = None) -> Conformed:
@@ -71,31 +98,17 @@ def conform(raw: DataFrame, schema: T.StructType, row_id: str | None = None) ->
     are carried only into the rejects. ``row_id`` names a raw column that
     identifies the row in the reason.
     """
+    tune(raw.sparkSession)
     opened = open_variants(raw)
     kinds = {f.name: f.dataType for f in opened.schema.fields}
-    typed, refusals, rejects = [], [], []
+    typed = {}
     for field in schema.fields:
         if field.name in kinds:
             cell = cell_of(F.col(f"`{field.name}`"), kinds[field.name])
         else:
             cell = cell_of(F.lit(None), T.NullType())
-        done = convert(field, cell)
-        reason = done.reason
-        if row_id:
-            reason = F.concat(reason, F.lit(" (row "), F.col(row_id).cast("string"), F.lit(")"))
-        typed.append(done.value.alias(field.name))
-        refusals.append(done.refused)
-        rejects.append(
-            F.when(
-                done.refused,
-                F.struct(
-                    F.lit(field.name).alias("column"),
-                    F.lit(BAD_VALUE).alias("code"),
-                    reason.alias("reason"),
-                ),
-            )
-        )
-    return Conformed(opened, typed, reduce(Column.__or__, refusals), F.coalesce(*rejects))
+        typed[field.name] = convert(field, cell)
+    return Conformed(opened, typed, row_id)
 
 
 def reject_summary(result: Conformed) -> DataFrame:

@@ -95,7 +95,10 @@ class Result:
         return self.df.count()
 
     def num_batches(self) -> int:
-        return to_ipc(self.df).select("rows").count()
+        """Arrow batches the result comes in, from the rows per partition."""
+        size = int(self.df.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        per_part = F.ceil(F.col("num_rows") / F.lit(size))
+        return batch_stats(self.df).agg(F.coalesce(F.sum(per_part), F.lit(0)).alias("n")).first()["n"]
 
     def batch(self, index: int) -> pa.RecordBatch:
         """One batch in partition order; outside the range is an E400."""

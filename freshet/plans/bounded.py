@@ -88,3 +88,22 @@ def arrow_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @plan("batch_stats", "SELECT count(*) AS num_rows FROM events")
 def num_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result_totals(table(spark, sf_dir, "events"))
+
+
+@plan(
+    "arrow_export",
+    "SELECT count(*) AS num_rows, min(l_suppkey) AS least_id, max(l_shipdate) AS newest, "
+    "CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem",
+)
+def arrow_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest table as ``(ts, id, v)`` Arrow IPC streams, totalled after decoding."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").alias("ts"), F.col("l_suppkey").alias("id"), F.col("l_quantity").alias("v")
+    )
+    back = from_ipc(to_ipc(rows), rows.schema)
+    return back.agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        F.min("id").alias("least_id"),
+        F.max("ts").cast("timestamp_ntz").alias("newest"),
+        F.sum(F.col("v").cast("decimal(18,2)")).cast("double").alias("total"),
+    )

@@ -218,3 +218,19 @@ def conform_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tagged = conform(rows, parse_columns("event_id BIGINT, k INT")).tagged
     return tagged.select("event_id", "k", shape.alias("shape"), F.col(f"{REJECT}.reason").alias("reject_reason"))
+
+
+@plan(
+    "conform_table",
+    "SELECT l_orderkey, CAST(l_linenumber AS TINYINT) AS l_linenumber, CAST(l_quantity AS SMALLINT) AS l_quantity, "
+    "l_extendedprice, CAST(l_discount AS FLOAT) AS l_discount, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate "
+    "FROM lineitem WHERE l_quantity = trunc(l_quantity) AND l_suppkey BETWEEN 0 AND 4294967295",
+)
+def conform_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The widest table through eight typed columns, one rule each."""
+    declared = parse_columns(
+        "l_orderkey BIGINT NOT NULL, l_suppkey INT UNSIGNED, l_linenumber TINYINT, l_quantity SMALLINT, "
+        "l_extendedprice DOUBLE, l_discount FLOAT, l_returnflag VARCHAR, l_shipdate DATE"
+    )
+    raw = table(spark, sf_dir, "lineitem").select(*declared.names)
+    return conform(raw, declared).accepted.drop("l_suppkey")

@@ -63,7 +63,7 @@ def feed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan(
     "feed_lag",
-    "SELECT c.pos AS consumer_epoch, "
+    "SELECT CAST(c.pos AS BIGINT) AS consumer_epoch, "
     "count(DISTINCT e.epoch) FILTER (WHERE e.epoch > c.pos AND e.epoch < 5) AS skipped, "
     "count(*) FILTER (WHERE e.epoch > c.pos AND e.epoch < 5) AS skipped_rows "
     f"FROM (VALUES (0), (3), (8)) c(pos) CROSS JOIN {ARRIVALS_SQL} e GROUP BY c.pos",

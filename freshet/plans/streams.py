@@ -70,6 +70,24 @@ def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(done.feed.read(), ["user_id"])
 
 
+@plan(
+    "stream_rollup",
+    "SELECT l_suppkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) "
+    "AS avg_quantity FROM lineitem GROUP BY l_suppkey",
+)
+def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running average per key over the largest table."""
+    done = run_stream(
+        spark,
+        "suppliers",
+        [source(spark, sf_dir, "lineitem")],
+        "SELECT l_suppkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) "
+        "AS avg_quantity FROM lineitem GROUP BY l_suppkey",
+        emit=CHANGES,
+    )
+    return latest(done.feed.read(), ["l_suppkey"])
+
+
 @plan("mv_latest", "SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY user_id")
 def mv_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = replay(spark, sf_dir).plain

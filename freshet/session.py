@@ -18,12 +18,25 @@ _INHERITED = (
     "spark.sql.files.maxPartitionBytes",
     "spark.sql.streaming.stateStore.providerClass",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+    "spark.sql.codegen.hugeMethodLimit",
     "spark.checkpoint.dir",
 )
 
+# HotSpot never compiles methods above 8000 bytes of bytecode. Past that size
+# Spark does better with its smaller per-expression methods than with one
+# generated method that stays interpreted; wide schemas get there quickly.
+_METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 _roots: dict[str, str] = {}
 
 
+def tune(spark: SparkSession) -> None:
+    """Set the generated-method limit, unless the session chose one itself."""
+    key, value = _METHOD_LIMIT
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, value)
+
+
 def build_session(app: str = "freshet", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the package is written for.
 
@@ -36,6 +49,7 @@ def build_session(app: str = "freshet", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        _METHOD_LIMIT[0]: _METHOD_LIMIT[1],
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -78,6 +92,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
         value = spark.conf.get(key, None)
         if value is not None and own.conf.get(key, None) != value:
             own.conf.set(key, value)
+    tune(own)
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return own

@@ -36,6 +36,7 @@ class EpochTable:
         self.log_path = f"{path}/log"
         self.key = key
         self.schema = schema
+        self._known_last: int | None = None
         self._storage.mkdirs(self.data_path)
         self._storage.mkdirs(self.log_path)
 
@@ -56,6 +57,7 @@ class EpochTable:
         holds are observed by the write itself, so none costs another pass.
         """
         if self.has(number):
+            self._known_last = max(number, -1 if self._known_last is None else self._known_last)
             return self.entry(number)
         seen = Observation()
         newest = F.unix_micros(F.max(event_time)) if event_time is not None else F.lit(None).cast("bigint")
@@ -79,6 +81,7 @@ class EpochTable:
             "committed_ms": int(time.time() * 1000),
         }
         self._storage.write_text(f"{self.log_path}/{number}.json", json.dumps(entry))
+        self._known_last = max(number, -1 if self._known_last is None else self._known_last)
         return entry
 
     # -- reading ---------------------------------------------------------
@@ -95,8 +98,22 @@ class EpochTable:
         return json.loads(self._storage.read_text(f"{self.log_path}/{number}.json"))
 
     def last(self) -> int | None:
-        numbers = self.numbers()
-        return numbers[-1] if numbers else None
+        """The newest commit: one listing to start with, then only the next numbers.
+
+        Commits by others are found because they continue the sequence; a gap
+        can only come from this object's own commits, which it remembers.
+        """
+        if self._known_last is None:
+            numbers = self.numbers()
+            self._known_last = numbers[-1] if numbers else None
+        else:
+            self._known_last = self._advance(self._known_last)
+        return self._known_last
+
+    def _advance(self, number: int) -> int:
+        while self.has(number + 1):
+            number += 1
+        return number
 
     def first_retained(self) -> int | None:
         """The oldest commit whose rows are still there."""
