@@ -123,7 +123,7 @@ def metrics_of_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def epoch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows each micro-batch took in, as the running query reported them."""
-    return replay(spark, sf_dir).rollup.progress().select(EPOCH, "input_rows")
+    return replay(spark, sf_dir).rollup.progress().groupBy(EPOCH).agg(F.sum("input_rows").alias("input_rows"))
 
 
 @plan(

@@ -4,6 +4,7 @@ Sources and change feeds share this layout::
 
     <path>/data/<key>=<n>/part-*.parquet     the rows of commit n
     <path>/log/<n>.json                      written after the rows: commit n counts
+    <path>/folded/<n>/                       the log entries up to n, in one file
 
 Rows without their log entry are invisible, so a job that died half-way leaves
 nothing behind, and doing a commit again is a no-op. Readers prune by the key
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 from freshet.errors import FELL_BEHIND, fault, from_task
 from freshet.session import Storage
 
+FOLD_EVERY = 1000
+_FEW_EPOCHS = 32
 _LOG_FIELDS = "rows bigint, late_rows bigint, max_event_us bigint, committed_ms bigint"
 
 
@@ -34,9 +37,11 @@ class EpochTable:
         self.path = path
         self.data_path = f"{path}/data"
         self.log_path = f"{path}/log"
+        self._folds = f"{path}/folded"
         self.key = key
         self.schema = schema
         self._known_last: int | None = None
+        self._folded: int | None = None
         self._storage.mkdirs(self.data_path)
         self._storage.mkdirs(self.log_path)
 
@@ -82,20 +87,53 @@ class EpochTable:
         }
         self._storage.write_text(f"{self.log_path}/{number}.json", json.dumps(entry))
         self._known_last = max(number, -1 if self._known_last is None else self._known_last)
+        if number % FOLD_EVERY == FOLD_EVERY - 1:
+            self.fold_log()
         return entry
 
-    # -- reading ---------------------------------------------------------
+    def fold_log(self) -> None:
+        """Gather the log entries so far in one file, to keep listings short.
 
-    def numbers(self) -> list[int]:
-        """Committed numbers, ascending: one small file name each."""
+        A reader that starts in between finds an entry in the fold, as its own
+        file, or as both, and counts it once.
+        """
+        last = self.last()
+        if last is None or last == self._find_fold():
+            return
+        self.log().coalesce(1).write.mode("overwrite").json(f"{self._folds}/{last}")
+        self._folded = last
+        for name in self._storage.names(self._folds):
+            if name.isdigit() and int(name) < last:
+                self._storage.delete(f"{self._folds}/{name}")
+        for number in self._unfolded():
+            if number <= last:
+                self._storage.delete(f"{self.log_path}/{number}.json")
+
+    def _find_fold(self) -> int | None:
+        """The newest complete fold; older entries have no file of their own."""
+        done = [int(n) for n in self._storage.names(self._folds) if n.isdigit()]
+        done = [n for n in sorted(done) if self._storage.exists(f"{self._folds}/{n}/_SUCCESS")]
+        self._folded = done[-1] if done else None
+        return self._folded
+
+    def _unfolded(self) -> list[int]:
         names = self._storage.names(self.log_path)
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
+    # -- reading ---------------------------------------------------------
+
     def has(self, number: int) -> bool:
-        return self._storage.exists(f"{self.log_path}/{number}.json")
+        if self._folded is not None and number <= self._folded:
+            return True
+        if self._storage.exists(f"{self.log_path}/{number}.json"):
+            return True
+        folded = self._find_fold()
+        return folded is not None and number <= folded
 
     def entry(self, number: int) -> dict:
-        return json.loads(self._storage.read_text(f"{self.log_path}/{number}.json"))
+        if self._storage.exists(f"{self.log_path}/{number}.json"):
+            return json.loads(self._storage.read_text(f"{self.log_path}/{number}.json"))
+        return self.log().where(F.col(self.key) == number).first().asDict()
 
     def last(self) -> int | None:
         """The newest commit: one listing to start with, then only the next numbers.
@@ -104,8 +142,8 @@ class EpochTable:
         can only come from this object's own commits, which it remembers.
         """
         if self._known_last is None:
-            numbers = self.numbers()
-            self._known_last = numbers[-1] if numbers else None
+            folded, own = self._find_fold(), self._unfolded()
+            self._known_last = max([*own[-1:], *([folded] if folded is not None else [])], default=None)
         else:
             self._known_last = self._advance(self._known_last)
         return self._known_last
@@ -115,6 +153,10 @@ class EpochTable:
             number += 1
         return number
 
+    def retained(self, number: int) -> bool:
+        """Whether the rows of a commit are still there."""
+        return self._storage.exists(f"{self.data_path}/{self.key}={number}")
+
     def first_retained(self) -> int | None:
         """The oldest commit whose rows are still there."""
         prefix = f"{self.key}="
@@ -123,24 +165,36 @@ class EpochTable:
 
     def log(self) -> DataFrame:
         """The log as a table, one row per commit."""
-        return self._spark.read.schema(f"{self.key} bigint, {_LOG_FIELDS}").json(self.log_path)
+        reader = self._spark.read.schema(f"{self.key} bigint, {_LOG_FIELDS}")
+        folded = self._find_fold()
+        if folded is None:
+            return reader.json(self.log_path)
+        later = reader.json(self.log_path).where(F.col(self.key) > folded)
+        return reader.json(f"{self._folds}/{folded}").unionByName(later)
 
     def read(self, after: int | None = None, upto: int | None = None) -> DataFrame:
         """Rows of committed numbers in ``(after, upto]``.
 
         The upper end is fixed when called, which makes the result a snapshot.
-        Asking for rows that retention removed is an error, never a gap.
+        Asking for rows that retention removed is an error, never a gap. A
+        short range names its folders instead of listing the whole table.
         """
         last = self.last()
-        top = last if upto is None else (last if last is None else min(upto, last))
-        if after is not None:
+        top = -1 if last is None else (last if upto is None else min(upto, last))
+        reader = self._spark.read.schema(self.stored_schema)
+        key = F.col(self.key)
+        if after is None:
+            return reader.parquet(self.data_path).where(key <= top)
+        if after < top and not self.retained(after + 1):
             first = self.first_retained()
             if first is not None and after + 1 < first:
                 raise fault(FELL_BEHIND, f"subscription fell behind by {first - after - 1} entries")
-        rows = self._spark.read.schema(self.stored_schema).parquet(self.data_path)
-        key = F.col(self.key)
-        rows = rows.where(key <= F.lit(-1 if top is None else top))
-        return rows.where(key > F.lit(after)) if after is not None else rows
+        wanted = range(after + 1, top + 1)
+        if 0 < len(wanted) <= _FEW_EPOCHS:
+            folders = [f"{self.data_path}/{self.key}={n}" for n in wanted if self.retained(n)]
+            if folders:
+                return reader.option("basePath", self.data_path).parquet(*folders).where((key > after) & (key <= top))
+        return reader.parquet(self.data_path).where((key > after) & (key <= top))
 
     # -- retention -------------------------------------------------------
 

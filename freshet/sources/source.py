@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 from collections.abc import Iterable, Mapping
 from typing import Any
 
@@ -60,6 +62,12 @@ class Source:
         """The rows present now; the file listing is the snapshot."""
         return self._spark.read.schema(self.schema).parquet(self.path)
 
+    @property
+    def reads(self) -> str:
+        """The folder a stream over this source lists, without its scheme."""
+        folder = self.path.rsplit("/", 1)[0] if self._storage.is_file(self.path) else self.path
+        return re.sub(r"^\w+:(//[^/]*)?", "", folder)
+
     def _rows_stream(self, session: SparkSession, max_files: int | None) -> DataFrame:
         reader = session.readStream.schema(self.schema)
         if max_files:
@@ -84,7 +92,8 @@ class Source:
         time = self.watermark_column
         if not self.heartbeat_path:
             return rows.withWatermark(time, self.delay)
-        beats = session.readStream.schema(f"`{time}` timestamp").parquet(self.heartbeat_path)
+        beats = session.readStream.schema("millis bigint").json(self.heartbeat_path)
+        beats = beats.select(F.timestamp_millis("millis").alias(time))
         blank = [
             F.col(time) if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields
         ]
@@ -103,10 +112,9 @@ class Source:
         """Advance event time to ``millis`` without a row."""
         if self.watermark_column is None or not self.heartbeat_path:
             raise fault(BAD_CONFIG, f"source '{self.name}' declares no watermark column")
-        beat = self._spark.range(1).select(
-            F.timestamp_millis(F.lit(millis).cast("bigint")).alias(self.watermark_column)
-        )
-        beat.coalesce(1).write.mode("append").parquet(self.heartbeat_path)
+        # The name carries the value too, so that reading it back is a listing.
+        name = f"{millis}_{uuid.uuid4().hex[:12]}.json"
+        self._storage.write_text(f"{self.heartbeat_path}/{name}", f'{{"millis": {millis}}}')
 
     def repeat_event_time(self) -> None:
         """Say again how far event time has come, for queries that start anew."""
@@ -116,10 +124,8 @@ class Source:
 
     def explicit_watermark(self) -> int | None:
         """The furthest heartbeat in epoch milliseconds."""
-        if not self.heartbeat_path:
-            return None
-        beats = self._spark.read.schema(f"`{self.watermark_column}` timestamp").parquet(self.heartbeat_path)
-        return beats.agg(F.unix_millis(F.max(self.watermark_column)).alias("w")).first()["w"]
+        names = self._storage.names(self.heartbeat_path) if self.heartbeat_path else []
+        return max((int(n.split("_")[0]) for n in names if n.endswith(".json") and not n.startswith("_")), default=None)
 
 
 class StoredSource(Source):
@@ -167,19 +173,19 @@ class StoredSource(Source):
 
     # -- writing ---------------------------------------------------------
 
-    def _commit(self, df: DataFrame) -> int:
+    def _next(self) -> int:
         last = self.table.last()
-        number = 0 if last is None else last + 1
+        return 0 if last is None else last + 1
+
+    def _commit(self, df: DataFrame) -> int:
         if self.watermark_column is None:
-            return self.table.commit(df, number)["rows"]
-        time = F.col(self.watermark_column)
-        self._newest_event()
-        late = None
-        if self._newest_us is not None:
-            late = time < F.timestamp_micros(F.lit(self._newest_us)) - F.expr(f"INTERVAL {self.delay}")
-        entry = self.table.commit(df, number, time, late)
-        seen = [us for us in (self._newest_us, entry["max_event_us"]) if us is not None]
-        self._newest_us = max(seen) if seen else None
+            return self.table.commit(df, self._next())["rows"]
+        time, newest, late = F.col(self.watermark_column), self._newest_event(), None
+        if newest is not None:
+            late = time < F.timestamp_micros(F.lit(newest)) - F.expr(f"INTERVAL {self.delay}")
+        entry = self.table.commit(df, self._next(), time, late)
+        seen = [us for us in (newest, entry["max_event_us"]) if us is not None]
+        self._newest_us = max(seen, default=None)
         return entry["rows"]
 
     def append(self, df: DataFrame) -> int:
@@ -196,9 +202,13 @@ class StoredSource(Source):
         return self._commit(conform(raw, self.schema, row_id).strict)
 
     def insert_accepted(self, raw: DataFrame, rejects_path: str, row_id: str | None = None) -> int:
-        """Conform a raw frame, append what passes, keep the rejects aside."""
+        """Conform a raw frame, append what passes, keep the rejects aside.
+
+        The rejects go below ``rejects_path`` under the number of the append,
+        so doing it again after a failure replaces them.
+        """
         result = conform(raw, self.schema, row_id)
-        result.rejected.write.mode("append").parquet(rejects_path)
+        result.rejected.write.mode("overwrite").parquet(f"{rejects_path}/{APPEND_ID}={self._next()}")
         return self._commit(result.accepted)
 
     def insert_arrow(self, payload: bytes) -> int:

@@ -22,7 +22,9 @@ from freshet.sources.source import Source
 
 EPOCH = "epoch"
 Build = Callable[[dict[str, DataFrame]], DataFrame]
-PROGRESS = "stream string, epoch bigint, input_rows bigint, watermark_ms bigint, duration_ms bigint"
+PROGRESS = "stream string, epoch bigint, source string, input_rows bigint, watermark_ms bigint, duration_ms bigint"
+# Spark keeps the last 100 progress reports of a query; saving twice as often loses none.
+_SAVE_PROGRESS_EVERY = 50
 
 # When a group's row is emitted: whenever it changes, or once its window closed.
 CHANGES, ON_CLOSE = "changes", "on_close"
@@ -86,6 +88,7 @@ class Stream:
         self.feed = EpochTable(spark, f"{path}/feed", self.schema, EPOCH)
         self._query: StreamingQuery | None = None
         self._mode: str | None = None
+        self._recorded = -1
         self.stopped = False
 
     def _pin(self) -> None:
@@ -97,7 +100,6 @@ class Stream:
                 "emit": self.emit,
                 "sources": [s.name for s in self.sources],
                 "columns": self.schema.simpleString(),
-                "shuffle_partitions": self._session.conf.get("spark.sql.shuffle.partitions"),
             },
             sort_keys=True,
         )
@@ -113,6 +115,8 @@ class Stream:
     def _write(self, batch: DataFrame, epoch: int) -> None:
         time_column = F.col(self._feed_time) if self._feed_time else None
         self.feed.commit(batch, epoch, time_column)
+        if self._query is not None and epoch % _SAVE_PROGRESS_EVERY == 0:
+            self._record(self._query)
 
     def _start(self, **trigger) -> StreamingQuery:
         modes = (self._mode,) if self._mode else _MODES[self.emit]
@@ -187,33 +191,40 @@ class Stream:
     # -- progress --------------------------------------------------------
 
     def _record(self, query: StreamingQuery) -> None:
-        lines = []
+        """Save the reports of the micro-batches not saved yet."""
+        lines, newest = [], self._recorded
         for p in query.recentProgress:
-            if not self.feed.has(p["batchId"]):
-                continue  # an idle report, not a batch
-            mark = p["eventTime"].get("watermark") if "eventTime" in p else None
-            lines.append(
-                json.dumps(
-                    {
-                        "stream": self.name,
-                        "epoch": p["batchId"],
-                        "input_rows": p["numInputRows"],
-                        "watermark_ms": _iso_millis(mark),
-                        "duration_ms": p["durationMs"].get("triggerExecution"),
-                    }
+            epoch = p["batchId"]
+            if epoch <= self._recorded or not self.feed.has(epoch):
+                continue  # saved before, or an idle report
+            newest = max(newest, epoch)
+            mark = (p["eventTime"] or {}).get("watermark")
+            for source in self.sources:
+                read = [r["numInputRows"] for r in p["sources"] if r["description"].endswith(f"{source.reads}]")]
+                lines.append(
+                    json.dumps(
+                        {
+                            "stream": self.name,
+                            "epoch": epoch,
+                            "source": source.name,
+                            "input_rows": max(read, default=0),
+                            "watermark_ms": _iso_millis(mark),
+                            "duration_ms": p["durationMs"].get("triggerExecution"),
+                        }
+                    )
                 )
-            )
         if lines:
             self._storage.mkdirs(f"{self.path}/progress")
             self._storage.write_text(f"{self.path}/progress/{uuid.uuid4().hex}.json", "\n".join(lines))
+            self._recorded = newest
 
     def progress(self) -> DataFrame:
-        """One row per micro-batch that ended: rows in, watermark, duration."""
+        """One row per micro-batch that ended and source: rows in, watermark, duration."""
         if self._query is not None:
             self._record(self._query)
         self._storage.mkdirs(f"{self.path}/progress")
         reported = self._spark.read.schema(PROGRESS).json(f"{self.path}/progress")
-        return reported.groupBy("stream", EPOCH).agg(
+        return reported.groupBy("stream", EPOCH, "source").agg(
             F.max("input_rows").alias("input_rows"),
             F.max("watermark_ms").alias("watermark_ms"),
             F.max("duration_ms").alias("duration_ms"),

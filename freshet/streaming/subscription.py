@@ -46,10 +46,13 @@ class Subscription:
         self._check_retained()
 
     def _check_retained(self) -> None:
-        first = self.stream.feed.first_retained()
-        if first is not None and self._position + 1 < first:
+        feed, due = self.stream.feed, self._position + 1
+        if feed.retained(due):
+            return
+        first = feed.first_retained()
+        if first is not None and due < first:
             self._active = False
-            raise fault(FELL_BEHIND, f"subscription fell behind by {first - self._position - 1} entries")
+            raise fault(FELL_BEHIND, f"subscription fell behind by {first - due} entries")
 
     @property
     def is_active(self) -> bool:

@@ -7,6 +7,7 @@ import json
 import re
 import time
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -37,6 +38,7 @@ from freshet.streaming.subscription import Frame, PushSubscription, Subscription
 from freshet.streaming.view import MaterializedView
 
 MEMORY = ":memory:"
+_CONCURRENT_STREAMS = 8
 _NAME = r"`?([A-Za-z_]\w*)`?"
 _CREATE_SOURCE = re.compile(rf"\s*CREATE\s+SOURCE\s+{_NAME}\s*\((.*)\)\s*;?\s*$", re.I | re.S)
 _CREATE_STREAM = re.compile(rf"\s*CREATE\s+STREAM\s+{_NAME}\s+AS\s+(.*?);?\s*$", re.I | re.S)
@@ -151,11 +153,14 @@ class Workspace:
     def run_available(self) -> Checkpoint:
         """Process what arrived; the outcome names the newest epoch of any stream."""
         self._open()
-        outcomes = [stream.run_available() for stream in self._streams.values()]
+        if not self._streams:
+            raise fault(BAD_CONFIG, "no stream is declared")
+        with ThreadPoolExecutor(min(len(self._streams), _CONCURRENT_STREAMS)) as pool:
+            outcomes = list(pool.map(Stream.run_available, self._streams.values()))
         for sink in self._sinks.values():
             sink.deliver()
         newest = max(outcomes, key=lambda o: o.epoch)
-        return Checkpoint(True, newest.checkpoint_id, newest.epoch, sum(o.duration_ms for o in outcomes))
+        return Checkpoint(True, newest.checkpoint_id, newest.epoch, max(o.duration_ms for o in outcomes))
 
     @property
     def is_closed(self) -> bool:
@@ -411,8 +416,11 @@ class Workspace:
     def _rows_processed(self, name: str) -> int:
         """Rows of a source that every stream reading it has taken in."""
         readers = [s for s in self._streams.values() if any(src.name == name for src in s.sources)]
-        taken = [s.progress().agg(F.coalesce(F.sum("input_rows"), F.lit(0)).alias("n")).first()["n"] for s in readers]
-        return min(taken) if taken else 0
+        taken = [
+            s.progress().where(F.col("source") == name).agg(F.coalesce(F.sum("input_rows"), F.lit(0)).alias("n"))
+            for s in readers
+        ]
+        return reduce(DataFrame.unionByName, taken).agg(F.min("n").alias("n")).first()["n"] if taken else 0
 
     def source_metrics(self, name: str) -> DataFrame:
         source = self.source(name)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from freshet.errors import FreshetError, from_task
 from freshet.functions.logical import check_schema, parse_columns
 from freshet.functions.render import render, render_json
+from freshet.operators.conform import conform
 from freshet.operators.results import Result, ResultStream, batch_stats, first_rows, result_totals
 from freshet.session import fresh_path, work_root
 from freshet.sources.arrow_ipc import from_ipc, read_ipc_files, to_ipc
@@ -96,6 +97,53 @@ def test_quarantine_keeps_rejects_aside(spark, sensors):
     assert [(r["device"], r["reject_column"], r["reject_code"]) for r in rejects] == [("b", "value", 300)]
 
 
+def test_quarantine_twice_replaces_the_rejects(spark, sensors):
+    raw = spark.createDataFrame([("bad",)], "value string")
+    path = fresh_path(spark, "rejects")
+    result = conform(raw, sensors.schema)
+    result.rejected.write.parquet(f"{path}/append_id=0")  # left by a run that died before its append
+    assert sensors.insert_accepted(raw, path) == 0
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_folded_log(spark):
+    source = StoredSource(spark, "t", parse_columns("a INT"), fresh_path(spark, "t"))
+    for n in range(3):
+        source.insert([{"a": n}])
+    source.table.fold_log()
+    source.table.fold_log()
+    source.insert([{"a": 3}])
+    names = source._storage.names(source.table.log_path)
+    assert [n for n in names if n.endswith(".json")] == ["3.json"]
+
+    def check(table):
+        assert table.last() == 3 and table.has(0) and table.has(3) and not table.has(4)
+        assert table.entry(1)["rows"] == 1 and table.entry(3)["rows"] == 1
+        assert sorted(r["append_id"] for r in table.log().collect()) == [0, 1, 2, 3]
+        assert sorted(r["a"] for r in table.read().collect()) == [0, 1, 2, 3]
+        assert table.commit(spark.range(0), 1)["rows"] == 1  # known: nothing is written
+
+    check(source.table)
+    check(StoredSource(spark, "t", source.schema, source.table.path).table)
+    source.table.fold_log()
+    assert source._storage.names(source.table._folds) == ["3"]
+    # A fold that died before it was complete does not count.
+    source._storage.mkdirs(f"{source.table._folds}/9")
+    check(StoredSource(spark, "t", source.schema, source.table.path).table)
+
+
+def test_short_and_long_ranges(spark, monkeypatch):
+    source = StoredSource(spark, "t", parse_columns("a INT"), fresh_path(spark, "t"))
+    for n in range(4):
+        source.insert([{"a": n}])
+    assert "append_id=2" in source.table.read(after=1, upto=2).inputFiles()[0]
+    for few in (0, 32):
+        monkeypatch.setattr("freshet.sources.epoch_table._FEW_EPOCHS", few)
+        got = source.table.read(after=0, upto=2)
+        assert sorted((r["append_id"], r["a"]) for r in got.collect()) == [(1, 1), (2, 2)]
+        assert source.table.read(after=3).count() == 0
+
+
 def test_append_checks_names_and_types(spark, sensors):
     assert code_of(lambda: sensors.append(spark.range(1))) == 302
     swapped = spark.createDataFrame([], "device string, ts timestamp, value double")

@@ -106,7 +106,7 @@ def test_feed_commit_survives_a_replayed_batch(make):
     stream.run_available()
     # Spark may hand the same epoch to the writer again after a failure.
     stream._write(stream.feed.read().drop("epoch"), 0)
-    assert stream.feed.read().count() == 1 and stream.feed.numbers() == [0]
+    assert stream.feed.read().count() == 1 and stream.feed.last() == 0
 
 
 def test_window_emission_on_close_and_incremental(make):
@@ -169,6 +169,17 @@ def test_pipeline_watermark_is_the_minimum(make, spark):
     assert pipeline_watermark(marks).first()["watermark"] == 61_000
 
 
+def test_progress_per_source_leaves_heartbeats_out(make, spark):
+    left = make.source("ts")
+    right = StoredSource(spark, "other", left.schema, fresh_path(spark, "other"), "ts")
+    both = make.stream([left, right], lambda s: s["sensors"].union(s["other"]))
+    left.insert([{"ts": 1}] * 3)
+    left.heartbeat(5)
+    right.insert([{"ts": 1}] * 2)
+    both.run_available()
+    assert values(both.progress(), "source", "input_rows") == [("other", 2), ("sensors", 3)]
+
+
 def test_late_rows(spark):
     rows = spark.createDataFrame(
         [(0, 100), (0, 40), (1, 94), (1, 95), (1, 96), (2, 200), (3, 1)], "epoch bigint, s bigint"
@@ -222,7 +233,7 @@ def test_replay_tail_filter_retention_lag(spark, filled):
     assert feed.retain(2) == 4 and feed.retain(2) == 0 and feed.first_retained() == 4
     assert code_of(lambda: replay(feed, 2)) == 502
     assert replay(feed, 3).count() == 11
-    assert len(feed.numbers()) == 6  # barriers stay
+    assert barriers(feed).count() == 6  # barriers stay
     consumers = spark.createDataFrame([(0,), (3,), (5,)], "consumer_epoch bigint")
     got = lag(feed.log(), consumers, feed.first_retained())
     assert values(got, "consumer_epoch", "skipped", "skipped_rows") == [(0, 3, 9), (3, 0, 0), (5, 0, 0)]
@@ -230,9 +241,11 @@ def test_replay_tail_filter_retention_lag(spark, filled):
 
 def test_replay_prunes_and_pushes_down(filled):
     _, stream = filled
-    plan = replay(stream.feed, 3, "value >= 4").select("device")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(epoch" in plan
-    assert "GreaterThanOrEqual(value,4.0)" in plan
+    rows = replay(stream.feed, 3, "value >= 4").select("device")
+    assert "GreaterThanOrEqual(value,4.0)" in rows._jdf.queryExecution().executedPlan().toString()
+    assert {f.split("/")[-2] for f in rows.inputFiles()} == {"epoch=4", "epoch=5"}
+    whole = stream.feed.read(upto=3).select("device")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(epoch" in whole
 
 
 def test_materialized_view_folds(make, spark):
