@@ -4,13 +4,16 @@ A conversion rule asks a cell for the views it accepts. A typed raw column has
 exactly one view, known while the plan is built, so the other branches never
 enter the plan. A column of mixed values (JSON rows, local Python rows) decides
 per row.
+
+Expressions are SQL text: a rule is a few dozen operators, and one text costs
+one call into the JVM where Column objects would cost one per operator.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +30,17 @@ MIXED = T.StructType(
 
 _WHOLE = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _KIND_OF_VIEW = {"integer": "bigint", "number": "number", "text": "string", "flag": "boolean", "moment": "date"}
+TRUE, FALSE = "true", "false"
+
+
+def quoted(name: str) -> str:
+    """A column name in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string in SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass(frozen=True)
@@ -37,9 +51,9 @@ class Cell:
     that a check it already implies stays out of the plan.
     """
 
-    present: Column
-    kind: Column
-    views: dict[str, tuple[Column, Column]]
+    present: str
+    kind: str
+    views: dict[str, tuple[str, str]]
     bounds: tuple[int, int] | None = None
 
     def within(self, lo: int, hi: int) -> bool:
@@ -47,45 +61,52 @@ class Cell:
         return self.bounds is not None and lo <= self.bounds[0] and self.bounds[1] <= hi
 
 
-def _typed(value: Column, view: str, bounds: tuple[int, int] | None = None) -> Cell:
-    return Cell(value.isNotNull(), F.lit(_KIND_OF_VIEW[view]), {view: (F.lit(True), value)}, bounds)
+NOTHING = Cell(FALSE, literal("null"), {})
+
 
+def _typed(raw: str, view: str, value: str | None = None, bounds: tuple[int, int] | None = None) -> Cell:
+    return Cell(f"{raw} IS NOT NULL", literal(_KIND_OF_VIEW[view]), {view: (TRUE, value or raw)}, bounds)
 
-def cell_of(value: Column, kind: T.DataType) -> Cell:
-    """The cell of one raw column of the given Spark type."""
+
+def cell_of(field: T.StructField) -> Cell:
+    """The cell of one raw column."""
+    raw, kind = quoted(field.name), field.dataType
     if kind.simpleString() == MIXED.simpleString():
-        tag = value["kind"]
-        return Cell(
-            value.isNotNull() & (tag != "null"),
-            tag,
-            {v: (tag == _KIND_OF_VIEW[v], value[v]) for v in ("integer", "number", "text", "flag")},
-        )
+        views = {v: (f"{raw}.kind = '{_KIND_OF_VIEW[v]}'", f"{raw}.{v}") for v in MIXED.names[1:]}
+        return Cell(f"({raw} IS NOT NULL AND {raw}.kind <> 'null')", f"{raw}.kind", views)
     if bits := _WHOLE.get(type(kind)):
-        return _typed(value, "integer", (-(1 << bits - 1), (1 << bits - 1) - 1))
+        return _typed(raw, "integer", bounds=(-(1 << bits - 1), (1 << bits - 1) - 1))
     if isinstance(kind, T.DecimalType):
-        if kind.scale == 0:
-            return _typed(value, "integer")
-        return _typed(value.cast("double"), "number")
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return _typed(value.cast("double"), "number")
+        return _typed(raw, "integer") if kind.scale == 0 else _typed(raw, "number", f"CAST({raw} AS DOUBLE)")
+    if isinstance(kind, T.FloatType):
+        return _typed(raw, "number", f"CAST({raw} AS DOUBLE)")
+    if isinstance(kind, T.DoubleType):
+        return _typed(raw, "number")
     if isinstance(kind, (T.StringType, T.VarcharType, T.CharType)):
-        return _typed(value, "text")
+        return _typed(raw, "text")
     if isinstance(kind, T.BooleanType):
-        return _typed(value, "flag")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return _typed(value.cast("timestamp"), "moment")
+        return _typed(raw, "flag")
+    if isinstance(kind, T.TimestampType):
+        return _typed(raw, "moment")
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        return _typed(raw, "moment", f"CAST({raw} AS TIMESTAMP)")
     if isinstance(kind, T.NullType):
-        return Cell(F.lit(False), F.lit("null"), {})
-    return Cell(value.isNotNull(), F.lit("object"), {})
+        return NOTHING
+    return Cell(f"{raw} IS NOT NULL", literal("object"), {})
 
 
 def open_variants(raw: DataFrame) -> DataFrame:
     """Bring VARIANT columns into the mixed layout; other columns stay."""
-    out = []
-    for field in raw.schema.fields:
-        col = F.col(f"`{field.name}`")
-        out.append(_mixed_from_variant(col).alias(field.name) if isinstance(field.dataType, T.VariantType) else col)
-    return raw.select(*out)
+    if not any(isinstance(f.dataType, T.VariantType) for f in raw.schema.fields):
+        return raw
+    return raw.selectExpr(
+        *[
+            f"{_mixed_from_variant(quoted(f.name))} AS {quoted(f.name)}"
+            if isinstance(f.dataType, T.VariantType)
+            else quoted(f.name)
+            for f in raw.schema.fields
+        ]
+    )
 
 
 def rows_from_variant(raw: DataFrame, document: str, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -102,22 +123,20 @@ def _json_path(name: str) -> str:
     return "$['" + name.replace("'", "\\'") + "']"
 
 
-def _mixed_from_variant(value: Column) -> Column:
-    shape = F.schema_of_variant(value)
-    whole = (shape == "BIGINT") | shape.rlike(r"^DECIMAL\(\d+,0\)$")
-    fraction = shape.isin("DOUBLE", "FLOAT") | shape.startswith("DECIMAL")
-    kind = (
-        F.when(value.isNull() | F.is_variant_null(value), "null")
-        .when(whole, "bigint")
-        .when(fraction, "number")
-        .when(shape == "STRING", "string")
-        .when(shape == "BOOLEAN", "boolean")
-        .otherwise("object")
-    )
-    return F.struct(
-        kind.alias("kind"),
-        F.when(whole, F.try_variant_get(value, "$", "decimal(38,0)")).alias("integer"),
-        F.when(fraction, F.try_variant_get(value, "$", "double")).alias("number"),
-        F.when(shape == "STRING", F.try_variant_get(value, "$", "string")).alias("text"),
-        F.when(shape == "BOOLEAN", F.try_variant_get(value, "$", "boolean")).alias("flag"),
+def _mixed_from_variant(value: str) -> str:
+    shape = f"schema_of_variant({value})"
+    whole = f"({shape} = 'BIGINT' OR {shape} RLIKE '^DECIMAL.[0-9]+,0.$')"
+    fraction = f"({shape} IN ('DOUBLE', 'FLOAT') OR {shape} LIKE 'DECIMAL%')"
+
+    text, flag = f"{shape} = 'STRING'", f"{shape} = 'BOOLEAN'"
+
+    def held(condition: str, kind: str) -> str:
+        return f"CASE WHEN {condition} THEN try_variant_get({value}, '$', '{kind}') END"
+
+    return (
+        f"named_struct('kind', CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN 'null' "
+        f"WHEN {whole} THEN 'bigint' WHEN {fraction} THEN 'number' WHEN {text} THEN 'string' "
+        f"WHEN {flag} THEN 'boolean' ELSE 'object' END, "
+        f"'integer', {held(whole, 'decimal(38,0)')}, 'number', {held(fraction, 'double')}, "
+        f"'text', {held(text, 'string')}, 'flag', {held(flag, 'boolean')})"
     )

@@ -11,14 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.errors import UNSUPPORTED, fault
-from freshet.functions.cells import Cell
+from freshet.functions.cells import FALSE, TRUE, Cell, literal
 from freshet.functions.logical import (
     INT_BOUNDS,
     MAX_SAFE_INTEGER,
@@ -28,55 +25,70 @@ from freshet.functions.logical import (
     logical_of,
 )
 
-Cases = list[tuple[Column, Column]]
+Cases = list[tuple[str, str]]
 _LO64, _HI64, _ = INT_BOUNDS["int64"]
 
 
 @dataclass(frozen=True)
 class Rule:
-    """What one rule says about a value that is present."""
+    """What one rule says about a value that is present, as SQL text."""
 
-    value: Column
-    accepted: Column
+    value: str
+    accepted: str
     cases: Cases
 
 
-def _first(cases: Cases, default: Column) -> Column:
+def _first(cases: Cases, default: str = "NULL") -> str:
     """The output of the first case that holds."""
     if not cases:
         return default
-    chain = F.when(*cases[0])
-    for condition, output in cases[1:]:
-        chain = chain.when(condition, output)
-    return chain.otherwise(default)
+    if cases[0][0] == TRUE:
+        return cases[0][1]
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in cases) + f" ELSE {default} END"
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(Column.__or__, conditions) if conditions else F.lit(False)
+def _any(conditions: list[str]) -> str:
+    return "(" + " OR ".join(conditions) + ")" if conditions else FALSE
 
 
-def _say(text: str, got: Column | None = None, tail: str = "") -> Column:
+def _all(*conditions: str) -> str:
+    return "(" + " AND ".join(c for c in conditions if c != TRUE) + ")" if set(conditions) != {TRUE} else TRUE
+
+
+def _between(x: str, lo: int, hi: int) -> str:
+    return f"({x} BETWEEN {lo}L AND {hi}L)"
+
+
+def _cast(x: str, target: T.DataType) -> str:
+    return f"CAST({x} AS {target.simpleString()})"
+
+
+def _try_cast(x: str, target: T.DataType | str) -> str:
+    return f"try_cast({x} AS {target if isinstance(target, str) else target.simpleString()})"
+
+
+def _say(text: str, got: str | None = None, tail: str = "") -> str:
     if got is None:
-        return F.lit(text)
-    return F.concat(F.lit(text), F.coalesce(got.cast("string"), F.lit("null")), F.lit(tail))
+        return literal(text)
+    return f"concat({literal(text)}, coalesce(CAST({got} AS STRING), 'null'), {literal(tail)})"
 
 
-def _other_kind(cell: Cell, expected: str, *views: str) -> tuple[Column, Column]:
+def _other_kind(cell: Cell, expected: str, *views: str) -> tuple[str, str]:
     """The case that the value is of none of the accepted kinds."""
-    outside = ~_any([cell.views[v][0] for v in views if v in cell.views])
-    return outside, _say(f"expected {expected}, got ", cell.kind)
+    accepted = _any([cell.views[v][0] for v in views if v in cell.views])
+    return f"NOT {accepted}", _say(f"expected {expected}, got ", cell.kind)
 
 
-def _not_finite(x: Column) -> Column:
-    return F.isnan(x) | (F.abs(x) == float("inf"))
+def _not_finite(x: str) -> str:
+    return f"(isnan({x}) OR abs({x}) = double('infinity'))"
 
 
-def _safe(x: Column) -> Column:
+def _safe(x: str) -> str:
     """Doubles that stand for one integer only; false for not-a-number."""
-    return F.abs(x) <= float(MAX_SAFE_INTEGER)
+    return f"(abs({x}) <= {MAX_SAFE_INTEGER}D)"
 
 
-def _in_range(cell: Cell, lo: int, hi: int, whole_numbers: bool) -> Column:
+def _in_range(cell: Cell, lo: int, hi: int, whole_numbers: bool) -> str:
     """Accepted numeric cells: integers, doubles and moments within ``lo..hi``.
 
     Bounds the value cannot leave anyway are not checked: those of the raw
@@ -85,21 +97,21 @@ def _in_range(cell: Cell, lo: int, hi: int, whole_numbers: bool) -> Column:
     accepted = []
     if "integer" in cell.views:
         condition, x = cell.views["integer"]
-        accepted.append(condition if cell.within(lo, hi) else condition & x.between(lo, hi))
+        accepted.append(condition if cell.within(lo, hi) else _all(condition, _between(x, lo, hi)))
     if "number" in cell.views:
         condition, x = cell.views["number"]
-        condition = condition & _safe(x)
+        checks = [condition, _safe(x)]
         if whole_numbers:
-            condition = condition & (F.rint(x) == x)
+            checks.append(f"rint({x}) = {x}")
         if not lo <= -MAX_SAFE_INTEGER:
-            condition = condition & (x >= float(lo))
+            checks.append(f"{x} >= {lo}D")
         if not hi >= MAX_SAFE_INTEGER:
-            condition = condition & (x <= float(hi))
-        accepted.append(condition)
+            checks.append(f"{x} <= {hi}D")
+        accepted.append(_all(*checks))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
         implied = lo <= -MILLIS_BOUND["timestamp_us"] - 1 and hi >= MILLIS_BOUND["timestamp_us"]
-        accepted.append(condition if implied else condition & F.unix_millis(x).between(lo, hi))
+        accepted.append(condition if implied else _all(condition, _between(f"unix_millis({x})", lo, hi)))
     return _any(accepted)
 
 
@@ -109,111 +121,97 @@ def _integer(cell: Cell, logical: str) -> Rule:
     values: Cases = []
     if "integer" in cell.views:
         condition, x = cell.views["integer"]
-        values.append((condition, x.try_cast(target)))
-        cases.append((condition & ~x.between(lo, hi), _say(f"expected integer in {lo}..={hi}, got ", x)))
+        values.append((condition, _try_cast(x, target)))
+        cases.append((_all(condition, f"NOT {_between(x, lo, hi)}"), _say(f"expected integer in {lo}..={hi}, got ", x)))
     if "number" in cell.views:
         condition, x = cell.views["number"]
-        values.append((condition, x.try_cast(target)))
-        cases.append(
-            (condition & (_not_finite(x) | (F.rint(x) != x)), _say(f"expected an integer in {lo}..={hi}, got ", x))
-        )
-        cases.append(
-            (
-                condition & ~_safe(x),
-                _say("number ", x, " is beyond the exact integer range of a double (2^53-1); pass an exact integer"),
-            )
-        )
-        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", x.try_cast("bigint"))))
+        values.append((condition, _try_cast(x, target)))
+        broken = f"({_not_finite(x)} OR rint({x}) <> {x})"
+        cases.append((_all(condition, broken), _say(f"expected an integer in {lo}..={hi}, got ", x)))
+        beyond = " is beyond the exact integer range of a double (2^53-1); pass an exact integer"
+        cases.append((_all(condition, f"NOT {_safe(x)}"), _say("number ", x, beyond)))
+        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", _try_cast(x, "bigint"))))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
-        values.append((condition, F.unix_millis(x).try_cast(target)))
-        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", F.unix_millis(x))))
-    value = _first(values, F.lit(None)).cast(target)
-    return Rule(value, _in_range(cell, lo, hi, whole_numbers=True), cases)
+        values.append((condition, _try_cast(f"unix_millis({x})", target)))
+        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", f"unix_millis({x})")))
+    return Rule(_cast(_first(values), target), _in_range(cell, lo, hi, whole_numbers=True), cases)
 
 
 def _float(cell: Cell, logical: str) -> Rule:
-    values: Cases = [cell.views[v] for v in ("number", "integer") if v in cell.views]
+    values: Cases = []
+    accepted = []
+    if "number" in cell.views:
+        values.append(cell.views["number"])
+        accepted.append(cell.views["number"][0])
+    if "integer" in cell.views:
+        condition, x = cell.views["integer"]
+        values.append((condition, f"CAST({x} AS DOUBLE)"))
+        accepted.append(condition if cell.within(_LO64, _HI64) else _all(condition, _between(x, _LO64, _HI64)))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
-        values.append((condition, F.unix_millis(x)))
-    accepted = []
-    for condition, x in values:
-        is_whole = "integer" in cell.views and x is cell.views["integer"][1]
-        bounded = not is_whole or cell.within(_LO64, _HI64)
-        accepted.append(condition if bounded else condition & x.between(_LO64, _HI64))
-    value = _first([(condition, x.cast("double")) for condition, x in values], F.lit(None))
-    return Rule(
-        value.cast(TYPES[logical][0]), _any(accepted), [_other_kind(cell, "a number", "number", "integer", "moment")]
-    )
+        values.append((condition, f"CAST(unix_millis({x}) AS DOUBLE)"))
+        accepted.append(condition)
+    refusal = _other_kind(cell, "a number", "number", "integer", "moment")
+    return Rule(_cast(_first(values), TYPES[logical][0]), _any(accepted), [refusal])
 
 
 def _single(cell: Cell, view: str, expected: str, target: T.DataType) -> Rule:
     held = [cell.views[view]] if view in cell.views else []
-    value = _first(held, F.lit(None)).cast(target)
+    value = _cast(_first(held), target)
     return Rule(value, _any([condition for condition, _ in held]), [_other_kind(cell, expected, view)])
 
 
-def _millis(cell: Cell) -> tuple[Column, Cases]:
+def _millis(cell: Cell) -> tuple[str, Cases]:
     """Exact milliseconds of a temporal cell, and the cases without any."""
     cases: Cases = [_other_kind(cell, "a number of milliseconds", "integer", "number", "moment")]
     values: Cases = []
     if "integer" in cell.views:
         condition, x = cell.views["integer"]
-        values.append((condition, x.try_cast("bigint")))
+        values.append((condition, _try_cast(x, "bigint")))
     if "number" in cell.views:
         condition, x = cell.views["number"]
-        values.append((condition, x.try_cast("bigint")))  # drops the fraction toward zero
-        cases.append((condition & _not_finite(x), _say("expected finite milliseconds, got ", x)))
-        cases.append(
-            (
-                condition & ~_safe(x),
-                _say(
-                    "millisecond magnitude ",
-                    x,
-                    " is beyond the exact integer range of a double (2^53-1); pass an exact integer",
-                ),
-            )
-        )
+        values.append((condition, _try_cast(x, "bigint")))  # drops the fraction toward zero
+        cases.append((_all(condition, _not_finite(x)), _say("expected finite milliseconds, got ", x)))
+        beyond = " is beyond the exact integer range of a double (2^53-1); pass an exact integer"
+        cases.append((_all(condition, f"NOT {_safe(x)}"), _say("millisecond magnitude ", x, beyond)))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
-        values.append((condition, F.unix_millis(x)))
-    return _first(values, F.lit(None)).cast("bigint"), cases
+        values.append((condition, f"unix_millis({x})"))
+    return _cast(_first(values), T.LongType()), cases
 
 
-def floor_div(x: Column, by: int) -> Column:
+def floor_div(x: str, by: int) -> str:
     """Integer division toward negative infinity, without overflow."""
-    step = F.lit(by).cast("bigint")
-    whole = F.call_function("div", x, step)
-    return whole - F.when((x < 0) & (x % step != 0), F.lit(1)).otherwise(F.lit(0))
+    return f"(({x} div {by}L) - CASE WHEN {x} < 0L AND {x} % {by}L <> 0L THEN 1L ELSE 0L END)"
 
 
 def _date(cell: Cell, logical: str) -> Rule:
     millis, cases = _millis(cell)
     days = floor_div(millis, MILLIS_PER_DAY)
-    cases.append((F.lit(True), _say("date out of range: ", days, " days")))
+    cases.append((TRUE, _say("date out of range: ", days, " days")))
     lo, hi = INT_BOUNDS["int32"][0] * MILLIS_PER_DAY, (INT_BOUNDS["int32"][1] + 1) * MILLIS_PER_DAY - 1
     accepted = _in_range(cell, lo, hi, whole_numbers=False)
-    return Rule(F.date_from_unix_date(days.try_cast("int")), accepted, cases)
+    return Rule(f"date_from_unix_date({_try_cast(days, 'int')})", accepted, cases)
 
 
 def _timestamp(cell: Cell, logical: str) -> Rule:
     millis, cases = _millis(cell)
     bound = MILLIS_BOUND[logical]
-    cases.append((F.lit(True), _say("timestamp ", millis, f" ms is out of range for a {logical} column")))
+    cases.append((TRUE, _say("timestamp ", millis, f" ms is out of range for a {logical} column")))
     accepted = _in_range(cell, -bound, bound, whole_numbers=False)
     if "moment" in cell.views and logical in ("timestamp_us", "timestamp_ns"):
         return Rule(cell.views["moment"][1], accepted, cases)  # a timestamp already: keep its microseconds
     if not cell.within(-bound, bound):
         # The one conversion without a try variant must not see what is refused.
-        millis = F.when(millis.between(-bound, bound), millis)
+        millis = f"CASE WHEN {_between(millis, -bound, bound)} THEN {millis} END"
     if logical == "timestamp_s":
-        return Rule(F.timestamp_seconds(floor_div(millis, 1000)), accepted, cases)
-    return Rule(F.timestamp_millis(millis), accepted, cases)
+        return Rule(f"timestamp_seconds({floor_div(millis, 1000)})", accepted, cases)
+    return Rule(f"timestamp_millis({millis})", accepted, cases)
 
 
 def _null_only(cell: Cell, logical: str) -> Rule:
-    return Rule(F.lit(None).cast("string"), F.lit(False), [(F.lit(True), _say("typed null column only accepts null"))])
+    return Rule("CAST(NULL AS STRING)", FALSE, [(TRUE, _say("typed null column only accepts null"))])
 
 
 _RULES: dict[str, Callable[[Cell, str], Rule]] = {
@@ -232,13 +230,13 @@ _RULES: dict[str, Callable[[Cell, str], Rule]] = {
 class Converted:
     """A typed column: its value where accepted, whether it is refused, and why."""
 
-    value: Column
-    refused: Column
-    reason: Column
+    value: str
+    refused: str
+    reason: str
 
 
 def convert(field: T.StructField, cell: Cell) -> Converted:
-    """``cell`` as the declared column ``field``."""
+    """``cell`` as the declared column ``field``, in SQL text."""
     logical = logical_of(field)
     if logical not in _RULES:
         raise fault(
@@ -247,15 +245,16 @@ def convert(field: T.StructField, cell: Cell) -> Converted:
             "use the Arrow input",
         )
     rule = _RULES[logical](cell, logical)
-    refused = cell.present & ~F.coalesce(rule.accepted, F.lit(False))
+    refused = f"({cell.present} AND NOT coalesce({rule.accepted}, false))"
     cases = list(rule.cases)
-    cases.insert(0, (cell.kind == "object", _say("unsupported row value type: ", cell.kind)))
+    cases.insert(0, (f"{cell.kind} = 'object'", _say("unsupported row value type: ", cell.kind)))
     if "integer" in cell.views and not cell.within(_LO64, _HI64):
         condition, x = cell.views["integer"]
-        too_wide = condition & ~x.between(_LO64, _HI64)
+        too_wide = _all(condition, f"NOT {_between(x, _LO64, _HI64)}")
         cases.insert(0, (too_wide, _say("integer exceeds the 64-bit signed range: ", x)))
     if not field.nullable:
-        refused = ~cell.present | refused
-        cases.insert(0, (~cell.present, _say("null in non-nullable column")))
-    reason = F.concat(F.lit(f"column '{field.name}': "), _first(cases, F.lit("not convertible")))
+        refused = f"(NOT {cell.present} OR {refused})"
+        cases.insert(0, (f"NOT {cell.present}", _say("null in non-nullable column")))
+    label = literal(f"column '{field.name}': ")
+    reason = f"concat({label}, {_first(cases, literal('not convertible'))})"
     return Converted(rule.value, refused, reason)

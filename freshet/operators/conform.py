@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.errors import BAD_VALUE, marked
-from freshet.functions.cells import cell_of, open_variants
+from freshet.functions.cells import NOTHING, cell_of, literal, open_variants, quoted
 from freshet.functions.convert import Converted, convert
 from freshet.session import tune
 
@@ -31,53 +30,54 @@ class Conformed:
     row_id: str | None = None
 
     @property
-    def refused(self) -> Column:
+    def refused(self) -> str:
         """Whether any column refuses the row."""
-        return reduce(Column.__or__, [done.refused for done in self.typed.values()])
+        return "(" + " OR ".join(done.refused for done in self.typed.values()) + ")"
 
     @property
-    def reject(self) -> Column:
+    def reject(self) -> str:
         """The first refusing column with its code and reason, or null."""
-        chain = F
-        for name, done in self.typed.items():
-            chain = chain.when(
-                done.refused,
-                F.struct(
-                    F.lit(name).alias("column"), F.lit(BAD_VALUE).alias("code"), self._located(done).alias("reason")
-                ),
-            )
-        return chain
-
-    def _located(self, done: Converted) -> Column:
+        cases = [
+            f"WHEN {done.refused} THEN "
+            f"named_struct('column', {literal(name)}, 'code', {BAD_VALUE}, 'reason', {self._located(done)})"
+            for name, done in self.typed.items()
+        ]
+        return f"CASE {' '.join(cases)} END"
+
+    def _located(self, done: Converted) -> str:
         if not self.row_id:
             return done.reason
-        return F.concat(done.reason, F.lit(" (row "), F.col(self.row_id).cast("string"), F.lit(")"))
+        return f"concat({done.reason}, ' (row ', CAST({quoted(self.row_id)} AS STRING), ')')"
 
-    def _values(self) -> list[Column]:
-        return [done.value.alias(name) for name, done in self.typed.items()]
+    def _values(self) -> list[str]:
+        return [f"{done.value} AS {quoted(name)}" for name, done in self.typed.items()]
 
     @property
     def accepted(self) -> DataFrame:
         """Rows every column accepted, in the declared schema."""
-        return self.raw.where(~self.refused).select(*self._values())
+        return self.raw.where(f"NOT {self.refused}").selectExpr(*self._values())
 
     @property
     def rejected(self) -> DataFrame:
         """Raw rows with the first column that refused them, code and reason."""
-        reject = self.raw.where(self.refused).withColumn(REJECT, self.reject)
-        return reject.select(
-            *[F.col(f"`{c}`") for c in self.raw.columns],
-            F.col(f"{REJECT}.column").alias("reject_column"),
-            F.col(f"{REJECT}.code").alias("reject_code"),
-            F.col(f"{REJECT}.reason").alias("reject_reason"),
+        columns = [quoted(c) for c in self.raw.columns]
+        refused = self.raw.where(self.refused).selectExpr(*columns, f"{self.reject} AS {REJECT}")
+        return refused.selectExpr(
+            *columns,
+            f"{REJECT}.column AS reject_column",
+            f"{REJECT}.code AS reject_code",
+            f"{REJECT}.reason AS reject_reason",
         )
 
     @property
     def tagged(self) -> DataFrame:
         """All rows: the raw row, the typed columns (null where refused), the reject or null."""
-        raw_row = F.struct(*[F.col(f"`{c}`") for c in self.raw.columns]).alias(RAW)
-        values = [F.when(~done.refused, done.value).alias(name) for name, done in self.typed.items()]
-        return self.raw.select(raw_row, *values, self.reject.alias(REJECT))
+        raw_row = f"struct({', '.join(quoted(c) for c in self.raw.columns)}) AS {RAW}"
+        values = [
+            f"CASE WHEN NOT {done.refused} THEN {done.value} END AS {quoted(name)}"
+            for name, done in self.typed.items()
+        ]
+        return self.raw.selectExpr(raw_row, *values, f"{self.reject} AS {REJECT}")
 
     @property
     def strict(self) -> DataFrame:
@@ -86,9 +86,9 @@ class Conformed:
         Written with a committer that publishes at job end, the write stores
         every row or none, and the data is read once.
         """
-        failure = F.raise_error(F.concat(F.lit(marked(BAD_VALUE, "")), self.reject["reason"]))
-        checked = F.when(self.refused, failure.cast("boolean")).otherwise(F.lit(True))
-        return self.raw.where(checked).select(*self._values())
+        failure = f"raise_error(concat({literal(marked(BAD_VALUE, ''))}, ({self.reject}).reason))"
+        checked = f"CASE WHEN {self.refused} THEN CAST({failure} AS BOOLEAN) ELSE true END"
+        return self.raw.where(checked).selectExpr(*self._values())
 
 
 def conform(raw: DataFrame, schema: T.StructType, row_id: str | None = None) -> Conformed:
@@ -100,15 +100,8 @@ def conform(raw: DataFrame, schema: T.StructType, row_id: str | None = None) ->
     """
     tune(raw.sparkSession)
     opened = open_variants(raw)
-    kinds = {f.name: f.dataType for f in opened.schema.fields}
-    typed = {}
-    for field in schema.fields:
-        if field.name in kinds:
-            cell = cell_of(F.col(f"`{field.name}`"), kinds[field.name])
-        else:
-            cell = cell_of(F.lit(None), T.NullType())
-        typed[field.name] = convert(field, cell)
-    return Conformed(opened, typed, row_id)
+    cells = {f.name: cell_of(f) for f in opened.schema.fields}
+    return Conformed(opened, {f.name: convert(f, cells.get(f.name, NOTHING)) for f in schema.fields}, row_id)
 
 
 def reject_summary(result: Conformed) -> DataFrame:

@@ -201,8 +201,8 @@ def conform_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_id, k, event_id % 3 AS shape, CASE event_id % 3 "
     "WHEN 1 THEN 'column ''k'': expected a number, got string' "
     "WHEN 2 THEN 'column ''k'': unsupported row value type: object' END AS reject_reason "
-    "FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k "
-    "FROM events)",
+    "FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END "
+    "AS k FROM events)",
 )
 def conform_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row objects whose ``k`` is a number, a string or an object by turns."""

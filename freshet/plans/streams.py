@@ -81,8 +81,8 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         "suppliers",
         [source(spark, sf_dir, "lineitem")],
-        "SELECT l_suppkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) "
-        "AS avg_quantity FROM lineitem GROUP BY l_suppkey",
+        "SELECT l_suppkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) "
+        "/ count(l_quantity) AS avg_quantity FROM lineitem GROUP BY l_suppkey",
         emit=CHANGES,
     )
     return latest(done.feed.read(), ["l_suppkey"])

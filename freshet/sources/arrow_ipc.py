@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -12,6 +14,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from freshet.errors import BAD_VALUE, SCHEMA_MISMATCH, fault, from_task, marked
 from freshet.functions.logical import arrow_type
 
+# The functions below travel to the executors whole, so that these need not have
+# this package installed. They use nothing of it but this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PAYLOAD = "part int, rows bigint, ipc binary"
 MAX_PAYLOAD_BYTES = 64 * 1024 * 1024
 
@@ -38,8 +44,6 @@ def to_ipc(df: DataFrame, max_bytes: int = MAX_PAYLOAD_BYTES) -> DataFrame:
     schema = pa.schema([pa.field("part", pa.int32()), pa.field("rows", pa.int64()), pa.field("ipc", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         part = TaskContext.get().partitionId()
         for batch in batches:
             for rows, payload in _payloads(batch, max_bytes):
@@ -105,6 +109,7 @@ def from_ipc(payloads: DataFrame, schema: T.StructType, column: str = "ipc") ->
     or garbage fails the job, and with it the whole write that reads from it.
     """
     expected, target = _expected(schema), _stored(schema)
+    mismatched, invalid = marked(SCHEMA_MISMATCH, ""), marked(BAD_VALUE, "invalid Arrow IPC data: ")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,11 +118,11 @@ def from_ipc(payloads: DataFrame, schema: T.StructType, column: str = "ipc") ->
                     reader = pa.ipc.open_stream(value.as_buffer())
                     wrong = mismatch(expected, reader.schema)
                     if wrong:
-                        raise ValueError(marked(SCHEMA_MISMATCH, wrong))
+                        raise ValueError(mismatched + wrong)
                     for inner in reader:
                         yield _store(inner, target)
                 except (pa.ArrowInvalid, OSError, EOFError) as error:
-                    raise ValueError(marked(BAD_VALUE, f"invalid Arrow IPC data: {error}")) from error
+                    raise ValueError(f"{invalid}{error}") from error
 
     return payloads.select(column).mapInArrow(
         decode, T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
