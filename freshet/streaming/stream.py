@@ -50,7 +50,9 @@ class Stream:
     batch after a failure writes the same commit and nothing twice.
 
     ``emit`` left open takes window-close emission where the query allows it
-    and emission of changes elsewhere.
+    and emission of changes elsewhere. A query with state writes a file per
+    state partition and epoch; where its epochs are small and its state is
+    wide, ``feed_files`` shuffles the output of an epoch into that many.
     """
 
     def __init__(
@@ -64,6 +66,7 @@ class Stream:
         state_partitions: int | None = None,
         max_files: int | None = None,
         feed_time: str | None = None,
+        feed_files: int | None = None,
         checkpoint_path: str | None = None,
     ):
         self._spark = spark
@@ -75,6 +78,7 @@ class Stream:
         self.emit = emit
         self.sql = query if isinstance(query, str) else None
         self._feed_time = feed_time
+        self._feed_files = feed_files
         self._checkpoint_path = checkpoint_path or f"{path}/checkpoint"
         inputs = {s.name: s.stream(self._session, max_files) for s in sources}
         if isinstance(query, str):
@@ -114,6 +118,8 @@ class Stream:
 
     def _write(self, batch: DataFrame, epoch: int) -> None:
         time_column = F.col(self._feed_time) if self._feed_time else None
+        if self._feed_files:
+            batch = batch.repartition(self._feed_files)
         self.feed.commit(batch, epoch, time_column)
         if self._query is not None and epoch % _SAVE_PROGRESS_EVERY == 0:
             self._record(self._query)

@@ -382,3 +382,14 @@ def test_push_open_failure_is_reported(filled):
     )
     push.close()
     assert [e.code for e in errors] == [502] and closed == [1]
+
+
+def test_feed_of_a_stateful_stream_has_few_files(make, spark):
+    source = make.source()
+    stream = make.stream([source], ROLLUP, state_partitions=6, feed_files=1)
+    for value in range(3):
+        source.insert([{"device": f"d{i}", "value": value} for i in range(30)])
+        stream.run_available()
+    files = [f.split("/")[-2] for f in stream.feed.read(after=1).inputFiles()]
+    assert files == ["epoch=2"]
+    assert stream.feed.read(after=1).count() == 30
