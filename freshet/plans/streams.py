@@ -9,7 +9,7 @@ from freshet.operators.lateness import epoch_watermarks, late_counts, split_late
 from freshet.operators.metrics import pipeline_watermark, source_watermark
 from freshet.plans.registry import plan
 from freshet.plans.tables import ARRIVALS_SQL, quarter_of_files, replay, run_stream, source, table, utc
-from freshet.session import fresh_path
+from freshet.session import fresh_path, state_width
 from freshet.streaming.feed import latest
 from freshet.streaming.stream import CHANGES, EPOCH, ON_CLOSE, Stream
 from freshet.streaming.view import MaterializedView
@@ -131,7 +131,8 @@ def heartbeat_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = source(
         spark, sf_dir, "events", watermark_column="ts", delay="1 hour", heartbeat_path=f"{path}/heartbeats"
     )
-    stream = Stream(spark, "closed", path, [events], _DAILY, emit=ON_CLOSE)
+    width = state_width(spark, events.path)
+    stream = Stream(spark, "closed", path, [events], _DAILY, emit=ON_CLOSE, state_partitions=width)
     stream.run_available()
     newest = events.bounded().agg(F.unix_millis(F.max("ts")).alias("ms")).first()["ms"]
     events.heartbeat(newest + 2 * 86400000)

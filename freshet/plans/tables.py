@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.functions.logical import parse_columns
-from freshet.session import fresh_path
+from freshet.session import fresh_path, state_width
 from freshet.sources.source import Source, StoredSource
 from freshet.streaming.stream import CHANGES, Stream
 
@@ -79,6 +79,7 @@ class Replay:
             "SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_v, "
             "count(*) AS n FROM events GROUP BY event_type",
             CHANGES,
+            state_partitions=state_width(spark, f"{sf_dir}/events.parquet"),
         )
         with ThreadPoolExecutor(2) as pool:
             for k in range(ARRIVAL_EPOCHS):
@@ -104,7 +105,8 @@ def replay(spark: SparkSession, sf_dir: str) -> Replay:
 
 def run_stream(spark: SparkSession, name: str, sources: list[Source], query, **options) -> Stream:
     """Run a stream over everything its sources hold and return it."""
-    stream = Stream(spark, name, fresh_path(spark, name), sources, query, **options)
+    width = state_width(spark, *[s.path for s in sources])
+    stream = Stream(spark, name, fresh_path(spark, name), sources, query, state_partitions=width, **options)
     stream.run_available()
     return stream
 

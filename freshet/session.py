@@ -27,6 +27,9 @@ _INHERITED = (
 # generated method that stays interpreted; wide schemas get there quickly.
 _METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
+_BYTES_PER_STATE_PARTITION = 64 * 1024 * 1024
+_LEAST_STATE_PARTITIONS = 4
+
 _roots: dict[str, str] = {}
 
 
@@ -98,6 +101,18 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return own
 
 
+def state_width(spark: SparkSession, *paths: str) -> int:
+    """Shuffle partitions for the state of a stream over these files.
+
+    One per 64 MB of input, at least four and at most what the session is
+    configured for, so that small input does not pay for the full width in
+    every micro-batch.
+    """
+    storage = Storage(spark)
+    wanted = sum(storage.size(path) for path in paths) // _BYTES_PER_STATE_PARTITION
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(_LEAST_STATE_PARTITIONS, wanted))
+
+
 class Storage:
     """Folder and marker-file calls on whatever Hadoop file system holds a path."""
 
@@ -125,6 +140,11 @@ class Storage:
         fs, target = self._at(path)
         fs.delete(target, True)
 
+    def size(self, path: str) -> int:
+        """Bytes of a file or of everything below a folder."""
+        fs, target = self._at(path)
+        return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
     def names(self, path: str) -> list[str]:
         fs, target = self._at(path)
         if not fs.exists(target):

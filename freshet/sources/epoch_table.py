@@ -78,19 +78,34 @@ class EpochTable:
             if typed is not None:
                 raise typed from error
             raise
+        entry = self._log_entry(number, seen.get["rows"], seen.get["late_rows"], seen.get["newest"])
+        if number % FOLD_EVERY == FOLD_EVERY - 1:
+            self.fold_log()
+        return entry
+
+    def _log_entry(self, number: int, rows: int, late_rows: int | None, newest_us: int | None) -> dict:
         entry = {
             self.key: number,
-            "rows": seen.get["rows"],
-            "late_rows": seen.get["late_rows"],
-            "max_event_us": seen.get["newest"],
+            "rows": rows,
+            "late_rows": late_rows,
+            "max_event_us": newest_us,
             "committed_ms": int(time.time() * 1000),
         }
         self._storage.write_text(f"{self.log_path}/{number}.json", json.dumps(entry))
         self._known_last = max(number, -1 if self._known_last is None else self._known_last)
-        if number % FOLD_EVERY == FOLD_EVERY - 1:
-            self.fold_log()
         return entry
 
+    def adopt(self, number: int, event_time: Column | None = None) -> bool:
+        """Log rows whose writer finished them but died before their log entry."""
+        folder = f"{self.data_path}/{self.key}={number}"
+        if self.has(number) or not self._storage.exists(f"{folder}/_SUCCESS"):
+            return False
+        newest = F.unix_micros(F.max(event_time)) if event_time is not None else F.lit(None).cast("bigint")
+        rows = self._spark.read.schema(self.stored_schema).option("basePath", self.data_path).parquet(folder)
+        found = rows.agg(F.count(F.lit(1)).alias("rows"), newest.alias("newest")).first()
+        self._log_entry(number, found["rows"], None, found["newest"])
+        return True
+
     def fold_log(self) -> None:
         """Gather the log entries so far in one file, to keep listings short.
 

@@ -144,6 +144,7 @@ class StoredSource(Source):
         super().__init__(spark, name, schema, f"{path}/data", watermark_column, delay, beats)
         self.table = EpochTable(spark, path, schema, APPEND_ID)
         self._newest_us: int | None = None
+        self._recovered = False
 
     def bounded(self, upto: int | None = None) -> DataFrame:
         """The rows accepted so far, or up to one append."""
@@ -174,16 +175,29 @@ class StoredSource(Source):
     # -- writing ---------------------------------------------------------
 
     def _next(self) -> int:
+        """The number of the next append.
+
+        Streams read the rows as files and do not wait for the log, so rows a
+        dead writer had finished may be in a stream already. They are taken
+        into the log rather than replaced, to keep both readings the same.
+        """
         last = self.table.last()
-        return 0 if last is None else last + 1
+        number = 0 if last is None else last + 1
+        event_time = F.col(self.watermark_column) if self.watermark_column else None
+        if not self._recovered and self.table.adopt(number, event_time):
+            self._newest_us = None
+            number += 1
+        self._recovered = True
+        return number
 
     def _commit(self, df: DataFrame) -> int:
         if self.watermark_column is None:
             return self.table.commit(df, self._next())["rows"]
+        number = self._next()
         time, newest, late = F.col(self.watermark_column), self._newest_event(), None
         if newest is not None:
             late = time < F.timestamp_micros(F.lit(newest)) - F.expr(f"INTERVAL {self.delay}")
-        entry = self.table.commit(df, self._next(), time, late)
+        entry = self.table.commit(df, number, time, late)
         seen = [us for us in (newest, entry["max_event_us"]) if us is not None]
         self._newest_us = max(seen, default=None)
         return entry["rows"]

@@ -60,14 +60,28 @@ def test_insert_is_all_or_nothing(sensors):
     assert sensors.insert([{"value": 1.0}]) == 1
 
 
-def test_rows_without_a_log_entry_are_invisible(sensors):
+def test_rows_without_a_log_entry_are_invisible(spark, sensors):
     sensors.insert([{"device": "a"}])
-    # A writer that died after writing rows and before its log entry.
+    # A writer that died while writing: no success marker, no log entry.
     sensors.bounded().write.parquet(f"{sensors.path}/append_id=1")
+    sensors._storage.delete(f"{sensors.path}/append_id=1/_SUCCESS")
     assert sensors.bounded().count() == 1
     # The next append takes the same number and replaces the leftover.
-    assert sensors.insert([{"device": "b"}, {"device": "c"}]) == 2
-    assert sorted(r["device"] for r in sensors.bounded().collect()) == ["a", "b", "c"]
+    again = StoredSource(spark, "sensors", sensors.schema, sensors.table.path, "ts", "10 seconds")
+    assert again.insert([{"device": "b"}, {"device": "c"}]) == 2
+    assert sorted(r["device"] for r in again.bounded().collect()) == ["a", "b", "c"]
+
+
+def test_finished_rows_without_a_log_entry_are_adopted(spark, sensors):
+    sensors.insert([{"ts": 1000, "device": "a"}])
+    # A writer that died between its rows and its log entry: streams saw the rows.
+    sensors.bounded().withColumn("ts", F.timestamp_seconds(F.lit(50))).write.parquet(f"{sensors.path}/append_id=1")
+    assert sensors.bounded().count() == 1
+    again = StoredSource(spark, "sensors", sensors.schema, sensors.table.path, "ts", "10 seconds")
+    assert again.insert([{"ts": 39_999, "device": "late"}]) == 1
+    assert again.bounded().count() == 3
+    log = {r["append_id"]: (r["rows"], r["late_rows"], r["max_event_us"]) for r in again.table.log().collect()}
+    assert log == {0: (1, None, 1_000_000), 1: (1, None, 50_000_000), 2: (1, 1, 39_999_000)}
 
 
 def test_committing_again_changes_nothing(spark, sensors):
