@@ -58,3 +58,18 @@ def test_plans_read_only_what_they_need(spark, name):
         assert "GreaterThan(value,50.0)" in text
     if name == "late_split":
         assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_hot_keys_are_aggregated_before_the_shuffle(spark):
+    """A key with most rows sends one row per task: partial aggregates sit below the exchange."""
+    for name in ("bounded_avg", "stream_running_count", "feed_data", "late_counts", "conform_summary"):
+        text = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        exchange = text.index("Exchange hashpartitioning")
+        assert "partial_" in text[exchange:], name
+        assert "SortAggregate" not in text and "CartesianProduct" not in text, name
+
+
+def test_small_tables_meet_without_cross_joins(spark):
+    for name in ("late_split", "feed_lag", "pipeline_metrics", "pipeline_watermark", "source_metrics"):
+        text = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name

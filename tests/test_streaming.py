@@ -393,3 +393,22 @@ def test_feed_of_a_stateful_stream_has_few_files(make, spark):
     files = [f.split("/")[-2] for f in stream.feed.read(after=1).inputFiles()]
     assert files == ["epoch=2"]
     assert stream.feed.read(after=1).count() == 30
+
+
+def test_one_key_with_a_third_of_the_rows(make, spark):
+    """Running and latest counts stay exact when one key dominates."""
+    source = make.source()
+    stream = make.stream([source], "SELECT device, count(*) AS n, sum(value) AS total FROM sensors GROUP BY device")
+    rows = spark.range(30_000).select(
+        F.lit(None).cast("timestamp").alias("ts"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("d"), F.col("id") % 500)).alias("device"),
+        F.lit(1.0).alias("value"),
+    )
+    for _ in range(2):
+        source.append(rows)
+        stream.run_available()
+    newest = latest(stream.feed.read(), ["device"])
+    assert newest.where("device = 'hot'").first()["n"] == 20_000
+    assert newest.agg(F.sum("n")).first()[0] == 60_000
+    want = source.bounded().groupBy("device").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    assert newest.exceptAll(want).count() == 0 and want.exceptAll(newest).count() == 0
