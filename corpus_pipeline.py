@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from freshet.llm import quality, simhash
+from freshet.llm import mixing, packing, pii, quality, simhash
 from freshet.llm.common import read, written
+from freshet.llm.queries import tokenizer
 
 # Near duplicates: five words, similarity 0.8. The angle between two
 # fingerprints of 256 bits is arccos(2s / (1 + s)) for sets of similarity s
@@ -29,9 +29,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.representatives(docs, **NEAR)
 
 
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked in their texts."""
+    return pii.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences."""
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality rules", keep_good),
     ("near duplicates", drop_near_copies),
+    ("personal data", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 # Digests of texts, sampled bit positions and tokenizers are beyond SQL.

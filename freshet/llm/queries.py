@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import quality, simhash
+from freshet.llm import chat, mixing, neighbours, packing, pii, quality, sharding, simhash
 from freshet.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,134 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.concat(*[F.hex(F.substring("fp", k, 1)) for k in range(8, 0, -1)])).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op10_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and places of personal data in every document."""
+    found = pii.find(read(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind) for kind in pii.BASE],
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query(
+    "op4_mixing",
+    r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 15))::BIGINT AS place
+           FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS total, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+      FROM d GROUP BY source),
+o AS (SELECT *, 3.0::DOUBLE * total / weight AS stop FROM s),
+l AS (SELECT *, ((SELECT sum(total) FROM s) - 3 * coalesce(sum(total) OVER (ORDER BY stop, source NULLS LAST
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+                / (sum(weight) OVER (ORDER BY stop, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+      FROM o),
+t AS (SELECT source, total, least(weight::DOUBLE * (SELECT arg_min(level, stop) FROM l WHERE stop >= level), 3.0::DOUBLE * total) AS target FROM l),
+b AS (SELECT *, CASE WHEN total > 0 THEN floor(target / total) ELSE 0 END AS rounds FROM t),
+c AS (SELECT d.doc_id, d.size, b.total, b.target, b.rounds, b.target - b.rounds * b.total AS lacks,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place) AS upto,
+             sum(d.size) OVER (PARTITION BY d.source, d.place) AS same
+      FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, total AS source_size, target,
+       (size * (rounds + CASE WHEN upto <= lacks OR upto - same <= lacks AND upto - lacks < lacks - (upto - same)
+                              THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c""",
+)
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    found = mixing.taken(read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op5_packing")
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+_FORMS = r"<\\*/?s>|\[\\*/?INST\]"
+_PLANTED = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op1_chat_formatting",
+    rf"""
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, k, CASE WHEN k = 0 THEN 'user' ELSE 'assistant' END, '{_PLANTED}' FROM range(2) r(k)),
+f AS (SELECT *, length(role) + length(text) + length('<s>[INST][/INST]</s>')
+                + len(regexp_extract_all(role, '{_FORMS}')) + len(regexp_extract_all(text, '{_FORMS}')) AS chars FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id""",
+)
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted and read back."""
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(_PLANTED).alias("text"),
+    )
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    told = chat.formatted(turns).select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"))
+
+    def digest(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    def line(turn):
+        return F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))
+
+    loss = F.transform(F.filter("turns", lambda t: t["role"] == chat.LOSS_ROLE), lambda t: t["text"])
+    told = told.withColumn("loss", F.array_join(loss, ""))
+    return told.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        digest(F.array_join(F.transform("turns", line), "")).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        digest(F.col("loss")).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("op6_sharding")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of eight of nearly equal bytes."""
+    found = sharding.shard(read(spark, sf_dir, "documents"), shards=8)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query("op7_neighbours")
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    found = neighbours.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
