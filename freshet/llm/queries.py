@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import chat, mixing, neighbours, packing, pii, quality, sharding, simhash
-from freshet.llm.common import read
+from freshet.llm import chat, katz, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
+from freshet.llm.common import in_share, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -206,3 +206,32 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     found = neighbours.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op2_toxicity")
+def toxic_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels outside one share of ids."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    found = toxicity.score(docs, labels, ~in_share(F.col("id"), 4, 2))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        in_share(F.col("id"), 4, 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op3_katz")
+def text_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document, by a model of the documents outside one share of ids."""
+    learned = ~in_share(F.col("doc_id"), 7, 2)
+    found, unigrams = katz.score(read(spark, sf_dir, "documents"), learned)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(unigrams.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
