@@ -16,6 +16,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,8 +31,8 @@ END = (0).to_bytes(4, "little")
 # A bin with no more room than this is done.
 SLACK = 16
 RUN = 100_000
-# Words whose ids a worker remembers, and the bytes of a word it may remember.
-CACHED, CACHED_BYTES = 200_000, 64
+# Parts whose ids a worker remembers, and the bytes of a part it may remember.
+CACHED, CACHED_BYTES = 300_000, 64
 # A round that saves a smaller share of its bins is the last.
 LEAST_SAVING = 0.02
 
@@ -39,38 +40,66 @@ _PIECE = "struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>"
 _BINS = f"used int, pieces array<{_PIECE}>"
 
 
-class Ids:
-    """Token ids of texts as bytes, four little-endian ones for each.
+# How the tokenizer cuts a lower-case text, for the plain characters below.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary.
+
+    Bytes that print as one visible character are that character, the others
+    the characters from 256 on, in order.
+    """
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class Ids(dict):
+    """Token ids of parts of texts as bytes, four little-endian ones for each.
 
     The tokenizer splits at white space before anything else, so a text's ids
-    are those of its parts between ASCII white space. Ids of short parts are
-    remembered; the memory is emptied when full.
+    are those of its parts between ASCII white space. Parts of plain characters
+    are cut and given to the tokenizer's model as its own steps would; all
+    others go through the whole tokenizer. Short parts are remembered, and
+    forgotten together when there are too many.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
-
-    def _fresh(self, parts: list[bytes]) -> None:
-        encoded = self._tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False)
-        for part, one in zip(parts, encoded, strict=True):
-            self._known[part] = b"".join(i.to_bytes(4, "little") for i in one.ids)
+        self._model = self._tokenizer.model
+        self._letters = byte_letters()
+        self._words: dict[str, bytes] = {}
+        self._four = [k.to_bytes(4, "little") for k in range(self._tokenizer.get_vocab_size())]
+
+    def _word(self, word: str) -> bytes:
+        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
+        four = self._four
+        found = b"".join([four[t.id] for t in self._model.tokenize(spelt)])
+        if len(word) <= CACHED_BYTES:
+            self._words[word] = found
+        return found
+
+    def __missing__(self, part: bytes) -> bytes:
+        text = part.decode()
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            words = self._words
+            found = b"".join([words.get(w) or self._word(w) for w in _CUT.findall(text.lower())])
+        else:
+            found = b"".join([self._four[k] for k in self._tokenizer.encode(text, add_special_tokens=False).ids])
+        if len(part) <= CACHED_BYTES:
+            self[part] = found
+        return found
 
     def of(self, text: bytes | None) -> bytes:
-        parts = (text or b"").split()
-        known = self._known
-        if len(known) > CACHED:
-            known.clear()
-        missing = [p for p in set(parts) if p not in known]
-        if missing:
-            self._fresh(missing)
-        out = b"".join([known[p] for p in parts])
-        for part in missing:
-            if len(part) > CACHED_BYTES:
-                del known[part]
-        return out
+        for known in (self, self._words):
+            if len(known) > CACHED:
+                known.clear()
+        return b"".join(map(self.__getitem__, (text or b"").split()))
 
 
 _ids: dict[str, Ids] = {}

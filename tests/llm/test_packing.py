@@ -53,6 +53,17 @@ def test_pieces_are_those_of_the_tokenizer(spark):
     assert used <= -(-total // packing.TOKENS) + 1
 
 
+def test_every_plain_character_is_cut_as_the_tokenizer_does():
+    encode, ids = Tokenizer.from_file(PATH), packing.Ids(PATH)
+    plain = [chr(c) for c in range(0x21, 0x250)]
+    parts = [f"a{c}" for c in plain] + [f"{c}9{c}s'{c}" for c in plain] + [f"Don't{c}WE'LL''s" for c in plain]
+    draw = random.Random(1)
+    parts += ["".join(draw.choices([*"abcXYZ019'-_.,<|>!", "é", "ß", "Ñ", "Ä", "l", "s", "¿", "ª", "µ"], k=draw.randint(1, 12))) for _ in range(5000)]
+    for part in parts:
+        want = encode.encode(part, add_special_tokens=False).ids
+        assert ids[part.encode()] == struct.pack(f"<{len(want)}I", *want), part
+
+
 @pytest.mark.parametrize("run", [100_000, 60])
 def test_rounds_of_the_tree_lose_nothing(spark, monkeypatch, run):
     monkeypatch.setattr(packing, "RUN", run)
