@@ -36,11 +36,10 @@ BATCH = {
     "arrow_roundtrip": "events",
     "feed_replay": "events",
     "feed_filter": "events",
-    "stream_running_avg": "events",
     "late_split": "events",
     "late_counts": "events",
     "pipeline_watermark": "lineitem",
-    "source_metrics": "events",
+
 }
 STREAMS = {
     "stream_map": "events",

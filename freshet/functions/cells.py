@@ -25,6 +25,7 @@ MIXED = T.StructType(
         T.StructField("number", T.DoubleType()),
         T.StructField("text", T.StringType()),
         T.StructField("flag", T.BooleanType()),
+        T.StructField("moment", T.TimestampType()),
     ]
 )
 
@@ -55,6 +56,8 @@ class Cell:
     kind: str
     views: dict[str, tuple[str, str]]
     bounds: tuple[int, int] | None = None
+    # The text of an integer that no view can hold (kind ``huge``).
+    digits: str | None = None
 
     def within(self, lo: int, hi: int) -> bool:
         """True when every integer of the raw type lies in ``lo..hi``."""
@@ -73,7 +76,7 @@ def cell_of(field: T.StructField) -> Cell:
     raw, kind = quoted(field.name), field.dataType
     if kind.simpleString() == MIXED.simpleString():
         views = {v: (f"{raw}.kind = '{_KIND_OF_VIEW[v]}'", f"{raw}.{v}") for v in MIXED.names[1:]}
-        return Cell(f"({raw} IS NOT NULL AND {raw}.kind <> 'null')", f"{raw}.kind", views)
+        return Cell(f"({raw} IS NOT NULL AND {raw}.kind <> 'null')", f"{raw}.kind", views, digits=f"{raw}.text")
     if bits := _WHOLE.get(type(kind)):
         return _typed(raw, "integer", bounds=(-(1 << bits - 1), (1 << bits - 1) - 1))
     if isinstance(kind, T.DecimalType):
@@ -96,15 +99,20 @@ def cell_of(field: T.StructField) -> Cell:
 
 
 def open_variants(raw: DataFrame) -> DataFrame:
-    """Bring VARIANT columns into the mixed layout; other columns stay."""
-    if not any(isinstance(f.dataType, T.VariantType) for f in raw.schema.fields):
+    """Bring VARIANT columns into the mixed layout; other columns stay.
+
+    The kind of a value decides every branch, so it is found once, in a
+    projection of its own below.
+    """
+    variants = [f.name for f in raw.schema.fields if isinstance(f.dataType, T.VariantType)]
+    if not variants:
         return raw
-    return raw.selectExpr(
+    kinds = {name: quoted(f"_kind_{k}_{name}") for k, name in enumerate(variants)}
+    shaped = raw.selectExpr("*", *[f"{_variant_kind(quoted(name))} AS {kind}" for name, kind in kinds.items()])
+    return shaped.selectExpr(
         *[
-            f"{_mixed_from_variant(quoted(f.name))} AS {quoted(f.name)}"
-            if isinstance(f.dataType, T.VariantType)
-            else quoted(f.name)
-            for f in raw.schema.fields
+            f"{_mixed_from_variant(quoted(name), kinds[name])} AS {quoted(name)}" if name in kinds else quoted(name)
+            for name in raw.columns
         ]
     )
 
@@ -123,20 +131,24 @@ def _json_path(name: str) -> str:
     return "$['" + name.replace("'", "\\'") + "']"
 
 
-def _mixed_from_variant(value: str) -> str:
-    shape = f"schema_of_variant({value})"
-    whole = f"({shape} = 'BIGINT' OR {shape} RLIKE '^DECIMAL.[0-9]+,0.$')"
-    fraction = f"({shape} IN ('DOUBLE', 'FLOAT') OR {shape} LIKE 'DECIMAL%')"
+def _variant_kind(value: str) -> str:
+    """What a variant holds; its type is read once and bound to a name."""
+    known = (
+        "transform(array(schema_of_variant({0})), s -> CASE WHEN s IN ('BIGINT', 'DECIMAL') THEN 'bigint' "
+        "WHEN s IN ('DOUBLE', 'FLOAT') THEN 'number' WHEN s = 'STRING' THEN 'string' "
+        "WHEN s = 'BOOLEAN' THEN 'boolean' WHEN s = 'VOID' THEN 'null' "
+        "WHEN startswith(s, 'DECIMAL(') THEN CASE WHEN endswith(s, ',0)') THEN 'bigint' ELSE 'number' END "
+        "ELSE 'object' END)[0]"
+    )
+    return f"CASE WHEN {value} IS NULL THEN 'null' ELSE {known.format(value)} END"
 
-    text, flag = f"{shape} = 'STRING'", f"{shape} = 'BOOLEAN'"
 
-    def held(condition: str, kind: str) -> str:
-        return f"CASE WHEN {condition} THEN try_variant_get({value}, '$', '{kind}') END"
+def _mixed_from_variant(value: str, kind: str) -> str:
+    def held(view: str, target: str) -> str:
+        return f"CASE WHEN {kind} = '{_KIND_OF_VIEW[view]}' THEN try_variant_get({value}, '$', '{target}') END"
 
     return (
-        f"named_struct('kind', CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN 'null' "
-        f"WHEN {whole} THEN 'bigint' WHEN {fraction} THEN 'number' WHEN {text} THEN 'string' "
-        f"WHEN {flag} THEN 'boolean' ELSE 'object' END, "
-        f"'integer', {held(whole, 'decimal(38,0)')}, 'number', {held(fraction, 'double')}, "
-        f"'text', {held(text, 'string')}, 'flag', {held(flag, 'boolean')})"
+        f"named_struct('kind', {kind}, 'integer', {held('integer', 'decimal(38,0)')}, "
+        f"'number', {held('number', 'double')}, 'text', {held('text', 'string')}, "
+        f"'flag', {held('flag', 'boolean')}, 'moment', CAST(NULL AS TIMESTAMP))"
     )

@@ -27,6 +27,8 @@ from freshet.functions.logical import (
 
 Cases = list[tuple[str, str]]
 _LO64, _HI64, _ = INT_BOUNDS["int64"]
+# Doubles beyond 2^53-1 in size stand for more than one integer.
+_AMBIGUOUS = ", which as a double stands for several integers"
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,7 @@ def _say(text: str, got: str | None = None, tail: str = "") -> str:
 def _other_kind(cell: Cell, expected: str, *views: str) -> tuple[str, str]:
     """The case that the value is of none of the accepted kinds."""
     accepted = _any([cell.views[v][0] for v in views if v in cell.views])
-    return f"NOT {accepted}", _say(f"expected {expected}, got ", cell.kind)
+    return f"NOT {accepted}", _say(f"needs {expected}, found ", cell.kind)
 
 
 def _not_finite(x: str) -> str:
@@ -117,24 +119,24 @@ def _in_range(cell: Cell, lo: int, hi: int, whole_numbers: bool) -> str:
 
 def _integer(cell: Cell, logical: str) -> Rule:
     lo, hi, target = INT_BOUNDS[logical]
+    whole = f"needs a whole number from {lo} to {hi}, found "
     cases: Cases = [_other_kind(cell, "a number", "integer", "number", "moment")]
     values: Cases = []
     if "integer" in cell.views:
         condition, x = cell.views["integer"]
         values.append((condition, _try_cast(x, target)))
-        cases.append((_all(condition, f"NOT {_between(x, lo, hi)}"), _say(f"expected integer in {lo}..={hi}, got ", x)))
+        cases.append((_all(condition, f"NOT {_between(x, lo, hi)}"), _say(whole, x)))
     if "number" in cell.views:
         condition, x = cell.views["number"]
         values.append((condition, _try_cast(x, target)))
         broken = f"({_not_finite(x)} OR rint({x}) <> {x})"
-        cases.append((_all(condition, broken), _say(f"expected an integer in {lo}..={hi}, got ", x)))
-        beyond = " is beyond the exact integer range of a double (2^53-1); pass an exact integer"
-        cases.append((_all(condition, f"NOT {_safe(x)}"), _say("number ", x, beyond)))
-        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", _try_cast(x, "bigint"))))
+        cases.append((_all(condition, broken), _say(whole, x)))
+        cases.append((_all(condition, f"NOT {_safe(x)}"), _say("needs an integer type for ", x, _AMBIGUOUS)))
+        cases.append((condition, _say(whole, _try_cast(x, "bigint"))))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
         values.append((condition, _try_cast(f"unix_millis({x})", target)))
-        cases.append((condition, _say(f"expected integer in {lo}..={hi}, got ", f"unix_millis({x})")))
+        cases.append((condition, _say(whole, f"unix_millis({x})")))
     return Rule(_cast(_first(values), target), _in_range(cell, lo, hi, whole_numbers=True), cases)
 
 
@@ -172,9 +174,8 @@ def _millis(cell: Cell) -> tuple[str, Cases]:
     if "number" in cell.views:
         condition, x = cell.views["number"]
         values.append((condition, _try_cast(x, "bigint")))  # drops the fraction toward zero
-        cases.append((_all(condition, _not_finite(x)), _say("expected finite milliseconds, got ", x)))
-        beyond = " is beyond the exact integer range of a double (2^53-1); pass an exact integer"
-        cases.append((_all(condition, f"NOT {_safe(x)}"), _say("millisecond magnitude ", x, beyond)))
+        cases.append((_all(condition, _not_finite(x)), _say("needs a finite number of milliseconds, found ", x)))
+        cases.append((_all(condition, f"NOT {_safe(x)}"), _say("needs an integer type for ", x, _AMBIGUOUS)))
     if "moment" in cell.views:
         condition, x = cell.views["moment"]
         values.append((condition, f"unix_millis({x})"))
@@ -189,7 +190,7 @@ def floor_div(x: str, by: int) -> str:
 def _date(cell: Cell, logical: str) -> Rule:
     millis, cases = _millis(cell)
     days = floor_div(millis, MILLIS_PER_DAY)
-    cases.append((TRUE, _say("date out of range: ", days, " days")))
+    cases.append((TRUE, _say("needs a day that a date can hold, found day ", days)))
     lo, hi = INT_BOUNDS["int32"][0] * MILLIS_PER_DAY, (INT_BOUNDS["int32"][1] + 1) * MILLIS_PER_DAY - 1
     accepted = _in_range(cell, lo, hi, whole_numbers=False)
     return Rule(f"date_from_unix_date({_try_cast(days, 'int')})", accepted, cases)
@@ -198,20 +199,24 @@ def _date(cell: Cell, logical: str) -> Rule:
 def _timestamp(cell: Cell, logical: str) -> Rule:
     millis, cases = _millis(cell)
     bound = MILLIS_BOUND[logical]
-    cases.append((TRUE, _say("timestamp ", millis, f" ms is out of range for a {logical} column")))
+    cases.append((TRUE, _say(f"needs a time that {logical} can hold, found millisecond ", millis)))
     accepted = _in_range(cell, -bound, bound, whole_numbers=False)
-    if "moment" in cell.views and logical in ("timestamp_us", "timestamp_ns"):
-        return Rule(cell.views["moment"][1], accepted, cases)  # a timestamp already: keep its microseconds
+    moment, kept = cell.views.get("moment", (FALSE, "")), logical in ("timestamp_us", "timestamp_ns")
+    if kept and moment[0] == TRUE:
+        return Rule(moment[1], accepted, cases)  # a timestamp already: keep its microseconds
     if not cell.within(-bound, bound):
         # The one conversion without a try variant must not see what is refused.
         millis = f"CASE WHEN {_between(millis, -bound, bound)} THEN {millis} END"
     if logical == "timestamp_s":
         return Rule(f"timestamp_seconds({floor_div(millis, 1000)})", accepted, cases)
-    return Rule(f"timestamp_millis({millis})", accepted, cases)
+    value = f"timestamp_millis({millis})"
+    if kept and moment[0] != FALSE:
+        value = f"CASE WHEN {moment[0]} THEN {moment[1]} ELSE {value} END"
+    return Rule(value, accepted, cases)
 
 
 def _null_only(cell: Cell, logical: str) -> Rule:
-    return Rule("CAST(NULL AS STRING)", FALSE, [(TRUE, _say("typed null column only accepts null"))])
+    return Rule("CAST(NULL AS STRING)", FALSE, [(TRUE, _say("needs null, found a value"))])
 
 
 _RULES: dict[str, Callable[[Cell, str], Rule]] = {
@@ -241,20 +246,21 @@ def convert(field: T.StructField, cell: Cell) -> Converted:
     if logical not in _RULES:
         raise fault(
             UNSUPPORTED,
-            f"row ingestion does not support column '{field.name}' of type {field.dataType.simpleString()}; "
-            "use the Arrow input",
+            f"column '{field.name}': rows of values cannot fill {field.dataType.simpleString()}, Arrow batches can",
         )
     rule = _RULES[logical](cell, logical)
     refused = f"({cell.present} AND NOT coalesce({rule.accepted}, false))"
     cases = list(rule.cases)
-    cases.insert(0, (f"{cell.kind} = 'object'", _say("unsupported row value type: ", cell.kind)))
+    cases.insert(0, (f"{cell.kind} = 'object'", _say("needs a plain value, found ", cell.kind)))
+    if cell.digits:
+        cases.insert(0, (f"{cell.kind} = 'huge'", _say("needs an integer of 64 bits, found ", cell.digits)))
     if "integer" in cell.views and not cell.within(_LO64, _HI64):
         condition, x = cell.views["integer"]
         too_wide = _all(condition, f"NOT {_between(x, _LO64, _HI64)}")
-        cases.insert(0, (too_wide, _say("integer exceeds the 64-bit signed range: ", x)))
+        cases.insert(0, (too_wide, _say("needs an integer of 64 bits, found ", x)))
     if not field.nullable:
         refused = f"(NOT {cell.present} OR {refused})"
-        cases.insert(0, (f"NOT {cell.present}", _say("null in non-nullable column")))
+        cases.insert(0, (f"NOT {cell.present}", _say("needs a value, found null")))
     label = literal(f"column '{field.name}': ")
-    reason = f"concat({label}, {_first(cases, literal('not convertible'))})"
+    reason = f"concat({label}, {_first(cases, literal('needs another value'))})"
     return Converted(rule.value, refused, reason)

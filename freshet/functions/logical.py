@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from freshet.errors import INVALID_SQL, SCHEMA_MISMATCH, UNSUPPORTED, fault
 
 # The integer types with their bounds. Spark has no unsigned
-# types, so those sit in the next wider signed one; 64-bit unsigned input is
-# accepted up to the signed maximum.
+# types, so those sit in the next wider signed one, 64-bit ones in a decimal:
+# Arrow batches fill it in full, rows of values up to the signed maximum.
 INT_BOUNDS = {
     "int8": (-128, 127, T.ByteType()),
     "int16": (-32768, 32767, T.ShortType()),
@@ -21,7 +21,7 @@ INT_BOUNDS = {
     "uint8": (0, 255, T.ShortType()),
     "uint16": (0, 65535, T.IntegerType()),
     "uint32": (0, 4294967295, T.LongType()),
-    "uint64": (0, 9223372036854775807, T.LongType()),
+    "uint64": (0, 9223372036854775807, T.DecimalType(20, 0)),
 }
 # How many milliseconds fit a signed 64-bit count of each unit.
 # Spark stores every timestamp in microseconds, which bounds coarser units too.
@@ -127,14 +127,14 @@ def arrow_type(field: T.StructField) -> pa.DataType | None:
 def check_schema(declared: T.StructType, actual: T.StructType) -> None:
     """Names and types must match in order; nullability is not compared."""
     if len(declared) != len(actual):
-        raise fault(SCHEMA_MISMATCH, f"schema mismatch: expected {len(declared)} columns, got {len(actual)}")
+        raise fault(SCHEMA_MISMATCH, f"{len(declared)} columns are declared, the input has {len(actual)}")
     for want, got in zip(declared.fields, actual.fields):
         same_type = _comparable(want.dataType) == _comparable(got.dataType)
         if want.name != got.name or not same_type:
             raise fault(
                 SCHEMA_MISMATCH,
-                f"schema mismatch at column '{want.name}': expected {want.name} {want.dataType.simpleString()}, "
-                f"got {got.name} {got.dataType.simpleString()}",
+                f"column '{want.name}' is declared as {want.dataType.simpleString()}, "
+                f"the input has '{got.name}' of {got.dataType.simpleString()} there",
             )
 
 

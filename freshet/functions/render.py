@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freshet.errors import UNSUPPORTED, fault
-from freshet.functions.logical import MILLIS_PER_DAY
+from freshet.functions.logical import INT_BOUNDS, MILLIS_PER_DAY, logical_of
 
 
 def render_column(field: T.StructField) -> Column:
@@ -16,6 +16,9 @@ def render_column(field: T.StructField) -> Column:
     kind = field.dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         out = F.unix_micros(col.cast("timestamp")) / F.lit(1000.0)
+    elif logical_of(field) == "uint64":
+        # Clients read 64-bit signed integers; larger values show as the largest.
+        out = F.least(col, F.lit(INT_BOUNDS["int64"][1]).cast(kind)).cast("bigint")
     elif isinstance(kind, T.DateType):
         out = (F.unix_date(col).cast("bigint") * F.lit(MILLIS_PER_DAY)).cast("double")
     elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType)):
@@ -25,8 +28,7 @@ def render_column(field: T.StructField) -> Column:
     else:
         raise fault(
             UNSUPPORTED,
-            f"row conversion does not support column '{field.name}' of type {kind.simpleString()}; "
-            "use the Arrow output",
+            f"column '{field.name}': {kind.simpleString()} has no client form, Arrow batches carry it",
         )
     return out.alias(field.name)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.streaming.stream import EPOCH
@@ -12,12 +12,11 @@ def epoch_watermarks(log: DataFrame, delay: str) -> DataFrame:
     """The watermark each epoch was processed under.
 
     An epoch sees the newest event time of all epochs before it, less
-    ``delay``; the first sees none. ``log`` has one row per epoch
-    (``epoch``, ``max_event_us``), which is all the single window task holds.
+    ``delay``; the first sees none. The log entry of an epoch carries that
+    time (``newest_before_us``).
     """
-    earlier = Window.orderBy(EPOCH).rowsBetween(Window.unboundedPreceding, -1)
-    newest = F.max("max_event_us").over(earlier)
-    return log.select(EPOCH, (F.timestamp_micros(newest) - F.expr(f"INTERVAL {delay}")).alias("watermark"))
+    newest = F.timestamp_micros("newest_before_us")
+    return log.select(EPOCH, (newest - F.expr(f"INTERVAL {delay}")).alias("watermark"))
 
 
 def split_late(rows: DataFrame, watermarks: DataFrame, time: str) -> DataFrame:
@@ -31,6 +30,16 @@ def split_late(rows: DataFrame, watermarks: DataFrame, time: str) -> DataFrame:
     return flagged.withColumn("is_late", F.coalesce(F.col(time) < F.col("watermark"), F.lit(False))).drop("watermark")
 
 
+def refused(rows: DataFrame, watermarks: DataFrame, time: str, width: str) -> DataFrame:
+    """The rows that arrived when their window of ``width`` had closed already.
+
+    A row behind the watermark still counts while the window it belongs to is
+    open; this is what a windowed stream leaves out.
+    """
+    closed = F.window(F.col(time), width)["end"] <= F.col("watermark")
+    return rows.join(watermarks, EPOCH, "left").where(closed).drop("watermark")
+
+
 def late_counts(flagged: DataFrame) -> DataFrame:
     """Late rows per epoch."""
     return flagged.where("is_late").groupBy(EPOCH).agg(F.count(F.lit(1)).alias("n_late"))

@@ -23,11 +23,13 @@ def source_metrics(
     capacity: int,
     processed_through: int | None = None,
     processed_rows: int | None = None,
+    explicit_watermark: int | None = None,
 ) -> DataFrame:
     """Totals of one source: rows, rows not yet processed, pressure, watermark.
 
     What was processed is given as the last append taken in or, where batches
-    do not follow appends, as a number of rows.
+    do not follow appends, as a number of rows. ``explicit_watermark`` is how
+    far heartbeats took event time, in milliseconds.
     """
     rows = F.coalesce(F.sum("rows"), F.lit(0))
     if processed_through is not None:
@@ -39,7 +41,7 @@ def source_metrics(
         log.agg(
             rows.alias("total_events"),
             waiting.cast("bigint").alias("pending"),
-            F.expr("max(max_event_us) div 1000").alias("watermark"),
+            F.greatest(F.expr("max(max_event_us) div 1000"), F.lit(explicit_watermark).cast("bigint")).alias("watermark"),
         )
         .withColumn("name", F.lit(name))
         .withColumn("capacity", F.lit(capacity).cast("bigint"))
@@ -56,8 +58,14 @@ def stream_metrics(feed_log: DataFrame, name: str, sql: str | None = None) -> Da
     )
 
 
-def pipeline_totals(source_logs: list[DataFrame], feed_logs: list[DataFrame]) -> DataFrame:
-    """Over the pipeline: rows in, rows late on arrival, appends, rows out, micro-batches."""
+def pipeline_totals(
+    source_logs: list[DataFrame], feed_logs: list[DataFrame], dropped: list[DataFrame] | None = None
+) -> DataFrame:
+    """Over the pipeline: rows in, rows refused as late, appends, rows out, micro-batches.
+
+    ``dropped`` are tables with a column ``late_rows``: logs of the sources
+    whose late rows a stream refuses, or counts of such rows.
+    """
     names = [
         "total_events_ingested", "total_events_dropped", "total_batches", "total_events_emitted", "total_cycles",
     ]
@@ -68,9 +76,10 @@ def pipeline_totals(source_logs: list[DataFrame], feed_logs: list[DataFrame]) ->
         return log.agg(*[filled.get(n, F.max(zero).alias(n)) for n in names])
 
     each = [
-        totals(log, total_events_ingested="rows", total_events_dropped="late_rows", total_batches="1L")
+        totals(log, total_events_ingested="rows", total_batches="1L")
         for log in source_logs
     ]
+    each += [totals(log, total_events_dropped="late_rows") for log in dropped or []]
     each += [totals(log, total_events_emitted="rows", total_cycles="1L") for log in feed_logs]
     return reduce(DataFrame.unionByName, each).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 

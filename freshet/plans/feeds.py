@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.operators.lateness import epoch_watermarks, refused
 from freshet.operators.metrics import pipeline_totals, source_metrics, stream_metrics
 from freshet.plans.registry import plan
 from freshet.plans.tables import ARRIVALS_SQL, replay, table
@@ -66,12 +67,13 @@ def feed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT CAST(c.pos AS BIGINT) AS consumer_epoch, "
     "count(DISTINCT e.epoch) FILTER (WHERE e.epoch > c.pos AND e.epoch < 5) AS skipped, "
     "count(*) FILTER (WHERE e.epoch > c.pos AND e.epoch < 5) AS skipped_rows "
-    f"FROM (VALUES (0), (3), (8)) c(pos) CROSS JOIN {ARRIVALS_SQL} e GROUP BY c.pos",
+    f"FROM (VALUES (-1), (0), (3), (8), (11)) c(pos) CROSS JOIN {ARRIVALS_SQL} e GROUP BY c.pos",
 )
 def feed_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readers at epochs 0, 3 and 8 of a feed that keeps epoch 5 and later."""
+    """Readers that saw nothing, epochs 0, 3 and 8, and all, of a feed that keeps epoch 5 and later."""
     log = replay(spark, sf_dir).tap.feed.log()
-    consumers = log.where(F.col(EPOCH).isin(0, 3, 8)).select(F.col(EPOCH).alias("consumer_epoch"))
+    consumers = log.select((F.col(EPOCH) - 1).alias("consumer_epoch")).where("consumer_epoch IN (-1, 0, 3, 8)")
+    consumers = consumers.unionByName(log.agg(F.max(EPOCH).alias("consumer_epoch")))
     return lag(log, consumers, retained_from=5)
 
 
@@ -106,15 +108,22 @@ def metrics_of_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan(
     "pipeline_metrics",
-    "SELECT count(*) AS total_events_ingested, CAST(0 AS BIGINT) AS total_events_dropped, "
+    f"WITH a AS (SELECT * FROM {ARRIVALS_SQL}), m AS (SELECT epoch, max(ts) AS mx FROM a GROUP BY epoch), "
+    "w AS (SELECT epoch, max(mx) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+    "- INTERVAL 3 DAY AS wm FROM m) "
+    "SELECT count(*) AS total_events_ingested, "
+    "count(*) FILTER (WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= wm) AS total_events_dropped, "
     "count(DISTINCT epoch) AS total_batches, "
     "count(*) + count(DISTINCT (epoch, event_type)) AS total_events_emitted, "
-    f"2 * count(DISTINCT epoch) AS total_cycles FROM {ARRIVALS_SQL}",
+    "2 * count(DISTINCT epoch) AS total_cycles FROM a JOIN w USING (epoch)",
 )
 def metrics_of_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters after the replay; under its 40 day delay no row counts as late."""
+    """Counters after the replay; dropped is what daily windows under a 3 day delay refuse."""
     done = replay(spark, sf_dir)
-    return pipeline_totals([done.timed.table.log()], [done.tap.feed.log(), done.rollup.feed.log()])
+    feed = done.tap.feed
+    late = refused(feed.read(), epoch_watermarks(feed.log(), "3 days"), "ts", "1 day")
+    dropped = late.agg(F.count(F.lit(1)).alias("late_rows"))
+    return pipeline_totals([done.timed.table.log()], [feed.log(), done.rollup.feed.log()], [dropped])
 
 
 @plan(

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from freshet.session import stream_session
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,9 +27,11 @@ def plan(name: str, oracle: str | None = None) -> Callable[[Run], Run]:
 
     def register(run: Run) -> Run:
         def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Event times are instants; the result tables show them in UTC.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return run(spark, sf_dir)
+            # Event times are instants; the result tables show them in UTC. The
+            # caller's session keeps its own settings.
+            own = stream_session(spark)
+            own.conf.set("spark.sql.session.timeZone", "UTC")
+            return run(own, sf_dir)
 
         PLANS[name] = Plan(name, prepared, oracle)
         return run

@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.functions.logical import parse_columns
 from freshet.operators.lateness import epoch_watermarks, late_counts, split_late
 from freshet.operators.metrics import pipeline_watermark, source_watermark
 from freshet.plans.registry import plan
-from freshet.plans.tables import ARRIVALS_SQL, quarter_of_files, replay, run_stream, source, table, utc
-from freshet.session import fresh_path, state_width
+from freshet.plans.tables import (
+    ARRIVALS_SQL,
+    COLUMNS,
+    FILES_PER_EPOCH,
+    exact_avg,
+    in_order,
+    replay,
+    run_stream,
+    table,
+    utc,
+)
+from freshet.session import Storage, fresh_path
+from freshet.sources.source import Source, StoredSource
 from freshet.streaming.feed import latest
+from freshet.streaming.sink import Sink
 from freshet.streaming.stream import CHANGES, EPOCH, ON_CLOSE, Stream
 from freshet.streaming.view import MaterializedView
 
@@ -29,9 +42,8 @@ _LATE_SQL = (
 
 @plan("stream_map", "SELECT event_id, user_id * 2 AS user_id2 FROM events")
 def stream_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = run_stream(
-        spark, "map", [source(spark, sf_dir, "events")], "SELECT event_id, user_id * 2 AS user_id2 FROM events"
-    )
+    arrived = in_order(spark, sf_dir, "events")
+    done = run_stream(spark, "map", [arrived], "SELECT event_id, user_id * 2 AS user_id2 FROM events")
     return done.feed.read().drop(EPOCH)
 
 
@@ -40,17 +52,65 @@ def stream_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = run_stream(
         spark,
         "filter",
-        [source(spark, sf_dir, "events")],
+        [in_order(spark, sf_dir, "events")],
         lambda rows: rows["events"].where("value > 50").select("event_id", "event_type", "value"),
     )
     return done.feed.read().drop(EPOCH)
 
 
-@plan(
-    "stream_running_avg",
-    "SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_v "
-    "FROM events GROUP BY event_type",
-)
+@plan("stream_old_files", "SELECT event_id, event_type FROM events")
+def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that were changed last on days far apart, the oldest after the newest."""
+    path, storage = fresh_path(spark, "backfill"), Storage(spark)
+    table(spark, sf_dir, "events").repartition(6).write.parquet(path)
+    names = sorted(n for n in storage.names(path) if n.startswith("part-"))
+    newest = storage.changed(f"{path}/{names[0]}")
+    for k, name in enumerate(names):
+        storage.set_changed(f"{path}/{name}", newest - k * 40 * 86400000)
+    old = Source(spark, "events", parse_columns(COLUMNS["events"]), path)
+    done = run_stream(spark, "old", [old], "SELECT event_id, event_type FROM events", max_files=2)
+    return done.feed.read().drop(EPOCH)
+
+
+@plan("stream_recovered", "SELECT user_id, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY user_id")
+def stream_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the events, a new stream over the old one's state, then the other half."""
+    events, path = table(spark, sf_dir, "events"), fresh_path(spark, "recovered")
+    arrived = StoredSource(spark, "events", parse_columns(COLUMNS["events"]), f"{path}/events")
+    for half in range(2):
+        arrived.append(events.where(F.col("event_id") % 2 == half))
+        stream = Stream(
+            spark,
+            "counts",
+            f"{path}/counts",
+            [arrived],
+            "SELECT user_id, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY user_id",
+            CHANGES,
+            feed_files=1,
+        )
+        stream.run_available()
+    return latest(stream.feed.read(), ["user_id"])
+
+
+@plan("sink_delivered", "SELECT event_id, event_type, value FROM events WHERE value > 50")
+def sink_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink that gets each epoch as it ends."""
+    path = fresh_path(spark, "delivered")
+    stream = Stream(
+        spark,
+        "large",
+        f"{path}/stream",
+        [in_order(spark, sf_dir, "events")],
+        "SELECT event_id, event_type, value FROM events WHERE value > 50",
+        max_files=FILES_PER_EPOCH,
+    )
+    sink = Sink(spark, "out", stream, f"{path}/out")
+    stream.after_epoch.append(sink.deliver)
+    stream.run_available()
+    return sink.read()
+
+
+@plan("stream_running_avg", f"SELECT event_type, {exact_avg('value')} AS avg_v FROM events GROUP BY event_type")
 def stream_running_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = replay(spark, sf_dir).rollup
     return latest(rollup.feed.read(), ["event_type"]).select("event_type", "avg_v")
@@ -58,46 +118,34 @@ def stream_running_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan("stream_running_count", "SELECT user_id, count(value) AS n FROM events GROUP BY user_id")
 def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrived = replay(spark, sf_dir).plain
     done = run_stream(
         spark,
         "counts",
-        [arrived],
+        [in_order(spark, sf_dir, "events")],
         "SELECT user_id, count(value) AS n FROM events GROUP BY user_id",
         emit=CHANGES,
-        max_files=quarter_of_files(arrived),
     )
     return latest(done.feed.read(), ["user_id"])
 
 
-@plan(
-    "stream_rollup",
-    "SELECT l_suppkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) "
-    "AS avg_quantity FROM lineitem GROUP BY l_suppkey",
-)
+_SUPPLIERS = f"SELECT l_suppkey, count(*) AS n, {exact_avg('l_quantity')} AS avg_quantity FROM lineitem GROUP BY l_suppkey"
+
+
+@plan("stream_rollup", _SUPPLIERS)
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A running average per key over the largest table."""
-    done = run_stream(
-        spark,
-        "suppliers",
-        [source(spark, sf_dir, "lineitem")],
-        "SELECT l_suppkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) "
-        "/ count(l_quantity) AS avg_quantity FROM lineitem GROUP BY l_suppkey",
-        emit=CHANGES,
-    )
+    done = run_stream(spark, "suppliers", [in_order(spark, sf_dir, "lineitem")], _SUPPLIERS, emit=CHANGES)
     return latest(done.feed.read(), ["l_suppkey"])
 
 
 @plan("mv_latest", "SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY user_id")
 def mv_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrived = replay(spark, sf_dir).plain
     done = run_stream(
         spark,
         "state",
-        [arrived],
+        [in_order(spark, sf_dir, "events")],
         "SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY user_id",
         emit=CHANGES,
-        max_files=quarter_of_files(arrived),
     )
     view = MaterializedView(spark, done, ["user_id"])
     view.fold()
@@ -108,10 +156,16 @@ def mv_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every change of a window is emitted; nothing is late under a 40 day delay."""
     arrived = replay(spark, sf_dir).timed
-    done = run_stream(spark, "daily", [arrived], _DAILY, emit=CHANGES, max_files=quarter_of_files(arrived))
+    done = run_stream(spark, "daily", [arrived], _DAILY, emit=CHANGES, max_files=4 * FILES_PER_EPOCH)
     return latest(done.feed.read(), ["w_start", "event_type"]).withColumn("w_start", utc("w_start"))
 
 
+def _timed(spark: SparkSession, sf_dir: str, path: str) -> Source:
+    """The events in order, with event time an hour behind the newest row and heartbeats of its own."""
+    rows = in_order(spark, sf_dir, "events")
+    return Source(spark, "events", rows.schema, rows.path, "ts", "1 hour", f"{path}/heartbeats")
+
+
 @plan(
     "window_on_close",
     f"{_DAILY_SQL} HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= "
@@ -119,7 +173,7 @@ def window_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def window_on_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A window is emitted once the watermark passed its end."""
-    events = source(spark, sf_dir, "events", watermark_column="ts", delay="1 hour")
+    events = _timed(spark, sf_dir, fresh_path(spark, "beats"))
     done = run_stream(spark, "closed", [events], _DAILY, emit=ON_CLOSE)
     return done.feed.read().drop(EPOCH).withColumn("w_start", utc("w_start"))
 
@@ -128,11 +182,10 @@ def window_on_close(spark: SparkSession, sf_dir: str) -> DataFrame:
 def heartbeat_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A heartbeat past the last event closes the windows still open."""
     path = fresh_path(spark, "heartbeat")
-    events = source(
-        spark, sf_dir, "events", watermark_column="ts", delay="1 hour", heartbeat_path=f"{path}/heartbeats"
+    events = _timed(spark, sf_dir, path)
+    stream = Stream(
+        spark, "closed", path, [events], _DAILY, emit=ON_CLOSE, max_files=FILES_PER_EPOCH, feed_files=1
     )
-    width = state_width(spark, events.path)
-    stream = Stream(spark, "closed", path, [events], _DAILY, emit=ON_CLOSE, state_partitions=width)
     stream.run_available()
     newest = events.bounded().agg(F.unix_millis(F.max("ts")).alias("ms")).first()["ms"]
     events.heartbeat(newest + 2 * 86400000)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.functions.logical import parse_columns
-from freshet.session import fresh_path, state_width
+from freshet.session import Storage, fresh_path
 from freshet.sources.source import Source, StoredSource
 from freshet.streaming.stream import CHANGES, Stream
 
@@ -27,6 +27,10 @@ COLUMNS = {
 
 # Ten arrival epochs' worth of rows plus the spill-over of late ones.
 ARRIVAL_EPOCHS = 12
+# Files of an append, and those a stream over given or appended tables takes in at once.
+ARRIVAL_FILES = 4
+FILES_PER_EPOCH = 4
+ORDERED_APPENDS = 3
 # The same in SQL: epoch of each event, a share of the table in event order,
 # with every event delayed by up to 1.8 epochs.
 ARRIVALS_SQL = (
@@ -35,6 +39,11 @@ ARRIVALS_SQL = (
 )
 
 
+def exact_avg(column: str) -> str:
+    """An average in SQL that no order of adding up changes: ten decimals, 28 digits before them."""
+    return f"CAST(sum(CAST({column} AS DECIMAL(38,10))) AS DOUBLE) / count({column})"
+
+
 def source(spark: SparkSession, sf_dir: str, name: str, **watermark) -> Source:
     """A given table as a declared source."""
     return Source(spark, name, parse_columns(COLUMNS[name]), f"{sf_dir}/{name}.parquet", **watermark)
@@ -53,10 +62,11 @@ def utc(column: str) -> Column:
 class Replay:
     """``events`` delivered to a source in arrival order, one append per epoch.
 
-    After every append two streams process it: ``tap`` passes rows through and
-    ``rollup`` keeps a running aggregate. Their feeds therefore have one epoch
-    per append. The number of appends is fixed, so their size grows with the
-    table; each append reads only the row groups whose ids can belong to it.
+    Two streams process it: ``tap`` passes rows through and ``rollup`` keeps a
+    running aggregate. Each append has ``ARRIVAL_FILES`` files and an epoch
+    takes in as many, so their feeds have one epoch per append. The number of
+    appends is fixed, so their size grows with the table; each append reads
+    only the row groups whose ids can belong to it.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -70,50 +80,79 @@ class Replay:
         # below, without, because a watermark adds batches that hold no rows.
         self.timed = StoredSource(spark, "events", columns, path, "ts", "40 days")
         self.plain = StoredSource(spark, "events", columns, path)
-        self.tap = Stream(spark, "tap", f"{path}/tap", [self.plain], "SELECT * FROM events", CHANGES, feed_time="ts")
+        for k in range(ARRIVAL_EPOCHS):
+            low, high = max(0, (k * n - 6 * delay) // 10), -(-(k + 1) * n // 10)
+            due = events.where((F.col("event_id") >= low) & (F.col("event_id") < high) & (arrival == k))
+            self.timed.append(due.repartition(ARRIVAL_FILES))
+        self.tap = Stream(
+            spark, "tap", f"{path}/tap", [self.plain], "SELECT * FROM events", CHANGES,
+            max_files=ARRIVAL_FILES, feed_time="ts",
+        )
         self.rollup = Stream(
             spark,
             "rollup",
             f"{path}/rollup",
             [self.plain],
-            "SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_v, "
-            "count(*) AS n FROM events GROUP BY event_type",
+            f"SELECT event_type, {exact_avg('value')} AS avg_v, count(*) AS n FROM events GROUP BY event_type",
             CHANGES,
-            state_partitions=state_width(spark, f"{sf_dir}/events.parquet"),
+            max_files=ARRIVAL_FILES,
+            feed_files=1,
         )
         with ThreadPoolExecutor(2) as pool:
-            for k in range(ARRIVAL_EPOCHS):
-                low, high = max(0, (k * n - 6 * delay) // 10), -(-(k + 1) * n // 10)
-                due = events.where((F.col("event_id") >= low) & (F.col("event_id") < high) & (arrival == k))
-                self.timed.append(due)
-                for run in [pool.submit(s.run_available) for s in (self.tap, self.rollup)]:
-                    run.result()
+            for run in [pool.submit(s.run_available) for s in (self.tap, self.rollup)]:
+                run.result()
+
+
+class InOrder:
+    """A given table appended to a source in the order of its key, in three appends."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str, key: str):
+        rows = table(spark, sf_dir, name)
+        n = rows.agg((F.max(key) + 1).alias("n")).first()["n"]
+        self.source = StoredSource(spark, name, parse_columns(COLUMNS[name]), fresh_path(spark, f"{name}-in-order"))
+        for k in range(ORDERED_APPENDS):
+            due = rows.where((F.col(key) >= k * n // ORDERED_APPENDS) & (F.col(key) < (k + 1) * n // ORDERED_APPENDS))
+            self.source.append(due.repartition(ARRIVAL_FILES))
 
 
-_replays: dict[tuple[str, str], Replay] = {}
+_made: dict[tuple, object] = {}
 _lock = threading.Lock()
 
 
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
+    """What was made from a table before, unless the table has changed since."""
+    storage, path = Storage(spark), f"{sf_dir}/{name}.parquet"
+    key = (make.__qualname__, spark.sparkContext.applicationId, path, storage.size(path), storage.changed(path))
+    with _lock:
+        if key not in _made:
+            _made[key] = make()
+        return _made[key]
+
+
 def replay(spark: SparkSession, sf_dir: str) -> Replay:
     """The replay of this application and folder, done once and kept as tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    with _lock:
-        if key not in _replays:
-            _replays[key] = Replay(spark, sf_dir)
-        return _replays[key]
+
+    def arrivals() -> Replay:
+        return Replay(spark, sf_dir)
+
+    return _once(spark, sf_dir, "events", arrivals)
+
+
+def in_order(spark: SparkSession, sf_dir: str, name: str) -> StoredSource:
+    """The appends of a table in key order, done once."""
+
+    def appended() -> InOrder:
+        return InOrder(spark, sf_dir, name, {"events": "event_id", "lineitem": "l_orderkey"}[name])
+
+    return _once(spark, sf_dir, name, appended).source
 
 
 def run_stream(spark: SparkSession, name: str, sources: list[Source], query, **options) -> Stream:
-    """Run a stream over everything its sources hold and return it."""
-    width = state_width(spark, *[s.path for s in sources])
-    stream = Stream(spark, name, fresh_path(spark, name), sources, query, state_partitions=width, **options)
+    """Run a stream over everything its sources hold, some files at a time, and return it."""
+    options = {"max_files": FILES_PER_EPOCH, "feed_files": 1, **options}
+    stream = Stream(spark, name, fresh_path(spark, name), sources, query, **options)
     stream.run_available()
     return stream
 
 
-def quarter_of_files(arrived: StoredSource) -> int:
-    """A batch limit that takes a table in about four micro-batches."""
-    return max(1, arrived.table.stored_files().first()["files"] // 4)
-
-
-__all__ = ["ARRIVALS_SQL", "Replay", "quarter_of_files", "replay", "run_stream", "source", "table", "utc"]
+__all__ = ["ARRIVALS_SQL", "Replay", "exact_avg", "in_order", "replay", "run_stream", "source", "table", "utc"]

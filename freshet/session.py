@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from freshet.errors import BAD_CONFIG, fault
@@ -27,9 +30,6 @@ _INHERITED = (
 # generated method that stays interpreted; wide schemas get there quickly.
 _METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
-_BYTES_PER_STATE_PARTITION = 64 * 1024 * 1024
-_LEAST_STATE_PARTITIONS = 4
-
 _roots: dict[str, str] = {}
 
 
@@ -74,7 +74,9 @@ def work_root(spark: SparkSession) -> str:
         if shared is None:
             if not spark.sparkContext.master.startswith("local"):
                 raise fault(BAD_CONFIG, "set spark.checkpoint.dir to a folder every executor can reach")
-            shared = "file:" + tempfile.mkdtemp(prefix="freshet-")
+            own = tempfile.mkdtemp(prefix="freshet-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            shared = "file:" + own
         _roots[app] = f"{shared.rstrip('/')}/freshet-{app}"
     return _roots[app]
 
@@ -101,18 +103,6 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return own
 
 
-def state_width(spark: SparkSession, *paths: str) -> int:
-    """Shuffle partitions for the state of a stream over these files.
-
-    One per 64 MB of input, at least four and at most what the session is
-    configured for, so that small input does not pay for the full width in
-    every micro-batch.
-    """
-    storage = Storage(spark)
-    wanted = sum(storage.size(path) for path in paths) // _BYTES_PER_STATE_PARTITION
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(_LEAST_STATE_PARTITIONS, wanted))
-
-
 class Storage:
     """Folder and marker-file calls on whatever Hadoop file system holds a path."""
 
@@ -145,24 +135,78 @@ class Storage:
         fs, target = self._at(path)
         return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
 
+    def changed(self, path: str) -> int:
+        """When a file or folder was changed last, in milliseconds."""
+        fs, target = self._at(path)
+        return fs.getFileStatus(target).getModificationTime()
+
+    def set_changed(self, path: str, millis: int) -> None:
+        """Give a file another time of change."""
+        fs, target = self._at(path)
+        fs.setTimes(target, millis, -1)
+
     def names(self, path: str) -> list[str]:
         fs, target = self._at(path)
         if not fs.exists(target):
             return []
         return [status.getPath().getName() for status in fs.listStatus(target)]
 
+    def _write(self, path: str, text: str, overwrite: bool) -> None:
+        fs, target = self._at(path)
+        out = fs.create(target, overwrite)
+        out.write(bytearray(text.encode("utf-8")))
+        out.close()
+
     def write_text(self, path: str, text: str) -> None:
         """Write a small file so that readers see all of it or none."""
         fs, target = self._at(path)
         folder, name = os.path.split(path)
-        _, draft = self._at(f"{folder}/_{name}.{uuid.uuid4().hex[:8]}")
-        out = fs.create(draft, True)
-        out.write(bytearray(text.encode("utf-8")))
-        out.close()
-        if not fs.rename(draft, target):
-            fs.delete(draft, False)
+        draft = f"{folder}/_{name}.{uuid.uuid4().hex[:8]}"
+        self._write(draft, text, True)
+        if not fs.rename(self._at(draft)[1], target):
+            fs.delete(self._at(draft)[1], False)
             raise FileExistsError(path)
 
+    def create_once(self, path: str, text: str) -> bool:
+        """Make a small file that must not exist; False if it does. One caller of many succeeds.
+
+        Local disks check and create in two steps through the Hadoop client,
+        so a finished draft is linked to the name instead, which is one step.
+        """
+        fs, target = self._at(path)
+        if fs.getScheme() != "file":
+            try:
+                self._write(path, text, False)
+            except Py4JJavaError as error:
+                if fs.exists(target):
+                    return False
+                raise error
+            return True
+        folder, name = os.path.split(path)
+        draft = f"{folder}/_{name}.{uuid.uuid4().hex[:8]}"
+        self._write(draft, text, True)
+        try:
+            places = [self._jvm.java.io.File(self._at(p)[1].toUri().getPath()).toPath() for p in (path, draft)]
+            self._jvm.java.nio.file.Files.createLink(*places)
+            return True
+        except Py4JJavaError as error:
+            if fs.exists(target):
+                return False
+            raise error
+        finally:
+            fs.delete(self._at(draft)[1], False)
+
+    def move(self, path: str, to: str) -> None:
+        """Rename a file; done already is as good as done now."""
+        fs, source = self._at(path)
+        target = self._at(to)[1]
+        try:
+            moved = fs.rename(source, target)
+        except Py4JJavaError:
+            moved = False
+        if not moved and not fs.exists(target):
+            raise FileNotFoundError(path)
+
     def read_text(self, path: str) -> str:
         fs, target = self._at(path)
         stream = fs.open(target)

@@ -6,6 +6,7 @@ import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -75,10 +76,10 @@ def _same(want: pa.DataType, got: pa.DataType) -> bool:
 def mismatch(expected: list[tuple[str, pa.DataType | None]], actual: pa.Schema) -> str | None:
     """Why an Arrow schema does not fit the declared columns, or None."""
     if len(expected) != len(actual):
-        return f"schema mismatch: expected {len(expected)} columns, got {len(actual)}"
+        return f"{len(expected)} columns are declared, the batch has {len(actual)}"
     for (name, want), got in zip(expected, actual):
         if name != got.name or (want is not None and not _same(want, got.type)):
-            return f"schema mismatch at column '{name}': expected {name} {want}, got {got.name} {got.type}"
+            return f"column '{name}' is declared as {want}, the batch has '{got.name}' of {got.type} there"
     return None
 
 
@@ -99,7 +100,7 @@ def read_stream(payload: bytes) -> pa.RecordBatchReader:
     try:
         return pa.ipc.open_stream(payload)
     except (pa.ArrowInvalid, OSError, EOFError) as error:
-        raise fault(BAD_VALUE, f"invalid Arrow IPC data: {error}") from error
+        raise fault(BAD_VALUE, f"these bytes are no Arrow stream: {error}") from error
 
 
 def from_ipc(payloads: DataFrame, schema: T.StructType, column: str = "ipc") -> DataFrame:
@@ -109,7 +110,7 @@ def from_ipc(payloads: DataFrame, schema: T.StructType, column: str = "ipc") ->
     or garbage fails the job, and with it the whole write that reads from it.
     """
     expected, target = _expected(schema), _stored(schema)
-    mismatched, invalid = marked(SCHEMA_MISMATCH, ""), marked(BAD_VALUE, "invalid Arrow IPC data: ")
+    mismatched, invalid = marked(SCHEMA_MISMATCH, ""), marked(BAD_VALUE, "these bytes are no Arrow stream: ")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,6 +130,25 @@ def from_ipc(payloads: DataFrame, schema: T.StructType, column: str = "ipc") ->
     )
 
 
+def write_ipc_files(df: DataFrame, path: str) -> None:
+    """Write Arrow IPC stream files, one per Arrow batch, from the tasks.
+
+    A file's name says partition and batch, so a task that runs again writes
+    the same files. ``path`` is one that pyarrow's file systems know.
+    """
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = pa.fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+        store.create_dir(folder, recursive=True)
+        for k, batch in enumerate(batches):
+            name = f"{folder}/part-{TaskContext.get().partitionId():05d}-{k:05d}.arrow"
+            with store.open_output_stream(name) as out, pa.ipc.new_stream(out, batch.schema) as writer:
+                writer.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["rows"])
+
+    df.mapInArrow(save, "rows bigint").write.format("noop").mode("overwrite").save()
+
+
 def read_ipc_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A folder of Arrow IPC stream files as rows; one task reads a file at a time."""
     return from_ipc(spark.read.format("binaryFile").load(path), schema, "content")
@@ -144,7 +164,7 @@ def table_of(payload: bytes, schema: T.StructType) -> pa.Table:
     try:
         return pa.Table.from_batches([_store(b, target) for b in reader], schema=target)
     except (pa.ArrowInvalid, OSError) as error:
-        raise fault(BAD_VALUE, f"invalid Arrow IPC data: {error}") from error
+        raise fault(BAD_VALUE, f"these bytes are no Arrow stream: {error}") from error
 
 
 def typed_failure(error: Exception) -> Exception:

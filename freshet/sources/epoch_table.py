@@ -2,19 +2,28 @@
 
 Sources and change feeds share this layout::
 
-    <path>/data/<key>=<n>/part-*.parquet     the rows of commit n
-    <path>/log/<n>.json                      written after the rows: commit n counts
-    <path>/folded/<n>/                       the log entries up to n, in one file
-
-Rows without their log entry are invisible, so a job that died half-way leaves
-nothing behind, and doing a commit again is a no-op. Readers prune by the key
-because it is a partition column.
+    <path>/staging/<attempt>/part-*      rows of an attempt that has no number yet
+    <path>/log/<n>.json                  made once: commit n is the attempt it names
+    <path>/data/<key>=<n>/part-*         the rows of commit n, moved there after that
+    <path>/folded/<n>/                   the log entries up to n, in one file
+
+An attempt writes where nobody else does, then claims the next number by making
+the log entry, which succeeds for one writer alone; the others take the number
+after it. Only rows of a claimed attempt ever reach ``data``, so a stream that
+lists ``data`` sees what the log names and nothing else. Whoever finds a claimed
+attempt that its writer left in ``staging`` moves it. A job that died before its
+claim leaves nothing a reader can see.
+
+Making the entry once needs a file system that refuses to create an existing
+file, as HDFS and local disks do. On an object store without conditional writes
+a table must have one writer at a time.
 """
 
 from __future__ import annotations
 
 import json
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +33,11 @@ from freshet.errors import FELL_BEHIND, fault, from_task
 from freshet.session import Storage
 
 FOLD_EVERY = 1000
-_FEW_EPOCHS = 32
-_LOG_FIELDS = "rows bigint, late_rows bigint, max_event_us bigint, committed_ms bigint"
+_REPORT = "array<struct<epoch:bigint,source:string,input_rows:bigint,watermark_ms:bigint,duration_ms:bigint>>"
+_LOG_FIELDS = (
+    "attempt string, rows bigint, late_rows bigint, max_event_us bigint, committed_ms bigint, "
+    f"rows_before bigint, newest_before_us bigint, upto bigint, reports {_REPORT}"
+)
 
 
 class EpochTable:
@@ -37,85 +49,137 @@ class EpochTable:
         self.path = path
         self.data_path = f"{path}/data"
         self.log_path = f"{path}/log"
+        self._staging = f"{path}/staging"
         self._folds = f"{path}/folded"
         self.key = key
         self.schema = schema
         self._known_last: int | None = None
         self._folded: int | None = None
-        self._storage.mkdirs(self.data_path)
-        self._storage.mkdirs(self.log_path)
+        for folder in (self.data_path, self.log_path, self._staging):
+            self._storage.mkdirs(folder)
 
     @property
     def stored_schema(self) -> T.StructType:
         """The payload and the key, every column nullable as Parquet has it."""
-        fields = [T.StructField(f.name, f.dataType, True) for f in self.schema.fields]
+        fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in self.schema.fields]
         return T.StructType([*fields, T.StructField(self.key, T.LongType())])
 
     # -- writing ---------------------------------------------------------
 
     def commit(
-        self, df: DataFrame, number: int, event_time: Column | None = None, late: Column | None = None
+        self,
+        df: DataFrame,
+        number: int | None = None,
+        event_time: Column | None = None,
+        late: Column | None = None,
+        **more,
     ) -> dict:
-        """Write ``df`` as commit ``number`` and log it; returns the log entry.
+        """Write ``df`` as one commit; returns its log entry.
+
+        Without a ``number`` the next free one is taken. A number that exists
+        already keeps its rows: ``df`` still runs, since whoever repeats a
+        commit may rely on that, and its rows go nowhere.
 
         Row count, newest event time and the number of rows for which ``late``
         holds are observed by the write itself, so none costs another pass.
+        ``more`` are further fields of the entry.
         """
-        if self.has(number):
-            self._known_last = max(number, -1 if self._known_last is None else self._known_last)
+        if number is not None and self.has(number):
+            df.write.format("noop").mode("overwrite").save()
             return self.entry(number)
-        seen = Observation()
+        seen, attempt = Observation(), uuid.uuid4().hex
         newest = F.unix_micros(F.max(event_time)) if event_time is not None else F.lit(None).cast("bigint")
         behind = F.count_if(late) if late is not None else F.lit(None).cast("bigint")
         observed = df.observe(
             seen, F.count(F.lit(1)).alias("rows"), behind.alias("late_rows"), newest.alias("newest")
         )
         try:
-            observed.write.mode("overwrite").parquet(f"{self.data_path}/{self.key}={number}")
+            observed.write.parquet(f"{self._staging}/{attempt}")
+            entry = self._claim(
+                {
+                    "attempt": attempt,
+                    "rows": seen.get["rows"],
+                    "late_rows": seen.get["late_rows"],
+                    "max_event_us": seen.get["newest"],
+                    **more,
+                },
+                number,
+            )
         except Exception as error:
-            self._storage.delete(f"{self.data_path}/{self.key}={number}")
+            self._storage.delete(f"{self._staging}/{attempt}")
             typed = from_task(error)
             if typed is not None:
                 raise typed from error
             raise
-        entry = self._log_entry(number, seen.get["rows"], seen.get["late_rows"], seen.get["newest"])
-        if number % FOLD_EVERY == FOLD_EVERY - 1:
-            self.fold_log()
+        if entry["attempt"] != attempt:
+            self._storage.delete(f"{self._staging}/{attempt}")
+        else:
+            self._publish(entry[self.key], attempt)
+            if entry[self.key] % FOLD_EVERY == FOLD_EVERY - 1:
+                self.fold_log(entry[self.key] - FOLD_EVERY)
         return entry
 
-    def _log_entry(self, number: int, rows: int, late_rows: int | None, newest_us: int | None) -> dict:
-        entry = {
-            self.key: number,
-            "rows": rows,
-            "late_rows": late_rows,
-            "max_event_us": newest_us,
-            "committed_ms": int(time.time() * 1000),
-        }
-        self._storage.write_text(f"{self.log_path}/{number}.json", json.dumps(entry))
-        self._known_last = max(number, -1 if self._known_last is None else self._known_last)
-        return entry
+    def _claim(self, told: dict, number: int | None) -> dict:
+        """The entry made for an attempt, or the one that has its fixed number already.
 
-    def adopt(self, number: int, event_time: Column | None = None) -> bool:
-        """Log rows whose writer finished them but died before their log entry."""
-        folder = f"{self.data_path}/{self.key}={number}"
-        if self.has(number) or not self._storage.exists(f"{folder}/_SUCCESS"):
+        Each entry carries the totals before it, so that positions in the
+        table are read off one entry instead of summed over the log.
+        """
+        while True:
+            last = self.last()
+            mine = number if number is not None else (0 if last is None else last + 1)
+            before = self.entry(last) if last is not None else {}
+            newest = [us for us in (before.get("newest_before_us"), before.get("max_event_us")) if us is not None]
+            entry = {
+                self.key: mine,
+                **told,
+                "committed_ms": int(time.time() * 1000),
+                "rows_before": before.get("rows_before", 0) + before.get("rows", 0),
+                "newest_before_us": max(newest, default=None),
+            }
+            made = self._storage.create_once(f"{self.log_path}/{mine}.json", json.dumps(entry))
+            if made and not self._overtaken(mine):
+                self._known_last = max(mine, -1 if self._known_last is None else self._known_last)
+                return entry
+            if not made and number is not None:
+                return self.entry(mine)
+
+    def _overtaken(self, number: int) -> bool:
+        """Whether the number was given away long ago and its entry folded: then the claim is void."""
+        folded = self._find_fold()
+        if folded is None or number > folded:
             return False
-        newest = F.unix_micros(F.max(event_time)) if event_time is not None else F.lit(None).cast("bigint")
-        rows = self._spark.read.schema(self.stored_schema).option("basePath", self.data_path).parquet(folder)
-        found = rows.agg(F.count(F.lit(1)).alias("rows"), newest.alias("newest")).first()
-        self._log_entry(number, found["rows"], None, found["newest"])
+        self._storage.delete(f"{self.log_path}/{number}.json")
+        self._known_last = None
         return True
 
-    def fold_log(self) -> None:
-        """Gather the log entries so far in one file, to keep listings short.
+    def _publish(self, number: int, attempt: str) -> None:
+        """Move the rows of a claimed attempt to their place; others may help or have done it."""
+        source, target = f"{self._staging}/{attempt}", f"{self.data_path}/{self.key}={number}"
+        self._storage.mkdirs(target)
+        for name in self._storage.names(source):
+            if name.startswith("part-"):
+                self._storage.move(f"{source}/{name}", f"{target}/{name}")
+        self._storage.delete(source)
+
+    def settle(self) -> None:
+        """Finish what writers claimed but did not move."""
+        waiting = self._storage.names(self._staging)
+        if waiting and self.last() is not None:
+            claimed = self.log().where(F.col("attempt").isin(waiting)).select(self.key, "attempt").collect()
+            for row in claimed:
+                self._publish(row[self.key], row["attempt"])
+
+    def fold_log(self, upto: int | None = None) -> None:
+        """Gather the log entries up to ``upto`` in one file, to keep listings short.
 
         A reader that starts in between finds an entry in the fold, as its own
         file, or as both, and counts it once.
         """
-        last = self.last()
-        if last is None or last == self._find_fold():
+        last = self.last() if upto is None else upto
+        if last is None or last < 0 or last == self._find_fold():
             return
-        self.log().coalesce(1).write.mode("overwrite").json(f"{self._folds}/{last}")
+        self.log().where(F.col(self.key) <= last).coalesce(1).write.mode("overwrite").json(f"{self._folds}/{last}")
         self._folded = last
         for name in self._storage.names(self._folds):
             if name.isdigit() and int(name) < last:
@@ -153,21 +217,18 @@ class EpochTable:
     def last(self) -> int | None:
         """The newest commit: one listing to start with, then only the next numbers.
 
-        Commits by others are found because they continue the sequence; a gap
-        can only come from this object's own commits, which it remembers.
+        Commits by others are found because they continue the sequence.
         """
         if self._known_last is None:
             folded, own = self._find_fold(), self._unfolded()
             self._known_last = max([*own[-1:], *([folded] if folded is not None else [])], default=None)
         else:
-            self._known_last = self._advance(self._known_last)
+            number = self._known_last
+            while self.has(number + 1):
+                number += 1
+            self._known_last = number
         return self._known_last
 
-    def _advance(self, number: int) -> int:
-        while self.has(number + 1):
-            number += 1
-        return number
-
     def retained(self, number: int) -> bool:
         """Whether the rows of a commit are still there."""
         return self._storage.exists(f"{self.data_path}/{self.key}={number}")
@@ -188,28 +249,23 @@ class EpochTable:
         return reader.json(f"{self._folds}/{folded}").unionByName(later)
 
     def read(self, after: int | None = None, upto: int | None = None) -> DataFrame:
-        """Rows of committed numbers in ``(after, upto]``.
+        """Rows of committed numbers in ``(after, upto]``; without ``after``, from the first on.
 
         The upper end is fixed when called, which makes the result a snapshot.
-        Asking for rows that retention removed is an error, never a gap. A
-        short range names its folders instead of listing the whole table.
+        Asking for rows that retention removed is an error, never a gap.
         """
         last = self.last()
         top = -1 if last is None else (last if upto is None else min(upto, last))
-        reader = self._spark.read.schema(self.stored_schema)
-        key = F.col(self.key)
-        if after is None:
-            return reader.parquet(self.data_path).where(key <= top)
-        if after < top and not self.retained(after + 1):
+        self.settle()
+        due = 0 if after is None else after + 1
+        if due <= top and not self.retained(due):
             first = self.first_retained()
-            if first is not None and after + 1 < first:
-                raise fault(FELL_BEHIND, f"subscription fell behind by {first - after - 1} entries")
-        wanted = range(after + 1, top + 1)
-        if 0 < len(wanted) <= _FEW_EPOCHS:
-            folders = [f"{self.data_path}/{self.key}={n}" for n in wanted if self.retained(n)]
-            if folders:
-                return reader.option("basePath", self.data_path).parquet(*folders).where((key > after) & (key <= top))
-        return reader.parquet(self.data_path).where((key > after) & (key <= top))
+            if first is None or due < first:
+                lost = (top + 1 if first is None else min(first, top + 1)) - due
+                raise fault(FELL_BEHIND, f"{lost} commits from {due} on are no longer kept")
+        key = F.col(self.key)
+        rows = self._spark.read.schema(self.stored_schema).parquet(self.data_path)
+        return rows.where((key >= due) & (key <= top))
 
     # -- retention -------------------------------------------------------
 
@@ -218,6 +274,7 @@ class EpochTable:
         last = self.last()
         if last is None:
             return 0
+        self.settle()
         prefix, dropped = f"{self.key}=", 0
         for name in self._storage.names(self.data_path):
             if name.startswith(prefix) and int(name[len(prefix):]) <= last - keep:

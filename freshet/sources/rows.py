@@ -16,20 +16,21 @@ from freshet.errors import UNSUPPORTED, fault
 from freshet.functions.cells import MIXED
 
 ROW_ID = "_row"
-_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-_MILLISECOND = dt.timedelta(milliseconds=1)
 _WIDEST = 10**38 - 1
 _ROWS_PER_TASK = 100_000
 
 
 def mixed_cell(value: Any) -> dict | None:
-    """One Python value as a cell that keeps its kind; dates become milliseconds."""
+    """One Python value as a cell that keeps its kind."""
     if value is None:
         return None
     if isinstance(value, bool):
         return {"kind": "boolean", "flag": value}
     if isinstance(value, int):
-        return {"kind": "bigint", "integer": decimal.Decimal(max(-_WIDEST, min(_WIDEST, value)))}
+        if abs(value) > _WIDEST:
+            # Beyond what any column holds: refused later, under its own digits.
+            return {"kind": "huge", "text": str(value)}
+        return {"kind": "bigint", "integer": decimal.Decimal(value)}
     if isinstance(value, float):
         return {"kind": "number", "number": value}
     if isinstance(value, decimal.Decimal):
@@ -39,7 +40,7 @@ def mixed_cell(value: Any) -> dict | None:
         return {"kind": "string", "text": value}
     if isinstance(value, dt.datetime):
         aware = value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)
-        return mixed_cell((aware - _EPOCH) // _MILLISECOND)
+        return {"kind": "date", "moment": aware}
     if isinstance(value, dt.date):
         return mixed_cell(dt.datetime(value.year, value.month, value.day))
     return {"kind": "object"}

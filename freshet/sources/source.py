@@ -11,10 +11,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from freshet.errors import BAD_CONFIG, WRITER_CLOSED, fault
 from freshet.functions.logical import check_schema
-from freshet.operators.conform import conform
+from freshet.operators.conform import RAW, REJECT, conform
 from freshet.session import Storage
 from freshet.sources.arrow_ipc import read_ipc_files, table_of
 from freshet.sources.epoch_table import EpochTable
@@ -22,10 +23,18 @@ from freshet.sources.rows import ROW_ID, rows_frame
 
 APPEND_ID = "append_id"
 _HEARTBEAT = "_heartbeat"
+_REFUSED = "_refused"
+# A file counts however old it is: copies and backfills keep old times.
+_ANY_AGE = "365000d"
 # Earlier than any event: a bound that keeps a filter above the watermark.
 _BEFORE_ALL = dt.datetime(1, 1, 2)
 
 
+def _reader(session: SparkSession, schema: T.StructType, max_files: int | None) -> DataStreamReader:
+    reader = session.readStream.schema(schema).option("maxFileAge", _ANY_AGE)
+    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+
+
 class Source:
     """Rows at ``path`` in a declared schema, read bounded or as a stream.
 
@@ -69,13 +78,12 @@ class Source:
         return re.sub(r"^\w+:(//[^/]*)?", "", folder)
 
     def _rows_stream(self, session: SparkSession, max_files: int | None) -> DataFrame:
-        reader = session.readStream.schema(self.schema)
-        if max_files:
-            reader = reader.option("maxFilesPerTrigger", max_files)
+        reader = _reader(session, self.schema, max_files)
         if self._storage.is_file(self.path):
             folder, name = self.path.rsplit("/", 1)
             return reader.option("pathGlobFilter", name).parquet(folder)
-        return reader.parquet(self.path)
+        # Folders named like partitions add columns that were not declared.
+        return reader.parquet(self.path).select(*self.schema.names)
 
     def stream(self, session: SparkSession | None = None, max_files: int | None = None) -> DataFrame:
         """The rows as a stream, with the declared watermark if there is one.
@@ -92,7 +100,7 @@ class Source:
         time = self.watermark_column
         if not self.heartbeat_path:
             return rows.withWatermark(time, self.delay)
-        beats = session.readStream.schema("millis bigint").json(self.heartbeat_path)
+        beats = _reader(session, T.StructType([T.StructField("millis", T.LongType())]), None).json(self.heartbeat_path)
         beats = beats.select(F.timestamp_millis("millis").alias(time))
         blank = [
             F.col(time) if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields
@@ -143,18 +151,14 @@ class StoredSource(Source):
         beats = f"{path}/heartbeats" if watermark_column else None
         super().__init__(spark, name, schema, f"{path}/data", watermark_column, delay, beats)
         self.table = EpochTable(spark, path, schema, APPEND_ID)
-        self._newest_us: int | None = None
-        self._recovered = False
 
     def bounded(self, upto: int | None = None) -> DataFrame:
         """The rows accepted so far, or up to one append."""
         return self.table.read(upto=upto).drop(APPEND_ID)
 
     def _rows_stream(self, session: SparkSession, max_files: int | None) -> DataFrame:
-        reader = session.readStream.schema(self.table.stored_schema)
-        if max_files:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.path).drop(APPEND_ID)
+        self.table.settle()
+        return _reader(session, self.table.stored_schema, max_files).parquet(self.path).drop(APPEND_ID)
 
     def watermark(self) -> int | None:
         """How far event time has come: newest row or heartbeat, in milliseconds."""
@@ -168,44 +172,28 @@ class StoredSource(Source):
             self.heartbeat(reached)
 
     def _newest_event(self) -> int | None:
-        if self._newest_us is None and self.table.last() is not None:
-            self._newest_us = self.table.log().agg(F.max("max_event_us").alias("newest")).first()["newest"]
-        return self._newest_us
+        """The newest event time of all appends, as the last entry has it."""
+        last = self.table.last()
+        if last is None:
+            return None
+        entry = self.table.entry(last)
+        seen = [us for us in (entry["newest_before_us"], entry["max_event_us"]) if us is not None]
+        return max(seen, default=None)
 
     # -- writing ---------------------------------------------------------
 
-    def _next(self) -> int:
-        """The number of the next append.
-
-        Streams read the rows as files and do not wait for the log, so rows a
-        dead writer had finished may be in a stream already. They are taken
-        into the log rather than replaced, to keep both readings the same.
-        """
-        last = self.table.last()
-        number = 0 if last is None else last + 1
-        event_time = F.col(self.watermark_column) if self.watermark_column else None
-        if not self._recovered and self.table.adopt(number, event_time):
-            self._newest_us = None
-            number += 1
-        self._recovered = True
-        return number
-
-    def _commit(self, df: DataFrame) -> int:
+    def _commit(self, df: DataFrame) -> dict:
         if self.watermark_column is None:
-            return self.table.commit(df, self._next())["rows"]
-        number = self._next()
-        time, newest, late = F.col(self.watermark_column), self._newest_event(), None
-        if newest is not None:
-            late = time < F.timestamp_micros(F.lit(newest)) - F.expr(f"INTERVAL {self.delay}")
-        entry = self.table.commit(df, number, time, late)
-        seen = [us for us in (newest, entry["max_event_us"]) if us is not None]
-        self._newest_us = max(seen, default=None)
-        return entry["rows"]
+            return self.table.commit(df)
+        time, reached, late = F.col(self.watermark_column), self.watermark(), None
+        if reached is not None:
+            late = time < F.timestamp_millis(F.lit(reached)) - F.expr(f"INTERVAL {self.delay}")
+        return self.table.commit(df, event_time=time, late=late)
 
     def append(self, df: DataFrame) -> int:
         """Append typed rows. Columns must match by name and type, in order."""
         check_schema(self.schema, df.schema)
-        return self._commit(df)
+        return self._commit(df)["rows"]
 
     def insert(self, rows: Iterable[Mapping[str, Any]]) -> int:
         """Append client rows, all or none. Returns the number of rows."""
@@ -213,26 +201,38 @@ class StoredSource(Source):
 
     def insert_frame(self, raw: DataFrame, row_id: str | None = None) -> int:
         """Conform a raw frame and append it, all or none, in one pass."""
-        return self._commit(conform(raw, self.schema, row_id).strict)
+        return self._commit(conform(raw, self.schema, row_id).strict)["rows"]
 
     def insert_accepted(self, raw: DataFrame, rejects_path: str, row_id: str | None = None) -> int:
         """Conform a raw frame, append what passes, keep the rejects aside.
 
-        The rejects go below ``rejects_path`` under the number of the append,
-        so doing it again after a failure replaces them.
+        The judged rows are written once, and both outputs are taken from
+        that, so a row is in one of them whatever ``raw`` would give when run
+        again. The rejects go below ``rejects_path`` under the number of the
+        append.
         """
-        result = conform(raw, self.schema, row_id)
-        result.rejected.write.mode("overwrite").parquet(f"{rejects_path}/{APPEND_ID}={self._next()}")
-        return self._commit(result.accepted)
+        judged = f"{self.table.path}/judged/{uuid.uuid4().hex}"
+        tagged = conform(raw, self.schema, row_id).tagged
+        tagged.withColumn(_REFUSED, F.col(REJECT).isNotNull()).write.partitionBy(_REFUSED).parquet(judged)
+        stored = T.StructType([*tagged.schema.fields, T.StructField(_REFUSED, T.BooleanType())])
+        rows = self._spark.read.schema(stored).parquet(judged)
+        entry = self._commit(rows.where(~F.col(_REFUSED)).select(*self.schema.names))
+        refused = rows.where(_REFUSED).select(
+            f"{RAW}.*",
+            *[F.col(f"{REJECT}.{part}").alias(f"reject_{part}") for part in ("column", "code", "reason")],
+        )
+        refused.write.mode("overwrite").parquet(f"{rejects_path}/{APPEND_ID}={entry[APPEND_ID]}")
+        self._storage.delete(judged)
+        return entry["rows"]
 
     def insert_arrow(self, payload: bytes) -> int:
         """Append a client-held Arrow IPC stream, all batches or none."""
         table = table_of(payload, self.schema)
-        return self._commit(self._spark.createDataFrame(table, self.table.schema))
+        return self._commit(self._spark.createDataFrame(table, self.table.schema))["rows"]
 
     def insert_ipc_files(self, path: str) -> int:
         """Append a folder of Arrow IPC stream files, decoded on the executors."""
-        return self._commit(read_ipc_files(self._spark, path, self.schema))
+        return self._commit(read_ipc_files(self._spark, path, self.schema))["rows"]
 
     def writer(self) -> Writer:
         return Writer(self)

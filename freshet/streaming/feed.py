@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.sources.epoch_table import EpochTable
@@ -41,19 +41,21 @@ def tail(feed: EpochTable, opened_at: int, where: str | Column | None = None) ->
 def lag(log: DataFrame, consumers: DataFrame, retained_from: int) -> DataFrame:
     """Entries each consumer missed for good, as epochs and as rows.
 
-    ``log`` has one row per epoch; ``consumers`` has ``consumer_epoch``, the
-    last epoch the consumer saw. Running totals over the log turn the range
-    between a consumer and the oldest retained epoch into one subtraction.
+    ``log`` has one row per epoch with the rows of all epochs before it;
+    ``consumers`` has ``consumer_epoch``, the last epoch the consumer saw, -1
+    before the first. What it missed lies between the epoch it wants next and
+    the oldest one kept: two entries of the log tell how many rows that is.
     """
-    upto = Window.orderBy(EPOCH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lost = F.when(F.col(EPOCH) < retained_from, F.col("rows"))
-    all_epochs = Window.orderBy(EPOCH).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marks = log.select(
-        F.col(EPOCH).alias("consumer_epoch"),
-        (F.count(lost).over(all_epochs) - F.count(lost).over(upto)).alias("skipped"),
-        (F.coalesce(F.sum(lost).over(all_epochs) - F.sum(lost).over(upto), F.lit(0))).alias("skipped_rows"),
+    kept = log.where(F.col(EPOCH) == retained_from - 1).select(F.col("rows_before") + F.col("rows")).first()
+    before_kept = kept[0] if kept else 0
+    wants = F.col("consumer_epoch") + 1
+    behind = wants < retained_from
+    next_rows = log.select((F.col(EPOCH) - 1).alias("consumer_epoch"), "rows_before")
+    return consumers.join(next_rows, "consumer_epoch", "left").select(
+        "consumer_epoch",
+        F.when(behind, F.lit(retained_from) - wants).otherwise(0).cast("bigint").alias("skipped"),
+        F.when(behind, F.lit(before_kept) - F.col("rows_before")).otherwise(0).cast("bigint").alias("skipped_rows"),
     )
-    return consumers.join(marks, "consumer_epoch", "left")
 
 
 def latest(feed_rows: DataFrame, keys: list[str], epoch: str = EPOCH) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from freshet.sources.epoch_table import EpochTable
@@ -11,22 +13,28 @@ from freshet.streaming.stream import EPOCH, Stream
 class Sink:
     """Copies what the feed gained since the last delivery, each row once.
 
-    A delivery is one commit named after the newest epoch it contains, so a
-    repeated delivery changes nothing.
+    Delivery *n* is commit *n* of the sink's table and says up to which epoch
+    it reaches. Of several at the same time one gets the number; the others
+    see how far it came and go on from there.
     """
 
     def __init__(self, spark: SparkSession, name: str, stream: Stream, path: str):
         self.name = name
         self.stream = stream
-        self.table = EpochTable(spark, path, stream.schema, "upto_epoch")
+        self.table = EpochTable(spark, path, stream.schema, "delivery")
 
     def deliver(self) -> int:
         """Write the epochs not delivered yet; returns the rows written."""
-        newest, done = self.stream.feed.last(), self.table.last()
-        if newest is None or newest == done:
-            return 0
-        rows = self.stream.feed.read(after=done, upto=newest).drop(EPOCH)
-        return self.table.commit(rows, newest)["rows"]
+        while True:
+            newest, last = self.stream.feed.last(), self.table.last()
+            done = self.table.entry(last)["upto"] if last is not None else None
+            if newest is None or newest == done:
+                return 0
+            rows = self.stream.feed.read(after=done, upto=newest).drop(EPOCH)
+            number, mark = (0 if last is None else last + 1), uuid.uuid4().hex
+            entry = self.table.commit(rows, number, upto=newest, claimed_by=mark)
+            if entry.get("claimed_by") == mark:
+                return entry["rows"]
 
     def read(self) -> DataFrame:
-        return self.table.read().drop("upto_epoch")
+        return self.table.read().drop("delivery")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -22,9 +23,10 @@ from freshet.sources.source import Source
 
 EPOCH = "epoch"
 Build = Callable[[dict[str, DataFrame]], DataFrame]
-PROGRESS = "stream string, epoch bigint, source string, input_rows bigint, watermark_ms bigint, duration_ms bigint"
-# Spark keeps the last 100 progress reports of a query; saving twice as often loses none.
-_SAVE_PROGRESS_EVERY = 50
+REPORT = "epoch bigint, source string, input_rows bigint, watermark_ms bigint, duration_ms bigint"
+# State partitions of a stream that names none. The number stays with the
+# stream's state for good; wide state on a large cluster wants more.
+STATE_PARTITIONS = 8
 
 # When a group's row is emitted: whenever it changes, or once its window closed.
 CHANGES, ON_CLOSE = "changes", "on_close"
@@ -53,6 +55,7 @@ class Stream:
     and emission of changes elsewhere. A query with state writes a file per
     state partition and epoch; where its epochs are small and its state is
     wide, ``feed_files`` shuffles the output of an epoch into that many.
+    ``max_files`` bounds the files of each source that one epoch takes in.
     """
 
     def __init__(
@@ -63,7 +66,7 @@ class Stream:
         sources: list[Source],
         query: Build | str,
         emit: str | None = None,
-        state_partitions: int | None = None,
+        state_partitions: int = STATE_PARTITIONS,
         max_files: int | None = None,
         feed_time: str | None = None,
         feed_files: int | None = None,
@@ -94,6 +97,13 @@ class Stream:
         self._mode: str | None = None
         self._recorded = -1
         self.stopped = False
+        # Called after each epoch is in the feed, and again if it is replayed.
+        self.after_epoch: list[Callable[[], object]] = []
+
+    @property
+    def windowed(self) -> bool:
+        """Whether rows behind the watermark are refused, as windows over event time do."""
+        return "window#" in self._output._jdf.queryExecution().analyzed().toString()
 
     def _pin(self) -> None:
         """Refuse another definition over the state of an earlier one."""
@@ -117,12 +127,19 @@ class Stream:
     # -- running ---------------------------------------------------------
 
     def _write(self, batch: DataFrame, epoch: int) -> None:
+        """Put an epoch into the feed. A replayed one runs again and changes nothing.
+
+        The epoch before has been reported by now; its report goes into this
+        epoch's log entry, which is written anyway.
+        """
         time_column = F.col(self._feed_time) if self._feed_time else None
         if self._feed_files:
             batch = batch.repartition(self._feed_files)
-        self.feed.commit(batch, epoch, time_column)
-        if self._query is not None and epoch % _SAVE_PROGRESS_EVERY == 0:
-            self._record(self._query)
+        reports = self._fresh_reports()
+        self.feed.commit(batch, epoch, time_column, reports=reports)
+        self._recorded = max([self._recorded, *(r["epoch"] for r in reports)])
+        for call in self.after_epoch:
+            call()
 
     def _start(self, **trigger) -> StreamingQuery:
         modes = (self._mode,) if self._mode else _MODES[self.emit]
@@ -153,14 +170,16 @@ class Stream:
     def run_available(self) -> Checkpoint:
         """Process what has arrived since the last run, then end (or wait, if running)."""
         began = time.monotonic()
-        if not self.active:
-            self._remind_sources()
-        query = self._query if self.active else self._start(availableNow=True)
-        if query is self._query:
-            query.processAllAvailable()
+        if self.active:
+            self._query.processAllAvailable()
         else:
-            query.awaitTermination()
-            self._record(query)
+            self._remind_sources()
+            self._query = self._start(availableNow=True)
+            try:
+                self._query.awaitTermination()
+            finally:
+                self._record()
+                self._query = None
         epoch = self.feed.last()
         epoch = -1 if epoch is None else epoch
         return Checkpoint(True, epoch + 1, epoch, int((time.monotonic() - began) * 1000))
@@ -179,7 +198,7 @@ class Stream:
     def stop(self) -> None:
         if self._query is not None:
             self._query.stop()
-            self._record(self._query)
+            self._record()
             self._query = None
         self.stopped = True
 
@@ -196,40 +215,43 @@ class Stream:
 
     # -- progress --------------------------------------------------------
 
-    def _record(self, query: StreamingQuery) -> None:
-        """Save the reports of the micro-batches not saved yet."""
-        lines, newest = [], self._recorded
-        for p in query.recentProgress:
+    def _fresh_reports(self) -> list[dict]:
+        """Reports of the micro-batches that ended and are not saved yet."""
+        out = []
+        for p in self._query.recentProgress if self._query is not None else []:
             epoch = p["batchId"]
             if epoch <= self._recorded or not self.feed.has(epoch):
                 continue  # saved before, or an idle report
-            newest = max(newest, epoch)
             mark = (p["eventTime"] or {}).get("watermark")
             for source in self.sources:
-                read = [r["numInputRows"] for r in p["sources"] if r["description"].endswith(f"{source.reads}]")]
-                lines.append(
-                    json.dumps(
-                        {
-                            "stream": self.name,
-                            "epoch": epoch,
-                            "source": source.name,
-                            "input_rows": max(read, default=0),
-                            "watermark_ms": _iso_millis(mark),
-                            "duration_ms": p["durationMs"].get("triggerExecution"),
-                        }
-                    )
+                read = [r["numInputRows"] for r in p["sources"] if _folder(r["description"]) == source.reads]
+                out.append(
+                    {
+                        "epoch": epoch,
+                        "source": source.name,
+                        "input_rows": max(read, default=0),
+                        "watermark_ms": _iso_millis(mark),
+                        "duration_ms": p["durationMs"].get("triggerExecution"),
+                    }
                 )
-        if lines:
+        return out
+
+    def _record(self) -> None:
+        """Save what is left when a query ends: the reports no later epoch carries."""
+        reports = self._fresh_reports()
+        if reports:
             self._storage.mkdirs(f"{self.path}/progress")
-            self._storage.write_text(f"{self.path}/progress/{uuid.uuid4().hex}.json", "\n".join(lines))
-            self._recorded = newest
+            lines = "\n".join(json.dumps(r) for r in reports)
+            self._storage.write_text(f"{self.path}/progress/{uuid.uuid4().hex}.json", lines)
+            self._recorded = max(r["epoch"] for r in reports)
 
     def progress(self) -> DataFrame:
         """One row per micro-batch that ended and source: rows in, watermark, duration."""
-        if self._query is not None:
-            self._record(self._query)
+        self._record()
         self._storage.mkdirs(f"{self.path}/progress")
-        reported = self._spark.read.schema(PROGRESS).json(f"{self.path}/progress")
+        ended = self._spark.read.schema(REPORT).json(f"{self.path}/progress")
+        carried = self.feed.log().select(F.inline("reports"))
+        reported = carried.unionByName(ended).withColumn("stream", F.lit(self.name))
         return reported.groupBy("stream", EPOCH, "source").agg(
             F.max("input_rows").alias("input_rows"),
             F.max("watermark_ms").alias("watermark_ms"),
@@ -237,6 +259,11 @@ class Stream:
         )
 
 
+def _folder(description: str) -> str:
+    """The folder a file source of a query reads, without its scheme."""
+    return re.sub(r"^\w+:(//[^/]*)?", "", description.partition("[")[2].rstrip("]"))
+
+
 def _iso_millis(text: str | None) -> int | None:
     if not text:
         return None

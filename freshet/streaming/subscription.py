@@ -52,7 +52,7 @@ class Subscription:
         first = feed.first_retained()
         if first is not None and due < first:
             self._active = False
-            raise fault(FELL_BEHIND, f"subscription fell behind by {first - due} entries")
+            raise fault(FELL_BEHIND, f"the reader is {first - due} commits behind what is kept")
 
     @property
     def is_active(self) -> bool:

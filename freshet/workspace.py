@@ -6,6 +6,7 @@ import itertools
 import json
 import re
 import time
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -33,7 +34,7 @@ from freshet.operators.results import Result, ResultStream
 from freshet.session import Storage, fresh_path, stream_session
 from freshet.sources.source import StoredSource, Writer
 from freshet.streaming.sink import Sink
-from freshet.streaming.stream import CHANGES, Build, Checkpoint, Stream
+from freshet.streaming.stream import CHANGES, STATE_PARTITIONS, Build, Checkpoint, Stream
 from freshet.streaming.subscription import Frame, PushSubscription, Subscription
 from freshet.streaming.view import MaterializedView
 
@@ -58,12 +59,20 @@ class CheckpointConfig:
 
 @dataclass(frozen=True)
 class Config:
-    """Options of ``open_workspace``. ``storage_dir`` wins over the path argument."""
+    """Options of ``open_workspace``. ``storage_dir`` wins over the path argument.
+
+    ``buffer_size`` is the number of unprocessed rows above whose larger part a
+    source counts as backpressured; ``max_files_per_epoch`` bounds what streams
+    take in at once. A stream keeps the ``state_partitions`` it was made with.
+    """
 
     storage_dir: str | None = None
     checkpoint: CheckpointConfig | None = None
     buffer_size: int = 1_000_000
     incremental_emit: bool = False
+    max_files_per_epoch: int | None = None
+    state_partitions: int = STATE_PARTITIONS
+    feed_files: int | None = None
     object_store_url: str | None = None
     object_store_options: Mapping[str, str] = field(default_factory=dict)
 
@@ -87,9 +96,9 @@ def open_workspace(spark: SparkSession, path: str | None = None, config: Config
     """
     config = config or Config()
     if config.buffer_size <= 0:
-        raise fault(BAD_CONFIG, "invalid configuration: buffer_size must be positive")
+        raise fault(BAD_CONFIG, "buffer_size: a positive number of rows is needed")
     if config.checkpoint and config.checkpoint.interval_ms is not None and config.checkpoint.interval_ms < 0:
-        raise fault(BAD_CONFIG, "invalid configuration: checkpoint.interval_ms must not be negative")
+        raise fault(BAD_CONFIG, "checkpoint.interval_ms: no negative pace is possible")
     for key, value in config.object_store_options.items():
         spark.sparkContext._jsc.hadoopConfiguration().set(key, value)
     place = config.storage_dir or path or config.object_store_url
@@ -109,6 +118,7 @@ class Workspace:
         self._streams: dict[str, Stream] = {}
         self._views: dict[str, MaterializedView] = {}
         self._sinks: dict[str, Sink] = {}
+        self._waiting: defaultdict[str, list[tuple[str, dict]]] = defaultdict(list)
         self._queries: dict[int, ResultStream] = {}
         self._query_ids = itertools.count(1)
         self._subscriptions: list[Subscription] = []
@@ -190,14 +200,19 @@ class Workspace:
     def _restore(self) -> None:
         """Bring back what an earlier workspace declared here."""
         names = self._storage.names(f"{self.root}/catalog")
-        for kind in ("source", "stream"):
+        for kind in ("source", "stream", "view", "sink"):
             for file in sorted(n for n in names if n.startswith(f"{kind}-") and n.endswith(".json")):
                 known = json.loads(self._storage.read_text(f"{self.root}/catalog/{file}"))
                 if kind == "source":
                     schema = T.StructType.fromJson(known["schema"])
                     self._add_source(known["name"], schema, known["watermark_column"], known["delay"])
-                else:
+                elif kind == "stream":
                     self._add_stream(known["name"], known["sql"], known["emit"], known["sources"])
+                elif known.get("stream", known["name"]) in self._streams:
+                    # Streams given as functions come back when they are declared again.
+                    self._add_view(**known) if kind == "view" else self._add_sink(**known)
+                else:
+                    self._waiting[known.get("stream", known["name"])].append((kind, known))
 
     def _add_source(self, name: str, schema: T.StructType, watermark_column: str | None, delay: str) -> StoredSource:
         path = f"{self.root}/sources/{name}"
@@ -230,6 +245,9 @@ class Workspace:
                 [self.source(s) for s in sources],
                 query,
                 emit,
+                state_partitions=self._config.state_partitions,
+                max_files=self._config.max_files_per_epoch,
+                feed_files=self._config.feed_files,
                 checkpoint_path=f"{folder}/{name}" if folder else None,
             )
         except ParseException as error:
@@ -247,6 +265,8 @@ class Workspace:
         if sources is None:
             sources = self._mentioned(query) if isinstance(query, str) else list(self._sources)
         made = self._add_stream(name, query, emit, sources)
+        for kind, known in self._waiting.pop(name, []):
+            self._add_view(**known) if kind == "view" else self._add_sink(**known)
         if isinstance(query, str):
             self._remember("stream", name, {"name": name, "sql": query, "emit": emit, "sources": sources})
         return made
@@ -255,18 +275,46 @@ class Workspace:
         self, name: str, query: Build | str, keys: list[str], sources: list[str] | None = None
     ) -> MaterializedView:
         """Declare a continuous query whose latest row per key is kept."""
-        stream = self.create_stream(name, query, sources, CHANGES)
-        self._views[name] = MaterializedView(self._spark, stream, keys)
+        self.create_stream(name, query, sources, CHANGES)
+        self._remember("view", name, {"name": name, "keys": keys})
+        return self._add_view(name, keys)
+
+    def _add_view(self, name: str, keys: list[str]) -> MaterializedView:
+        self._views[name] = MaterializedView(self._spark, self._streams[name], keys)
+        return self._views[name]
+
+    def view(self, name: str) -> MaterializedView:
+        self._open()
+        if name not in self._views:
+            raise fault(UNKNOWN_NAME, f"no view is named '{name}'")
         return self._views[name]
 
     def create_sink(self, name: str, stream: str, path: str) -> Sink:
-        """Declare a table at ``path`` that receives what ``stream`` emits."""
+        """Declare a table at ``path`` that receives what ``stream`` emits, epoch by epoch."""
         self._defining(name)
-        self._sinks[name] = Sink(self._spark, name, self._stream(stream), path)
+        self._stream(stream)
+        self._remember("sink", name, {"name": name, "stream": stream, "path": path})
+        return self._add_sink(name, stream, path)
+
+    def _add_sink(self, name: str, stream: str, path: str) -> Sink:
+        self._sinks[name] = Sink(self._spark, name, self._streams[stream], path)
+        self._streams[stream].after_epoch.append(self._sinks[name].deliver)
+        return self._sinks[name]
+
+    def sink(self, name: str) -> Sink:
+        self._open()
+        if name not in self._sinks:
+            raise fault(UNKNOWN_NAME, f"no sink is named '{name}'")
         return self._sinks[name]
 
     def _mentioned(self, sql: str) -> list[str]:
-        return [n for n in self._sources if re.search(rf"\b{re.escape(n)}\b", sql, re.I)]
+        """The sources a query reads: the tables its parsed plan refers to."""
+        try:
+            plan = self._spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+        except Exception:
+            return []  # the query itself is refused with the reason
+        named = set(re.findall(r"UnresolvedRelation \[([^\]]+)\]", plan.toString()))
+        return [n for n in self._sources if n.lower() in {m.lower() for m in named}]
 
     # -- statements ------------------------------------------------------
 
@@ -321,7 +369,7 @@ class Workspace:
         if not isinstance(sql, str):
             raise fault(UNSUPPORTED, f"expected SQL text, got {type(sql).__name__}")
         if not _QUERY.match(sql):
-            raise fault(WRONG_STATEMENT, "not a query (DDL or metadata statement)")
+            raise fault(WRONG_STATEMENT, "only statements that return rows can be queried")
         return self._select(sql)
 
     def stream_query(self, sql: str) -> tuple[int, ResultStream]:
@@ -425,7 +473,11 @@ class Workspace:
     def source_metrics(self, name: str) -> DataFrame:
         source = self.source(name)
         return source_metrics(
-            source.table.log(), name, self._config.buffer_size, processed_rows=self._rows_processed(name)
+            source.table.log(),
+            name,
+            self._config.buffer_size,
+            processed_rows=self._rows_processed(name),
+            explicit_watermark=source.explicit_watermark(),
         )
 
     def all_source_metrics(self) -> DataFrame:
@@ -460,7 +512,9 @@ class Workspace:
         sizes = [v.bytes_stored() for v in self._views.values()]
         updates = reduce(DataFrame.unionByName, views).agg(F.sum("mv_updates")).first()[0] if views else 0
         size = reduce(DataFrame.unionByName, sizes).agg(F.sum("mv_bytes_stored")).first()[0] if sizes else 0
-        return pipeline_totals(source_logs, feed_logs).select(
+        refusing = {src.name for s in self._streams.values() if s.windowed for src in s.sources}
+        dropped = [self._sources[name].table.log() for name in sorted(refusing)]
+        return pipeline_totals(source_logs, feed_logs, dropped).select(
             "*",
             F.lit(int((time.monotonic() - self._opened) * 1000)).cast("bigint").alias("uptime_ms"),
             F.lit(self._state).alias("state"),

@@ -48,7 +48,7 @@ def test_integer_bounds(spark, kind, lo, hi):
     assert "v" in got[2] and "v" in got[3]
     assert got[4] is None
     for value, text in ((lo - 1, got[2]), (hi + 1, got[3])):
-        expected = "64-bit signed" if not -(2**63) <= value <= I64 else f"expected integer in {lo}..={hi}, got {value}"
+        expected = "64 bits" if not -(2**63) <= value <= I64 else f"a whole number from {lo} to {hi}, found {value}"
         assert expected in text
 
 
@@ -58,8 +58,8 @@ def test_integer_from_doubles(spark):
     )
     assert got[0] == 1 and got[6] == 2**53 - 1 and got[8] == 0
     for i in (1, 2, 3, 4):
-        assert "expected an integer in" in got[i]
-    assert "2^53-1" in got[5] and "2^53-1" in got[7]
+        assert "a whole number from" in got[i]
+    assert "several integers" in got[5] and "several integers" in got[7]
 
 
 def test_integer_is_exact_in_64_bits(spark):
@@ -75,22 +75,22 @@ def test_mixed_numbers_keep_their_kind(spark):
 def test_boolean_only_from_boolean(spark):
     got = outcome(spark, "v BOOLEAN", [True, False, 1, "true", None])
     assert got[:2] == [True, False] and got[4] is None
-    assert got[2].endswith("expected a boolean, got bigint")
-    assert got[3].endswith("expected a boolean, got string")
+    assert got[2].endswith("needs a boolean, found bigint")
+    assert got[3].endswith("needs a boolean, found string")
 
 
 def test_text_only_from_text(spark):
     got = outcome(spark, "v VARCHAR", ["", "x", 1, 1.5, True])
     assert got[:2] == ["", "x"]
-    assert got[2].endswith("expected a string, got bigint")
-    assert got[3].endswith("expected a string, got number")
-    assert got[4].endswith("expected a string, got boolean")
+    assert got[2].endswith("needs a string, found bigint")
+    assert got[3].endswith("needs a string, found number")
+    assert got[4].endswith("needs a string, found boolean")
 
 
 def test_numbers_never_from_text(spark):
     for kind in ("INT", "DOUBLE"):
-        assert outcome(spark, f"v {kind}", ["12"])[0] == "column 'v': expected a number, got string"
-    assert outcome(spark, "v TIMESTAMP", ["12"])[0].endswith("expected a number of milliseconds, got string")
+        assert outcome(spark, f"v {kind}", ["12"])[0] == "column 'v': needs a number, found string"
+    assert outcome(spark, "v TIMESTAMP", ["12"])[0].endswith("needs a number of milliseconds, found string")
 
 
 def test_float_takes_every_number(spark):
@@ -107,13 +107,13 @@ def test_date_floors(spark):
 
 
 def test_date_out_of_range(spark):
-    assert "date out of range" in outcome(spark, "v DATE", [2**31 * 86_400_000])[0]
-    assert "date out of range" in outcome(spark, "v DATE", [-(2**63)])[0]
+    assert "a day that a date can hold" in outcome(spark, "v DATE", [2**31 * 86_400_000])[0]
+    assert "a day that a date can hold" in outcome(spark, "v DATE", [-(2**63)])[0]
 
 
 def test_temporal_guards(spark):
     got = outcome(spark, "v TIMESTAMP", [math.nan, math.inf, 2.0**53 + 2, 0.0], "double")
-    assert "finite" in got[0] and "finite" in got[1] and "2^53-1" in got[2]
+    assert "finite" in got[0] and "finite" in got[1] and "several integers" in got[2]
     assert got[3] == dt.datetime(1970, 1, 1)
     assert "finite" in outcome(spark, "v DATE", [math.inf], "double")[0]
 
@@ -135,7 +135,7 @@ def test_timestamp_overflow(spark, unit, bound):
     got = tagged.select("_raw.i", F.unix_micros("v").alias("us"), "_reject.reason").orderBy("i").collect()
     assert [r["us"] for r in got] == [bound * 1000, None, -bound * 1000, None, None]
     assert [r["reason"] is None for r in got] == [True, False, True, False, False]
-    assert "out of range" in got[1]["reason"]
+    assert "can hold" in got[1]["reason"]
 
 
 def test_timestamp_seconds_floor(spark):
@@ -150,15 +150,15 @@ def test_moments(spark):
     assert outcome(spark, "v TIMESTAMP", [when], "timestamp") == [when]
     assert outcome(spark, "v DATE", [when], "timestamp") == [when.date()]
     assert outcome(spark, "v BIGINT", [when], "timestamp") == [1704164645678]
-    assert outcome(spark, "v VARCHAR", [when], "timestamp")[0].endswith("expected a string, got date")
-    # Client rows carry milliseconds.
-    assert outcome(spark, "v TIMESTAMP", [when]) == [when.replace(microsecond=678000)]
+    assert outcome(spark, "v VARCHAR", [when], "timestamp")[0].endswith("needs a string, found date")
+    assert outcome(spark, "v TIMESTAMP", [when]) == [when]
+    assert outcome(spark, "v BIGINT", [when]) == [1704164645678]
     assert outcome(spark, "v DATE", [dt.date(1969, 12, 31)]) == [dt.date(1969, 12, 31)]
 
 
 def test_null_only(spark):
     got = outcome(spark, column("v", "null"), [None, 1])
-    assert got[0] is None and "only accepts null" in got[1]
+    assert got[0] is None and "needs null" in got[1]
 
 
 def test_not_null_and_missing_key(spark):
@@ -167,7 +167,7 @@ def test_not_null_and_missing_key(spark):
     result = conform(raw, schema, ROW_ID)
     assert sorted(tuple(r) for r in result.accepted.collect()) == [(1, None), (2, "x")]
     reasons = [r["reject_reason"] for r in result.rejected.orderBy(ROW_ID).collect()]
-    assert reasons == [f"column 'a': null in non-nullable column (row {i})" for i in (0, 1)]
+    assert reasons == [f"column 'a': needs a value, found null (row {i})" for i in (0, 1)]
 
 
 def test_column_absent_from_raw_counts_as_null(spark):
@@ -189,7 +189,7 @@ def test_first_refusing_column_wins_and_summary(spark):
 
 
 def test_objects_are_refused(spark):
-    assert outcome(spark, "v INT", [{"x": 1}, [1]]) == ["column 'v': unsupported row value type: object"] * 2
+    assert outcome(spark, "v INT", [{"x": 1}, [1]]) == ["column 'v': needs a plain value, found object"] * 2
     raw = spark.createDataFrame([([1],)], "v array<int>")
     assert conform(raw, parse_columns("v INT")).rejected.first()["reject_reason"].endswith("object")
 
@@ -206,7 +206,7 @@ def test_strict_fails_with_the_reason(spark):
         conform(raw, parse_columns("v INT")).strict.collect()
     typed = from_task(error.value)
     assert isinstance(typed, IngestionFault)
-    assert typed.message == "column 'v': expected an integer in -2147483648..=2147483647, got 0.5"
+    assert typed.message == "column 'v': needs a whole number from -2147483648 to 2147483647, found 0.5"
 
 
 def test_json_rows(spark):
@@ -232,12 +232,12 @@ def test_json_rows(spark):
     }
     reasons = [r["reject_reason"] for r in result.rejected.orderBy("i").collect()]
     assert reasons == [
-        "column 'a': expected an integer in -2147483648..=2147483647, got 1.5 (row 3)",
-        "column 'a': expected a number, got string (row 4)",
-        "column 'a': integer exceeds the 64-bit signed range: 99999999999999999999 (row 5)",
-        "column 'b': expected a string, got bigint (row 6)",
-        "column 'd': expected a boolean, got bigint (row 7)",
-        "column 'c': unsupported row value type: object (row 8)",
+        "column 'a': needs a whole number from -2147483648 to 2147483647, found 1.5 (row 3)",
+        "column 'a': needs a number, found string (row 4)",
+        "column 'a': needs an integer of 64 bits, found 99999999999999999999 (row 5)",
+        "column 'b': needs a string, found bigint (row 6)",
+        "column 'd': needs a boolean, found bigint (row 7)",
+        "column 'c': needs a plain value, found object (row 8)",
     ]
 
 

@@ -8,9 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from freshet.plans import PLANS
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES = {name: plan.run for name, plan in PLANS.items()}
+ORACLES = {name: plan.oracle for name, plan in PLANS.items() if plan.oracle}
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +42,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and ORACLES.items() <= entry_point.oracle_sql().items()
 
 
 def test_entry(spark):
