@@ -385,7 +385,8 @@ def representatives(
     firsts = written(firsts, "simhash-firsts")
     alone = firsts.join(often, firsts["id"].eqNullSafe(often["id"]), "left_anti").select("id")
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"))
-    single = rows.join(alone, "id", "left_semi").select("row.*")
+    # There are as many ids as groups, which nothing bounds: they are never sent to every task.
+    single = rows.join(alone.hint("merge"), "id", "left_semi").select("row.*")
     shared = rows.withColumn("text", F.col(f"row.{text}")).alias("s")
     shared = shared.join(often.alias("o"), F.col("s.id").eqNullSafe(F.col("o.id")), "left_semi")
 
