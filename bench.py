@@ -39,7 +39,6 @@ BATCH = {
     "late_split": "events",
     "late_counts": "events",
     "pipeline_watermark": "lineitem",
-
 }
 STREAMS = {
     "stream_map": "events",
