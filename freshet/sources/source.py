@@ -23,6 +23,7 @@ from freshet.sources.rows import ROW_ID, rows_frame
 
 APPEND_ID = "append_id"
 _HEARTBEAT = "_heartbeat"
+_KEPT_BEATS = 100
 _REFUSED = "_refused"
 # A file counts however old it is: copies and backfills keep old times.
 _ANY_AGE = "365000d"
@@ -100,7 +101,8 @@ class Source:
         time = self.watermark_column
         if not self.heartbeat_path:
             return rows.withWatermark(time, self.delay)
-        beats = _reader(session, T.StructType([T.StructField("millis", T.LongType())]), None).json(self.heartbeat_path)
+        beats = _reader(session, T.StructType([T.StructField("millis", T.LongType())]), None)
+        beats = beats.option("ignoreMissingFiles", "true").json(self.heartbeat_path)
         beats = beats.select(F.timestamp_millis("millis").alias(time))
         blank = [
             F.col(time) if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields
@@ -123,6 +125,15 @@ class Source:
         # The name carries the value too, so that reading it back is a listing.
         name = f"{millis}_{uuid.uuid4().hex[:12]}.json"
         self._storage.write_text(f"{self.heartbeat_path}/{name}", f'{{"millis": {millis}}}')
+        beats = sorted(self._beats())
+        if len(beats) > 2 * _KEPT_BEATS:
+            # Only the furthest matters; a stream passes over files that went before it read them.
+            for _, old in beats[:-_KEPT_BEATS]:
+                self._storage.delete(f"{self.heartbeat_path}/{old}")
+
+    def _beats(self) -> list[tuple[int, str]]:
+        names = self._storage.names(self.heartbeat_path) if self.heartbeat_path else []
+        return [(int(n.split("_")[0]), n) for n in names if n.endswith(".json") and not n.startswith("_")]
 
     def repeat_event_time(self) -> None:
         """Say again how far event time has come, for queries that start anew."""
@@ -132,8 +143,7 @@ class Source:
 
     def explicit_watermark(self) -> int | None:
         """The furthest heartbeat in epoch milliseconds."""
-        names = self._storage.names(self.heartbeat_path) if self.heartbeat_path else []
-        return max((int(n.split("_")[0]) for n in names if n.endswith(".json") and not n.startswith("_")), default=None)
+        return max((millis for millis, _ in self._beats()), default=None)
 
 
 class StoredSource(Source):

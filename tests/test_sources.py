@@ -360,6 +360,13 @@ def test_work_root_is_the_shared_folder(spark):
     assert work_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_heartbeats_do_not_pile_up(sensors):
+    for millis in range(1000, 1250):
+        sensors.heartbeat(millis)
+    assert len(sensors._storage.names(sensors.heartbeat_path)) <= 201
+    assert sensors.explicit_watermark() == 1249
+
+
 def test_old_files_are_streamed_too(spark):
     path = fresh_path(spark, "old")
     spark.range(20).repartition(2).write.parquet(path)
