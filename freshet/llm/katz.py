@@ -44,7 +44,7 @@ from freshet.llm.common import written
 # Counts up to this are discounted.
 K = 5
 # Tokens of a block, words and pairs asked of a bucket, occurrences of a history in one bucket.
-BLOCK, WORDS, PAIRS, SALT = 4_000_000, 250_000, 1_000_000, 250_000
+BLOCK, WORDS, PAIRS, SALT = 2_000_000, 250_000, 1_000_000, 250_000
 END = b""
 
 _BLOCK = "block long, ids array<long>, train binary, lengths binary, codes binary, words binary, vocabulary long, tokens long"
