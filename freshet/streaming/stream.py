@@ -217,8 +217,13 @@ class Stream:
 
     def _fresh_reports(self) -> list[dict]:
         """Reports of the micro-batches that ended and are not saved yet."""
-        out = []
-        for p in self._query.recentProgress if self._query is not None else []:
+        out, reports = [], []
+        if self._query is not None:
+            newest = self._query.lastProgress
+            # The list of all recent reports is only fetched if one was missed.
+            follows = newest is not None and newest["batchId"] <= self._recorded + 1
+            reports = [newest] if follows else self._query.recentProgress
+        for p in reports:
             epoch = p["batchId"]
             if epoch <= self._recorded or not self.feed.has(epoch):
                 continue  # saved before, or an idle report
