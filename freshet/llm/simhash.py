@@ -11,6 +11,12 @@ links and never its pairs; an oversized bucket is split into pairs of parts
 that different tasks compare. Components come from alternating star steps over
 those forests, each step a written table.
 
+``representatives`` can confirm links: components of near fingerprints are then
+families, within which pairs in the radius are linked only if their sets of
+distinct shingles, as 64-bit hashes, are similar enough. Families are cut into
+cells by rows and shingles; their sets are shuffled once, large families' sets
+once for each part. Equal sets, not equal fingerprints, are one node there.
+
 Defined results: a null text is empty; an empty text has fingerprint zero and
 is linked like any other; repeated rows keep their rows; a component without
 any non-null id has a null id; an empty table gives an empty table. Further
@@ -19,7 +25,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -34,6 +40,8 @@ from freshet.llm.common import written
 SEED = 42
 # Fingerprints compared at once in one task; larger buckets are split.
 PART = 16_384
+# Texts, and shingles, of a family held in one part while links are confirmed.
+SET_ROWS, SET_SHINGLES = 4_096, 1 << 22
 _LANES = 64
 _BATCH = 32_768
 _HASHES = 1 << 15
@@ -74,17 +82,32 @@ def _majority(shingles: list[bytes], lanes: int) -> bytes:
     return b"".join(out)
 
 
-def fingerprint(text: bytes | None, shingle: int, lanes: int = 1) -> bytes:
-    """``lanes`` times eight bytes, little-endian; zero for a text without words.
+def _shingles(text: bytes | None, shingle: int) -> list[bytes]:
+    """Runs of words; a text of fewer words is one.
 
     Bytes split on, and lower-case, ASCII characters only.
     """
     parts = (text or b"").lower().split()
-    if not parts:
-        return bytes(8 * lanes)
     if len(parts) < shingle:
-        return _majority([b" ".join(parts)], lanes)
-    return _majority([b" ".join(w) for w in zip(*[parts[k:] for k in range(shingle)], strict=False)], lanes)
+        return [b" ".join(parts)] if parts else []
+    return [b" ".join(w) for w in zip(*[parts[k:] for k in range(shingle)], strict=False)]
+
+
+def fingerprint(text: bytes | None, shingle: int, lanes: int = 1) -> bytes:
+    """``lanes`` times eight bytes, little-endian; zero for a text without words."""
+    found = _shingles(text, shingle)
+    return _majority(found, lanes) if found else bytes(8 * lanes)
+
+
+def hashed(text: bytes | None, shingle: int) -> np.ndarray:
+    """The hashes of the distinct shingles of a text, ascending."""
+    found = set(_shingles(text, shingle))
+    return np.sort(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64, len(found)))
+
+
+def mark_of(hashes: np.ndarray) -> bytes:
+    """Sixteen bytes that name a set of shingles."""
+    return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
 def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, lanes: int = 1) -> DataFrame:
@@ -102,6 +125,25 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, lanes: int
     )
 
 
+def marked(docs: DataFrame, key: str, text: str, shingle: int, lanes: int) -> DataFrame:
+    """``id``, ``fp``, and the name ``mark`` and size ``shingles`` of the set of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, marks, sizes = [], [], []
+            for t in batch.column(1).cast(pa.binary()).to_pylist():
+                hashes = hashed(t, shingle)
+                fps.append(fingerprint(t, shingle, lanes))
+                marks.append(mark_of(hashes))
+                sizes.append(len(hashes))
+            found = [pa.array(fps, pa.binary()), pa.array(marks, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["id", "fp", "mark", "shingles"])
+
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
+        run, "id long, fp binary, mark binary, shingles long"
+    )
+
+
 def planes_of(blocks: np.ndarray) -> np.ndarray:
     """Bit planes (blocks, bits) of fingerprints given as (blocks, 64 lanes, bytes)."""
     bits = np.unpackbits(blocks, axis=2, bitorder="little")
@@ -166,10 +208,41 @@ def _hook(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return labels
 
 
-def forest(fps: np.ndarray, cells: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def confirming(codes: np.ndarray, edges: np.ndarray, similarity: float) -> Callable:
+    """A ``_hook`` that joins only rows whose sets have this Jaccard similarity.
+
+    Row r has the distinct codes ``codes[edges[r]:edges[r + 1]]``. Rows that
+    are joined already are not compared. Equal ``a`` must be adjacent.
+    """
+    held = np.zeros(int(codes.max()) + 1 if len(codes) else 1, dtype=bool)
+    sizes = np.diff(edges)
+
+    def join(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        cuts = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True]) if len(a) else []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            row, others = a[lo], b[lo:hi]
+            others = others[(labels[others] != labels[row]) & (sizes[others] > 0)]
+            small, large = np.minimum(sizes[row], sizes[others]), np.maximum(sizes[row], sizes[others])
+            others = others[small / large >= similarity]
+            if not len(others):
+                continue
+            mine = codes[edges[row] : edges[row + 1]]
+            held[mine] = True
+            theirs = np.concatenate([codes[edges[o] : edges[o + 1]] for o in others])
+            shared = np.add.reduceat(held[theirs], np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+            held[mine] = False
+            alike = others[shared / (sizes[row] + sizes[others] - shared) >= similarity]
+            labels = _hook(labels, np.full(len(alike), row), alike)
+        return labels
+
+    return join
+
+
+def forest(fps: np.ndarray, cells: np.ndarray, radius: int, join: Callable = _hook) -> tuple[np.ndarray, np.ndarray]:
     """Links (row, least row of its component) over rows of the same cell within the radius.
 
-    ``fps``: (rows, bytes); ``cells``: the cell of each row, equal ones adjacent.
+    ``fps``: (rows, bytes); ``cells``: the cell of each row, equal ones adjacent;
+    ``join`` gets the pairs within the radius.
     """
     n, width = fps.shape
     bounds = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1], True])
@@ -201,7 +274,7 @@ def forest(fps: np.ndarray, cells: np.ndarray, radius: int) -> tuple[np.ndarray,
             pair, place = np.nonzero(lane)
             a, b = rows[hit][pair], first[block[hit]][pair] + place
             real = (b > a) & (b < last[block[hit]][pair])
-            labels = _hook(labels, a[real], b[real])
+            labels = join(labels, a[real], b[real])
         done = upto
     linked = np.flatnonzero(labels != np.arange(n))
     return linked, labels[linked]
@@ -214,56 +287,26 @@ def _keys(fps: np.ndarray, tables: list[list[int]]) -> np.ndarray:
     return np.stack([(k << 48) | bits[:, t] @ w for k, (t, w) in enumerate(zip(tables, weights, strict=True))], axis=1)
 
 
-def links(nodes: DataFrame, radius: int, tables: list[list[int]], part: int = PART) -> DataFrame:
-    """Links ``u``, ``v`` whose components are those of all pairs within the radius.
+def _by_cell(packed: DataFrame, first: str, compare: Callable) -> DataFrame:
+    """Links ``u``, ``v`` that ``compare`` finds in rows sorted by cell: ``first``, ``p``, ``q``.
 
-    ``nodes`` has one row per fingerprint ``fp``. A bucket of more than ``part``
-    rows is cut into parts, and each pair of parts is a cell of its own.
+    ``compare`` takes a table of whole cells and the cell of each row, and gives
+    the rows' names and the links (row, row).
     """
+    keys = (first, "p", "q")
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = batch.column(0)
-            fps = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            keys = _keys(fps, tables).ravel()
-            at = pa.array(np.repeat(np.arange(batch.num_rows), len(tables)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), raw.take(at)], ["bucket", "fp"])
-
-    dealt = nodes.select("fp").mapInArrow(deal, "bucket long, fp binary")
-    crowded = (
-        nodes.select("fp")
-        .mapInArrow(deal, "bucket long, fp binary")
-        .groupBy("bucket")
-        .agg(F.count("*").alias("size"))
-        .where(F.col("size") > part)
-        .select("bucket", F.ceil(F.col("size") / part).cast("int").alias("parts"))
-    )
-    mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    cells = (
-        dealt.join(written(crowded, "simhash-crowded"), "bucket", "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("bucket", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "fp")
-    )
-    packed = cells.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "fp")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
             table = pa.Table.from_batches(rows).combine_chunks()
-            fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), np.uint8).reshape(table.num_rows, -1)
             same = np.ones(table.num_rows - 1, dtype=bool)
-            for name in ("bucket", "p", "q"):
+            for name in keys:
                 value = table.column(name).to_numpy()
                 same &= value[1:] == value[:-1]
-            a, b = forest(fps, np.cumsum(np.r_[False, ~same]), radius)
+            names, a, b = compare(table, np.cumsum(np.r_[False, ~same]))
             if not len(a):
                 return None
-            names = table.column("fp")
             return pa.RecordBatch.from_arrays(
                 [names.take(pa.array(a)).combine_chunks(), names.take(pa.array(b)).combine_chunks()], ["u", "v"]
             )
@@ -271,14 +314,14 @@ def links(nodes: DataFrame, radius: int, tables: list[list[int]], part: int = PA
         def last_cell(batch: pa.RecordBatch) -> int:
             """Where the last cell of a batch begins."""
             differs = np.zeros(batch.num_rows, dtype=bool)
-            for name in ("bucket", "p", "q"):
+            for name in keys:
                 value = batch.column(name).to_numpy()
                 differs |= value != value[-1]
             ends = np.flatnonzero(differs)
             return int(ends[-1]) + 1 if len(ends) else 0
 
         def cell(batch: pa.RecordBatch, row: int) -> tuple:
-            return tuple(batch.column(name)[row].as_py() for name in ("bucket", "p", "q"))
+            return tuple(batch.column(name)[row].as_py() for name in keys)
 
         for batch in batches:
             if not batch.num_rows:
@@ -300,7 +343,50 @@ def links(nodes: DataFrame, radius: int, tables: list[list[int]], part: int = PA
             if found is not None:
                 yield found
 
-    return packed.mapInArrow(compare, "u binary, v binary").distinct()
+    return packed.mapInArrow(run, "u binary, v binary")
+
+
+def links(nodes: DataFrame, radius: int, tables: list[list[int]], part: int = PART) -> DataFrame:
+    """Links ``u``, ``v`` whose components are those of all pairs within the radius.
+
+    ``nodes`` has one row per fingerprint ``fp``. A bucket of more than ``part``
+    rows is cut into parts, and each pair of parts is a cell of its own.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = batch.column(0)
+            fps = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            keys = _keys(fps, tables).ravel()
+            at = pa.array(np.repeat(np.arange(batch.num_rows), len(tables)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), raw.take(at)], ["bucket", "fp"])
+
+    dealt = nodes.select("fp").mapInArrow(deal, "bucket long, fp binary")
+    crowded = (
+        nodes.select("fp")
+        .mapInArrow(deal, "bucket long, fp binary")
+        .groupBy("bucket")
+        .agg(F.count("*").alias("size"))
+        .where(F.col("size") > part)
+        .select("bucket", F.ceil(F.col("size") / part).cast("int").alias("parts"))
+    )
+    mine = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    cells = (
+        dealt.join(written(crowded, "simhash-crowded"), "bucket", "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
+        .withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("bucket", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "fp")
+    )
+    packed = cells.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "fp")
+
+    def compare(table: pa.Table, cells: np.ndarray) -> tuple:
+        fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        return table.column("fp"), *forest(fps, cells, radius)
+
+    return _by_cell(packed, "bucket", compare).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -362,42 +448,113 @@ def groups(
     return prints.join(by_print, "fp").select("id", "fp", "component")
 
 
-def representatives(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    shingle: int = 4,
-    radius: int = 4,
-    lanes: int = 1,
-    tables: list[list[int]] | None = None,
-) -> DataFrame:
-    """One row of each group, with all its columns: one of the least id.
+def _wanted_rows(docs: DataFrame, key: str, text: str, wanted: DataFrame, often: DataFrame, mark: Callable) -> DataFrame:
+    """The columns of ``wanted``, and a row of ``docs`` as ``row``, for each of its ids and marks.
 
     An id of one row alone names its row, so texts are joined by id. Rows that
-    share an id, or have none, are told apart by their fingerprint, made again
-    for them alone; of rows that agree in both, any one stays.
+    share an id, or have none (``often``), are told apart by ``mark`` of their
+    text, made again for them alone; of rows that agree in both, any one stays.
     """
-    prints, rooted = _rooted(docs, key, text, shingle, radius, lanes, tables)
-    least = F.min(F.struct(F.col("least").isNull(), F.col("least").alias("id"), F.col("fp"))).alias("first")
-    firsts = rooted.groupBy("root").agg(least).select("first.id", "first.fp")
-    often = prints.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select("id")
-    often = written(often, "simhash-repeated-ids")
-    firsts = written(firsts, "simhash-firsts")
-    alone = firsts.join(often, firsts["id"].eqNullSafe(often["id"]), "left_anti").select("id")
+    alone = wanted.join(often, wanted["id"].eqNullSafe(often["id"]), "left_anti")
     rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"))
     # There are as many ids as groups, which nothing bounds: they are never sent to every task.
-    single = rows.join(alone.hint("merge"), "id", "left_semi").select("row.*")
+    single = rows.join(alone.hint("merge"), "id").select(*wanted.columns, "row")
     shared = rows.withColumn("text", F.col(f"row.{text}")).alias("s")
     shared = shared.join(often.alias("o"), F.col("s.id").eqNullSafe(F.col("o.id")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            found = pa.array([fingerprint(t, shingle, lanes) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), found], ["row", "id", "fp"])
+            found = pa.array([mark(t) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), found], ["row", "id", "mark"])
 
-    schema = StructType([shared.schema["row"], StructField("id", LongType()), StructField("fp", BinaryType())])
+    schema = StructType([shared.schema["row"], StructField("id", LongType()), StructField("mark", BinaryType())])
     told = shared.mapInArrow(run, schema).alias("s")
-    same = F.col("s.id").eqNullSafe(F.col("f.id")) & (F.col("s.fp") == F.col("f.fp"))
-    kept = told.join(firsts.alias("f"), same, "left_semi").groupBy("id", "fp").agg(F.first("row").alias("row"))
-    return single.unionByName(kept.select("row.*"))
+    same = F.col("s.id").eqNullSafe(F.col("f.id")) & (F.col("s.mark") == F.col("f.mark"))
+    kept = told.join(wanted.alias("f"), same).select("f.*", "row").groupBy(*wanted.columns).agg(F.first("row").alias("row"))
+    return single.unionByName(kept)
+
+
+def _repeated(prints: DataFrame) -> DataFrame:
+    """The ids that do not name a row."""
+    often = prints.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select("id")
+    return written(often, "simhash-repeated-ids")
+
+
+def _confirmed(
+    docs: DataFrame, key: str, text: str, shingle: int, radius: int, lanes: int, tables, similarity: float
+) -> tuple:
+    """Ids that do not name a row; and for each set of shingles its least id and its component's root."""
+    tables = tables or exact_tables(64 * lanes, radius, radius + 2)
+    prints = written(marked(docs, key, text, shingle, lanes), "simhash")
+    often = _repeated(prints)
+    least = [F.min("id").alias("least"), F.min("fp").alias("fp"), F.first("shingles").alias("shingles")]
+    nodes = written(prints.groupBy("mark").agg(*least), "simhash-nodes")
+    met = links(written(nodes.select("fp").distinct(), "simhash-prints"), radius, tables)
+    stars = components(written(met, "simhash-links")).withColumnRenamed("node", "fp")
+    # Two families of one hash are compared as one.
+    family = F.xxhash64(F.coalesce("root", "fp")).alias("family")
+    named = written(nodes.join(stars, "fp", "left").select("mark", "least", "fp", "shingles", family), "simhash-families")
+    parts = F.greatest(F.ceil(F.count("*") / SET_ROWS), F.ceil(F.sum("shingles") / SET_SHINGLES)).cast("int")
+    many = named.groupBy("family").agg(F.count("*").alias("n"), parts.alias("parts")).where("n > 1").drop("n")
+    wanted = named.join(written(many, "simhash-many"), "family")
+    wanted = written(wanted.select(F.col("least").alias("id"), "mark", "fp", "family", "parts"), "simhash-wanted")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = _wanted_rows(texts, "key", "text", wanted, often, lambda t: mark_of(hashed(t, shingle)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [hashed(t, shingle).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            rest = ["mark", "fp", "family", "parts"]
+            columns = [batch.column(name) for name in rest]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], [*rest, "hashes"])
+
+    sets = texts.select("mark", "fp", "family", "parts", "row.text").mapInArrow(
+        run, "mark binary, fp binary, family long, parts int, hashes binary"
+    )
+    cells = (
+        sets.withColumn("mine", F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("family", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mark", "fp", "hashes")
+    )
+    packed = cells.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "mark")
+
+    def compare(table: pa.Table, cells: np.ndarray) -> tuple:
+        fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        raw = table.column("hashes").to_pylist()
+        edges = np.cumsum([0, *(len(x) // 8 for x in raw)])
+        codes = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)[1]
+        return table.column("mark"), *forest(fps, cells, radius, confirming(codes, edges, similarity))
+
+    near = components(written(_by_cell(packed, "family", compare).distinct(), "simhash-confirmed"))
+    root = F.coalesce("root", "mark").alias("root")
+    return often, named.join(near.withColumnRenamed("node", "mark"), "mark", "left").select("mark", "least", root)
+
+
+def representatives(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 4,
+    radius: int = 4,
+    lanes: int = 1,
+    tables: list[list[int]] | None = None,
+    similarity: float | None = None,
+) -> DataFrame:
+    """One row of each group, with all its columns: one of the least id.
+
+    With ``similarity`` a pair is linked only if, besides its fingerprints, its
+    sets of distinct shingles have that Jaccard similarity at least.
+    """
+    if similarity is None:
+        prints, rooted = _rooted(docs, key, text, shingle, radius, lanes, tables)
+        often, rooted = _repeated(prints), rooted.withColumnRenamed("fp", "mark")
+    else:
+        often, rooted = _confirmed(docs, key, text, shingle, radius, lanes, tables, similarity)
+    least = F.min(F.struct(F.col("least").isNull(), F.col("least").alias("id"), F.col("mark"))).alias("first")
+    firsts = written(rooted.groupBy("root").agg(least).select("first.id", "first.mark"), "simhash-firsts")
+
+    def mark(t: bytes | None) -> bytes:
+        return fingerprint(t, shingle, lanes) if similarity is None else mark_of(hashed(t, shingle))
+
+    return _wanted_rows(docs, key, text, firsts, often, mark).select("row.*")

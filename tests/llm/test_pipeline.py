@@ -154,3 +154,66 @@ def test_every_operator_has_its_query():
     for n in range(1, 11):
         assert len([q for q in found if q.startswith(f"op{n}_")]) == 1
     assert set(entry_point.oracle_sql()) <= set(found)
+
+
+def family(count, own, seed=5):
+    """Texts over one template of 300 words, in each of which ``own`` words in runs are its own."""
+    draw = random.Random(seed)
+    template = [f"{draw.choice('abcdefghij')}word{k}" for k in range(300)]
+    out = []
+    for n in range(count):
+        words = list(template)
+        at = draw.randrange(300 - own)
+        words[at : at + own] = [f"own{n}x{k}" for k in range(own)]
+        out.append(" ".join(words))
+    return out
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def alike(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def test_templates_below_the_similarity_stay(spark):
+    # Runs of 45 words of their own: pairs are at about 0.7, near the fingerprints' radius.
+    texts = family(60, 45)
+    near = family(20, 8, seed=6)
+    assert min(alike(a, b) for a in near for b in near) >= 0.8
+    rows = [(k, t, None, None, None) for k, t in enumerate(texts + near)]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "")
+    prints = [int.from_bytes(simhash.fingerprint(t.encode(), 5, 4), "little") for t in texts]
+    assert sum((a ^ b).bit_count() <= corpus_pipeline.NEAR["radius"] for a in prints for b in prints) > 60
+    want = kept_by_similarity(texts + near)
+    assert len(want) > 30
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
+def kept_by_similarity(texts):
+    """Places of the first of each group of texts whose pairs are similar enough."""
+    sets = [shingles(t) for t in texts]
+    first = list(range(len(texts)))
+    for b in range(len(sets)):
+        for a in range(b):
+            if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                low, high = sorted((first[a], first[b]))
+                first = [low if x == high else x for x in first]
+    return sorted(set(first))
+
+
+def test_near_copies_match_exact_similarity(spark):
+    rows = [r for r in documents() if good(r[1])]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA).repartition(5), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [rows[k][0] for k in kept_by_similarity([r[1] for r in rows])]
+
+
+def test_families_in_parts_match_exact_similarity(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SET_ROWS", 7)
+    texts = family(30, 45) + family(15, 8, seed=6)
+    rows = [(k, t, None, None, None) for k, t in enumerate(texts)]
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == kept_by_similarity(texts)
