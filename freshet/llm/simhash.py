@@ -93,9 +93,13 @@ def _shingles(text: bytes | None, shingle: int) -> list[bytes]:
     return [b" ".join(w) for w in zip(*[parts[k:] for k in range(shingle)], strict=False)]
 
 
-def fingerprint(text: bytes | None, shingle: int, lanes: int = 1) -> bytes:
-    """``lanes`` times eight bytes, little-endian; zero for a text without words."""
+def fingerprint(text: bytes | None, shingle: int, lanes: int = 1, repeats: bool = True) -> bytes:
+    """``lanes`` times eight bytes, little-endian; zero for a text without words.
+
+    Without ``repeats`` each distinct shingle votes once.
+    """
     found = _shingles(text, shingle)
+    found = found if repeats else list(set(found))
     return _majority(found, lanes) if found else bytes(8 * lanes)
 
 
@@ -133,7 +137,7 @@ def marked(docs: DataFrame, key: str, text: str, shingle: int, lanes: int) -> Da
             fps, marks, sizes = [], [], []
             for t in batch.column(1).cast(pa.binary()).to_pylist():
                 hashes = hashed(t, shingle)
-                fps.append(fingerprint(t, shingle, lanes))
+                fps.append(fingerprint(t, shingle, lanes, repeats=False))
                 marks.append(mark_of(hashes))
                 sizes.append(len(hashes))
             found = [pa.array(fps, pa.binary()), pa.array(marks, pa.binary()), pa.array(sizes, pa.int64())]
@@ -544,7 +548,8 @@ def representatives(
     """One row of each group, with all its columns: one of the least id.
 
     With ``similarity`` a pair is linked only if, besides its fingerprints, its
-    sets of distinct shingles have that Jaccard similarity at least.
+    sets of distinct shingles have that Jaccard similarity at least; repeats of a
+    shingle then have no vote in the fingerprint either.
     """
     if similarity is None:
         prints, rooted = _rooted(docs, key, text, shingle, radius, lanes, tables)

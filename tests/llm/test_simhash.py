@@ -134,3 +134,23 @@ def test_similar_texts_meet_at_production_settings(spark):
     kept = {r["doc_id"] for r in simhash.representatives(docs, **NEAR).collect()}
     assert all(2 * k in kept for k in range(pairs))
     assert sum(2 * k + 1 in kept for k in range(pairs)) <= 3
+
+
+def test_repeats_vote_only_where_wanted():
+    draw = random.Random(8)
+    line = [f"line{k}" for k in range(12)]
+
+    def long(n):
+        """5,000 words, a fifth of them one line."""
+        runs = [[f"t{n}x{draw.randrange(10**9)}" for _ in range(48)] + line for _ in range(83)]
+        return " ".join(w for run in runs for w in run).encode()
+
+    def apart(a, b):
+        return (int.from_bytes(a, "little") ^ int.from_bytes(b, "little")).bit_count()
+
+    texts = [long(n) for n in range(8)]
+    pairs = [(a, b) for a in range(8) for b in range(a)]
+    voted = [simhash.fingerprint(t, 5, 4) for t in texts]
+    once = [simhash.fingerprint(t, 5, 4, repeats=False) for t in texts]
+    assert sum(apart(voted[a], voted[b]) <= 62 for a, b in pairs) > len(pairs) / 2
+    assert min(apart(once[a], once[b]) for a, b in pairs) > 80
