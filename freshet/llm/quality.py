@@ -141,7 +141,8 @@ def sample(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> Data
     """About ``rows`` texts, drawn from the whole table with a fixed seed."""
     total = docs.count()
     share = min(1.0, rows / total) if total else 1.0
-    return written(docs.select(F.col(text).alias("text")).sample(False, share, 42).coalesce(2), "quality-sample")
+    # Drawn by as many tasks as read the table; only the sampled rows are moved.
+    return written(docs.select(F.col(text).alias("text")).sample(False, share, 42).repartition(2), "quality-sample")
 
 
 def ordered(checks: list[Rule], texts: DataFrame) -> list[Rule]:

@@ -80,3 +80,12 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     text = quality.measured(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
+
+
+def test_sample_is_drawn_by_every_task_of_the_scan(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(quality, "written", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or df)
+    docs = spark.createDataFrame([(f"text {k}",) for k in range(4_000)], "text string").repartition(8)
+    got = quality.sample(docs, rows=1_000)
+    assert "Coalesce" not in plans[0] and "RoundRobinPartitioning(2)" in plans[0]
+    assert 800 < got.count() < 1_200 and got.rdd.getNumPartitions() == 2
