@@ -45,8 +45,9 @@ _SCHEMES = ("http://", "https://", "ftp://", "ssh://", "smb://", "postgres://",
 _KEYS = ("AKIA", "ASIA", "ghp_", "xoxb-", "xoxp-")
 _ACCOUNT = re.compile(r"[\x20\t]{0,3}(?:(?:no|nr|num|number|id)\b[.:]?)?[\x20\t]{0,3}[:#=]?[\x20\t]{0,3}([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9]){5,40})")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
-_SECRET = re.compile(r"[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?([^\s\"',;]{6,200})")
-_KEY = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|ghp_[0-9A-Za-z]{36}|xox[bp]-[0-9A-Za-z-]{10,80}")
+_SECRET = re.compile(r"[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?")
+_VALUE = re.compile(r"[^\s\"',;]{6,}")
+_KEY = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|ghp_[0-9A-Za-z]{36}|xox[bp]-[0-9A-Za-z-]{10,}")
 _AUTHORITY = re.compile(r"[^\s/?#\"'<>]*")
 _WORD = re.compile(r"\w")
 
@@ -177,12 +178,16 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
                 out.append((p, SECRET, match.end()))
                 done[SECRET] = match.end()
         elif p == 0 or not _WORD.match(text, p - 1) or text[p - 1] == "_":
-            match = (_ACCOUNT if kind == ACCOUNT else _SECRET).match(text, last + 1)
-            if match and match.start(1) >= done[kind]:
-                length = _account(match[1]) if kind == ACCOUNT else len(match[1])
-                if length:
-                    done[kind] = match.start(1) + length
-                    out.append((match.start(1), kind, done[kind]))
+            if kind == SECRET:
+                # A value has no bound: one that starts within the last is not read again.
+                sign = _SECRET.match(text, last + 1)
+                if sign and sign.end() >= done[SECRET] and (match := _VALUE.match(text, sign.end())):
+                    out.append((match.start(), SECRET, match.end()))
+                    done[SECRET] = match.end()
+            elif (match := _ACCOUNT.match(text, last + 1)) and match.start(1) >= done[ACCOUNT]:
+                if length := _account(match[1]):
+                    done[ACCOUNT] = match.start(1) + length
+                    out.append((match.start(1), ACCOUNT, done[ACCOUNT]))
     out.sort()
     return out
 

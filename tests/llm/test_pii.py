@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from freshet.llm import pii
 from freshet.llm.queries import QUERIES
@@ -93,3 +94,15 @@ def test_edges(spark, tmp_path):
     assert out[3]["base_sha256"] == hashlib.sha256(b"email:0:15").hexdigest() and out[3]["n_email"] == 1
     docs.where("doc_id > 9").write.parquet(f"{tmp_path}/none/documents.parquet")
     assert QUERIES["op10_pii"](spark, f"{tmp_path}/none").count() == 0
+
+
+def test_secrets_of_any_length_are_masked_whole():
+    for size in (6, 200, 201, 1_000, 50_000):
+        assert pii.masked("token: " + "aZ09.-_" * size + " end") == "token: <SECRET> end"
+        assert pii.masked("see xoxb-" + "a1-" * size + "9 end") == "see <SECRET> end"
+    # A value that looks like a cue, and the value after it.
+    assert pii.masked("password=token: abcdefgh") == "password=<SECRET> <SECRET>"
+    for text in ("token=" * 100_000, "xoxb-" * 100_000, "secret:" * 100_000 + " password=x"):
+        began = time.perf_counter()
+        pii.spans(text)
+        assert time.perf_counter() - began < 5
