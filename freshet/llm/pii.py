@@ -5,6 +5,8 @@ signs, digits, and cue words of identifiers. Around each anchor a small parser
 expands to the boundaries of an e-mail address, network address, card, phone,
 account or secret and validates it. Text without anchors is passed once and
 never parsed; every parser moves forward only, so long runs cost linear time.
+Cues count in any case. Values, keys and the blanks before them have no upper
+bound: a span ends where its characters do, so no tail is left unmasked.
 
 Offsets count code points; ends are exclusive. Spans of one kind do not
 overlap, spans of different kinds may. Defined results: a null or empty text
@@ -42,12 +44,13 @@ _CUES = {
     "api key": SECRET, "secret": SECRET, "token": SECRET,
 }
 _SCHEMES = ("http://", "https://", "ftp://", "ssh://", "smb://", "postgres://", "mysql://", "mongodb://", "redis://")
-_KEYS = ("AKIA", "ASIA", "ghp_", "xoxb-", "xoxp-")
-_ACCOUNT = re.compile(r"[\x20\t]{0,3}(?:(?:no|nr|num|number|id)\b[.:]?)?[\x20\t]{0,3}[:#=]?[\x20\t]{0,3}([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9]){5,40})")
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
-_SECRET = re.compile(r"[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?")
+_KEYS = ("akia", "asia", "ghp_", "xoxb-", "xoxp-")
+_ACCOUNT = re.compile(r"[\x20\t]*+(?:(?ai:no|nr|num|number|id)\b[.:]?)?[\x20\t]*+[:#=]?[\x20\t]*+(?=[A-Za-z0-9])")
+_GROUP = re.compile(r"[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*")
+_IBAN = re.compile(r"[A-Za-z]{2}[\x20-]?[0-9][\x20-]?[0-9](?:[\x20-]?[A-Za-z0-9]){11,30}")
+_SECRET = re.compile(r"[\"']?[\x20\t]*+[:=][\x20\t]*+[\"']?")
 _VALUE = re.compile(r"[^\s\"',;]{6,}")
-_KEY = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|ghp_[0-9A-Za-z]{36}|xox[bp]-[0-9A-Za-z-]{10,}")
+_KEY = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}[0-9A-Za-z]*|ghp_[0-9A-Za-z]{36,}|xox[bp]-[0-9A-Za-z-]{10,}")
 _AUTHORITY = re.compile(r"[^\s/?#\"'<>]*")
 _WORD = re.compile(r"\w")
 
@@ -65,8 +68,7 @@ def _automaton() -> ahocorasick.Automaton:
     for key in _KEYS:
         found.add_word(key, (_KEYED, len(key), None))
     for cue, kind in _CUES.items():
-        for form in {cue, cue.upper(), cue.title(), cue.capitalize()}:
-            found.add_word(form, (_CUE, len(form), kind))
+        found.add_word(cue, (_CUE, len(cue), kind))
     found.make_automaton()
     return found
 
@@ -115,24 +117,34 @@ def _iban(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
-def _account(value: str) -> int:
-    """How much of an expanded value is an account number; 0 if none is."""
-    flat, ends = "", []
-    for k, c in enumerate(value):
-        if c not in " -":
-            flat += c.upper()
-            ends.append(k + 1)
-    if match := _IBAN.match(flat):
-        for n in range(match.end(), 14, -1):
+def _account(text: str, start: int) -> int:
+    """Where the account number that begins here ends; ``start`` if none does."""
+    if match := _IBAN.match(text, start):
+        flat, ends = "", []
+        for k, c in enumerate(match[0], start + 1):
+            if c not in " -":
+                flat += c.upper()
+                ends.append(k)
+        for n in range(len(flat), 14, -1):
             if _iban(flat[:n]):
                 return ends[n - 1]
     # Else up to the last group that holds digits: words that follow are text.
-    size = 0
-    for group in re.finditer(r"[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*", value):
-        if not any(c.isdigit() for c in group[0]):
+    end, digits, at = start, 0, start
+    while group := _GROUP.match(text, at):
+        own = sum(c.isdigit() for c in group[0])
+        if not own:
             break
-        size = group.end()
-    return size if sum(c.isdigit() for c in value[:size]) >= 5 else 0
+        digits, end = digits + own, group.end()
+        at = end + (text[end : end + 1] in (" ", "-"))
+        if at == end:
+            break
+    return end if digits >= 5 else start
+
+
+def _lowered(text: str) -> str:
+    """The text in lower case, with every character in its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
 def spans(text: str | None) -> list[tuple[int, int, int]]:
@@ -142,7 +154,7 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
     out: list[tuple[int, int, int]] = []
     done = [0] * len(KINDS)  # where the last match of each kind ended
     numbers = cards = at_sign = 0
-    for last, (anchor, size, kind) in _ANCHORS.iter(text):
+    for last, (anchor, size, kind) in _ANCHORS.iter(_lowered(text)):
         p = last + 1 - size
         if anchor == _DIGIT:
             if p >= numbers:
@@ -184,10 +196,11 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
                 if sign and sign.end() >= done[SECRET] and (match := _VALUE.match(text, sign.end())):
                     out.append((match.start(), SECRET, match.end()))
                     done[SECRET] = match.end()
-            elif (match := _ACCOUNT.match(text, last + 1)) and match.start(1) >= done[ACCOUNT]:
-                if length := _account(match[1]):
-                    done[ACCOUNT] = match.start(1) + length
-                    out.append((match.start(1), ACCOUNT, done[ACCOUNT]))
+            elif (match := _ACCOUNT.match(text, last + 1)) and match.end() >= done[ACCOUNT]:
+                end = _account(text, match.end())
+                if end > match.end():
+                    out.append((match.end(), ACCOUNT, end))
+                    done[ACCOUNT] = end
     out.sort()
     return out
 
