@@ -6,8 +6,10 @@ go on as items to fewer tasks, which pack them best-fit again, and so on up a
 tree. A bin carries its pieces; a sequence holds a bounded number of them.
 
 A task takes a bounded number of items: pieces are packed in runs of at most
-``RUN``, and a round of the tree has one task per ``RUN`` bins. The tree ends
-with one task or when a round merges too few bins to go on.
+``RUN``, and a round of the tree has one task per ``RUN`` bins, dealt anew in
+each. The tree ends with one task or when a round merges no bin. That is soon:
+best fit leaves at most one bin a task that is no more than half full, and of
+two bins that merge one is such a bin.
 
 Defined results: a null or empty text is the end token alone; repeated rows
 are packed as often as they occur; an empty table gives an empty table; extra
@@ -33,8 +35,6 @@ SLACK = 16
 RUN = 100_000
 # Parts whose ids a worker remembers, and the bytes of a part it may remember.
 CACHED, CACHED_BYTES = 300_000, 64
-# A round that saves a smaller share of its bins is the last.
-LEAST_SAVING = 0.02
 
 _PIECE = "struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>"
 _BINS = f"used int, pieces array<{_PIECE}>"
@@ -56,14 +56,26 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+def probes() -> list[str]:
+    """Texts in which tokenizers show how they cut: every plain character beside letters, digits and marks, and white space."""
+    plain = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250))]
+    parts = [f"a{c} {c}9{c}s'{c} Don't{c}WE'LL''s {c}{c}" for c in plain]
+    spaced = ["", " ", "One  two\n\nthree\tfour ", " lead and trail\n", "a\x0bb\x0cc\r\nd", "x\u00a0y \u2003z", "café naïve 12 345 6,7.8 (nine) — ten…"]
+    return spaced + [" ".join(parts[k : k + 20]) for k in range(0, len(parts), 20)]
+
+
 class Ids(dict):
     """Token ids of parts of texts as bytes, four little-endian ones for each.
 
-    The tokenizer splits at white space before anything else, so a text's ids
-    are those of its parts between ASCII white space. Parts of plain characters
+    A tokenizer that splits at white space before anything else gives a text the
+    ids of its parts between ASCII white space. Parts of plain characters
     are cut and given to the tokenizer's model as its own steps would; all
     others go through the whole tokenizer. Short parts are remembered, and
     forgotten together when there are too many.
+
+    Whether a tokenizer works like that is found out when its file is loaded: if
+    any of the ``probes`` gets other ids that way, all texts go through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
@@ -74,7 +86,12 @@ class Ids(dict):
         self._model = self._tokenizer.model
         self._letters = byte_letters()
         self._words: dict[str, bytes] = {}
-        self._four = [k.to_bytes(4, "little") for k in range(self._tokenizer.get_vocab_size())]
+        most = max(self._tokenizer.get_vocab().values(), default=-1)
+        self._four = [k.to_bytes(4, "little") for k in range(most + 1)]
+        self.by_parts = all(self._by_parts(t.encode()) == self._whole(t) for t in probes())
+
+    def _whole(self, text: str) -> bytes:
+        return b"".join([self._four[k] for k in self._tokenizer.encode(text, add_special_tokens=False).ids])
 
     def _word(self, word: str) -> bytes:
         spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
@@ -90,16 +107,19 @@ class Ids(dict):
             words = self._words
             found = b"".join([words.get(w) or self._word(w) for w in _CUT.findall(text.lower())])
         else:
-            found = b"".join([self._four[k] for k in self._tokenizer.encode(text, add_special_tokens=False).ids])
+            found = self._whole(text)
         if len(part) <= CACHED_BYTES:
             self[part] = found
         return found
 
-    def of(self, text: bytes | None) -> bytes:
+    def _by_parts(self, text: bytes) -> bytes:
         for known in (self, self._words):
             if len(known) > CACHED:
                 known.clear()
-        return b"".join(map(self.__getitem__, (text or b"").split()))
+        return b"".join(map(self.__getitem__, text.split()))
+
+    def of(self, text: bytes | None) -> bytes:
+        return self._by_parts(text or b"") if self.by_parts else self._whole((text or b"").decode())
 
 
 _ids: dict[str, Ids] = {}
@@ -185,8 +205,8 @@ def local_bins(docs: DataFrame, tokenizer: str, key: str, text: str, room: int)
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, _BINS)
 
 
-def _merged(bins: DataFrame, tasks: int, room: int) -> DataFrame:
-    """One round of the tree: bins as items, dealt to so many tasks."""
+def _merged(bins: DataFrame, tasks: int, room: int, number: int) -> DataFrame:
+    """One round of the tree: bins as items, dealt to so many tasks, in each round otherwise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: list[tuple[int, list[dict]]] = []
@@ -199,7 +219,7 @@ def _merged(bins: DataFrame, tasks: int, room: int) -> DataFrame:
         if items:
             yield from _packed(items, room)
 
-    return bins.repartition(tasks, F.xxhash64("pieces")).mapInArrow(run, _BINS)
+    return bins.repartition(tasks, F.xxhash64("pieces", F.lit(number))).mapInArrow(run, _BINS)
 
 
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", room: int = TOKENS) -> DataFrame:
@@ -207,12 +227,12 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     full = F.col("used") >= room - SLACK
     bins = written(local_bins(docs, tokenizer, key, text, room), "packing-bins")
     done, rest = [bins.where(full)], bins.where(~full)
-    left = rest.count()
+    left, number = rest.count(), 0
     while left:
-        tasks = -(-left // RUN)
-        bins = written(_merged(rest, tasks, room), "packing-bins")
+        tasks, number = -(-left // RUN), number + 1
+        bins = written(_merged(rest, tasks, room, number), "packing-bins")
         now = bins.count()
-        if tasks == 1 or now > (1 - LEAST_SAVING) * left:
+        if tasks == 1 or now == left:
             done.append(bins)
             break
         done.append(bins.where(full))

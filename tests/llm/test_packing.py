@@ -74,6 +74,25 @@ def test_rounds_of_the_tree_lose_nothing(spark, monkeypatch, run):
     assert used <= 1.12 * total / 64
 
 
+def test_tree_ends_where_no_bin_can_merge(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 40)
+    draw = random.Random(5)
+    rows = [(k, "a " * draw.randint(1, 40), "", 0) for k in range(1500)]
+    got = packing.pack(spark.createDataFrame(rows, SCHEMA).repartition(12), PATH, room=64).collect()
+    used, total = check(got, [(r[0], r[1]) for r in rows], 64)
+    assert used <= 1.02 * total / 64
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_gets_its_own_ids(name):
+    path = tokenizer(name)
+    encode, ids = Tokenizer.from_file(path), packing.Ids(path)
+    assert ids.by_parts == (name == "word_bpe_49k.json")
+    for text in texts():
+        want = encode.encode(text or "", add_special_tokens=False).ids
+        assert ids.of(None if text is None else text.encode()) == struct.pack(f"<{len(want)}I", *want), (text or "")[:50]
+
+
 def test_best_fit_takes_the_tightest_bin():
     found = packing.best_fit([6, 5, 4, 3, 2], 10)
     assert sorted(sorted(b) for b in found) == [[0, 2], [1, 3, 4]]
