@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import chat, katz, mixing, neighbours, packing, pii, quality, sharding, simhash, toxicity
+from freshet.llm import (
+    chat,
+    interaction,
+    katz,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    repair,
+    sharding,
+    simhash,
+    toxicity,
+)
 from freshet.llm.common import in_share, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,3 +249,179 @@ def text_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The given turns with the faults that a digest of conversation and turn deals out."""
+    said = turns.select(
+        "conv_id",
+        "turn",
+        F.coalesce("role", F.lit(" ")).alias("role"),
+        F.coalesce("text", F.lit(" ")).alias("text"),
+        F.pmod(
+            F.crc32(
+                F.concat_ws(
+                    ":", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.coalesce(F.col("turn").cast("string"), F.lit(" "))
+                ).cast("binary")
+            ),
+            F.lit(20),
+        ).alias("fate"),
+    )
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fate") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("fate") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    left = said.where("fate != 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("time"))
+    return left.drop("time")
+
+
+# One bit of a polynomial division, eight of which make an entry of the table.
+_CRC_BIT = "(CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)"
+_CRC_TABLE = "SELECT i, i AS c FROM range(256) r(i)"
+for _ in range(8):
+    _CRC_TABLE = f"SELECT i, {_CRC_BIT} AS c FROM ({_CRC_TABLE})"
+
+
+def _plus(way: str, cost: str, edit: str) -> str:
+    """SQL: a way (nine digits of cost, then the audit) with one more edit."""
+    return f"printf('%09d', CAST(substr({way}, 1, 9) AS BIGINT) + {cost}) || substr({way}, 10) || '{edit}'"
+
+
+# After a turn, and after the insertions that may follow it, by the grammar's states.
+_STAY = "CASE WHEN w.broken THEN 5 ELSE 0 END"
+
+
+@query(
+    "op11_repair",
+    rf"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM ({_CRC_TABLE})),
+fate AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(
+                    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+                    lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fate
+         FROM conversations, crc),
+left_over AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+                     CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                     unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS again
+              FROM fate WHERE fate <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i FROM left_over),
+marked AS (SELECT *, substr(role, 1, 1) AS initial,
+                  CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                       WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' END AS fault,
+                  substr(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1, 1) || substr(role, 1, 1) AS pair
+           FROM placed),
+w AS (SELECT conv_id, i, initial, coalesce(fault IN ('blank', 'duplicate'), false) AS forced,
+             coalesce(fault = 'truncated', false) AS broken FROM marked),
+facts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                 count(*) FILTER (fault = 'truncated') AS truncated,
+                 count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM marked GROUP BY conv_id),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, '000000000' AS s0, NULL::VARCHAR AS s1, '000000005I' AS s2, '000000010II' AS s3 FROM facts
+  UNION ALL
+  SELECT conv_id, i, d0, d1, least(d2, {_plus('d0', '5', 'I')}, {_plus('d1', '5', 'I')}, {_plus('e3', '5', 'I')}),
+         least(e3, {_plus('e2', '5', 'I')})
+  FROM (SELECT *, least(d3, {_plus('d2', '5', 'I')}) AS e3,
+               least(d2, {_plus('d0', '5', 'I')}, {_plus('d1', '5', 'I')}, {_plus('d3', '5', 'I')}) AS e2
+        FROM (SELECT w.conv_id, w.i, {_plus('s0', '2', 'D')} AS d0,
+                     least({_plus('s1', '2', 'D')}, CASE WHEN NOT w.forced AND w.initial = 's' THEN {_plus('s0', _STAY, 'K')} END) AS d1,
+                     least({_plus('s2', '2', 'D')}, CASE WHEN w.forced THEN NULL WHEN w.initial = 'u' THEN {_plus('least(s0, s1, s3)', _STAY, 'K')}
+                           ELSE {_plus('least(s0, s1, s3)', _STAY + ' + 1', 'R')} END) AS d2,
+                     least({_plus('s3', '2', 'D')}, CASE WHEN w.forced THEN NULL WHEN w.initial = 'a' THEN {_plus('s2', _STAY, 'K')}
+                           ELSE {_plus('s2', _STAY + ' + 1', 'R')} END) AS d3
+              FROM ways JOIN w ON w.conv_id IS NOT DISTINCT FROM ways.conv_id AND w.i = ways.i + 1))),
+best AS (SELECT f.*, substr(least(s0, s3), 1, 9)::BIGINT AS cost, substr(least(s0, s3), 10) AS audit
+         FROM ways JOIN facts f ON f.conv_id IS NOT DISTINCT FROM ways.conv_id AND f.n = ways.i),
+edits AS (SELECT conv_id, k, substr(audit, k, 1) AS edit FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM best)),
+dealt AS (SELECT *, sum((edit <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY k) AS i,
+                 sum((edit <> 'D')::INT) OVER (PARTITION BY conv_id ORDER BY k DESC) AS from_end FROM edits),
+told AS (SELECT e.conv_id, e.k, CASE WHEN edit = 'K' THEN m.role WHEN from_end % 2 = 1 THEN 'assistant' ELSE 'user' END
+                || ':' || CASE WHEN edit = 'I' THEN '' ELSE m.text END AS line
+         FROM dealt e LEFT JOIN marked m ON m.conv_id IS NOT DISTINCT FROM e.conv_id AND m.i = e.i AND e.edit <> 'I' WHERE edit <> 'D'),
+digest AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY k)) AS h FROM told GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN digest d ON d.conv_id IS NOT DISTINCT FROM o.conv_id""",
+)
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: what is wrong with each, its cheapest repair and a digest of that."""
+    turns = read(spark, sf_dir, "conversations")
+    audits, repaired = repair.repair(damaged(turns))
+    convs = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    digests = repair.digests(repaired)
+    found = convs.join(audits, convs["conv_id"].eqNullSafe(audits["conv_id"]), "left")
+    found = found.join(digests, convs["conv_id"].eqNullSafe(digests["conv_id"]), "left")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        convs["conv_id"],
+        *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", none).alias("repaired_sha256"),
+    )
+
+
+@query("op12_licenses")
+def license_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license phrases and labels of every document."""
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    base = F.transform("base", lambda b: b["label"])
+    every = F.concat(base, F.transform("finds", lambda f: f["label"]))
+    starts = F.transform("base", lambda b: b["word"])
+    best = F.array_max(F.transform("finds", lambda f: f["priority"]))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(every)), ",").alias("labels"),
+        (F.coalesce(best, F.lit(0)) / 100).alias("score"),
+    )
+
+
+_LETTERS = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E'))"
+
+
+@query(
+    "op13_filter_interaction",
+    rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+marks AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+          FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, len(w) < 200 AS a,
+             100 * len(list_distinct(w)) < 50 * len(w) AS b,
+             100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) AS c,
+             regexp_matches(text, '[#$%&*|]') AS d,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+      FROM d LEFT JOIN marks USING (doc_id)),
+cells AS (SELECT part, good, toxic, a, b, c, d, e, count(*) AS n FROM f GROUP BY ALL),
+orders AS (SELECT p.x || q.x || r.x || s.x || t.x AS o
+           FROM {_LETTERS} p(x), {_LETTERS} q(x), {_LETTERS} r(x), {_LETTERS} s(x), {_LETTERS} t(x)
+           WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+met AS (SELECT *, least(CASE WHEN a THEN instr(o, 'A') ELSE 9 END, CASE WHEN b THEN instr(o, 'B') ELSE 9 END,
+                        CASE WHEN c THEN instr(o, 'C') ELSE 9 END, CASE WHEN d THEN instr(o, 'D') ELSE 9 END,
+                        CASE WHEN e THEN instr(o, 'E') ELSE 9 END) AS gone,
+               a::INT + b::INT + c::INT + d::INT + e::INT AS n_fails
+        FROM cells, orders),
+told AS (SELECT part, o, s AS step, substr(o, s, 1) AS letter,
+                coalesce(sum(n) FILTER (gone > s), 0) AS kept, coalesce(sum(n) FILTER (gone = s), 0) AS removed,
+                coalesce(sum(n) FILTER (gone < s AND failing), 0) AS redundant,
+                coalesce(sum(n) FILTER (failing AND n_fails = 1), 0) AS unique_fails,
+                coalesce(sum(n) FILTER (gone = s AND good), 0) AS good_lost, coalesce(sum(n) FILTER (gone = s AND toxic), 0) AS toxic_lost
+         FROM (SELECT *, CASE substr(o, s, 1) WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS failing
+               FROM met, range(1, 6) r(s)) GROUP BY ALL)
+SELECT part, o AS filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM told""",
+)
+def filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each order of five filters keeps and removes at each step, by language."""
+    return interaction.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
