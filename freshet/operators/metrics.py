@@ -63,8 +63,8 @@ def pipeline_totals(
 ) -> DataFrame:
     """Over the pipeline: rows in, rows refused as late, appends, rows out, micro-batches.
 
-    ``dropped`` are tables with a column ``late_rows``: logs of the sources
-    whose late rows a stream refuses, or counts of such rows.
+    ``dropped`` are tables with a column ``refused_rows``: what windows that had
+    closed refused.
     """
     names = [
         "total_events_ingested", "total_events_dropped", "total_batches", "total_events_emitted", "total_cycles",
@@ -79,7 +79,7 @@ def pipeline_totals(
         totals(log, total_events_ingested="rows", total_batches="1L")
         for log in source_logs
     ]
-    each += [totals(log, total_events_dropped="late_rows") for log in dropped or []]
+    each += [totals(log, total_events_dropped="refused_rows") for log in dropped or []]
     each += [totals(log, total_events_emitted="rows", total_cycles="1L") for log in feed_logs]
     return reduce(DataFrame.unionByName, each).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 

@@ -122,7 +122,7 @@ def metrics_of_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = replay(spark, sf_dir)
     feed = done.tap.feed
     late = refused(feed.read(), epoch_watermarks(feed.log(), "3 days"), "ts", "1 day")
-    dropped = late.agg(F.count(F.lit(1)).alias("late_rows"))
+    dropped = late.agg(F.count(F.lit(1)).alias("refused_rows"))
     return pipeline_totals([done.timed.table.log()], [feed.log(), done.rollup.feed.log()], [dropped])
 
 

@@ -12,9 +12,11 @@ from freshet.plans.registry import plan
 from freshet.plans.tables import COLUMNS, table, utc
 from freshet.session import fresh_path
 from freshet.sources.arrow_ipc import write_ipc_files
-from freshet.sources.source import StoredSource
+from freshet.sources.source import REJECTED_ROW, StoredSource
+from freshet.streaming.ingestion import Ingestion, files_arriving
 
 WRITERS, APPENDS = 4, 2
+ARRIVALS = 3
 
 
 @plan(
@@ -61,3 +63,32 @@ def ingest_ipc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = StoredSource(spark, "events", parse_columns(COLUMNS["events"]), f"{path}/events")
     source.insert_ipc_files(f"{path}/files")
     return source.bounded().withColumn("ts", utc("ts"))
+
+
+@plan(
+    "ingest_live",
+    "SELECT event_id, event_id % 2 = 0 AS stored, CASE WHEN event_id % 2 = 0 THEN floor(value)::INT END AS value, "
+    "CASE WHEN event_id % 2 = 1 THEN 'value' END AS reject_column FROM events",
+)
+def ingest_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files arrive in three steps; every second row breaks a rule and is kept aside."""
+    path = fresh_path(spark, "live")
+    events = table(spark, sf_dir, "events").selectExpr("event_id", "floor(value) + (event_id % 2) * 0.5D AS value")
+    source = StoredSource(spark, "events", parse_columns("event_id BIGINT, value INT"), f"{path}/events")
+    raw = files_arriving(f"{path}/landing", "event_id bigint, value double", max_files=2)
+    live = Ingestion(spark, "live", source, raw, f"{path}/live", row_id="event_id")
+    for k in range(ARRIVALS):
+        arrived = events.where(F.col("event_id") % ARRIVALS == k).repartition(2)
+        arrived.write.mode("append").json(f"{path}/landing")
+        live.run_available()
+    none = F.lit(None)
+    stored = source.bounded().select(
+        "event_id", F.lit(True).alias("stored"), "value", none.cast("string").alias("reject_column")
+    )
+    refused = source.rejects().select(
+        F.get_json_object(REJECTED_ROW, "$.event_id").cast("bigint").alias("event_id"),
+        F.lit(False).alias("stored"),
+        none.cast("int").alias("value"),
+        "reject_column",
+    )
+    return stored.unionByName(refused)

@@ -17,13 +17,15 @@ from freshet.plans.tables import (
     in_order,
     replay,
     run_stream,
+    source,
     table,
     utc,
 )
 from freshet.session import Storage, fresh_path
 from freshet.sources.source import Source, StoredSource
 from freshet.streaming.feed import latest
-from freshet.streaming.sink import Sink
+from freshet.streaming.sink import Sink, UpsertSink
+from freshet.streaming.state import state_rows
 from freshet.streaming.stream import CHANGES, EPOCH, ON_CLOSE, Stream
 from freshet.streaming.view import MaterializedView
 
@@ -152,6 +154,142 @@ def mv_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.read().withColumn("last_ts", utc("last_ts"))
 
 
+_STATE = "SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY user_id"
+_USERS = "SELECT user_id, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY user_id"
+
+
+def _counting(spark: SparkSession, sf_dir: str, name: str, path: str, sql: str = _STATE) -> Stream:
+    """A stream of changes per user over the appends in order, not run yet."""
+    appended = [in_order(spark, sf_dir, "events")]
+    return Stream(spark, name, path, appended, sql, CHANGES, feed_files=1, max_files=FILES_PER_EPOCH)
+
+
+@plan("mv_buckets", _STATE)
+def mv_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view folded after every epoch; each fold rewrites the buckets of the users that changed."""
+    stream = _counting(spark, sf_dir, "buckets", fresh_path(spark, "mv-buckets"))
+    view = MaterializedView(spark, stream, ["user_id"], buckets=16)
+    stream.after_epoch.append(view.fold)
+    stream.run_available()
+    return view.state.read().drop(EPOCH).withColumn("last_ts", utc("last_ts"))
+
+
+@plan("sink_upsert", _STATE)
+def sink_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink that holds the newest row of every user."""
+    path = fresh_path(spark, "upsert")
+    stream = _counting(spark, sf_dir, "upserted", f"{path}/stream")
+    sink = UpsertSink(spark, "newest", stream, f"{path}/out", ["user_id"], buckets=16)
+    stream.after_epoch.append(sink.deliver)
+    stream.run_available()
+    return sink.read().withColumn("last_ts", utc("last_ts"))
+
+
+@plan("state_rows", _USERS)
+def rows_of_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the running query itself keeps of every user."""
+    stream = _counting(spark, sf_dir, "kept", fresh_path(spark, "state"), _USERS.replace("::BIGINT", ""))
+    stream.run_available()
+    return state_rows(stream).selectExpr("key.user_id AS user_id", "value.count AS n", "value.sum AS ids")
+
+
+@plan(
+    "feed_retained",
+    "WITH t AS (SELECT user_id, (event_id >= s // 3)::INT + (event_id >= 2 * s // 3)::INT AS third "
+    "FROM events, (SELECT max(event_id) + 1 AS s FROM events)), "
+    "c AS (SELECT user_id, third, count(*) AS n FROM t GROUP BY user_id, third), "
+    "r AS (SELECT user_id, third, (sum(n) OVER (PARTITION BY user_id ORDER BY third))::BIGINT AS n FROM c) "
+    "SELECT 'view' AS kept_by, user_id, count(*) AS n FROM events GROUP BY user_id "
+    "UNION ALL SELECT 'feed', user_id, n FROM r WHERE third >= 1",
+)
+def feed_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All but the newest epoch may go; a reader that had only the first keeps the others, a folded view none."""
+    stream = _counting(
+        spark, sf_dir, "retained", fresh_path(spark, "retained"), "SELECT user_id, count(*) AS n FROM events GROUP BY user_id"
+    )
+    view = MaterializedView(spark, stream, ["user_id"], buckets=4)
+    stream.consumers.reach("reader slow", 0)
+    stream.run_available()
+    view.fold()
+    stream.retain(1)
+    rows = stream.feed.read(after=0).select(F.lit("feed").alias("kept_by"), "user_id", "n")
+    return view.read().select(F.lit("view").alias("kept_by"), "user_id", "n").unionByName(rows)
+
+
+@plan(
+    "epoch_lineage",
+    f"SELECT epoch, epoch AS first_append, epoch AS last_append, count(*) AS n_rows FROM {ARRIVALS_SQL} GROUP BY epoch",
+)
+def epoch_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The appends each epoch took in, and their rows."""
+    done = replay(spark, sf_dir)
+    log = done.plain.table.log().select(F.col("append_id"), "rows")
+    taken = done.tap.lineage().withColumn("append_id", F.explode(F.sequence("first", "last")))
+    return (
+        taken.join(log, "append_id")
+        .groupBy(EPOCH, F.col("first").alias("first_append"), F.col("last").alias("last_append"))
+        .agg(F.sum("rows").alias("n_rows"))
+    )
+
+
+_BOTH = (
+    "SELECT window.start AS w_start, kind, count(*) AS n FROM "
+    "(SELECT ts, 'event' AS kind FROM events UNION ALL SELECT o_orderdate AS ts, 'order' AS kind FROM orders) "
+    "GROUP BY window(ts, '10 days'), kind"
+)
+_BOTH_SQL = (
+    "WITH b AS (SELECT ts, 'event' AS kind FROM events UNION ALL SELECT o_orderdate, 'order' FROM orders), "
+    "r AS (SELECT least(date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR, TIMESTAMP '2024-02-20' - INTERVAL 2 DAY) AS wm FROM events), "
+    "w AS (SELECT TIMESTAMP '1970-01-01' + INTERVAL 10 DAY * (epoch_us(ts) // 864000000000)::INT AS w_start, kind FROM b) "
+    "SELECT w_start, kind, count(*) AS n FROM w, r WHERE w_start + INTERVAL 10 DAY <= wm GROUP BY w_start, kind"
+)
+
+
+@plan("window_two_sources", _BOTH_SQL)
+def window_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows over two sources with delays of their own close by the lesser watermark.
+
+    The orders end years before the events: their heartbeat lets the events'
+    windows close, up to where the events themselves have come.
+    """
+    path = fresh_path(spark, "two")
+    events = source(spark, sf_dir, "events", watermark_column="ts", delay="1 hour", heartbeat_path=f"{path}/e")
+    orders = source(spark, sf_dir, "orders", watermark_column="o_orderdate", delay="2 days", heartbeat_path=f"{path}/o")
+    stream = Stream(spark, "both", path, [events, orders], _BOTH, ON_CLOSE, feed_files=1)
+    stream.start()
+    stream.run_available()
+    orders.heartbeat(1708387200000)  # 20 February 2024
+    stream.run_available()
+    stream.stop()
+    return stream.feed.read().drop(EPOCH).withColumn("w_start", utc("w_start"))
+
+
+@plan(
+    "windows_refused",
+    f"WITH a AS (SELECT * FROM {ARRIVALS_SQL}), m AS (SELECT epoch, max(ts) AS mx FROM a GROUP BY epoch), "
+    "w AS (SELECT epoch, date_trunc('millisecond', max(mx) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)) "
+    "- INTERVAL 1 DAY AS wm FROM m) "
+    "SELECT epoch, count(*) AS refused_rows FROM a JOIN w USING (epoch) "
+    "WHERE time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR <= wm GROUP BY epoch",
+)
+def windows_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each epoch that came when their window of six hours had closed, by the watermarks the query ran under."""
+    arrived = replay(spark, sf_dir).timed
+    events = Source(spark, "events", arrived.schema, arrived.path, "ts", "1 day")
+    stream = Stream(
+        spark,
+        "sixths",
+        fresh_path(spark, "sixths"),
+        [events],
+        "SELECT window.start AS w_start, count(*) AS n FROM events GROUP BY window(ts, '6 hours')",
+        CHANGES,
+        max_files=FILES_PER_EPOCH,
+        feed_files=1,
+    )
+    stream.run_available()
+    return stream.refused()
+
+
 @plan("window_incremental", _DAILY_SQL)
 def window_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every change of a window is emitted; nothing is late under a 40 day delay."""

@@ -5,6 +5,7 @@ Sources and change feeds share this layout::
     <path>/staging/<attempt>/part-*      rows of an attempt that has no number yet
     <path>/log/<n>.json                  made once: commit n is the attempt it names
     <path>/data/<key>=<n>/part-*         the rows of commit n, moved there after that
+    <path>/rejects/<key>=<n>/part-*      what its judged rows hold besides, if it was written so
     <path>/folded/<n>/                   the log entries up to n, in one file
 
 An attempt writes where nobody else does, then claims the next number by making
@@ -33,10 +34,14 @@ from freshet.errors import FELL_BEHIND, fault, from_task
 from freshet.session import Storage
 
 FOLD_EVERY = 1000
+# The column by which judged rows are kept apart, in their folder's name only.
+REFUSED = "_refused"
+_ACCEPTED_FOLDER, _REFUSED_FOLDER = f"{REFUSED}=false", f"{REFUSED}=true"
 _REPORT = "array<struct<epoch:bigint,source:string,input_rows:bigint,watermark_ms:bigint,duration_ms:bigint>>"
 _LOG_FIELDS = (
     "attempt string, rows bigint, late_rows bigint, max_event_us bigint, committed_ms bigint, "
-    f"rows_before bigint, newest_before_us bigint, upto bigint, reports {_REPORT}"
+    "rows_before bigint, newest_before_us bigint, upto bigint, claimed_by string, rejected_rows bigint, "
+    f"late_before_ms bigint, offsets array<bigint>, reports {_REPORT}"
 )
 
 
@@ -49,6 +54,7 @@ class EpochTable:
         self.path = path
         self.data_path = f"{path}/data"
         self.log_path = f"{path}/log"
+        self.rejects_path = f"{path}/rejects"
         self._staging = f"{path}/staging"
         self._folds = f"{path}/folded"
         self.key = key
@@ -87,24 +93,46 @@ class EpochTable:
         if number is not None and self.has(number):
             df.write.format("noop").mode("overwrite").save()
             return self.entry(number)
-        seen, attempt = Observation(), uuid.uuid4().hex
-        newest = F.unix_micros(F.max(event_time)) if event_time is not None else F.lit(None).cast("bigint")
-        behind = F.count_if(late) if late is not None else F.lit(None).cast("bigint")
+        return self._attempt(df, number, event_time, late, None, more)
+
+    def commit_judged(
+        self, df: DataFrame, event_time: Column | None = None, late: Column | None = None, **more
+    ) -> dict:
+        """Write judged rows as one commit, in one pass: those with ``REFUSED`` go to the rejects of its number.
+
+        Rows and rejects appear together, since one claim publishes both.
+        """
+        return self._attempt(df, None, event_time, late, F.col(REFUSED), more)
+
+    def _attempt(
+        self,
+        df: DataFrame,
+        number: int | None,
+        event_time: Column | None,
+        late: Column | None,
+        refused: Column | None,
+        more: dict,
+    ) -> dict:
+        seen, attempt, none = Observation(), uuid.uuid4().hex, F.lit(None).cast("bigint")
+        kept = ~refused if refused is not None else F.lit(True)
+        newest = F.unix_micros(F.max(F.when(kept, event_time))) if event_time is not None else none
+        behind = F.count_if(late & kept) if late is not None else none
+        aside = F.count_if(refused) if refused is not None else none
         observed = df.observe(
-            seen, F.count(F.lit(1)).alias("rows"), behind.alias("late_rows"), newest.alias("newest")
+            seen,
+            F.count(F.when(kept, 1)).alias("rows"),
+            behind.alias("late_rows"),
+            newest.alias("newest"),
+            aside.alias("rejected_rows"),
         )
+        writer = observed.write if refused is None else observed.write.partitionBy(REFUSED)
         try:
-            observed.write.parquet(f"{self._staging}/{attempt}")
-            entry = self._claim(
-                {
-                    "attempt": attempt,
-                    "rows": seen.get["rows"],
-                    "late_rows": seen.get["late_rows"],
-                    "max_event_us": seen.get["newest"],
-                    **more,
-                },
-                number,
-            )
+            writer.parquet(f"{self._staging}/{attempt}")
+            told = {"attempt": attempt, "rows": seen.get["rows"], "late_rows": seen.get["late_rows"]}
+            told |= {"max_event_us": seen.get["newest"], **more}
+            if refused is not None:
+                told["rejected_rows"] = seen.get["rejected_rows"]
+            entry = self._claim(told, number)
         except Exception as error:
             self._storage.delete(f"{self._staging}/{attempt}")
             typed = from_task(error)
@@ -155,11 +183,18 @@ class EpochTable:
 
     def _publish(self, number: int, attempt: str) -> None:
         """Move the rows of a claimed attempt to their place; others may help or have done it."""
-        source, target = f"{self._staging}/{attempt}", f"{self.data_path}/{self.key}={number}"
-        self._storage.mkdirs(target)
-        for name in self._storage.names(source):
-            if name.startswith("part-"):
-                self._storage.move(f"{source}/{name}", f"{target}/{name}")
+        source = f"{self._staging}/{attempt}"
+        self._storage.mkdirs(f"{self.data_path}/{self.key}={number}")
+        names = self._storage.names(source)
+        # Rejects first: a stream that sees rows finds what was kept aside with them.
+        for inner, place in ((_REFUSED_FOLDER, self.rejects_path), ("", self.data_path), (_ACCEPTED_FOLDER, self.data_path)):
+            held = [f"{inner}/{n}" for n in self._storage.names(f"{source}/{inner}")] if inner in names else []
+            held = names if not inner else held
+            parts = [n for n in held if n.rpartition("/")[2].startswith("part-")]
+            if parts:
+                self._storage.mkdirs(f"{place}/{self.key}={number}")
+            for name in parts:
+                self._storage.move(f"{source}/{name}", f"{place}/{self.key}={number}/{name.rpartition('/')[2]}")
         self._storage.delete(source)
 
     def settle(self) -> None:
@@ -263,25 +298,50 @@ class EpochTable:
             if first is None or due < first:
                 lost = (top + 1 if first is None else min(first, top + 1)) - due
                 raise fault(FELL_BEHIND, f"{lost} commits from {due} on are no longer kept")
-        key = F.col(self.key)
-        rows = self._spark.read.schema(self.stored_schema).parquet(self.data_path)
+        key, reader = F.col(self.key), self._spark.read.schema(self.stored_schema)
+        if 0 < due <= top:
+            # Only the folders asked for are listed; retention leaves none out between them.
+            folders = [f"{self.data_path}/{self.key}={n}" for n in range(due, top + 1)]
+            return reader.option("basePath", self.data_path).parquet(*folders)
+        rows = reader.parquet(self.data_path)
         return rows.where((key >= due) & (key <= top))
 
+    def claimed(self, mark: str, after: int | None) -> dict | None:
+        """The entry after a number that carries this mark, if any."""
+        found = self.log().where((F.col(self.key) > (-1 if after is None else after)) & (F.col("claimed_by") == mark))
+        row = found.first()
+        return row.asDict() if row else None
+
+    def rows_between(self, after: int | None, upto: int) -> int:
+        """How many rows the commits in ``(after, upto]`` have, from two entries."""
+        last = self.entry(upto)
+        first = self.entry(after) if after is not None else None
+        return last["rows_before"] + last["rows"] - (first["rows_before"] + first["rows"] if first else 0)
+
     # -- retention -------------------------------------------------------
 
-    def retain(self, keep: int) -> int:
-        """Drop the rows of all but the newest ``keep`` commits; the log stays."""
+    def retain(self, keep: int, upto: int | None = None) -> int:
+        """Drop the rows of all but the newest ``keep`` commits, of those up to ``upto`` if given; the log stays."""
         last = self.last()
         if last is None:
             return 0
         self.settle()
         prefix, dropped = f"{self.key}=", 0
+        top = last - keep if upto is None else min(last - keep, upto)
         for name in self._storage.names(self.data_path):
-            if name.startswith(prefix) and int(name[len(prefix):]) <= last - keep:
+            if name.startswith(prefix) and int(name[len(prefix):]) <= top:
                 self._storage.delete(f"{self.data_path}/{name}")
                 dropped += 1
         return dropped
 
+    def bytes_stored(self, after: int | None = None) -> int:
+        """Size of the files of the commits after a number."""
+        if after is None:
+            return self._storage.size(self.data_path)
+        last = self.last()
+        numbers = range(after + 1, (-1 if last is None else last) + 1)
+        return sum(self._storage.size(f"{self.data_path}/{self.key}={n}") for n in numbers)
+
     def stored_files(self) -> DataFrame:
         """Number and size of the data files, from the listing, not the content."""
         files = (

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -18,13 +18,13 @@ from freshet.functions.logical import check_schema
 from freshet.operators.conform import RAW, REJECT, conform
 from freshet.session import Storage
 from freshet.sources.arrow_ipc import read_ipc_files, table_of
-from freshet.sources.epoch_table import EpochTable
+from freshet.sources.epoch_table import REFUSED, EpochTable
 from freshet.sources.rows import ROW_ID, rows_frame
 
 APPEND_ID = "append_id"
 _HEARTBEAT = "_heartbeat"
 _KEPT_BEATS = 100
-_REFUSED = "_refused"
+REJECTED_ROW = "row"
 # A file counts however old it is: copies and backfills keep old times.
 _ANY_AGE = "365000d"
 # Earlier than any event: a bound that keeps a filter above the watermark.
@@ -192,12 +192,17 @@ class StoredSource(Source):
 
     # -- writing ---------------------------------------------------------
 
-    def _commit(self, df: DataFrame) -> dict:
-        if self.watermark_column is None:
-            return self.table.commit(df)
+    def _judge_time(self) -> tuple[Column, Column | None]:
+        """Event time, and whether a row is behind what event time has reached."""
         time, reached, late = F.col(self.watermark_column), self.watermark(), None
         if reached is not None:
             late = time < F.timestamp_millis(F.lit(reached)) - F.expr(f"INTERVAL {self.delay}")
+        return time, late
+
+    def _commit(self, df: DataFrame) -> dict:
+        if self.watermark_column is None:
+            return self.table.commit(df)
+        time, late = self._judge_time()
         return self.table.commit(df, event_time=time, late=late)
 
     def append(self, df: DataFrame) -> int:
@@ -223,11 +228,11 @@ class StoredSource(Source):
         """
         judged = f"{self.table.path}/judged/{uuid.uuid4().hex}"
         tagged = conform(raw, self.schema, row_id).tagged
-        tagged.withColumn(_REFUSED, F.col(REJECT).isNotNull()).write.partitionBy(_REFUSED).parquet(judged)
-        stored = T.StructType([*tagged.schema.fields, T.StructField(_REFUSED, T.BooleanType())])
+        tagged.withColumn(REFUSED, F.col(REJECT).isNotNull()).write.partitionBy(REFUSED).parquet(judged)
+        stored = T.StructType([*tagged.schema.fields, T.StructField(REFUSED, T.BooleanType())])
         rows = self._spark.read.schema(stored).parquet(judged)
-        entry = self._commit(rows.where(~F.col(_REFUSED)).select(*self.schema.names))
-        refused = rows.where(_REFUSED).select(
+        entry = self._commit(rows.where(~F.col(REFUSED)).select(*self.schema.names))
+        refused = rows.where(REFUSED).select(
             f"{RAW}.*",
             *[F.col(f"{REJECT}.{part}").alias(f"reject_{part}") for part in ("column", "code", "reason")],
         )
@@ -235,6 +240,33 @@ class StoredSource(Source):
         self._storage.delete(judged)
         return entry["rows"]
 
+    def append_judged(self, raw: DataFrame, row_id: str | None = None, mark: str | None = None) -> dict:
+        """Conform a raw frame and append what passes; the rejects stand beside it under the same number.
+
+        One write stores both, tagged, and one log entry publishes both, so a
+        row is in one of them and in neither before. ``mark`` goes into the
+        entry, by which a repeated call can be recognised.
+        """
+        tagged = conform(raw, self.schema, row_id).tagged
+        refused = F.col(REJECT).isNotNull()
+        judged = tagged.select(
+            *[F.col(f"`{name}`") for name in self.schema.names],
+            F.when(refused, F.to_json(RAW)).alias(REJECTED_ROW),
+            *[F.col(f"{REJECT}.{part}").alias(f"reject_{part}") for part in ("column", "code", "reason")],
+            refused.alias(REFUSED),
+        )
+        if self.watermark_column is None:
+            return self.table.commit_judged(judged, claimed_by=mark)
+        return self.table.commit_judged(judged, *self._judge_time(), claimed_by=mark)
+
+    def rejects(self) -> DataFrame:
+        """Refused rows as JSON with the refusing column, code and reason, by the append they came with."""
+        self.table.settle()
+        names = f"{REJECTED_ROW} string, reject_column string, reject_code int, reject_reason string, {APPEND_ID} bigint"
+        if not self._storage.exists(self.table.rejects_path):
+            return self._spark.createDataFrame([], names)
+        return self._spark.read.schema(names).parquet(self.table.rejects_path)
+
     def insert_arrow(self, payload: bytes) -> int:
         """Append a client-held Arrow IPC stream, all batches or none."""
         table = table_of(payload, self.schema)
@@ -266,7 +298,7 @@ class Writer:
 
     def _open(self) -> StoredSource:
         if self._closed:
-            raise fault(WRITER_CLOSED, "writer is closed")
+            raise fault(WRITER_CLOSED, f"the writer of '{self._source.name}' was closed before")
         return self._source
 
     def write_rows(self, rows: Iterable[Mapping[str, Any]]) -> int:
@@ -292,4 +324,4 @@ class Writer:
         self._closed = True
 
 
-__all__ = ["APPEND_ID", "Source", "StoredSource", "Writer"]
+__all__ = ["APPEND_ID", "REJECTED_ROW", "Source", "StoredSource", "Writer"]

@@ -9,9 +9,10 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +21,8 @@ from freshet.errors import WRONG_STATEMENT, fault
 from freshet.session import Storage, stream_session
 from freshet.sources.epoch_table import EpochTable
 from freshet.sources.source import Source
+from freshet.streaming.consumers import Consumers
+from freshet.streaming.windows import refusal_by, refusal_of
 
 EPOCH = "epoch"
 Build = Callable[[dict[str, DataFrame]], DataFrame]
@@ -56,6 +59,10 @@ class Stream:
     state partition and epoch; where its epochs are small and its state is
     wide, ``feed_files`` shuffles the output of an epoch into that many.
     ``max_files`` bounds the files of each source that one epoch takes in.
+
+    ``window`` is the window of a query given as a function, as SQL over a
+    source's columns such as ``window(ts, '1 day')``; a query in SQL tells it
+    itself. By it the rows that closed windows refused are counted.
     """
 
     def __init__(
@@ -71,6 +78,7 @@ class Stream:
         feed_time: str | None = None,
         feed_files: int | None = None,
         checkpoint_path: str | None = None,
+        window: str | None = None,
     ):
         self._spark = spark
         self._storage = Storage(spark)
@@ -92,7 +100,11 @@ class Stream:
             self._output = query(inputs)
         self.schema: T.StructType = self._output.schema
         self._pin()
+        self._refusal = refusal_of(self._session, self.sql) if self.sql else None
+        if window:
+            self._refusal = refusal_by(self._session, window)
         self.feed = EpochTable(spark, f"{path}/feed", self.schema, EPOCH)
+        self.consumers = Consumers(spark, f"{path}/consumers")
         self._query: StreamingQuery | None = None
         self._mode: str | None = None
         self._recorded = -1
@@ -100,11 +112,6 @@ class Stream:
         # Called after each epoch is in the feed, and again if it is replayed.
         self.after_epoch: list[Callable[[], object]] = []
 
-    @property
-    def windowed(self) -> bool:
-        """Whether rows behind the watermark are refused, as windows over event time do."""
-        return "window#" in self._output._jdf.queryExecution().analyzed().toString()
-
     def _pin(self) -> None:
         """Refuse another definition over the state of an earlier one."""
         definition = json.dumps(
@@ -136,11 +143,26 @@ class Stream:
         if self._feed_files:
             batch = batch.repartition(self._feed_files)
         reports = self._fresh_reports()
-        self.feed.commit(batch, epoch, time_column, reports=reports)
+        self.feed.commit(batch, epoch, time_column, reports=reports, **self._begun(epoch))
         self._recorded = max([self._recorded, *(r["epoch"] for r in reports)])
         for call in self.after_epoch:
             call()
 
+    def _begun(self, epoch: int) -> dict:
+        """What the query's own log says of a micro-batch that runs: its watermark and what it reads up to.
+
+        The query keeps only its last hundred entries; the feed keeps them all.
+        Rows are late by the watermark of the batch before, which is what
+        lets windows chained in one query agree.
+        """
+        now = self._storage.read_text(f"{self._checkpoint_path}/offsets/{epoch}").splitlines()
+        offsets = [json.loads(line).get("logOffset") if line.startswith("{") else None for line in now[2:]]
+        before = f"{self._checkpoint_path}/offsets/{epoch - 1}"
+        late = None
+        if epoch and self._storage.exists(before):
+            late = json.loads(self._storage.read_text(before).splitlines()[1])["batchWatermarkMs"]
+        return {"late_before_ms": late, "offsets": offsets}
+
     def _start(self, **trigger) -> StreamingQuery:
         modes = (self._mode,) if self._mode else _MODES[self.emit]
         for mode in modes:
@@ -264,6 +286,131 @@ class Stream:
         )
 
 
+    # -- state -----------------------------------------------------------
+
+    @property
+    def checkpoint_path(self) -> str:
+        return self._checkpoint_path
+
+    def state_reader(self) -> DataFrameReader:
+        """A reader of the query's state, in the session whose store settings wrote it."""
+        return self._session.read.format("statestore")
+
+    # -- what each epoch took in and refused ------------------------------
+
+    def _read_upto(self) -> DataFrame:
+        """``epoch``, ``input`` and the offset of that input up to which the epoch read."""
+        return self.feed.log().select(EPOCH, F.posexplode("offsets").alias("input", "read_upto"))
+
+    def taken(self) -> DataFrame:
+        """``epoch``, ``input`` (the number of a source in the query) and ``file``: what each epoch took in.
+
+        The query's log of files gives each the offset it was found at; the
+        feed's log says which offsets an epoch covers.
+        """
+        self._storage.mkdirs(f"{self._checkpoint_path}/sources")
+        logs = self._spark.read.schema("path string, batchId bigint").option("recursiveFileLookup", "true").json(
+            f"{self._checkpoint_path}/sources"
+        )
+        files = logs.where("path IS NOT NULL").select(
+            F.regexp_extract(F.col("_metadata.file_path"), r"/sources/(\d+)/", 1).cast("int").alias("input"),
+            F.col("batchId").alias("offset"),
+            F.element_at(F.split("path", "/"), -1).alias("file"),
+        )
+        # Entries stand in a compacted log and, for a while, in the small ones before it.
+        files = files.distinct()
+        # An offset belongs to the first epoch that reads at least up to it.
+        ends = self._read_upto().groupBy("input", F.col("read_upto").alias("offset")).agg(F.min(EPOCH).alias(EPOCH))
+        order = Window.partitionBy("input").orderBy(F.desc("offset"))
+        spans = ends.withColumn("after", F.lead("offset", 1, -1).over(order))
+        found = files.join(spans.withColumnRenamed("offset", "upto"), "input")
+        return found.where((F.col("offset") > F.col("after")) & (F.col("offset") <= F.col("upto"))).select(EPOCH, "input", "file")
+
+    def lineage(self) -> DataFrame:
+        """``epoch``, ``source`` and the appends it took in, from ``first`` to ``last``, with the number of ``files``.
+
+        Two epochs share an append if one took some of its files and the next
+        the others.
+        """
+        parts = []
+        for source in self.sources:
+            key = getattr(getattr(source, "table", None), "key", None)
+            if key is None:
+                continue
+            listed = (
+                self._spark.read.format("binaryFile")
+                .option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.parquet")
+                .load(source.path)
+                .select(
+                    F.regexp_extract("path", rf"{key}=(\d+)/", 1).cast("bigint").alias(key),
+                    F.element_at(F.split("path", "/"), -1).alias("file"),
+                )
+            )
+            own = self.taken().join(listed, "file").groupBy(EPOCH).agg(
+                F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("files")
+            )
+            parts.append(own.select(EPOCH, F.lit(source.name).alias("source"), "first", "last", "files"))
+        if not parts:
+            names = f"{EPOCH} bigint, source string, first bigint, last bigint, files bigint"
+            return self._spark.createDataFrame([], names)
+        return reduce(DataFrame.unionByName, parts)
+
+    def epoch_as_of(self, source: str, append: int) -> int | None:
+        """The last epoch that holds nothing beyond an append of a source; None if there is none."""
+        within = self.lineage().where((F.col("source") == source) & (F.col("last") <= append))
+        return within.agg(F.max(EPOCH).alias("e")).first()["e"]
+
+    def _count_refused(self, after: int, upto: int) -> dict[int, int]:
+        """Refused rows of the epochs in ``(after, upto]``, read from those epochs' files alone."""
+        epochs = self.feed.log().where((F.col(EPOCH) > after) & (F.col(EPOCH) <= upto))
+        marks = epochs.where("late_before_ms IS NOT NULL").select(EPOCH, "late_before_ms")
+        files = self.taken().where(F.col(EPOCH) > after).join(marks, EPOCH).select("file", EPOCH, "late_before_ms")
+        total: dict[int, int] = {}
+        for source in self.sources:
+            rows = self._refusal.closing(source, self._spark)
+            if rows is None:
+                continue
+            late = rows.join(files, "file").where(F.col("closes_us") <= F.col("late_before_ms") * 1000)
+            for r in late.groupBy(EPOCH).count().collect():
+                total[r[EPOCH]] = total.get(r[EPOCH], 0) + r["count"]
+        return total
+
+    def refused(self) -> DataFrame:
+        """``epoch`` and ``refused_rows``: rows that came when their window had closed.
+
+        Each epoch is counted once, when first asked for, and the count kept.
+        A query without windows refuses none.
+        """
+        folder, last = f"{self.path}/refused", self.feed.last()
+        self._storage.mkdirs(folder)
+        if self._refusal is not None and last is not None:
+            done = max((int(n[:-5]) for n in self._storage.names(folder) if n[:-5].isdigit()), default=-1)
+            if done < last:
+                found = self._count_refused(done, last)
+                lines = [json.dumps({EPOCH: e, "refused_rows": n}) for e, n in sorted(found.items())]
+                self._storage.create_once(f"{folder}/{last}.json", "\n".join(lines))
+        return self._spark.read.schema(f"{EPOCH} bigint, refused_rows bigint").json(folder)
+
+    # -- retention -------------------------------------------------------
+
+    def retain(self, keep: int, older_than_ms: int | None = None, override: bool = False) -> int:
+        """Drop epochs beyond the newest ``keep`` that no consumer needs; returns how many.
+
+        With ``older_than_ms`` only epochs committed that long ago are
+        dropped. ``override`` drops them though a consumer still needs them;
+        it then fails with 502.
+        """
+        bounds = []
+        if not override:
+            bounds += [e for e in [self.consumers.least()] if e is not None]
+        if older_than_ms is not None:
+            old = F.col("committed_ms") <= int(time.time() * 1000) - older_than_ms
+            oldest = self.feed.log().where(old).agg(F.max(EPOCH).alias("e")).first()["e"]
+            bounds.append(-1 if oldest is None else oldest)
+        return self.feed.retain(keep, min(bounds, default=None))
+
+
 def _folder(description: str) -> str:
     """The folder a file source of a query reads, without its scheme."""
     return re.sub(r"^\w+:(//[^/]*)?", "", description.partition("[")[2].rstrip("]"))

@@ -33,14 +33,22 @@ class Subscription:
 
     A frame's rows stay a DataFrame: reading them is a job on that epoch's
     partition only. A terminal failure is raised once, then the end follows.
+
+    A named ``reader`` is a consumer of the feed: it goes on after the last
+    epoch whose barrier it was handed, and retention waits for it.
     """
 
-    def __init__(self, stream: Stream, where: str | None = None, after: int | None = None):
+    def __init__(self, stream: Stream, where: str | None = None, after: int | None = None, reader: str | None = None):
         self.stream = stream
         self.schema = stream.schema
         self._where = where
+        self._reader = f"reader {reader}" if reader else None
         last = stream.feed.last()
+        if self._reader and after is None:
+            after = stream.consumers.positions().get(self._reader)
         self._position = after if after is not None else (-1 if last is None else last)
+        if self._reader:
+            stream.consumers.reach(self._reader, self._position)
         self._queued: list[Frame] = []
         self._active = True
         self._check_retained()
@@ -88,7 +96,7 @@ class Subscription:
         deadline = None if timeout is None else time.monotonic() + timeout
         while self._active:
             if self._queued:
-                return self._queued.pop(0)
+                return self._handed()
             if self._fetch():
                 continue
             failure = self.stream.failure()
@@ -103,7 +111,13 @@ class Subscription:
     def committed(self) -> Iterator[Frame]:
         """The frames committed by now, without waiting for more."""
         while self._active and (self._queued or self._fetch()):
-            yield self._queued.pop(0)
+            yield self._handed()
+
+    def _handed(self) -> Frame:
+        frame = self._queued.pop(0)
+        if self._reader and frame.kind == "barrier":
+            self.stream.consumers.reach(self._reader, frame.epoch)
+        return frame
 
     def __iter__(self) -> Iterator[Frame]:
         try:

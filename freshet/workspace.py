@@ -33,7 +33,8 @@ from freshet.operators.metrics import pipeline_totals, source_metrics, stream_me
 from freshet.operators.results import Result, ResultStream
 from freshet.session import Storage, fresh_path, stream_session
 from freshet.sources.source import StoredSource, Writer
-from freshet.streaming.sink import Sink
+from freshet.streaming.ingestion import Ingestion, files_arriving
+from freshet.streaming.sink import Sink, UpsertSink
 from freshet.streaming.stream import CHANGES, STATE_PARTITIONS, Build, Checkpoint, Stream
 from freshet.streaming.subscription import Frame, PushSubscription, Subscription
 from freshet.streaming.view import MaterializedView
@@ -117,7 +118,8 @@ class Workspace:
         self._sources: dict[str, StoredSource] = {}
         self._streams: dict[str, Stream] = {}
         self._views: dict[str, MaterializedView] = {}
-        self._sinks: dict[str, Sink] = {}
+        self._sinks: dict[str, Sink | UpsertSink] = {}
+        self._ingestions: dict[str, Ingestion] = {}
         self._waiting: defaultdict[str, list[tuple[str, dict]]] = defaultdict(list)
         self._queries: dict[int, ResultStream] = {}
         self._query_ids = itertools.count(1)
@@ -136,7 +138,7 @@ class Workspace:
         self._open()
         if self._state == "Running":
             raise fault(WRONG_STATEMENT, "definitions are frozen once the pipeline is started")
-        if name in self._sources or name in self._streams or name in self._sinks:
+        if any(name in known for known in (self._sources, self._streams, self._sinks, self._ingestions)):
             raise fault(WRONG_STATEMENT, f"'{name}' already exists")
 
     def start(self) -> None:
@@ -144,8 +146,8 @@ class Workspace:
         self._open()
         if self._state != "Running":
             interval = self._config.checkpoint.interval_ms if self._config.checkpoint else None
-            for stream in self._streams.values():
-                stream.start(interval if interval is not None else 500)
+            for running in (*self._ingestions.values(), *self._streams.values()):
+                running.start(interval if interval is not None else 500)
             self._state = "Running"
 
     def is_checkpoint_enabled(self) -> bool:
@@ -165,6 +167,8 @@ class Workspace:
         self._open()
         if not self._streams:
             raise fault(BAD_CONFIG, "no stream is declared")
+        for ingestion in self._ingestions.values():
+            ingestion.run_available()
         with ThreadPoolExecutor(min(len(self._streams), _CONCURRENT_STREAMS)) as pool:
             outcomes = list(pool.map(Stream.run_available, self._streams.values()))
         for sink in self._sinks.values():
@@ -179,8 +183,8 @@ class Workspace:
     def close(self) -> None:
         """Stop the streams; again is a no-op."""
         if self._state != "Closed":
-            for stream in self._streams.values():
-                stream.stop()
+            for query in (*self._ingestions.values(), *self._streams.values()):
+                query.stop()
             for running in self._queries.values():
                 running.cancel()
             self._state = "Closed"
@@ -200,12 +204,14 @@ class Workspace:
     def _restore(self) -> None:
         """Bring back what an earlier workspace declared here."""
         names = self._storage.names(f"{self.root}/catalog")
-        for kind in ("source", "stream", "view", "sink"):
+        for kind in ("source", "ingestion", "stream", "view", "sink"):
             for file in sorted(n for n in names if n.startswith(f"{kind}-") and n.endswith(".json")):
                 known = json.loads(self._storage.read_text(f"{self.root}/catalog/{file}"))
                 if kind == "source":
                     schema = T.StructType.fromJson(known["schema"])
                     self._add_source(known["name"], schema, known["watermark_column"], known["delay"])
+                elif kind == "ingestion":
+                    self._add_ingestion(**known)
                 elif kind == "stream":
                     self._add_stream(known["name"], known["sql"], known["emit"], known["sources"])
                 elif known.get("stream", known["name"]) in self._streams:
@@ -234,7 +240,44 @@ class Workspace:
         self._remember("source", name, known)
         return made
 
-    def _add_stream(self, name: str, query: Build | str, emit: str | None, sources: list[str]) -> Stream:
+    def create_ingestion(
+        self,
+        name: str,
+        source: str,
+        path: str,
+        columns: str,
+        form: str = "json",
+        row_id: str | None = None,
+        options: Mapping[str, str] | None = None,
+    ) -> Ingestion:
+        """Declare a live feed: files of raw ``columns`` that arrive at ``path`` go through the rules into a source."""
+        self._defining(name)
+        self.source(source)
+        known = {
+            "name": name, "source": source, "path": path, "columns": columns, "form": form, "row_id": row_id,
+            "options": dict(options or {}),
+        }
+        made = self._add_ingestion(**known)
+        self._remember("ingestion", name, known)
+        return made
+
+    def _add_ingestion(
+        self, name: str, source: str, path: str, columns: str, form: str, row_id: str | None, options: dict
+    ) -> Ingestion:
+        raw = files_arriving(path, columns, form, self._config.max_files_per_epoch, **options)
+        folder = f"{self.root}/ingestions/{name}"
+        self._ingestions[name] = Ingestion(self._spark, name, self._sources[source], raw, folder, row_id)
+        return self._ingestions[name]
+
+    def ingestion(self, name: str) -> Ingestion:
+        self._open()
+        if name not in self._ingestions:
+            raise fault(UNKNOWN_NAME, f"no ingestion is named '{name}'")
+        return self._ingestions[name]
+
+    def _add_stream(
+        self, name: str, query: Build | str, emit: str | None, sources: list[str], window: str | None = None
+    ) -> Stream:
         checkpoint = self._config.checkpoint
         folder = checkpoint.data_dir if checkpoint else None
         try:
@@ -249,6 +292,7 @@ class Workspace:
                 max_files=self._config.max_files_per_epoch,
                 feed_files=self._config.feed_files,
                 checkpoint_path=f"{folder}/{name}" if folder else None,
+                window=window,
             )
         except ParseException as error:
             raise fault(INVALID_SQL, f"invalid SQL: {error}") from error
@@ -257,14 +301,23 @@ class Workspace:
         return self._streams[name]
 
     def create_stream(
-        self, name: str, query: Build | str, sources: list[str] | None = None, emit: str | None = None
+        self,
+        name: str,
+        query: Build | str,
+        sources: list[str] | None = None,
+        emit: str | None = None,
+        window: str | None = None,
     ) -> Stream:
-        """Declare a continuous query over sources, as SQL or as a function."""
+        """Declare a continuous query over sources, as SQL or as a function.
+
+        ``window`` is what a function groups event time by, as SQL; it serves
+        to count the rows that closed windows refuse.
+        """
         self._defining(name)
         emit = emit or (CHANGES if self._config.incremental_emit else None)
         if sources is None:
             sources = self._mentioned(query) if isinstance(query, str) else list(self._sources)
-        made = self._add_stream(name, query, emit, sources)
+        made = self._add_stream(name, query, emit, sources, window)
         for kind, known in self._waiting.pop(name, []):
             self._add_view(**known) if kind == "view" else self._add_sink(**known)
         if isinstance(query, str):
@@ -289,19 +342,26 @@ class Workspace:
             raise fault(UNKNOWN_NAME, f"no view is named '{name}'")
         return self._views[name]
 
-    def create_sink(self, name: str, stream: str, path: str) -> Sink:
-        """Declare a table at ``path`` that receives what ``stream`` emits, epoch by epoch."""
+    def create_sink(self, name: str, stream: str, path: str, keys: list[str] | None = None) -> Sink | UpsertSink:
+        """Declare a table at ``path`` that receives what ``stream`` emits, epoch by epoch.
+
+        With ``keys`` it keeps the newest row of each key instead of all rows.
+        """
         self._defining(name)
         self._stream(stream)
-        self._remember("sink", name, {"name": name, "stream": stream, "path": path})
-        return self._add_sink(name, stream, path)
-
-    def _add_sink(self, name: str, stream: str, path: str) -> Sink:
-        self._sinks[name] = Sink(self._spark, name, self._streams[stream], path)
+        self._remember("sink", name, {"name": name, "stream": stream, "path": path, "keys": keys})
+        return self._add_sink(name, stream, path, keys)
+
+    def _add_sink(self, name: str, stream: str, path: str, keys: list[str] | None = None) -> Sink | UpsertSink:
+        source = self._streams[stream]
+        if keys:
+            self._sinks[name] = UpsertSink(self._spark, name, source, path, keys)
+        else:
+            self._sinks[name] = Sink(self._spark, name, source, path)
         self._streams[stream].after_epoch.append(self._sinks[name].deliver)
         return self._sinks[name]
 
-    def sink(self, name: str) -> Sink:
+    def sink(self, name: str) -> Sink | UpsertSink:
         self._open()
         if name not in self._sinks:
             raise fault(UNKNOWN_NAME, f"no sink is named '{name}'")
@@ -406,6 +466,12 @@ class Workspace:
     def writer(self, source: str) -> Writer:
         return self.source(source).writer()
 
+    # -- retention -------------------------------------------------------
+
+    def retain(self, name: str, keep: int, older_than_ms: int | None = None, override: bool = False) -> int:
+        """Drop a stream's epochs that none of its views, sinks and named readers needs any more."""
+        return self._stream(name).retain(keep, older_than_ms, override)
+
     # -- subscriptions ---------------------------------------------------
 
     def _stream(self, name: str) -> Stream:
@@ -415,9 +481,15 @@ class Workspace:
             raise fault(UNKNOWN_NAME, f"stream '{name}' {what}")
         return self._streams[name]
 
-    def subscribe(self, name: str, where: str | None = None, from_epoch: int | None = None) -> Subscription:
-        """Frames of a stream or view from now on, or after ``from_epoch``."""
-        return Subscription(self._stream(name), where, from_epoch)
+    def subscribe(
+        self, name: str, where: str | None = None, from_epoch: int | None = None, reader: str | None = None
+    ) -> Subscription:
+        """Frames of a stream or view from now on, or after ``from_epoch``.
+
+        A ``reader`` with a name goes on where it stopped, and retention keeps
+        what it has not had yet.
+        """
+        return Subscription(self._stream(name), where, from_epoch, reader)
 
     def subscribe_with(
         self,
@@ -509,12 +581,10 @@ class Workspace:
         if not source_logs and not feed_logs:
             raise fault(UNKNOWN_NAME, "nothing is declared yet")
         views = [v.updates() for v in self._views.values()]
-        sizes = [v.bytes_stored() for v in self._views.values()]
+        size = sum(v.bytes_stored().first()["mv_bytes_stored"] for v in self._views.values())
         updates = reduce(DataFrame.unionByName, views).agg(F.sum("mv_updates")).first()[0] if views else 0
-        size = reduce(DataFrame.unionByName, sizes).agg(F.sum("mv_bytes_stored")).first()[0] if sizes else 0
-        refusing = {src.name for s in self._streams.values() if s.windowed for src in s.sources}
-        dropped = [self._sources[name].table.log() for name in sorted(refusing)]
-        return pipeline_totals(source_logs, feed_logs, dropped).select(
+        refused = [s.refused() for s in self._streams.values()]
+        return pipeline_totals(source_logs, feed_logs, refused).select(
             "*",
             F.lit(int((time.monotonic() - self._opened) * 1000)).cast("bigint").alias("uptime_ms"),
             F.lit(self._state).alias("state"),
