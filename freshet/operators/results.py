@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.errors import WRONG_STATEMENT, fault
-from freshet.sources.arrow_ipc import read_stream, to_ipc
+from freshet.sources.arrow_ipc import batch_counts, read_stream, to_ipc
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
@@ -83,20 +85,42 @@ class Result:
     def __init__(self, df: DataFrame):
         self.df = df
         self.schema = df.schema
+        self._counted: dict[int, int] | None = None
+        self._payloads: RDD | None = None
 
     def num_rows(self) -> int:
         return self.df.count()
 
+    def _batches(self) -> dict[int, int]:
+        """The number of batches of each partition that has any, found once and without encoding one."""
+        if self._counted is None:
+            rows = batch_counts(self.df).orderBy("part").collect()
+            self._counted = {r["part"]: r["batches"] for r in rows}
+        return self._counted
+
     def num_batches(self) -> int:
-        """Arrow batches the result comes in: the same split that hands them out, counted."""
-        return to_ipc(self.df).count()
+        """Arrow batches the result comes in."""
+        return sum(self._batches().values())
 
     def batch(self, index: int) -> pa.RecordBatch:
-        """One batch in partition order; outside the range is an E400."""
-        if index >= 0:
-            for position, batch in enumerate(ResultStream(self.df)):
-                if position == index:
-                    return batch
+        """One batch in partition order; outside the range is an E400.
+
+        The counts tell which partition holds it; only that one is run, and
+        only that batch comes to the client.
+        """
+        left = index
+        for part, batches in self._batches().items() if index >= 0 else ():
+            if left >= batches:
+                left -= batches
+                continue
+            if self._payloads is None:
+                # Kept, so that shuffles below it are not run again for the next batch.
+                self._payloads = to_ipc(self.df).rdd
+            context, place = self.df.sparkSession.sparkContext, left
+            found = context.runJob(self._payloads, lambda rows: islice(rows, place, place + 1), [part])
+            if found:
+                return read_stream(bytes(found[0]["ipc"])).read_next_batch()
+            break
         raise fault(WRONG_STATEMENT, f"batch index {index} out of range")
 
     def to_arrow(self) -> pa.Table:

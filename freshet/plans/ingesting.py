@@ -11,7 +11,7 @@ from freshet.functions.logical import parse_columns
 from freshet.plans.registry import plan
 from freshet.plans.tables import COLUMNS, table, utc
 from freshet.session import fresh_path
-from freshet.sources.arrow_ipc import write_ipc_files
+from freshet.sources.arrow_ipc import read_ipc_files, write_ipc_files
 from freshet.sources.source import REJECTED_ROW, StoredSource
 from freshet.streaming.ingestion import Ingestion, files_arriving
 
@@ -92,3 +92,12 @@ def ingest_live(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reject_column",
     )
     return stored.unionByName(refused)
+
+
+@plan("ingest_ipc_ranges", "SELECT * FROM events")
+def ingest_ipc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few large Arrow files of many batches, which tasks share."""
+    path = fresh_path(spark, "ipc-ranges")
+    write_ipc_files(table(spark, sf_dir, "events").repartition(2), f"{path}/files", whole_partitions=True, batch_rows=500)
+    columns = parse_columns(COLUMNS["events"])
+    return read_ipc_files(spark, f"{path}/files", columns, range_bytes=1 << 16).withColumn("ts", utc("ts"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import struct
 import sys
+import urllib.parse
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from freshet.errors import BAD_VALUE, SCHEMA_MISMATCH, fault, from_task, marked
 from freshet.functions.logical import arrow_type
+from freshet.session import fresh_path
 
 # The functions below travel to the executors whole, so that these need not have
 # this package installed. They use nothing of it but this module.
@@ -23,17 +26,40 @@ PAYLOAD = "part int, rows bigint, ipc binary"
 MAX_PAYLOAD_BYTES = 64 * 1024 * 1024
 
 
-def _payloads(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, bytes]]:
-    """IPC streams of one batch, halved until each is under ``limit`` bytes."""
+def _pieces(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """A batch, halved until each piece is under ``limit`` bytes."""
     if batch.num_rows > 1 and batch.nbytes > limit:  # nbytes counts only the slice
         half = batch.num_rows // 2
-        yield from _payloads(batch.slice(0, half), limit)
-        yield from _payloads(batch.slice(half), limit)
+        yield from _pieces(batch.slice(0, half), limit)
+        yield from _pieces(batch.slice(half), limit)
         return
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as writer:
-        writer.write_batch(batch)
-    yield batch.num_rows, sink.getvalue().to_pybytes()
+    yield batch
+
+
+def _payloads(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, bytes]]:
+    """IPC streams of one batch's pieces."""
+    for piece in _pieces(batch, limit):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, piece.schema) as writer:
+            writer.write_batch(piece)
+        yield piece.num_rows, sink.getvalue().to_pybytes()
+
+
+def batch_counts(df: DataFrame, max_bytes: int = MAX_PAYLOAD_BYTES) -> DataFrame:
+    """``part``, ``batches`` and ``rows`` of every partition that has rows: how ``to_ipc`` would split it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = rows = 0
+        for batch in batches:
+            pieces += sum(1 for _ in _pieces(batch, max_bytes))
+            rows += batch.num_rows
+        if pieces:
+            part = pa.array([TaskContext.get().partitionId()], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [part, pa.array([pieces], pa.int64()), pa.array([rows], pa.int64())], ["part", "batches", "rows"]
+            )
+
+    return df.mapInArrow(count, "part int, batches bigint, rows bigint")
 
 
 def to_ipc(df: DataFrame, max_bytes: int = MAX_PAYLOAD_BYTES) -> DataFrame:
@@ -130,28 +156,161 @@ def from_ipc(payloads: DataFrame, schema: T.StructType, column: str = "ipc") ->
     )
 
 
-def write_ipc_files(df: DataFrame, path: str) -> None:
-    """Write Arrow IPC stream files, one per Arrow batch, from the tasks.
+def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """pyarrow's file system for a path, and the path within it."""
+    return pa.fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+
+
+def write_ipc_files(df: DataFrame, path: str, whole_partitions: bool = False, batch_rows: int | None = None) -> None:
+    """Write Arrow IPC stream files from the tasks: one per Arrow batch, or one per partition.
 
     A file's name says partition and batch, so a task that runs again writes
     the same files. ``path`` is one that pyarrow's file systems know.
+    ``batch_rows`` cuts batches to so many rows.
     """
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, folder = pa.fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+        store, folder = _open(path)
         store.create_dir(folder, recursive=True)
+        out = writer = None
         for k, batch in enumerate(batches):
-            name = f"{folder}/part-{TaskContext.get().partitionId():05d}-{k:05d}.arrow"
-            with store.open_output_stream(name) as out, pa.ipc.new_stream(out, batch.schema) as writer:
-                writer.write_batch(batch)
+            if writer is None:
+                name = f"{folder}/part-{TaskContext.get().partitionId():05d}-{k:05d}.arrow"
+                out = store.open_output_stream(name)
+                writer = pa.ipc.new_stream(out, batch.schema)
+            for at in range(0, batch.num_rows, batch_rows or max(batch.num_rows, 1)):
+                writer.write_batch(batch.slice(at, batch_rows))
+            if not whole_partitions:
+                writer.close()
+                out.close()
+                writer = None
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["rows"])
+        if writer is not None:
+            writer.close()
+            out.close()
 
     df.mapInArrow(save, "rows bigint").write.format("noop").mode("overwrite").save()
 
 
-def read_ipc_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A folder of Arrow IPC stream files as rows; one task reads a file at a time."""
-    return from_ipc(spark.read.format("binaryFile").load(path), schema, "content")
+# Fixed values of the IPC stream format: the mark before a message, and kinds of messages.
+_CONTINUES = 0xFFFFFFFF
+_SCHEMA, _DICTIONARY = 1, 2
+# Bytes of record batches that one task reads at a time.
+RANGE_BYTES = 32 * 1024 * 1024
+MOST_TASKS = 10_000
+
+
+def _table_field(data: bytes, table: int, field: int, form: str, default: int) -> int:
+    """A number in a table of the serialised header: found by the table's list of field places."""
+    places = table - struct.unpack_from("<i", data, table)[0]
+    size = struct.unpack_from("<H", data, places)[0]
+    at = struct.unpack_from("<H", data, places + 4 + 2 * field)[0] if 4 + 2 * field < size else 0
+    return struct.unpack_from(form, data, table + at)[0] if at else default
+
+
+def messages(file: pa.NativeFile) -> Iterator[tuple[int, int, int]]:
+    """(kind, start, end) of every message of an IPC stream, read from the headers alone."""
+    at, size = 0, file.size()
+    while at + 4 <= size:
+        file.seek(at)
+        first = struct.unpack("<I", file.read(4))[0]
+        lead = 4
+        if first == _CONTINUES:
+            first, lead = struct.unpack("<I", file.read(4))[0], 8
+        if first == 0:
+            return
+        header = file.read(first)
+        if len(header) < first:
+            raise pa.ArrowInvalid("the stream ends within a header")
+        root = struct.unpack_from("<I", header, 0)[0]
+        kind = _table_field(header, root, 1, "<B", 0)
+        end = at + lead + first + _table_field(header, root, 3, "<q", 0)
+        if end > size or end <= at:
+            raise pa.ArrowInvalid("the stream ends within a message")
+        yield kind, at, end
+        at = end
+
+
+_RANGES = "path string, lead array<struct<start:bigint,end:bigint>>, start bigint, end bigint"
+
+
+def ipc_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Runs of record batches of about ``range_bytes`` within IPC stream files.
+
+    ``files`` has a column ``path``. ``lead`` names the messages that a reader
+    of the run needs before it: the schema and the dictionaries so far.
+    """
+    invalid = marked(BAD_VALUE, "these bytes are no Arrow stream: ")
+    place = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    schema = pa.schema([("path", pa.string()), ("lead", pa.list_(place)), ("start", pa.int64()), ("end", pa.int64())])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, inner = _open(path)
+                found, lead, begun, last = [], [], None, 0
+                try:
+                    with store.open_input_file(inner) as file:
+                        for kind, start, end in messages(file):
+                            closed = kind in (_SCHEMA, _DICTIONARY) or begun is not None and end - begun > range_bytes
+                            if closed and begun is not None:
+                                found.append({"path": path, "lead": list(lead), "start": begun, "end": last})
+                                begun = None
+                            if kind in (_SCHEMA, _DICTIONARY):
+                                lead.append({"start": start, "end": end})
+                            elif begun is None:
+                                begun = start
+                            last = end
+                except (pa.ArrowInvalid, struct.error) as error:
+                    raise ValueError(f"{invalid}{error}") from error
+                if begun is not None:
+                    found.append({"path": path, "lead": list(lead), "start": begun, "end": last})
+                elif not found:
+                    # A file of no batches still has a schema to check.
+                    found.append({"path": path, "lead": list(lead), "start": last, "end": last})
+                yield pa.RecordBatch.from_pylist(found, schema)
+
+    return files.select("path").mapInArrow(scan, _RANGES)
+
+
+def read_ipc_files(spark: SparkSession, path: str, schema: T.StructType, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """A folder of Arrow IPC stream files as rows; tasks share a large file.
+
+    Headers are scanned first, one task per file; the runs they name are then
+    read by as many tasks as there are runs. Stores that only Spark reads have
+    each file read whole by a task.
+    """
+    # Files of a listing only: their content is not read here.
+    files = spark.read.format("binaryFile").load(path)
+    if urllib.parse.urlparse(path).scheme not in ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss"):
+        return from_ipc(files, schema, "content")
+    place = fresh_path(spark, "ipc-runs")
+    ipc_ranges(files, range_bytes).write.parquet(place)
+    runs = spark.read.schema(_RANGES).parquet(place)
+    # Dealt one by one: by size the few bytes that name them would all go to one task.
+    runs = runs.repartition(max(1, min(runs.count(), MOST_TASKS)))
+    expected, target = _expected(schema), _stored(schema)
+    mismatched, invalid = marked(SCHEMA_MISMATCH, ""), marked(BAD_VALUE, "these bytes are no Arrow stream: ")
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                store, inner = _open(row["path"])
+                with store.open_input_file(inner) as file:
+                    parts = [(r["start"], r["end"]) for r in row["lead"]] + [(row["start"], row["end"])]
+                    data = b"".join(file.read_at(end - start, start) for start, end in parts)
+                try:
+                    reader = pa.ipc.open_stream(pa.py_buffer(data))
+                    wrong = mismatch(expected, reader.schema)
+                    if wrong:
+                        raise ValueError(mismatched + wrong)
+                    for inner_batch in reader:
+                        yield _store(inner_batch, target)
+                except (pa.ArrowInvalid, OSError, EOFError) as error:
+                    raise ValueError(f"{invalid}{error}") from error
+
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    return runs.mapInArrow(decode, nullable)
 
 
 def table_of(payload: bytes, schema: T.StructType) -> pa.Table:

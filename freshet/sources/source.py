@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,9 +32,40 @@ _ANY_AGE = "365000d"
 _BEFORE_ALL = dt.datetime(1, 1, 2)
 
 
-def _reader(session: SparkSession, schema: T.StructType, max_files: int | None) -> DataStreamReader:
-    reader = session.readStream.schema(schema).option("maxFileAge", _ANY_AGE)
-    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+# Bounds of what an epoch takes in when it is to follow the backlog, and the epochs a backlog is spread over.
+LEAST_BYTES, MOST_BYTES, BACKLOG_EPOCHS = 64 * 1024 * 1024, 64 * 1024 * 1024 * 1024, 16
+
+
+@dataclass(frozen=True)
+class Admission:
+    """What an epoch may take in of a source: a number of files, or bytes.
+
+    ``BACKLOG`` bytes are a sixteenth of what the source holds when the query
+    starts, within 64 MB and 64 GB. A file larger than the limit is an epoch's
+    only one.
+    """
+
+    files: int | None = None
+    bytes: int | None = None
+
+    def __post_init__(self):
+        if self.files and self.bytes:
+            raise fault(BAD_CONFIG, "an epoch is bounded by files or by bytes, not by both")
+
+    def limit(self, reader: DataStreamReader, held: Callable[[], int]) -> DataStreamReader:
+        if self.files:
+            return reader.option("maxFilesPerTrigger", self.files)
+        if self.bytes == BACKLOG:
+            share = held() // BACKLOG_EPOCHS
+            return reader.option("maxBytesPerTrigger", min(max(share, LEAST_BYTES), MOST_BYTES))
+        return reader.option("maxBytesPerTrigger", self.bytes) if self.bytes else reader
+
+
+BACKLOG = -1
+
+
+def _reader(session: SparkSession, schema: T.StructType) -> DataStreamReader:
+    return session.readStream.schema(schema).option("maxFileAge", _ANY_AGE)
 
 
 class Source:
@@ -78,15 +110,20 @@ class Source:
         folder = self.path.rsplit("/", 1)[0] if self._storage.is_file(self.path) else self.path
         return re.sub(r"^\w+:(//[^/]*)?", "", folder)
 
-    def _rows_stream(self, session: SparkSession, max_files: int | None) -> DataFrame:
-        reader = _reader(session, self.schema, max_files)
+    def _held(self) -> int:
+        return self._storage.size(self.path)
+
+    def _rows_stream(self, session: SparkSession, admits: Admission) -> DataFrame:
+        reader = admits.limit(_reader(session, self.schema), self._held)
         if self._storage.is_file(self.path):
             folder, name = self.path.rsplit("/", 1)
             return reader.option("pathGlobFilter", name).parquet(folder)
         # Folders named like partitions add columns that were not declared.
         return reader.parquet(self.path).select(*self.schema.names)
 
-    def stream(self, session: SparkSession | None = None, max_files: int | None = None) -> DataFrame:
+    def stream(
+        self, session: SparkSession | None = None, max_files: int | None = None, max_bytes: int | None = None
+    ) -> DataFrame:
         """The rows as a stream, with the declared watermark if there is one.
 
         Heartbeats join the rows below the watermark and leave above it. The
@@ -95,13 +132,13 @@ class Source:
         advance nothing.
         """
         session = session or self._spark
-        rows = self._rows_stream(session, max_files)
+        rows = self._rows_stream(session, Admission(max_files, max_bytes))
         if self.watermark_column is None:
             return rows
         time = self.watermark_column
         if not self.heartbeat_path:
             return rows.withWatermark(time, self.delay)
-        beats = _reader(session, T.StructType([T.StructField("millis", T.LongType())]), None)
+        beats = _reader(session, T.StructType([T.StructField("millis", T.LongType())]))
         beats = beats.option("ignoreMissingFiles", "true").json(self.heartbeat_path)
         beats = beats.select(F.timestamp_millis("millis").alias(time))
         blank = [
@@ -166,9 +203,10 @@ class StoredSource(Source):
         """The rows accepted so far, or up to one append."""
         return self.table.read(upto=upto).drop(APPEND_ID)
 
-    def _rows_stream(self, session: SparkSession, max_files: int | None) -> DataFrame:
+    def _rows_stream(self, session: SparkSession, admits: Admission) -> DataFrame:
         self.table.settle()
-        return _reader(session, self.table.stored_schema, max_files).parquet(self.path).drop(APPEND_ID)
+        reader = admits.limit(_reader(session, self.table.stored_schema), self._held)
+        return reader.parquet(self.path).drop(APPEND_ID)
 
     def watermark(self) -> int | None:
         """How far event time has come: newest row or heartbeat, in milliseconds."""
@@ -324,4 +362,4 @@ class Writer:
         self._closed = True
 
 
-__all__ = ["APPEND_ID", "REJECTED_ROW", "Source", "StoredSource", "Writer"]
+__all__ = ["APPEND_ID", "BACKLOG", "REJECTED_ROW", "Admission", "Source", "StoredSource", "Writer"]

@@ -58,7 +58,8 @@ class Stream:
     and emission of changes elsewhere. A query with state writes a file per
     state partition and epoch; where its epochs are small and its state is
     wide, ``feed_files`` shuffles the output of an epoch into that many.
-    ``max_files`` bounds the files of each source that one epoch takes in.
+    ``max_files`` bounds the files of each source that one epoch takes in,
+    ``max_bytes`` their size instead; ``BACKLOG`` lets that follow what waits.
 
     ``window`` is the window of a query given as a function, as SQL over a
     source's columns such as ``window(ts, '1 day')``; a query in SQL tells it
@@ -79,6 +80,7 @@ class Stream:
         feed_files: int | None = None,
         checkpoint_path: str | None = None,
         window: str | None = None,
+        max_bytes: int | None = None,
     ):
         self._spark = spark
         self._storage = Storage(spark)
@@ -91,7 +93,7 @@ class Stream:
         self._feed_time = feed_time
         self._feed_files = feed_files
         self._checkpoint_path = checkpoint_path or f"{path}/checkpoint"
-        inputs = {s.name: s.stream(self._session, max_files) for s in sources}
+        inputs = {s.name: s.stream(self._session, max_files, max_bytes) for s in sources}
         if isinstance(query, str):
             for source_name, rows in inputs.items():
                 rows.createOrReplaceTempView(source_name)

@@ -63,8 +63,8 @@ class Config:
     """Options of ``open_workspace``. ``storage_dir`` wins over the path argument.
 
     ``buffer_size`` is the number of unprocessed rows above whose larger part a
-    source counts as backpressured; ``max_files_per_epoch`` bounds what streams
-    take in at once. A stream keeps the ``state_partitions`` it was made with.
+    source counts as backpressured; ``max_files_per_epoch`` or
+    ``max_bytes_per_epoch`` bounds what streams take in at once. A stream keeps the ``state_partitions`` it was made with.
     """
 
     storage_dir: str | None = None
@@ -72,6 +72,7 @@ class Config:
     buffer_size: int = 1_000_000
     incremental_emit: bool = False
     max_files_per_epoch: int | None = None
+    max_bytes_per_epoch: int | None = None
     state_partitions: int = STATE_PARTITIONS
     feed_files: int | None = None
     object_store_url: str | None = None
@@ -290,6 +291,7 @@ class Workspace:
                 emit,
                 state_partitions=self._config.state_partitions,
                 max_files=self._config.max_files_per_epoch,
+                max_bytes=self._config.max_bytes_per_epoch,
                 feed_files=self._config.feed_files,
                 checkpoint_path=f"{folder}/{name}" if folder else None,
                 window=window,

@@ -11,7 +11,9 @@ from freshet.errors import FreshetError
 from freshet.functions.logical import parse_columns
 from freshet.session import Storage, fresh_path
 from freshet.sources.keyed_table import KeyedTable
-from freshet.sources.source import StoredSource
+from freshet.operators.results import Result
+from freshet.sources import arrow_ipc
+from freshet.sources.source import BACKLOG, Admission, StoredSource
 from freshet.streaming.ingestion import Ingestion, files_arriving
 from freshet.streaming.sink import Sink, UpsertSink
 from freshet.streaming.state import state_changes, state_rows
@@ -350,6 +352,97 @@ def test_retention_by_age_and_against_need(spark, open_ws):
     assert ws.retain("counts", 1) == 1
 
 
+# -- batches, files and bytes ----------------------------------------------
+
+
+def tasks_of(spark, run):
+    """The number of tasks that ``run`` started, and what it returned."""
+    context, group = spark.sparkContext, f"group-{random.random()}"
+    context.setJobGroup(group, "")
+    try:
+        out = run()
+    finally:
+        context._jsc.clearJobGroup()
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return sum(info.numTasks for s in set(stages) if (info := tracker.getStageInfo(s))), out
+
+
+def test_a_batch_is_found_by_its_number(spark):
+    result = Result(spark.range(0, 1000, 1, 10).where("id < 300 OR id >= 500"))
+    assert result.num_batches() == 8
+    tasks, last = tasks_of(spark, lambda: result.batch(7))
+    assert tasks == 1 and last.to_pydict() == {"id": list(range(900, 1000))}
+    assert result.batch(3).to_pydict() == {"id": list(range(500, 600))}
+    wide = Result(spark.range(40).repartition(3).selectExpr("id", "repeat('x', 100) AS s"))
+    rows = [r for k in range(wide.num_batches()) for r in wide.batch(k).to_pydict()["id"]]
+    assert sorted(rows) == list(range(40))
+    for index in (-1, 8, 99):
+        with pytest.raises(FreshetError) as error:
+            result.batch(index)
+        assert error.value.code == 400
+
+
+def test_a_large_arrow_file_is_read_by_several_tasks(spark):
+    path = fresh_path(spark, "ipc")
+    rows = spark.range(0, 6000, 1, 1).selectExpr("id", "concat('v', id % 7) AS v", "CASE WHEN id % 3 = 0 THEN NULL ELSE id / 2 END AS x")
+    arrow_ipc.write_ipc_files(rows, path, whole_partitions=True, batch_rows=100)
+    assert len(Storage(spark).names(path)) == 1
+    schema = parse_columns("id BIGINT, v VARCHAR, x DOUBLE")
+    back = arrow_ipc.read_ipc_files(spark, path, schema, range_bytes=20_000)
+    parts = back.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= 5 and sum(r["count"] for r in parts) == 6000
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    whole = arrow_ipc.read_ipc_files(spark, path, schema)
+    assert whole.rdd.getNumPartitions() == 1 and whole.count() == 6000
+
+
+def test_arrow_ranges_know_dictionaries_ends_and_garbage(spark, tmp_path):
+    import pyarrow as pa
+
+    table = pa.table({"id": pa.array(range(50), pa.int64()), "v": pa.array([f"w{k % 3}" for k in range(50)]).dictionary_encode()})
+    path = str(tmp_path / "a.arrow")
+    with pa.OSFile(path, "wb") as out, pa.ipc.new_stream(out, table.schema) as writer:
+        for batch in table.to_batches(max_chunksize=10):
+            writer.write_batch(batch)
+    with pa.OSFile(path) as file:
+        kinds = [(kind, end > start) for kind, start, end in arrow_ipc.messages(file)]
+    assert [k for k, _ in kinds] == [1, 2, 3, 3, 3, 3, 3] and all(some for _, some in kinds)
+    found = arrow_ipc.ipc_ranges(spark.createDataFrame([(path,)], "path string"), range_bytes=1).collect()
+    assert len(found) == 5 and all(len(r["lead"]) == 2 for r in found)
+    data = open(path, "rb").read()
+    for k, r in enumerate(sorted(found, key=lambda r: r["start"])):
+        parts = [data[x["start"] : x["end"]] for x in r["lead"]] + [data[r["start"] : r["end"]]]
+        got = pa.ipc.open_stream(b"".join(parts)).read_all()
+        assert got.column("id").to_pylist() == list(range(10 * k, 10 * k + 10))
+        assert got.column("v").to_pylist() == [f"w{n % 3}" for n in range(10 * k, 10 * k + 10)]
+    for name, bad in (("cut", data[: len(data) // 2]), ("text", b"not arrow at all")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.arrow").write_bytes(bad)
+        with pytest.raises(Exception) as error:
+            arrow_ipc.read_ipc_files(spark, f"file:{tmp_path / name}", parse_columns("id BIGINT, v VARCHAR")).collect()
+        assert arrow_ipc.typed_failure(error.value).code == 300, name
+
+
+def test_one_large_file_is_not_joined_by_others(spark):
+    path = fresh_path(spark, "bytes")
+    source = StoredSource(spark, "s", parse_columns("id BIGINT, v VARCHAR"), path)
+    big = spark.range(20_000).selectExpr("id", "sha2(CAST(id AS STRING), 512) AS v").coalesce(1)
+    small = spark.range(20_000, 20_008, 1, 4).selectExpr("id", "'x' AS v")
+    source.append(small)
+    source.append(big)
+    source.append(small)
+    stream = Stream(spark, "b", f"{path}/b", [source], "SELECT id FROM s", max_bytes=100_000)
+    stream.run_available()
+    rows = sorted(r["n"] for r in stream.feed.read().groupBy(EPOCH).agg(F.count("*").alias("n")).collect())
+    assert rows == [8, 8, 20_000]
+    with pytest.raises(FreshetError):
+        Admission(3, 100)
+    follows = Stream(spark, "c", f"{path}/c", [source], "SELECT id FROM s", max_bytes=BACKLOG)
+    follows.run_available()
+    assert follows.feed.last() == 0 and follows.feed.read().count() == 20_016
+
+
 # -- lineage and state -----------------------------------------------------
 
 
