@@ -285,7 +285,10 @@ def read_ipc_files(spark: SparkSession, path: str, schema: T.StructType, range_b
     if urllib.parse.urlparse(path).scheme not in ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss"):
         return from_ipc(files, schema, "content")
     place = fresh_path(spark, "ipc-runs")
-    ipc_ranges(files, range_bytes).write.parquet(place)
+    try:
+        ipc_ranges(files, range_bytes).write.parquet(place)
+    except Exception as error:
+        raise typed_failure(error) from error
     runs = spark.read.schema(_RANGES).parquet(place)
     # Dealt one by one: by size the few bytes that name them would all go to one task.
     runs = runs.repartition(max(1, min(runs.count(), MOST_TASKS)))
