@@ -18,7 +18,7 @@ from freshet.errors import BAD_CONFIG, WRITER_CLOSED, fault
 from freshet.functions.logical import check_schema
 from freshet.operators.conform import RAW, REJECT, conform
 from freshet.session import Storage
-from freshet.sources.arrow_ipc import read_ipc_files, table_of
+from freshet.sources.arrow_ipc import read_ipc_files, table_of, typed_failure
 from freshet.sources.epoch_table import REFUSED, EpochTable
 from freshet.sources.rows import ROW_ID, rows_frame
 
@@ -312,7 +312,11 @@ class StoredSource(Source):
 
     def insert_ipc_files(self, path: str) -> int:
         """Append a folder of Arrow IPC stream files, decoded on the executors."""
-        return self._commit(read_ipc_files(self._spark, path, self.schema))["rows"]
+        try:
+            rows = read_ipc_files(self._spark, path, self.schema)
+        except Exception as error:  # the headers are read before any row
+            raise typed_failure(error) from error
+        return self._commit(rows)["rows"]
 
     def writer(self) -> Writer:
         return Writer(self)
