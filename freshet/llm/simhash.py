@@ -25,6 +25,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -42,6 +43,10 @@ SEED = 42
 PART = 16_384
 # Texts, and shingles, of a family held in one part while links are confirmed.
 SET_ROWS, SET_SHINGLES = 4_096, 1 << 22
+# Comparisons of two fingerprints in the time that one is dealt to a table and shuffled.
+PER_DEAL = 100
+# Nodes with more than this share of all links are looked up by every task; there are no more than its inverse.
+HEAVY_SHARE = 1_000
 _LANES = 64
 _BATCH = 32_768
 _HASHES = 1 << 15
@@ -67,6 +72,44 @@ def sampled_tables(bits: int, tables: int, width: int) -> list[list[int]]:
     return [sorted(int(x) for x in draw.choice(bits, width, replace=False)) for _ in range(tables)]
 
 
+def met(bits: int, width: int, tables: int, apart: float, radius: int) -> float:
+    """The share of pairs that meet in a table and lie within the radius.
+
+    Each of ``bits`` differs with probability ``apart``; a table holds
+    ``width`` of them.
+    """
+    share = 0.0
+    for d in range(radius + 1):
+        ways = math.lgamma(bits + 1) - math.lgamma(d + 1) - math.lgamma(bits - d + 1)
+        weight = math.exp(ways + d * math.log(apart) + (bits - d) * math.log(1 - apart))
+        same = math.prod((bits - d - k) / (bits - k) for k in range(width))
+        share += weight * (1 - (1 - same) ** tables)
+    return share
+
+
+def tables_for(rows: int, bits: int, similarity: float, radius: int, recall: float) -> list[list[int]]:
+    """Sampled tables for so many fingerprints: the cheapest that bring pairs at the similarity together.
+
+    Wider tables hold fewer rows in a bucket, but more of them are needed for
+    the recall. A row that is dealt to a table costs as much as ``PER_DEAL``
+    comparisons, so the best buckets hold a few dozen rows at any size: each
+    row is compared with about as many others however many there are.
+    """
+    apart = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    best: tuple[float, int, int] | None = None
+    for width in range(4, 41):
+        low, high = 1, 1
+        while met(bits, width, high, apart, radius) < recall and high < 1 << 14:
+            low, high = high, 2 * high
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (low, middle) if met(bits, width, middle, apart, radius) >= recall else (middle + 1, high)
+        cost = high * (1 + rows / 2**width / PER_DEAL)
+        if best is None or cost < best[0]:
+            best = cost, high, width
+    return sampled_tables(bits, best[1], best[2])
+
+
 def _majority(shingles: list[bytes], lanes: int) -> bytes:
     """The fingerprint of shingles; lane k takes the hash with seed 42 + k."""
     out = []
@@ -408,9 +451,16 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
     seen = state(now)
     while seen[0]:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # What a node is linked to: its least neighbour if that is smaller, else itself.
+        lower = written(now.groupBy("u").agg(F.min("v").alias("m")), "star-lower").withColumnRenamed("u", "v")
+        # Most links hang on few nodes. Their one row each goes to the links, so that no task gets all
+        # links of a node; every other node has fewer links than the share that makes one heavy.
+        heavy = now.groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") * HEAVY_SHARE > seen[0]).select("v")
+        heavy = written(heavy.join(lower, "v", "left").select("v", F.coalesce("m", "v").alias("m")), "star-heavy")
+        told = now.join(F.broadcast(heavy), "v", "left")
+        rest = told.where("m IS NULL").drop("m").join(lower.hint("merge"), "v", "left")
+        large = told.where("m IS NOT NULL").select("u", F.col("m").alias("v"))
+        large = large.unionByName(rest.select("u", F.coalesce("m", "v").alias("v"))).distinct()
         large = written(large, "star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -426,6 +476,7 @@ def _rooted(docs: DataFrame, key: str, text: str, shingle: int, radius: int, lan
     tables = tables or exact_tables(64 * lanes, radius, radius + 2)
     prints = written(fingerprints(docs, key, text, shingle, lanes), "simhash")
     nodes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
+    tables = tables(nodes.count()) if callable(tables) else tables
     stars = components(written(links(nodes, radius, tables), "simhash-links"))
     root = F.coalesce("root", "fp").alias("root")
     return prints, nodes.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", root)
@@ -494,8 +545,10 @@ def _confirmed(
     often = _repeated(prints)
     least = [F.min("id").alias("least"), F.min("fp").alias("fp"), F.first("shingles").alias("shingles")]
     nodes = written(prints.groupBy("mark").agg(*least), "simhash-nodes")
-    met = links(written(nodes.select("fp").distinct(), "simhash-prints"), radius, tables)
-    stars = components(written(met, "simhash-links")).withColumnRenamed("node", "fp")
+    distinct = written(nodes.select("fp").distinct(), "simhash-prints")
+    chosen = tables(distinct.count()) if callable(tables) else tables
+    found = links(distinct, radius, chosen)
+    stars = components(written(found, "simhash-links")).withColumnRenamed("node", "fp")
     # Two families of one hash are compared as one.
     family = F.xxhash64(F.coalesce("root", "fp")).alias("family")
     named = written(nodes.join(stars, "fp", "left").select("mark", "least", "fp", "shingles", family), "simhash-families")
@@ -542,11 +595,14 @@ def representatives(
     shingle: int = 4,
     radius: int = 4,
     lanes: int = 1,
-    tables: list[list[int]] | None = None,
+    tables: list[list[int]] | Callable[[int], list[list[int]]] | None = None,
     similarity: float | None = None,
 ) -> DataFrame:
     """One row of each group, with all its columns: one of the least id.
 
+    ``tables`` may be a function of the number of fingerprints, as
+    ``tables_for`` is.
+
     With ``similarity`` a pair is linked only if, besides its fingerprints, its
     sets of distinct shingles have that Jaccard similarity at least; repeats of a
     shingle then have no vote in the fingerprint either.

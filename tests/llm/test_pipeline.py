@@ -196,8 +196,10 @@ def test_families_in_parts_match_exact_similarity(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == kept_by_similarity(texts)
 
 
-def test_candidates_hold_nearly_all_pairs_at_the_similarity():
+@pytest.mark.parametrize("rows", [500, 40_000, 5_000_000])
+def test_candidates_hold_nearly_all_pairs_at_the_similarity(rows):
     draw, near = random.Random(4), corpus_pipeline.NEAR
+    tables = near["tables"](rows)
     found, pairs = 0, 400
     for n in range(pairs):
         words = [f"v{n}x{k}" for k in range(404)]
@@ -208,5 +210,12 @@ def test_candidates_hold_nearly_all_pairs_at_the_similarity():
         assert 0.78 <= alike(a, b) <= 0.82
         x, y = (simhash.fingerprint(t.encode(), near["shingle"], near["lanes"], repeats=False) for t in (a, b))
         x, y = (np.unpackbits(np.frombuffer(p, np.uint8), bitorder="little") for p in (x, y))
-        found += (x != y).sum() <= near["radius"] and any((x[t] == y[t]).all() for t in near["tables"])
+        found += (x != y).sum() <= near["radius"] and any((x[t] == y[t]).all() for t in tables)
     assert found >= 0.97 * pairs
+
+
+def test_tables_follow_the_number_of_texts():
+    some, many = corpus_pipeline.NEAR["tables"](50_000), corpus_pipeline.NEAR["tables"](50_000_000)
+    assert len(many[0]) > len(some[0])
+    # A thousand times the texts: a row meets a few times as many others, not a thousand times.
+    assert len(many) * 50_000_000 / 2 ** len(many[0]) < 20 * len(some) * 50_000 / 2 ** len(some[0])

@@ -154,3 +154,28 @@ def test_repeats_vote_only_where_wanted():
     once = [simhash.fingerprint(t, 5, 4, repeats=False) for t in texts]
     assert sum(apart(voted[a], voted[b]) <= 62 for a, b in pairs) > len(pairs) / 2
     assert min(apart(once[a], once[b]) for a, b in pairs) > 80
+
+
+def test_components_with_heavy_nodes(spark, monkeypatch):
+    """Stars of which some are heavy, chains between them, and lone links."""
+    draw = random.Random(9)
+    edges = [(0, k) for k in range(1, 400)] + [(500, k) for k in range(501, 700)] + [(k, k + 1) for k in range(800, 860)]
+    edges += [(3, 500), (860, 690)] + [(1000 + 2 * k, 1001 + 2 * k) for k in range(60)]
+    edges += [(draw.randint(2000, 2300), draw.randint(2000, 2300)) for _ in range(250)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    want = {x: root(x) for pair in edges for x in pair if pair[0] != pair[1]}
+    for share in (1_000, 3):
+        monkeypatch.setattr(simhash, "HEAVY_SHARE", share)
+        rows = [(a.to_bytes(4, "big"), b.to_bytes(4, "big")) for a, b in edges]
+        got = simhash.components(spark.createDataFrame(rows, "u binary, v binary")).collect()
+        found = {int.from_bytes(r["node"], "big"): int.from_bytes(r["root"], "big") for r in got}
+        assert found == {x: r for x, r in want.items() if x != r}
