@@ -10,15 +10,23 @@ from freshet.llm.queries import tokenizer
 
 # Near duplicates: five words, similarity 0.8. The angle between two
 # fingerprints of 256 bits is arccos(2s / (1 + s)) for sets of similarity s
-# and like size, which is 38 bits at 0.8 with a spread of 6; the radius is four
-# spreads wider. Of pairs at 0.8, 99 of 100 meet in a table. Fingerprints only
-# name candidates: a pair is linked if its sets of distinct shingles are as
-# similar as that.
+# and like size, which is 39 bits at 0.8 with a spread of 6; the radius is four
+# spreads wider. Tables follow the number of fingerprints, so that at any size
+# 99 of 100 pairs at 0.8 meet in one. Fingerprints only name candidates: a pair
+# is linked if its sets of distinct shingles are as similar as that.
+RECALL = 0.99
+
+
+def near_tables(rows: int) -> list[list[int]]:
+    """The sampled bit positions in which near copies among so many fingerprints meet."""
+    return simhash.tables_for(rows, bits=256, similarity=NEAR["similarity"], radius=NEAR["radius"], recall=RECALL)
+
+
 NEAR = {
     "shingle": 5,
     "lanes": 4,
     "radius": 62,
-    "tables": simhash.sampled_tables(256, tables=52, width=13),
+    "tables": near_tables,
     "similarity": 0.8,
 }
 
