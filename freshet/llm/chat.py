@@ -15,8 +15,9 @@ across the border of two parts: the parse of a conversation is that of its turns
 
 Defined results: a null role or text is empty; turns are in the order of
 ``turn``, nulls first, and rows that agree in it in the order of their
-rendering; rows without a conversation id form one conversation; an empty table
-gives an empty table; extra columns are not read.
+rendering; rows without a conversation id form one conversation; very long texts
+are rendered whole, and a conversation's text is one value; an empty table gives
+an empty table; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -47,12 +48,23 @@ def render(role: Column, text: Column, escape: Callable[[Column], Column] = _ESC
     return F.concat(F.lit(OPEN), escape(role), F.lit(MIDDLE), escape(text), F.lit(CLOSE))
 
 
+def plain(part: Column) -> Column:
+    """A part of a turn as it was before control strings in it were broken."""
+    return F.regexp_replace(part, _BROKEN, "")
+
+
+def masked(formatted: Column, loss: Column) -> Column:
+    """The texts that the stretches of a loss mask cut out of a formatted conversation."""
+
+    def cut(stretch: Column) -> Column:
+        return plain(F.substring(formatted, stretch["start"].cast("int") + 1, (stretch["end"] - stretch["start"]).cast("int")))
+
+    return F.transform(loss, cut)
+
+
 def parse(formatted: Column) -> Column:
     """The turns (role, text) of a formatted conversation; one that breaks the grammar has null parts."""
 
-    def plain(part: Column) -> Column:
-        return F.regexp_replace(part, _BROKEN, "")
-
     def turn(piece: Column) -> Column:
         inner = F.when(F.startswith(piece, F.lit(OPEN)), F.substring(piece, F.lit(len(OPEN) + 1), F.length(piece)))
         parts = F.split(inner, r"\[/INST\]|<s>|\[INST\]", -1)

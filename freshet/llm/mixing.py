@@ -6,14 +6,21 @@ summed by source and leading bits of the place, the bucket in which the budget
 ends is found, and only that bucket is split further, until it holds a single
 place. Documents below the threshold are taken. Nothing is sorted, and since
 the same places serve every budget, a larger budget takes the same documents
-and more.
+and more. All sizes are read for the first histogram and for the boundary
+buckets' rows, which are then a table of their own.
+
+Rows that agree in id, source and text share a place. Where the budget ends
+within one, it takes as many of its rows as come nearest; only the rows of such
+places are numbered, task by task.
 
 A budget above the source's size is met by whole rounds over the source first.
 
 Defined results: a null text has no words; a null source is a source of its
-own, after all others; rows that agree in id, source and text are taken alike;
-with no words at all every target is zero; an empty table gives an empty table.
-Sources may be many: their weights and thresholds stay tables.
+own, after all others; of rows that agree in id, source and text any may be
+those that are taken once more; with no words at all every target is zero; very
+long texts are counted whole; an empty table gives an empty table; extra columns
+stay, whatever their names. Sources may be many: their weights and thresholds
+stay tables, though one task puts the sources, not their rows, in order.
 """
 
 from __future__ import annotations
@@ -75,31 +82,29 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def thresholds(sizes: DataFrame) -> DataFrame:
-    """For each source: target, whole ``rounds`` over it, and the place ``below`` which documents are taken once more.
+    """For each source: target, whole ``rounds`` over it, and where the round after them ends.
 
-    Each round of histograms reads the places and sizes of the boundary buckets
-    alone. What a source still lacks when its boundary is one place decides
-    whether that place is taken: whichever comes nearer to the budget.
+    Documents at places before ``edge`` are taken once more; of the ``held``
+    rows at ``edge`` itself ``extra`` are. Each histogram after the first reads
+    the rows of the boundary buckets alone.
     """
     rounds = F.when(F.col("total") > 0, F.floor(F.col("target") / F.col("total"))).otherwise(F.lit(0)).cast("long")
     open_ = targets(sizes).withColumn("rounds", rounds)
     open_ = open_.withColumn("lacks", F.col("target") - F.col("rounds") * F.col("total"))
-    open_ = written(open_.withColumn("prefix", F.lit(0).cast("long")), "mixing-targets")
-    shift = PLACE_BITS
-    inside = sizes
+    open_ = written(open_, "mixing-targets")
+    shift, inside = PLACE_BITS, sizes
     while shift > 0:
         shift -= STEP_BITS
-        # A boundary bucket's rows, and the buckets they fall into next.
-        held = inside.join(open_.select(*_SOURCE, "prefix"), _SOURCE).where(
-            F.shiftright("place", shift + STEP_BITS) == F.col("prefix")
-        )
-        sums = held.groupBy(*_SOURCE, F.shiftright("place", shift).alias("bucket")).agg(
-            F.sum("size").alias("words"), F.min("place").alias("low"), F.max("place").alias("high")
+        sums = inside.groupBy(*_SOURCE, F.shiftright("place", shift).alias("bucket")).agg(
+            F.sum("size").alias("words"), F.count("*").alias("held"), F.min("place").alias("low"), F.max("place").alias("high")
         )
         upto = F.sum("words").over(Window.partitionBy(*_SOURCE).orderBy("bucket"))
         steps = sums.withColumn("upto", upto).join(open_.select(*_SOURCE, "lacks"), _SOURCE)
-        ends = steps.where("upto > lacks").groupBy(*_SOURCE).agg(F.min(F.struct("bucket", "upto", "words", "low", "high")).alias("end"))
+        ends = steps.where("upto > lacks").groupBy(*_SOURCE).agg(
+            F.min(F.struct("bucket", "upto", "words", "held", "low", "high")).alias("end")
+        )
         before = F.col("end.upto") - F.col("end.words")
+        none = F.lit(1 << PLACE_BITS).cast("long")
         open_ = written(
             open_.join(ends, _SOURCE, "left").select(
                 *_SOURCE,
@@ -109,17 +114,23 @@ def thresholds(sizes: DataFrame) -> DataFrame:
                 F.coalesce(F.col("lacks") - before, F.lit(0.0)).alias("lacks"),
                 # Without a boundary the budget is all of the source.
                 F.coalesce("end.bucket", F.lit(1 << (PLACE_BITS - shift)).cast("long")).alias("prefix"),
-                F.coalesce("end.low", F.lit(1 << PLACE_BITS).cast("long")).alias("low"),
-                F.coalesce("end.high", F.lit(1 << PLACE_BITS).cast("long")).alias("high"),
+                F.coalesce("end.low", none).alias("low"),
+                F.coalesce("end.high", none).alias("high"),
                 F.coalesce("end.words", F.lit(0)).alias("words"),
+                F.coalesce("end.held", F.lit(0)).alias("held"),
             ),
             "mixing-bounds",
         )
         if not open_.where("low < high").limit(1).count():
             break
-    # What the boundary place would bring too much is less than what is lacking without it.
-    closer = F.col("words") - F.col("lacks") < F.col("lacks")
-    return open_.select(*_SOURCE, "total", "target", "rounds", F.when(closer, F.col("low") + 1).otherwise(F.col("low")).alias("below"))
+        # The boundary buckets' rows, and nothing else, fall into finer ones.
+        near = inside.join(open_.select(*_SOURCE, "prefix"), _SOURCE)
+        inside = written(near.where(F.shiftright("place", shift) == F.col("prefix")).drop("prefix"), "mixing-boundary")
+    # Rows at one place are of one size: as many of them as come nearest, a half rounded down.
+    each = F.col("words") / F.col("held")
+    extra = F.when(F.col("words") > 0, F.ceil(F.col("lacks") / each - 0.5)).otherwise(0)
+    extra = F.greatest(F.least(extra, F.col("held")), F.lit(0)).cast("long")
+    return open_.select(*_SOURCE, "total", "target", "rounds", F.col("low").alias("edge"), "held", extra.alias("extra"))
 
 
 def _sizes(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
@@ -134,17 +145,36 @@ def _sizes(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
     )
 
 
-def _copies() -> Column:
-    return F.col("rounds") + F.when(F.col("place") < F.col("below"), 1).otherwise(0)
+def _placed(rows: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The rows, which have ``place`` and their source, with ``total``, ``target`` and ``copies``.
+
+    Where only some rows of a place are taken, its rows are numbered within
+    their tasks, and each task's numbers begin where those before it end.
+    """
+    met = rows.join(bounds, _SOURCE)
+    more = (F.col("place") < F.col("edge")) | ((F.col("place") == F.col("edge")) & (F.col("extra") == F.col("held")))
+    split = (F.col("place") == F.col("edge")) & (F.col("extra") > 0) & (F.col("extra") < F.col("held"))
+    names = [c for c in met.columns if c not in ("edge", "held", "extra", "rounds")]
+    copies = (F.col("rounds") + F.when(more, 1).otherwise(0)).cast("long").alias("copies")
+    plain = met.where(~split).select(*names, copies)
+    if not bounds.where("extra > 0 AND extra < held").limit(1).count():
+        return plain
+    shared = met.where(split).withColumns({"part": F.spark_partition_id(), "nth": F.monotonically_increasing_id()})
+    shared = written(shared, "mixing-shared")
+    task = Window.partitionBy(*_SOURCE, "part")
+    tasks = shared.groupBy(*_SOURCE, "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*_SOURCE).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select(*_SOURCE, "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = shared.withColumn("own", F.row_number().over(task.orderBy("nth"))).join(tasks, [*_SOURCE, "part"])
+    once = F.when(F.col("before") + F.col("own") <= F.col("extra"), 1).otherwise(0)
+    return plain.unionByName(numbered.select(*names, (F.col("rounds") + once).cast("long").alias("copies")))
 
 
 def taken(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``id``, ``size``, ``source_size``, ``target`` and ``copies`` of every row."""
     sizes = _sizes(docs, key, source, text)
     bounds = written(thresholds(sizes), "mixing-thresholds")
-    return sizes.join(bounds, _SOURCE).select(
-        "id", "size", F.col("total").alias("source_size"), "target", _copies().cast("long").alias("copies")
-    )
+    return _placed(sizes, bounds).select("id", "size", F.col("total").alias("source_size"), "target", "copies")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -153,5 +183,5 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     rows = docs.select(
         F.struct("*").alias("row"), *_named(F.col(source)), place_of(F.col(key), F.col(text)).alias("place")
     )
-    often = rows.join(bounds, _SOURCE).select("row", _copies().cast("int").alias("copies")).where("copies > 0")
+    often = _placed(rows, bounds).select("row", F.col("copies").cast("int").alias("copies")).where("copies > 0")
     return often.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -124,12 +124,11 @@ l AS (SELECT *, ((SELECT sum(total) FROM s) - 3 * coalesce(sum(total) OVER (ORDE
 t AS (SELECT source, total, least(weight::DOUBLE * (SELECT arg_min(level, stop) FROM l WHERE stop >= level), 3.0::DOUBLE * total) AS target FROM l),
 b AS (SELECT *, CASE WHEN total > 0 THEN floor(target / total) ELSE 0 END AS rounds FROM t),
 c AS (SELECT d.doc_id, d.size, b.total, b.target, b.rounds, b.target - b.rounds * b.total AS lacks,
-             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place) AS upto,
-             sum(d.size) OVER (PARTITION BY d.source, d.place) AS same
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place) - sum(d.size) OVER (PARTITION BY d.source, d.place) AS before,
+             row_number() OVER (PARTITION BY d.source, d.place) AS nth
       FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, size, total AS source_size, target,
-       (size * (rounds + CASE WHEN upto <= lacks OR upto - same <= lacks AND upto - lacks < lacks - (upto - same)
-                              THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * (rounds + CASE WHEN size > 0 AND nth <= ceil((lacks - before) / size - 0.5) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c""",
 )
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +179,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(_PLANTED).alias("text"),
     )
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
-    told = chat.formatted(turns).select("conv_id", "formatted", chat.parse(F.col("formatted")).alias("turns"))
+    told = chat.formatted(turns).select("conv_id", "formatted", "loss", chat.parse(F.col("formatted")).alias("turns"))
 
     def digest(text):
         return F.sha2(text.cast("binary"), 256)
@@ -188,8 +187,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     def line(turn):
         return F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))
 
-    loss = F.transform(F.filter("turns", lambda t: t["role"] == chat.LOSS_ROLE), lambda t: t["text"])
-    told = told.withColumn("loss", F.array_join(loss, ""))
+    told = told.withColumn("loss", F.array_join(chat.masked(F.col("formatted"), F.col("loss")), ""))
     return told.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

@@ -1,6 +1,7 @@
 """Round trips of the chat grammar."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -36,8 +37,27 @@ def test_every_turn_is_read_back(spark):
         bodies = [t for role, t in want[r["conv_id"]] if role == "assistant"]
         cut = [r["formatted"][s["start"] : s["end"]] for s in r["loss"]]
         assert len(cut) == len(bodies)
-        for raw, body in zip(cut, bodies, strict=True):
-            assert raw == body or "\\" in raw
+        assert [re.sub(r"(?<=<)\\(?=\\*/?s>)|(?<=\[)\\(?=\\*/?INST\])", "", raw) for raw in cut] == bodies
+
+
+def test_the_mask_is_what_the_loss_is_read_through(spark):
+    rows = conversations()
+    told = chat.formatted(spark.createDataFrame(rows, SCHEMA))
+    want = {}
+    for conv, _, role, text, _ in sorted(rows, key=lambda r: (r[0], r[1])):
+        want.setdefault(conv, []).extend([text or ""] if role == "assistant" else [])
+
+    def read(loss):
+        return {r["conv_id"]: r["t"] for r in told.select("conv_id", chat.masked(F.col("formatted"), loss).alias("t")).collect()}
+
+    assert read(F.col("loss")) == want
+    moved = F.transform("loss", lambda s: F.struct((s["start"] + 1).alias("start"), (s["end"] + 1).alias("end")))
+    missing = F.slice("loss", F.lit(2), F.greatest(F.size("loss"), F.lit(1)))
+    for wrong in (moved, missing):
+        got = read(wrong)
+        # A text of one character over and over may look the same when the mask is off by one.
+        assert all(got[c] != want[c] for c in want if any(len(set(t)) > 2 for t in want[c][:1]))
+        assert sum(got[c] != want[c] for c in want) > 90
 
 
 def test_texts_without_control_strings_are_left_alone(spark):

@@ -35,14 +35,15 @@ def plain(rows):
         own = [(int(hashlib.md5(f"{'' if r[0] is None else r[0]}\n{r[2] or ''}".encode()).hexdigest()[:15], 16), r) for r in rows if r[1] == s]
         rounds = math.floor(target[s] / total[s] + 1e-12) if total[s] else 0
         lacks = target[s] - rounds * total[s]
-        best, upto = 0, 0
+        upto = 0
         for place in sorted({p for p, _ in own}):
-            upto += sum(size(r[2]) for p, r in own if p == place)
-            if upto <= lacks or upto - lacks < lacks - (upto - sum(size(r[2]) for p, r in own if p == place)):
-                best = place + 1
-            if upto > lacks:
-                break
-        out += [(r[0], size(r[2]), total[s], round(target[s], 6), rounds + (p < best)) for p, r in own]
+            same = [r for p, r in own if p == place]
+            one = size(same[0][2])
+            # Rows of one place are alike: as many of them as come nearest.
+            k = min(len(same), max(0, math.ceil((lacks - upto) / one - 0.5))) if one and upto < lacks else 0
+            k = len(same) if upto + one * len(same) <= lacks else k
+            out += [(r[0], one, total[s], round(target[s], 6), rounds + (n < k)) for n, r in enumerate(same)]
+            upto += one * len(same)
     return out
 
 
@@ -79,11 +80,28 @@ def test_words_taken_come_near_each_target(spark):
         assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= 50
 
 
-def test_repeated_rows_are_taken_alike(spark):
-    rows = [(1, "a", "x y z")] * 6 + [(2, "a", "p q"), (None, "b", "r"), (None, "b", "r")]
-    got = mixing.taken(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_some_of_many_equal_rows_are_taken(spark, tasks):
+    rows = [(1, "a", "p q r s")] * 1000 + [(2, "b", "w " * 20)] * 100 + [(None, None, "n n")] * 3 + [(3, "c", None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(tasks)
+    got = mixing.taken(docs).collect()
     assert len(got) == len(rows)
-    assert len({(r["id"], r["copies"]) for r in got}) == len({r["id"] for r in got})
+    assert sorted((r["id"] or 0, r["copies"]) for r in got if r["size"]) == sorted((w[0] or 0, w[4]) for w in plain(rows) if w[1])
+    for source, one in (("a", 4), ("b", 20)):
+        own = [r for r in got if r["id"] == {"a": 1, "b": 2}[source]]
+        assert abs(sum(r["size"] * r["copies"] for r in own) - own[0]["target"]) <= one / 2
+    mixed = mixing.mix(docs).groupBy("doc_id").count().collect()
+    times = {}
+    for r in got:
+        times[r["id"]] = times.get(r["id"], 0) + r["copies"]
+    assert {r["doc_id"]: r["count"] for r in mixed} == {k: n for k, n in times.items() if n}
+
+
+def test_long_texts_and_clashing_columns(spark):
+    rows = [(k, "s", "w " * (300_000 if k == 1 else 10), 1, "x") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, copies int, edge string")
+    assert {r["id"]: r["size"] for r in mixing.taken(docs).collect()}[1] == 300_000
+    assert mixing.mix(docs).columns == docs.columns
 
 
 def test_no_words_and_no_rows(spark):
