@@ -48,6 +48,27 @@ def test_ties_repeats_and_unusable_vectors(spark):
     assert sorted(by[0])[0] == (1, 300, 0.0) and [i for _, i, _ in sorted(by[0])][1:] == list(range(20, 29))
 
 
+def test_rows_of_one_id_and_vectors_of_other_lengths(spark):
+    rows = [(100, [0.0, 1.0]), (7, [0.0, 2.0]), (7, [0.0, 4.0]), (7, [0.0, 4.0]), (100, [0.0, 1.5]), (8, [1.0, 2.0, 2.0]), (200, [1.0, 2.0, 4.0]), (9, [5.0])]
+    table = spark.createDataFrame([(*r, "", 0) for r in rows], SCHEMA)
+    got = sorted(tuple(r) for r in neighbours.search(table, F.col("id") % 100 == 0, least=2, shard_rows=2).collect())
+    first = [(100, 1, 100, 0.5), (100, 2, 7, 1.0), (100, 3, 7, 3.0)]
+    second = [(100, 1, 100, 0.5), (100, 2, 7, 0.5), (100, 3, 7, 2.5)]
+    # Of equal distances the smaller id comes first.
+    second = [(100, 1, 7, 0.5), (100, 2, 100, 0.5), (100, 3, 7, 2.5)]
+    assert got == sorted([*first, *second, (200, 1, 8, 2.0)])
+
+
+def test_the_index_is_shuffled_once(spark):
+    draw = np.random.default_rng(3)
+    rows = [(k, [float(v) for v in draw.normal(size=8)], "", 0) for k in range(2000)]
+    got = neighbours.search(spark.createDataFrame(rows, SCHEMA), F.col("id") % 10 == 0, shard_rows=500)
+    assert got.count() == 2000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # Queries alone are multiplied: one explode, over the rows made of them.
+    assert plan.count("explode") == 1
+
+
 def test_fewer_candidates_than_wanted_and_empty(spark):
     table = spark.createDataFrame([(100, [1.0, 2.0], "", 0), (101, [1.0, 3.0], "", 0)], SCHEMA)
     got = [tuple(r) for r in neighbours.search(table, F.col("id") % 100 == 0).collect()]
