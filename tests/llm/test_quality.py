@@ -70,6 +70,15 @@ def test_cheap_rules_that_reject_much_come_first(spark):
     assert [r.name for r in quality.ordered([never, few], docs)] == ["few", "never"]
 
 
+def test_two_calls_give_the_same_order(spark):
+    dear = quality.Rule("dear", quality.rules(F.col("text"))[1].rejects | (F.length("text") < 100))
+    cheap = quality.Rule("cheap", F.length("text") < 100)
+    few = spark.createDataFrame([("word " * 400 if k % 2 else "few",) for k in range(300)], "text string")
+    never = quality.Rule("never", F.length("text") < 0)
+    for _ in range(3):
+        assert [r.name for r in quality.ordered([never, dear, cheap], few)] == ["cheap", "dear", "never"]
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert quality.measured(none).count() == 0
