@@ -8,17 +8,22 @@ speech less. The machine reads one clause at a time, and a text's score rests
 on the hits of its clauses, not on words by themselves.
 
 Which words insult, and how much, is learned from labelled texts: whole words
-and beginnings of words whose share of toxic texts is too high for chance. A
+whose share of toxic texts is too high for chance, and beginnings of words for
+which that holds without the whole words. What stands beside insults is learned
+from the same texts: words before an insult that speak for a clean text become
+negations or reports, words that speak for a toxic one targets, in whatever
+language. The listed words of these classes are a start; a listed threat that
+clean texts use often is another word that is spelt alike, and is dropped. A
 logistic curve fitted to other labelled texts turns clause scores into
-probabilities. Labels never reach a score but through these two.
+probabilities. Labels never reach a score but through these.
 
-Only ``SAMPLE`` labelled texts are used, those of least id hash; all texts are
-scored, whole. One Aho-Corasick pass finds lexicon words, and only clauses that
+Only ``SAMPLE`` labelled ids are used, those of least id hash, with one text
+each; all texts are scored, whole, however long they are. One Aho-Corasick pass finds lexicon words, and only clauses that
 hold one are read word by word.
 
 Defined results: a null or empty text has no clauses and gets the score of
 texts without hits; repeated rows are scored alike; ids with labels 0 and 1
-count as toxic; with no usable labels there is no lexicon and all scores are the
+count as toxic; of several texts of an id the least is learned from; with no usable labels there is no lexicon and all scores are the
 smoothed share; an empty table gives an empty table; extra columns are not read.
 """
 
@@ -27,7 +32,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -43,6 +48,8 @@ LEXICON = 2_000
 PREFIXES = range(3, 8)
 # By how much evidence for a pattern must exceed what the best of all patterns shows by chance.
 MARGIN = 3.0
+# A listed threat in more than this share of the clean texts is no threat. Context words learned of a kind.
+FREQUENT, CONTEXTS = 0.01, 200
 
 # Words of the closed classes, lower case.
 TARGETS = set("you your yours yourself u ur he his him she her hers they them their these those this that it who".split())
@@ -143,16 +150,21 @@ def patterns(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if n < len(word))]
 
 
+def listed() -> dict[str, str]:
+    """The symbols of the listed words."""
+    out = dict.fromkeys(TARGETS, "target") | dict.fromkeys(NEGATIONS, "negation")
+    return out | dict.fromkeys(REPORTED, "reported") | dict.fromkeys(THREATS, "threat")
+
+
 class Scorer:
-    """Clause scores of texts, for a lexicon of patterns and weights."""
+    """Clause scores of texts, for a lexicon of patterns and weights and the symbols of other words."""
 
-    def __init__(self, lexicon: dict[str, float]):
+    def __init__(self, lexicon: dict[str, float], symbols: dict[str, str] | None = None):
         self._lexicon = lexicon
         self._arcs = grammar().arcs
-        self._closed = dict.fromkeys(TARGETS, "target") | dict.fromkeys(NEGATIONS, "negation")
-        self._closed |= dict.fromkeys(REPORTED, "reported") | dict.fromkeys(THREATS, "threat")
+        self._closed = listed() if symbols is None else symbols
         self._find = ahocorasick.Automaton()
-        for start in {p.rstrip("*") for p in lexicon} | THREATS:
+        for start in {p.rstrip("*") for p in lexicon} | {w for w, x in self._closed.items() if x == "threat"}:
             self._find.add_word(start, len(start))
         self._find.make_automaton()
 
@@ -172,23 +184,41 @@ class Scorer:
                 hits.append(weight + more)
         return hits
 
+    def clauses(self, text: str | None) -> Iterator[str]:
+        """The clauses, in lower case, that hold a word of the lexicon or a threat."""
+        if not text:
+            return
+        low, done = text.lower(), 0
+        for last, size in self._find.iter(low):
+            at = last + 1 - size
+            # Lexicon entries begin words; the rest of their clause is read but once.
+            if at < done or at and low[at - 1].isalpha():
+                continue
+            start = max(low.rfind(c, done, at) for c in ".!?;:\n…。！？") + 1 if at > done else at
+            clause = _CLAUSE.match(low, max(start, done))
+            done = clause.end()
+            yield clause[0]
+
     def features(self, text: str | None) -> tuple[float, float, float]:
         """The best clause's score, and logs of the sum and number of all hits."""
         best = total = count = 0.0
-        if text:
-            low, done = text.lower(), 0
-            for last, size in self._find.iter(low):
-                at = last + 1 - size
-                # Lexicon entries begin words; the rest of their clause is read but once.
-                if at < done or at and low[at - 1].isalpha():
-                    continue
-                start = max(low.rfind(c, done, at) for c in ".!?;:\n…。！？") + 1 if at > done else at
-                clause = _CLAUSE.match(low, max(start, done))
-                hits = self.clause(clause[0])
-                done = clause.end()
-                best, total, count = max(best, sum(hits)), total + sum(hits), count + len(hits)
+        for clause in self.clauses(text):
+            hits = self.clause(clause)
+            best, total, count = max(best, sum(hits)), total + sum(hits), count + len(hits)
         return best, math.log1p(total), math.log1p(count)
 
+    def beside(self, text: str | None) -> set[str]:
+        """Words before an insult in its clause, marked by how near: within the reach of a negation, or further."""
+        found = set()
+        for clause in self.clauses(text):
+            words = _WORD.findall(clause)
+            for k, word in enumerate(words):
+                if self.symbol(word)[0] == "insult":
+                    near = max(0, k - NEAR_NEGATION)
+                    found.update(f"near {w}" for w in words[near:k])
+                    found.update(f"far {w}" for w in words[:near])
+        return found
+
 
 def labelled(docs: DataFrame, labels: DataFrame, train: Column, key: str, text: str, label: str, rows: int) -> DataFrame:
     """``id``, ``text`` and ``toxic`` of at most ``rows`` labelled ids that ``train``, a condition on ``id``, admits."""
@@ -198,31 +228,31 @@ def labelled(docs: DataFrame, labels: DataFrame, train: Column, key: str, text:
     # Bounded by the parameter, so it may be sent to every executor.
     some = F.broadcast(marks.orderBy(F.xxhash64("id"), "id").limit(rows))
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return written(texts.join(some, "id"), "toxicity-labelled")
+    # One text per id: an id that rows repeat brings no more rows than another.
+    one = texts.join(some, "id").groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    return written(one.select("id", "text", "toxic"), "toxicity-labelled")
 
 
-def learn(rows: DataFrame, most: int = LEXICON) -> dict[str, float]:
-    """Patterns of toxic texts and their weights.
+def _told(rows: DataFrame, known: Callable[[str | None], set[str]]) -> tuple[DataFrame, int, int, int]:
+    """What texts hold that tells toxic from clean ones; the numbers of patterns, texts and toxic texts.
 
-    The evidence for a pattern is the log likelihood ratio of its toxic share
-    against the share of all texts. It must exceed the log of the number of
-    patterns, which the best one reaches by chance. The weight is the log of
-    how much likelier a toxic text holds it.
+    ``pattern``, ``t`` and ``c`` (toxic and clean texts that hold it),
+    ``evidence`` and ``weight``. The evidence is the log likelihood ratio of
+    the pattern's toxic share against that of all texts; the weight is the log
+    of how much likelier a toxic text holds it.
     """
     totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     n, toxic = totals["n"], totals["toxic"]
-    if not toxic or toxic == n:
-        return {}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Summed per batch, so that a task holds the patterns of one batch.
         for batch in batches:
             every, bad = Counter(), Counter()
             for text, mark in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                known = {p for w in set(_WORD.findall((text or "").lower())) for p in patterns(w)}
-                every.update(known)
+                own = known(text)
+                every.update(own)
                 if mark:
-                    bad.update(known)
+                    bad.update(own)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(every), pa.string()), pa.array([bad[p] for p in every], pa.int64()), pa.array(list(every.values()), pa.int64())],
                 ["pattern", "toxic", "n"],
@@ -230,7 +260,7 @@ def learn(rows: DataFrame, most: int = LEXICON) -> dict[str, float]:
 
     counts = rows.select("text", "toxic").mapInArrow(count, "pattern string, toxic long, n long")
     counts = written(counts.groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum("n").alias("n")), "toxicity-counts")
-    share = toxic / n
+    share = toxic / max(n, 1)
     t, c = F.col("t"), F.col("n") - F.col("t")
 
     def part(k: Column, expected: float) -> Column:
@@ -238,11 +268,72 @@ def learn(rows: DataFrame, most: int = LEXICON) -> dict[str, float]:
 
     evidence = part(t, share) + part(c, 1 - share)
     weight = F.log((t + 0.5) / (toxic + 1.0)) - F.log((c + 0.5) / (n - toxic + 1.0))
-    limit = math.log(max(counts.count(), 1)) + MARGIN
-    found = counts.where((t > F.col("n") * share) & (evidence > limit)).select("pattern", weight.alias("weight"), evidence.alias("evidence"))
+    told = counts.select("pattern", "t", c.alias("c"), evidence.alias("evidence"), weight.alias("weight"))
+    return told, counts.count(), n, toxic
+
+
+def _beyond_chance(told: DataFrame, tried: int, toxic: bool, most: int) -> dict[str, float]:
+    """The patterns that speak for toxic, or clean, texts more than the best of all would by chance; their weights."""
+    side = F.col("weight") > 0 if toxic else F.col("weight") < 0
+    found = told.where(side & (F.col("evidence") > math.log(max(tried, 1)) + MARGIN))
     return {r["pattern"]: r["weight"] for r in found.orderBy(F.desc("evidence"), "pattern").limit(most).collect()}
 
 
+def _words(text: str | None) -> set[str]:
+    return set(_WORD.findall((text or "").lower()))
+
+
+def learn(rows: DataFrame, most: int = LEXICON) -> dict[str, float]:
+    """Patterns of toxic texts and their weights: whole words first, then beginnings of the other words."""
+    told, tried, n, toxic = _told(rows, _words)
+    if not toxic or toxic == n:
+        return {}
+    whole = _beyond_chance(told, tried, True, most)
+
+    def begun(text: str | None) -> set[str]:
+        return {p for w in _words(text) if w not in whole for p in patterns(w)[1:]}
+
+    told, tried, *_ = _told(rows, begun)
+    return whole | _beyond_chance(told, tried, True, most - len(whole))
+
+
+def _once(lexicon: dict[str, float], symbols: dict[str, str]) -> Callable[[str | None], set[str]]:
+    """``Scorer.beside`` with a scorer that each task makes for itself."""
+    made: list[Scorer] = []
+
+    def beside(text: str | None) -> set[str]:
+        if not made:
+            made.append(Scorer(lexicon, symbols))
+        return made[0].beside(text)
+
+    return beside
+
+
+def contexts(rows: DataFrame, lexicon: dict[str, float]) -> dict[str, str]:
+    """The symbols of words that are no insults: the listed ones less false threats, and those learned."""
+    symbols = listed()
+    told, _, n, toxic = _told(rows, lambda text: _words(text) & THREATS)
+    frequent = told.where((F.col("c") > FREQUENT * max(n - toxic, 1)) & (F.col("weight") < math.log(2)))
+    for r in frequent.collect():
+        del symbols[r["pattern"]]
+    if not lexicon:
+        return symbols
+
+    # Only texts with an insult tell anything of what stands beside one.
+    some = _features(rows, lexicon, "toxic", symbols).where("f2 > 0").select("id")
+    told, tried, n, toxic = _told(written(rows.join(some, "id"), "toxicity-beside"), _once(lexicon, symbols))
+    if not toxic or toxic == n:
+        return symbols
+    milder = _beyond_chance(told, tried, False, CONTEXTS)
+    worse = _beyond_chance(told, tried, True, CONTEXTS)
+    for found, near, far in ((worse, "target", "target"), (milder, "negation", "reported")):
+        for pattern in found:
+            place, word = pattern.split(" ", 1)
+            if word not in lexicon:
+                symbols[word] = near if place == "near" else symbols.get(word, far)
+    return symbols
+
+
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weights of a logistic curve, the constant first, by damped Newton steps."""
     a = np.c_[np.ones(len(x)), x]
@@ -267,11 +358,11 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def _features(rows: DataFrame, lexicon: dict[str, float], carried: str) -> DataFrame:
+def _features(rows: DataFrame, lexicon: dict[str, float], carried: str, symbols: dict[str, str] | None = None) -> DataFrame:
     """``id``, the column ``carried`` and the three features of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(lexicon)
+        scorer = Scorer(lexicon, symbols)
         for batch in batches:
             found = np.array([scorer.features(t) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
@@ -298,10 +389,12 @@ def score(
     known = labelled(docs, labels, train, key, text, label, sample)
     third = F.pmod(F.xxhash64(F.lit("curve"), F.col("id")), F.lit(3)) == 0
     lexicon = learn(known.where(~third))
-    rest = _features(known.where(third), lexicon, "toxic").collect()
+    symbols = contexts(known.where(~third), lexicon)
+    # One row for each id of the sample: no more than it has.
+    rest = _features(known.where(third), lexicon, "toxic", symbols).collect()
     x = np.array([(r["f0"], r["f1"], r["f2"]) for r in rest], dtype=float).reshape(-1, 3)
     w = [float(v) for v in fit(x, np.array([r["toxic"] for r in rest], dtype=float))]
     rows = docs.select(F.col(key).cast("long").alias("id"), F.lit(0).alias("none"), F.col(text).alias("text"))
-    found = _features(rows, lexicon, "none")
+    found = _features(rows, lexicon, "none", symbols)
     linear = F.lit(w[0]) + w[1] * F.col("f0") + w[2] * F.col("f1") + w[3] * F.col("f2")
     return found.select("id", (1 / (1 + F.exp(-linear))).alias("score"))

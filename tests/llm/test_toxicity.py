@@ -97,3 +97,68 @@ def test_edges(spark):
     none = toxicity.score(docs, labels.where("doc_id > 9000"), F.lit(True)).select("score").distinct().collect()
     assert [r["score"] for r in none] == [0.5]
     assert toxicity.score(docs.where("doc_id > 9000"), labels, F.lit(True)).count() == 0
+
+
+def sample(spark, texts):
+    """Texts with labels as ``labelled`` gives them."""
+    rows = [(k, t, mark) for k, (t, mark) in enumerate(texts)]
+    return spark.createDataFrame(rows, "id long, text string, toxic int").repartition(3)
+
+
+def test_words_beside_insults_are_learned(spark):
+    """Negations, reports and targets of no language that is listed."""
+    lexicon = {"idiot": 4.0}
+    bad = [(f"vosk b{k} idiot. plain p{k}", 1) for k in range(60)] + [(f"idiot c{k}", 1) for k in range(20)]
+    good = [(f"nolo idiot d{k}", 0) for k in range(60)] + [(f"relatu m n o p{k % 9} idiot", 0) for k in range(60)]
+    symbols = toxicity.contexts(sample(spark, bad + good), lexicon)
+    assert (symbols["nolo"], symbols["relatu"], symbols["vosk"]) == ("negation", "reported", "target")
+    assert "plain" not in symbols and symbols["not"] == "negation"
+    learned, plain = toxicity.Scorer(lexicon, symbols), toxicity.Scorer(lexicon)
+    assert plain.clause("nolo idiot") == [4.0] and learned.clause("nolo idiot") == [4.0 + toxicity.NEGATED]
+    assert learned.clause("relatu uu vv ww xx idiot") == [4.0 + toxicity.QUOTED]
+    assert learned.clause("vosk the idiot") == [4.0 + toxicity.AIMED]
+
+
+def test_threats_that_clean_texts_use_are_dropped(spark):
+    texts = [(f"die frau ist er {k}", 0) for k in range(200)] + [(f"i kill you {k}", 1) for k in range(20)] + [("kill the lights", 0)]
+    symbols = toxicity.contexts(sample(spark, texts), {"idiot": 4.0})
+    assert "die" not in symbols and symbols["kill"] == "threat"
+    assert toxicity.Scorer({}, symbols).features("die frau ist er")[2] == 0
+    assert toxicity.Scorer({}, symbols).features("i kill you")[2] > 0
+
+
+def test_beginnings_need_evidence_of_their_own(spark):
+    bad = [(f"trash u{k} w{k}", 1) for k in range(80)] + [(f"lowei{chr(97 + k % 26)}{chr(97 + k // 26)} v{k}", 1) for k in range(80)]
+    good = [(f"calm x{k} y{k}", 0) for k in range(400)]
+    lexicon = toxicity.learn(sample(spark, bad + good))
+    assert "trash" in lexicon and "lowei*" in lexicon
+    # All that speaks for this beginning is one whole word.
+    assert not [p for p in lexicon if p.endswith("*") and "trash".startswith(p.rstrip("*"))]
+
+
+def test_a_repeated_id_brings_one_text(spark):
+    docs = spark.createDataFrame([(1, f"t{k}") for k in range(500)] + [(2, "b"), (2, None), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled(docs, labels, F.lit(True), "doc_id", "text", "toxic", 100).collect()
+    assert sorted(tuple(r) for r in got) == [(1, "t0", 1), (2, "b", 0), (3, None, 1)]
+
+
+def test_transducers_change_scores_of_given_texts(spark):
+    """With a transducer left out, clauses of the given texts weigh something else."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    known = toxicity.labelled(docs, labels, F.lit(True), "doc_id", "text", "toxic", 5_000)
+    lexicon = toxicity.learn(known)
+    symbols = toxicity.contexts(known, lexicon)
+    assert "die" not in symbols
+    scorer = toxicity.Scorer(lexicon, symbols)
+    texts = [r["text"] for r in docs.select("text").collect()]
+    clauses = [c for t in texts for c in scorer.clauses(t)]
+    whole = [scorer.clause(c) for c in clauses]
+    parts = {"insult": toxicity.insults, "target": toxicity.targets, "negation": toxicity.negation}
+    for name in parts:
+        mute = toxicity.Scorer(lexicon, {w: x for w, x in symbols.items() if x != name})
+        if name == "insult":
+            mute = toxicity.Scorer({}, symbols)
+        changed = sum(mute.clause(c) != own for c, own in zip(clauses, whole, strict=True))
+        assert changed > 0, name
