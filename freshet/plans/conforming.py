@@ -10,7 +10,8 @@ from freshet.functions.cells import rows_from_variant
 from freshet.functions.logical import column, parse_columns
 from freshet.operators.conform import REJECT, conform, reject_summary
 from freshet.plans.registry import plan
-from freshet.plans.tables import table
+from freshet.plans.tables import once, table
+from freshet.session import fresh_path
 
 KEY = T.StructField("event_id", T.LongType())
 
@@ -215,15 +216,22 @@ def conform_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conform_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row objects whose ``k`` is a number, a string or an object by turns."""
     shape = F.col("event_id") % 3
-    number = F.get_json_object("props", "$.k")
-    text = (
-        F.when(shape == 0, F.col("props"))
-        .when(shape == 1, F.concat(F.lit('{"k": "'), number, F.lit('"}')))
-        .otherwise(F.concat(F.lit('{"k": {"n": '), number, F.lit("}}")))
-    )
-    rows = rows_from_variant(
-        _events(spark, sf_dir, F.parse_json(text).alias("row")), "row", ["k"], keep=("event_id",)
-    )
+
+    def made() -> DataFrame:
+        # The texts as a client would hand them in, made once.
+        number = F.get_json_object("props", "$.k")
+        text = (
+            F.when(shape == 0, F.col("props"))
+            .when(shape == 1, F.concat(F.lit('{"k": "'), number, F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"k": {"n": '), number, F.lit("}}")))
+        )
+        path = fresh_path(spark, "json-rows")
+        _events(spark, sf_dir, text.alias("row")).write.parquet(path)
+        return spark.read.schema("event_id bigint, row string").parquet(path)
+
+    texts = once(spark, sf_dir, "events", made)
+    rows = texts.select("event_id", F.parse_json("row").alias("row"))
+    rows = rows_from_variant(rows, "row", ["k"], keep=("event_id",))
     tagged = conform(rows, parse_columns("event_id BIGINT, k INT")).tagged
     return tagged.select("event_id", "k", shape.alias("shape"), F.col(f"{REJECT}.reason").alias("reject_reason"))
 

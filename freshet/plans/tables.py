@@ -119,7 +119,7 @@ _made: dict[tuple, object] = {}
 _lock = threading.Lock()
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make):
+def once(spark: SparkSession, sf_dir: str, name: str, make):
     """What was made from a table before, unless the table has changed since."""
     storage, path = Storage(spark), f"{sf_dir}/{name}.parquet"
     key = (make.__qualname__, spark.sparkContext.applicationId, path, storage.size(path), storage.changed(path))
@@ -135,7 +135,7 @@ def replay(spark: SparkSession, sf_dir: str) -> Replay:
     def arrivals() -> Replay:
         return Replay(spark, sf_dir)
 
-    return _once(spark, sf_dir, "events", arrivals)
+    return once(spark, sf_dir, "events", arrivals)
 
 
 def in_order(spark: SparkSession, sf_dir: str, name: str) -> StoredSource:
@@ -144,7 +144,7 @@ def in_order(spark: SparkSession, sf_dir: str, name: str) -> StoredSource:
     def appended() -> InOrder:
         return InOrder(spark, sf_dir, name, {"events": "event_id", "lineitem": "l_orderkey"}[name])
 
-    return _once(spark, sf_dir, name, appended).source
+    return once(spark, sf_dir, name, appended).source
 
 
 def run_stream(spark: SparkSession, name: str, sources: list[Source], query, **options) -> Stream:
@@ -155,4 +155,4 @@ def run_stream(spark: SparkSession, name: str, sources: list[Source], query, **o
     return stream
 
 
-__all__ = ["ARRIVALS_SQL", "Replay", "exact_avg", "in_order", "replay", "run_stream", "source", "table", "utc"]
+__all__ = ["ARRIVALS_SQL", "Replay", "exact_avg", "in_order", "once", "replay", "run_stream", "source", "table", "utc"]

@@ -7,45 +7,24 @@ the conditions that rows pass before it. Both are read off the parsed query.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.errors import BAD_CONFIG, fault
+from freshet.functions.parsed import expressions, kind, parsed, plans, sequence
 from freshet.sources.source import Source
 
 
-def _kind(node: JavaObject) -> str:
-    return node.getClass().getSimpleName()
-
-
-def _sequence(items: JavaObject) -> list[JavaObject]:
-    return [items.apply(k) for k in range(items.size())]
-
-
-def _expressions(node: JavaObject) -> Iterator[JavaObject]:
-    """An expression and all within it."""
-    yield node
-    for child in _sequence(node.children()):
-        yield from _expressions(child)
-
-
-def _plans(node: JavaObject) -> Iterator[JavaObject]:
-    yield node
-    for child in _sequence(node.children()):
-        yield from _plans(child)
-
-
 def _window(expression: JavaObject) -> list[str] | None:
     """The arguments of the window function within an expression, as SQL, if it holds one."""
-    for part in _expressions(expression):
-        if _kind(part) == "UnresolvedFunction" and _sequence(part.nameParts())[-1].lower() == "window":
-            return [argument.sql() for argument in _sequence(part.arguments())]
+    for part in expressions(expression):
+        if kind(part) == "UnresolvedFunction" and sequence(part.nameParts())[-1].lower() == "window":
+            return [argument.sql() for argument in sequence(part.arguments())]
     return None
 
 
@@ -102,14 +81,14 @@ def refusal_of(session: SparkSession, sql: str) -> Refusal | None:
     that computes the event time before that is not understood.
     """
     try:
-        plan = session._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    except Py4JJavaError:
+        plan = parsed(session, sql)
+    except (Py4JJavaError, ParseException):
         return None  # the query itself is refused with the reason
-    for node in _plans(plan):
-        if _kind(node) != "Aggregate":
+    for node in plans(plan):
+        if kind(node) != "Aggregate":
             continue
-        windows = [w for e in _sequence(node.groupingExpressions()) if (w := _window(e))]
+        windows = [w for e in sequence(node.groupingExpressions()) if (w := _window(e))]
         if windows:
-            conditions = [below.condition().sql() for below in _plans(node.child()) if _kind(below) == "Filter"]
+            conditions = [below.condition().sql() for below in plans(node.child()) if kind(below) == "Filter"]
             return _of(windows[0], tuple(conditions))
     return None

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from freshet.errors import (
     fault,
 )
 from freshet.functions.logical import describe, parse_columns
+from freshet.functions.parsed import parsed, tables
 from freshet.operators.metrics import pipeline_totals, source_metrics, stream_metrics
 from freshet.operators.results import Result, ResultStream
 from freshet.session import Storage, fresh_path, stream_session
@@ -370,13 +372,12 @@ class Workspace:
         return self._sinks[name]
 
     def _mentioned(self, sql: str) -> list[str]:
-        """The sources a query reads: the tables its parsed plan refers to."""
+        """The sources a query reads: the tables its parsed form names."""
         try:
-            plan = self._spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-        except Exception:
+            named = tables(parsed(self._spark, sql))
+        except (Py4JJavaError, ParseException):
             return []  # the query itself is refused with the reason
-        named = set(re.findall(r"UnresolvedRelation \[([^\]]+)\]", plan.toString()))
-        return [n for n in self._sources if n.lower() in {m.lower() for m in named}]
+        return [n for n in self._sources if n.lower() in named]
 
     # -- statements ------------------------------------------------------
 

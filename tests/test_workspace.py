@@ -232,6 +232,17 @@ def test_words_in_literals_are_no_inputs(open_ws):
     assert [s.name for s in stream.sources] == ["a"]
 
 
+def test_names_a_query_gives_itself_are_no_inputs(open_ws):
+    ws = open_ws()
+    for name in ("a", "b", "c"):
+        ws.execute(f"CREATE SOURCE {name} (device VARCHAR)")
+    assert ws._mentioned("WITH b AS (SELECT device FROM a) SELECT * FROM b") == ["a"]
+    assert ws._mentioned("WITH a AS (SELECT device FROM a) SELECT * FROM a") == ["a"]
+    assert ws._mentioned("SELECT * FROM a WHERE device IN (SELECT device FROM c) AND EXISTS (SELECT 1 FROM b)") == ["a", "b", "c"]
+    assert ws._mentioned("SELECT (SELECT max(device) FROM b) AS m FROM a AS c") == ["a", "b"]
+    assert ws._mentioned("SELEKT") == []
+
+
 def test_files_per_epoch_are_bounded(open_ws, spark):
     ws = open_ws(None, Config(max_files_per_epoch=2, feed_files=1, checkpoint=CheckpointConfig()))
     ws.execute("CREATE SOURCE t (a BIGINT)")
