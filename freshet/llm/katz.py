@@ -21,8 +21,9 @@ are added up after. Every step is a written table.
 
 Defined results: a null or empty text is the end token alone; repeated rows
 count, and are scored, as often as they occur; without training texts all
-tokens are unknown; an empty table gives an empty table; extra columns are not
-read. A null id counts as empty text where ids are dealt.
+tokens are unknown; a very long text is scored whole, and one longer than a
+block makes its block as much larger; an empty table gives an empty table; extra
+columns are not read. A null id counts as empty text where ids are dealt.
 """
 
 from __future__ import annotations
