@@ -1,23 +1,29 @@
-"""Katz back-off language model with Good-Turing discounts.
+"""Katz back-off language model of any order with Good-Turing discounts.
 
-    P(w | h) = d(r) r / c(h)      for r = c(h, w) > 0
-             = alpha(h) P(w)      else
-    P(w)     = D(c) c / N         for c = c(w) > 0
-             = what is left       for all unknown words together
+    P(w | h) = d(r) r / c(h)        for r = c(h, w) > 0
+             = alpha(h) P(w | h')   else, h' being h without its first word
+    P(w)     = d(c) c / N           for c = c(w) > 0
+             = what is left         for all unknown words together
 
-d and D are Good-Turing discounts of counts up to ``K``. alpha(h) makes the
-probabilities after h sum to one exactly: what the discounts leave, over the
-unigram mass of the words not seen after h. Where discounts leave nothing,
-1 / (c(h) + 1) is put aside first. A text's first word follows the end token.
+Each level has Good-Turing discounts d of its own, of counts up to ``K``.
+alpha(h) makes the probabilities after h sum to one exactly: what the discounts
+leave, over what the level below gives to the words not seen after h. Where
+discounts leave nothing, 1 / (c(h) + 1) is put aside first. A text begins after
+one end token; its first words have the shorter histories that this leaves.
 
 The counts are too many to be joined token by token. Texts become blocks of
 token codes with a vocabulary of their own. A block asks for each of its words,
-and later word pairs, once; questions are dealt by hash to buckets, which sum
-the counts of all blocks and answer each block. Question and answer travel as
-packed columns of numbers, one row per block and bucket. A pair is dealt by its
-history, so that the bucket can sum up alpha(h); histories more frequent than
-``SALT`` are spread over several buckets by their second word, and their sums
-are added up after. Every step is a written table.
+then for each pair, and so on up a level, once; questions are dealt by hash to
+buckets, which sum the counts of all blocks and answer each block. Question and
+answer travel as packed columns of numbers, one row per block and bucket.
+
+A gram is named by the number of its history and that of its last word, and is
+dealt by its history, so that the bucket can sum up what alpha(h) rests on;
+histories more frequent than ``SALT`` are spread over several buckets by the last
+word, and whoever asks adds their sums up. All words seen after h share h', so
+the mass that they have below is one factor times a sum of discounted counts,
+and no probability has to travel. A history that one block alone has is never
+asked for: that block knows all its grams. Every step is a written table.
 
 Defined results: a null or empty text is the end token alone; repeated rows
 count, and are scored, as often as they occur; without training texts all
@@ -44,16 +50,17 @@ from freshet.llm.common import written
 
 # Counts up to this are discounted.
 K = 5
-# Tokens of a block, words and pairs asked of a bucket, occurrences of a history in one bucket.
-BLOCK, WORDS, PAIRS, SALT = 2_000_000, 250_000, 1_000_000, 250_000
+# Tokens of a block, words and tokens asked of a bucket, occurrences of a history in one bucket.
+BLOCK, WORDS, GRAMS, SALT = 2_000_000, 250_000, 1_000_000, 250_000
+# Words of the longest gram, and most tasks of a stage.
+ORDER, WIDTH = 3, 50_000
 END = b""
 
 _BLOCK = "block long, ids array<long>, train binary, lengths binary, codes binary, words binary, vocabulary long, tokens long"
 _WORD = "bucket int, block long, at binary, words binary, n binary"
-_UNIGRAM = "bucket int, block long, at binary, gids binary, counts binary, words binary, stats array<long>"
-_PAIR = "bucket int, block long, h binary, w binary, n binary, cw binary"
-_BIGRAM = "kind int, block long, bucket int, h binary, n binary, mass binary, stats array<long>"
-_KNOWN = "block long, kind int, bucket int, at binary, gids binary, counts binary, alpha binary, scale binary"
+_UNIGRAM = "bucket int, block long, at binary, ids binary, shared binary, counts binary, words binary, stats array<long>"
+_ASKED = "bucket int, block long, h binary, many binary, w binary, n binary, below binary, stats array<long>"
+_ANSWER = "kind int, level int, bucket int, block long, counts binary, ids binary, small binary, held binary, stats array<long>"
 _SCORE = "id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -123,6 +130,11 @@ def discounts(seen: list[int]) -> list[float]:
     return [(r - 0.5) / r for r in range(1, K + 1)]
 
 
+def discounted(counts: np.ndarray, discount: tuple[float, ...]) -> np.ndarray:
+    """d(r) r of these counts."""
+    return np.array([1.0, *discount])[np.where(counts <= K, counts, 0)] * counts
+
+
 @dataclass(frozen=True)
 class Unigrams:
     """What the word probabilities rest on."""
@@ -140,13 +152,16 @@ class Unigrams:
         unknown = max(lost, 1 / (tokens + 1))
         return cls(tokens, distinct, tuple(d), 1 - lost, unknown)
 
+    @property
+    def factor(self) -> float:
+        """What a discounted count is multiplied by."""
+        return (1 - self.unknown) / self.mass / self.tokens if self.tokens and self.mass else 0.0
+
     def probability(self, counts: np.ndarray) -> np.ndarray:
         """P(w) of words with these counts; that of the unknown class for a count of zero."""
         if not self.tokens:
             return np.ones(len(counts))
-        d = np.array([1.0, *self.discount])
-        held = np.where(counts <= K, d[np.minimum(counts, K)], 1.0) * counts / self.tokens
-        return np.where(counts > 0, held * ((1 - self.unknown) / self.mass if self.mass else 0.0), self.unknown)
+        return np.where(counts > 0, discounted(counts, self.discount) * self.factor, self.unknown)
 
 
 def blocks_of(docs: DataFrame, train: Column, key: str, text: str, size: int) -> DataFrame:
@@ -228,14 +243,14 @@ def answer_words(asked: DataFrame, buckets: int) -> DataFrame:
         order = np.argsort(-counts, kind="stable")
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        seen = np.bincount(np.minimum(counts, K + 2), minlength=K + 3)[1 : K + 2]
-        stats = [int(counts.sum()), int((counts > 0).sum()), *map(int, seen)]
+        stats = [int(counts.sum()), int((counts > 0).sum()), *_stats(counts)]
         words = coded.dictionary.to_pylist()
-        out = [(bucket, -1, None, None, pack(counts[order]), zstandard.compress(b"\n".join([words[k] for k in order]), 3), stats)]
+        asked = np.bincount(flat, minlength=len(counts))
+        out = [(bucket, -1, None, None, None, pack(counts[order]), zstandard.compress(b"\n".join([words[k] for k in order]), 3), stats)]
         at = 0
         for row, own in zip(rows, split, strict=True):
             mine = flat[at : at + len(own)]
-            out.append((bucket, row["block"], row["at"], pack(rank[mine] * buckets + bucket), pack(counts[mine]), None, None))
+            out.append((bucket, row["block"], row["at"], pack(rank[mine] * buckets + bucket), pack((asked[mine] > 1).astype(np.int64)), pack(counts[mine]), None, None))
             at += len(own)
         return _table(out, _schema(_UNIGRAM))
 
@@ -243,178 +258,243 @@ def answer_words(asked: DataFrame, buckets: int) -> DataFrame:
 
 
 @dataclass
-class _Pairs:
-    """The different word pairs of a block, and which of them each token ends."""
-
-    h: np.ndarray
-    w: np.ndarray
-    token: np.ndarray
-    n: np.ndarray
-    asked: np.ndarray  # pairs of two known words, in the order in which they are asked
-    to: np.ndarray  # and the buckets of these
+class _Grams:
+    """The different runs of so many words in a block, with what is known of them over all blocks."""
 
+    token: np.ndarray  # for each token, the gram that it ends; -1 where its text began too late for one
+    history: np.ndarray  # for each gram, that of the level below without its last word
+    suffix: np.ndarray  # and that without its first word
+    word: np.ndarray  # its last word
+    n: np.ndarray  # training occurrences in this block
+    count: np.ndarray  # and in all
+    ids: np.ndarray  # number over all blocks
+    shared: np.ndarray  # whether other blocks have it
 
-def _pairs(row: dict, gid: np.ndarray, count: np.ndarray, buckets: int, salt: int) -> _Pairs:
-    codes = unpack(row["codes"])
-    before = np.roll(codes, 1)
-    before[0] = 0
-    wide = len(gid)
-    keys, token = np.unique(before * wide + codes, return_inverse=True)
-    h, w = keys // wide, keys % wide
-    n = np.bincount(token, weights=_train_mask(row), minlength=len(keys)).astype(np.int64)
-    known = np.flatnonzero((count[h] > 0) & (count[w] > 0))
-    spread = _scramble(gid[w[known]] + 1) % (1 + count[h[known]] // salt).astype(np.uint64)
-    to = (_scramble(_scramble(gid[h[known]] + 1) + spread) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((gid[w[known]], gid[h[known]], to))
-    return _Pairs(h, w, token, n, known[order], to[order])
-
-
-def _vocabulary(row: dict, answers: list[dict], *names: str) -> list[np.ndarray]:
-    """Answers on words, in the order of the block's codes."""
-    out = [None] * len(names)
-    for a in answers:
-        at = _risen(a["at"])
-        for k, name in enumerate(names):
-            values = unpack(a[name])
-            if out[k] is None:
-                out[k] = np.zeros(row["vocabulary"], dtype=values.dtype)
-            out[k][at] = values
-    return out
+
+@dataclass
+class _Asked:
+    """What a block asks buckets: grams, and sums over all grams of a history."""
+
+    grams: np.ndarray
+    many: np.ndarray  # grams asked of each history
+    histories: np.ndarray
+    to: np.ndarray  # and the buckets of these
 
 
-def ask_pairs(blocks: DataFrame, words: DataFrame, buckets: int, salt: int) -> DataFrame:
-    """For each block and bucket: pairs, their training counts, and the count of the second word."""
+def _single(row: dict, told: list[dict]) -> _Grams:
+    """A block's words."""
+    wide = row["vocabulary"]
+    count, ids, shared = (np.zeros(wide, dtype=np.int64) for _ in range(3))
+    for a in told:
+        at = _risen(a["at"])
+        count[at], ids[at], shared[at] = unpack(a["counts"]), unpack(a["ids"]), unpack(a["shared"])
+    none = np.zeros(wide, dtype=np.int64)
+    return _Grams(unpack(row["codes"]), none, none, np.arange(wide), none, count, ids, shared > 0)
+
+
+def _longer(lower: _Grams, level: int, row: dict) -> _Grams:
+    """The grams of one word more, as this block alone knows them."""
+    lengths = unpack(row["lengths"])
+    place = np.arange(len(lower.token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    # A text's first word follows one end token, which the text before it left here.
+    own = np.flatnonzero(place >= level - 2)
+    wide = len(lower.count)
+    keys, which = np.unique(lower.token[own - 1] * wide + lower.token[own], return_inverse=True)
+    history, suffix = keys // wide, keys % wide
+    token = np.full(len(place), -1, dtype=np.int64)
+    token[own] = which
+    n = np.bincount(which, weights=_train_mask(row)[own], minlength=len(keys)).astype(np.int64)
+    return _Grams(token, history, suffix, lower.word[suffix], n, n.copy(), np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool))
+
+
+def _questions(grams: _Grams, lower: _Grams, words: _Grams, buckets: int, salt: int) -> _Asked:
+    """What must be asked: a history that no other block has is known in full, and so are its grams."""
+    wide = len(lower.count)
+    by_id = np.argsort(lower.ids, kind="stable")
+    rank = np.empty(wide, dtype=np.int64)
+    rank[by_id] = np.arange(wide)
+    open_ = lower.shared & (lower.count > 0)
+    spread = 1 + lower.count // salt
+    mixed = _scramble(lower.ids)
+
+    def place(h: np.ndarray, part: np.ndarray) -> np.ndarray:
+        to = _scramble(mixed[h] + part.astype(np.uint64)) % np.uint64(buckets)
+        return to.astype(np.int64) * wide + rank[h]
+
+    asked = np.flatnonzero(open_[grams.history] & (lower.count[grams.suffix] > 0))
+    h, w = grams.history[asked], words.ids[grams.word[asked]]
+    at = place(h, _scramble(w) % spread[h].astype(np.uint64))
+    order = np.lexsort((w, at))
+    here = np.zeros(wide, dtype=bool)
+    here[grams.history] = True
+    every = np.flatnonzero(here & open_)
+    times = spread[every]
+    parts = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    entries = np.unique(place(np.repeat(every, times), parts))
+    many = np.bincount(np.searchsorted(entries, at), minlength=len(entries))
+    return _Asked(asked[order], many, by_id[entries % wide] if wide else entries, entries // wide if wide else entries)
+
+
+def _restored(row: dict, told: list[dict], buckets: int, salt: int) -> Iterator[tuple[_Grams, _Asked | None, list[dict]]]:
+    """A block's grams of each level that was answered, shortest first, with the questions and answers."""
+    level, words = 1, _single(row, [t for t in told if t["level"] == 1])
+    grams = words
+    yield words, None, []
+    while answers := sorted((t for t in told if t["level"] == level + 1), key=lambda t: t["bucket"]):
+        level, lower, grams = level + 1, grams, _longer(grams, level + 1, row)
+        asked = _questions(grams, lower, words, buckets, salt)
+        answers = [t for t in answers if t["counts"] is not None]
+        if answers:
+            grams.count[asked.grams] = np.concatenate([unpack(t["counts"]) for t in answers])
+            if answers[0]["ids"] is not None:
+                grams.ids[asked.grams] = np.concatenate([unpack(t["ids"]) for t in answers])
+                grams.shared = grams.ids > 0
+        yield grams, asked, answers
+
+
+def _stats(counts: np.ndarray) -> list[int]:
+    """How many are 1, 2, ..., K + 1."""
+    return [int(v) for v in np.bincount(np.minimum(counts, K + 2), minlength=K + 3)[1 : K + 2]]
+
+
+def _small(owner: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """For each owner, the sum of its counts over ``K``, then how many it has of 1 to ``K``."""
+    of = np.bincount(owner * (K + 1) + np.where(counts <= K, counts, 0), minlength=size * (K + 1)).reshape(-1, K + 1)
+    of[:, 0] = np.bincount(owner, weights=np.where(counts > K, counts, 0), minlength=size)
+    return of
+
+
+def ask_grams(blocks: DataFrame, told: DataFrame, level: int, buckets: int, salt: int, width: int) -> DataFrame:
+    """For each block and bucket: histories, grams, their training counts, and counts of the grams a word shorter.
+
+    One more row per block has the counts of counts of grams that no other block can have.
+    """
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            gid, count = _vocabulary(row, right.to_pylist(), "gids", "counts")
-            p = _pairs(row, gid, count, buckets, salt)
-            for k in np.split(np.arange(len(p.to)), np.flatnonzero(np.diff(p.to)) + 1):
+            below = list(_restored(row, right.to_pylist(), buckets, salt))
+            words, lower = below[0][0], below[-1][0]
+            grams = _longer(lower, level, row)
+            q = _questions(grams, lower, words, buckets, salt)
+            mine = np.ones(len(grams.n), dtype=bool)
+            mine[q.grams] = False
+            out.append((int(row["block"] % buckets), row["block"], None, None, None, None, None, _stats(grams.n[mine])))
+            ends = np.cumsum(q.many)
+            for k in np.split(np.arange(len(q.to)), np.flatnonzero(np.diff(q.to)) + 1):
                 if len(k):
-                    mine = p.asked[k]
-                    h, w = p.h[mine], p.w[mine]
-                    out.append((int(p.to[k[0]]), row["block"], _rising(gid[h]), pack(gid[w]), pack(p.n[mine]), pack(count[w])))
-        return _table(out, _schema(_PAIR))
+                    g = q.grams[ends[k[0]] - q.many[k[0]] : ends[k[-1]]]
+                    out.append((int(q.to[k[0]]), row["block"], _rising(lower.ids[q.histories[k]]), pack(q.many[k]),
+                                pack(words.ids[grams.word[g]]), pack(grams.n[g]), pack(lower.count[grams.suffix[g]]), None))
+        return _table(out, _schema(_ASKED))
 
-    own = blocks.select("block", "train", "lengths", "codes", "vocabulary")
-    told = words.where("block >= 0").select("block", "at", "gids", "counts")
-    return own.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, _PAIR)
+    own = blocks.select("block", "train", "lengths", "codes", "vocabulary").repartition(width, "block")
+    known = told.select("level", "bucket", "block", "at", "counts", "ids", "shared").repartition(width, "block")
+    return own.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, _ASKED)
 
 
-def answer_pairs(asked: DataFrame, word_buckets: int, unigrams: Unigrams) -> DataFrame:
-    """Counts of pairs over all blocks.
+def answer_grams(asked: DataFrame, level: int, last: bool, buckets: int, discount: tuple[float, ...], width: int) -> DataFrame:
+    """Counts of grams over all blocks, and of each history the sums that its back-off weight rests on.
 
-    Kind 0 answers a block. Kind 1 has, for histories of one word bucket, how
-    many pairs they have of each discounted count, the sum of larger counts,
-    and the unigram mass of the words seen. Kind 2 has the counts of counts.
+    Kind 0 answers a block, kind 1 has counts of counts. The sums of a history:
+    of grams of each discounted count, of larger counts, and of the discounted
+    counts (``discount``) that its grams have without their first word.
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         bucket, rows = key[0].as_py(), table.sort_by("block").to_pylist()
-        h, w, n, cw = (np.concatenate([f(r[c]) for r in rows]) for f, c in ((_risen, "h"), (unpack, "w"), (unpack, "n"), (unpack, "cw")))
+        out = [(1, level, bucket, None, None, None, None, None, r["stats"]) for r in rows if r["stats"]]
+        rows = [r for r in rows if not r["stats"]]
+        if not rows:
+            return _table(out, _schema(_ANSWER))
+        many = [unpack(r["many"]) for r in rows]
+        entries = np.concatenate([_risen(r["h"]) for r in rows])
+        w, n, below = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("w", "n", "below"))
+        own, entry = np.unique(entries, return_inverse=True)
+        h = np.repeat(entry, np.concatenate(many))
         order = np.lexsort((w, h))
-        fresh = np.r_[True, (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)]
+        fresh = np.ones(len(h), dtype=bool)
+        fresh[1:] = (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)
         group = np.cumsum(fresh) - 1
         total = np.bincount(group, weights=n[order]).astype(np.int64)
         back = np.empty(len(h), dtype=np.int64)
-        back[order] = total[group]
-        out, at = [], 0
-        for row in rows:
-            size = len(unpack(row["w"]))
-            out.append((0, row["block"], bucket, None, pack(back[at : at + size]), None, None))
-            at += size
-        first = order[fresh][total > 0]
-        seen, hs = total[total > 0], h[first]
-        if len(hs):
-            mass = unigrams.probability(cw[first])
-            starts = np.flatnonzero(np.r_[True, np.diff(hs) != 0])
-            own, owner = hs[starts], np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(hs)]))
-            small = np.bincount(owner * (K + 1) + np.where(seen <= K, seen, 0), minlength=len(own) * (K + 1)).reshape(-1, K + 1)
-            # The first column held how many pairs have larger counts; it takes their sum.
-            small[:, 0] = np.bincount(owner, weights=np.where(seen > K, seen, 0), minlength=len(own))
-            sums = np.add.reduceat(mass, starts)
-            to = own % word_buckets
-            deal = np.argsort(to, kind="stable")
-            for k in np.split(deal, np.flatnonzero(np.diff(to[deal])) + 1):
-                out.append((1, None, int(to[k[0]]), _rising(own[k]), pack(small[k].ravel()), pack(sums[k]), None))
-        stats = np.bincount(np.minimum(seen, K + 2), minlength=K + 3)[1 : K + 2]
-        out.append((2, None, bucket, None, None, None, [int(v) for v in stats]))
-        return _table(out, _schema(_BIGRAM))
-
-    return asked.groupBy("bucket").applyInArrow(run, _BIGRAM)
-
-
-def weights(small: np.ndarray, mass: np.ndarray, discount: list[float]) -> tuple[np.ndarray, np.ndarray]:
-    """alpha(h), and the factor on discounted probabilities, of histories.
-
-    ``small``: the sum of counts over ``K``, then the numbers of pairs with
-    counts 1 to ``K``; ``mass``: the unigram mass of the words seen.
+        back[order] = group
+        some = total > 0
+        first, seen = order[fresh][some], total[some]
+        small = _small(h[first], seen, len(own))
+        held = np.bincount(h[first], weights=discounted(below[first], discount), minlength=len(own)).astype(float)
+        ids = np.zeros(len(total), dtype=np.int64)
+        # Frequent grams get small numbers; one that a single block has needs none.
+        listed = np.flatnonzero(some & (np.bincount(group) > 1)) if len(h) else ids
+        listed = listed[np.argsort(-total[listed], kind="stable")]
+        ids[listed] = np.arange(len(listed)) * buckets + bucket + 1
+        at = np.split(back, np.cumsum([m.sum() for m in many])[:-1])
+        into = np.split(entry, np.cumsum([len(m) for m in many])[:-1])
+        for row, g, e in zip(rows, at, into, strict=True):
+            out.append((0, level, bucket, row["block"], pack(total[g]), None if last else pack(ids[g]), pack(small[e].T.ravel()), pack(held[e]), None))
+        out.append((1, level, bucket, None, None, None, None, None, _stats(seen)))
+        return _table(out, _schema(_ANSWER))
+
+    return asked.repartition(width, "bucket").groupBy("bucket").applyInArrow(run, _ANSWER)
+
+
+def weights(small: np.ndarray, mass: np.ndarray, discount: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """alpha(h), and the factor on discounted counts, of histories.
+
+    ``small``: the sum of counts over ``K``, then the numbers of grams with
+    counts 1 to ``K``; ``mass``: what the level below gives to the words seen.
     """
     r = np.arange(1, K + 1)
     count = small[:, 0] + small[:, 1:] @ r
-    kept = (small[:, 0] + small[:, 1:] @ (r * np.array(discount))) / count
-    aside = np.maximum(1 - kept, 1 / (count + 1))
+    kept = small[:, 0] + small[:, 1:] @ (r * np.array(discount))
+    aside = np.maximum(1 - kept / count, 1 / (count + 1))
     return aside / (1 - mass), (1 - aside) / kept
 
 
-def back_off(pairs: DataFrame, words: DataFrame, word_buckets: int, discount: list[float]) -> DataFrame:
-    """The answers on words again, with alpha and the factor of each word as a history."""
-
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        bucket, told = key[0].as_py(), right.sort_by("block").to_pylist()
-        size = 1 + max((int(unpack(r["gids"]).max()) // word_buckets for r in told), default=0)
-        small, mass = np.zeros((size, K + 1), dtype=np.int64), np.zeros(size)
-        for row in left.to_pylist():
-            rank = _risen(row["h"]) // word_buckets
-            small[rank] += unpack(row["n"]).reshape(-1, K + 1)
-            mass[rank] += unpack(row["mass"])
-        alpha, scale = np.ones(size), np.ones(size)
-        some = small.any(axis=1)
-        alpha[some], scale[some] = weights(small[some], mass[some], discount)
-        out = []
-        for row in told:
-            rank = unpack(row["gids"]) // word_buckets
-            out.append((row["block"], 1, bucket, row["at"], row["gids"], row["counts"], pack(alpha[rank]), pack(scale[rank])))
-        return _table(out, _schema(_KNOWN))
-
-    sums = pairs.where("kind = 1").select("bucket", "h", "n", "mass")
-    told = words.where("block >= 0").select("bucket", "block", "at", "gids", "counts")
-    return sums.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(run, _KNOWN)
-
-
 def evaluate(
-    blocks: DataFrame, known: DataFrame, pairs: DataFrame, buckets: int, salt: int, unigrams: Unigrams, discount: list[float]
+    blocks: DataFrame, told: DataFrame, buckets: int, salt: int, unigrams: Unigrams, found: list[tuple[float, ...]], width: int
 ) -> DataFrame:
-    """Scores of all texts, block by block."""
+    """Scores of all texts, block by block; ``found``: the discounts of each level."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        told = right.to_pylist()
         parts = []
         for row in left.to_pylist():
-            words = [t for t in told if t["kind"] == 1]
-            gid, count, alpha, scale = _vocabulary(row, words, "gids", "counts", "alpha", "scale")
-            p = _pairs(row, gid, count, buckets, salt)
-            r = np.zeros(len(p.h), dtype=np.int64)
-            answers = sorted((t for t in told if t["kind"] == 0), key=lambda t: t["bucket"])
-            if answers:
-                r[p.asked] = np.concatenate([unpack(t["counts"]) for t in answers])
-            single = unigrams.probability(count)
-            # A pair that was seen, or the word alone after backing off; an unknown word backs off once more, to the class of all such.
-            d = np.array([1.0, *discount])
-            seen = np.where(r <= K, d[np.minimum(r, K)], 1.0) * r * scale[p.h] / np.maximum(count[p.h], 1)
-            logs = np.log10(np.where(r > 0, seen, alpha[p.h] * single[p.w]))
-            base = np.log10((count + 1) / (unigrams.tokens + unigrams.distinct + 1))
-            codes, lengths = unpack(row["codes"]), unpack(row["lengths"])
+            levels = _restored(row, right.to_pylist(), buckets, salt)
+            words, _, _ = next(levels)
+            lower, factor = words, np.array([unigrams.factor])
+            logs = np.log10(unigrams.probability(words.count))
+            best = logs[words.token]
+            for level, (grams, asked, answers) in enumerate(levels, 2):
+                size, seen = len(lower.count), grams.count > 0
+                # What this block knows of histories that it alone has, then what buckets answered on the others.
+                alone = np.flatnonzero(seen & ~lower.shared[grams.history])
+                small = _small(grams.history[alone], grams.count[alone], size)
+                below = discounted(lower.count[grams.suffix[alone]], found[level - 2])
+                held = np.bincount(grams.history[alone], weights=below, minlength=size).astype(float)
+                if answers:
+                    sums = np.concatenate([unpack(t["small"]).reshape(K + 1, -1).T for t in answers])
+                    np.add.at(small, asked.histories, sums)
+                    np.add.at(held, asked.histories, np.concatenate([unpack(t["held"]) for t in answers]))
+                alpha, scale = np.ones(size), np.zeros(size)
+                some = small.any(axis=1)
+                alpha[some], scale[some] = weights(small[some], (held * factor[lower.suffix])[some], found[level - 1])
+                # A gram that was seen, or the gram without its first word after backing off.
+                p = discounted(grams.count, found[level - 1]) * scale[grams.history]
+                back = np.log10(alpha[grams.history]) + logs[grams.suffix]
+                logs = np.where(seen, np.log10(np.where(seen, p, 1.0)), back)
+                own = grams.token >= 0
+                best[own] = logs[grams.token[own]]
+                lower, factor = grams, scale
+            base = np.log10((words.count + 1) / (unigrams.tokens + unigrams.distinct + 1))
+            codes, lengths = words.token, unpack(row["lengths"])
             starts = np.cumsum(lengths) - lengths
-            sums = [np.add.reduceat(v, starts) for v in ((count[codes] > 0).astype(np.int64), base[codes], logs[p.token])]
+            sums = [np.add.reduceat(v, starts) for v in ((words.count[codes] > 0).astype(np.int64), base[codes], best)]
             parts.append(pa.table([pa.array(row["ids"], pa.int64()), pa.array(unpack(row["train"]).astype(bool)), pa.array(lengths, pa.int64()), *map(pa.array, sums)], schema=_schema(_SCORE)))
         return pa.concat_tables(parts) if parts else _table([], _schema(_SCORE))
 
-    own = blocks.select("block", "ids", "train", "lengths", "codes", "vocabulary")
-    answers = pairs.where("kind = 0").select("block", "kind", "bucket", F.col("n").alias("counts"))
-    told = known.unionByName(answers, allowMissingColumns=True)
-    return own.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, _SCORE)
+    own = blocks.select("block", "ids", "train", "lengths", "codes", "vocabulary").repartition(width, "block")
+    known = told.select("level", "bucket", "block", "at", "counts", "ids", "shared", "small", "held").repartition(width, "block")
+    return own.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, _SCORE)
 
 
 def _added(stats: DataFrame, size: int) -> list[int]:
@@ -428,24 +508,35 @@ def score(
     train: Column,
     key: str = "doc_id",
     text: str = "text",
+    order: int = ORDER,
     block: int = BLOCK,
     words_asked: int = WORDS,
-    pairs_asked: int = PAIRS,
+    grams_asked: int = GRAMS,
     salt: int = SALT,
 ) -> tuple[DataFrame, Unigrams]:
     """``id``, ``train``, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10) of every row.
 
-    ``train`` says which rows the model learns from. Also returns what the
-    word probabilities rest on.
+    ``train`` says which rows the model learns from, ``order`` how many words
+    its longest grams have. Also returns what the word probabilities rest on.
     """
     blocks = written(blocks_of(docs, train, key, text, block), "katz-blocks")
-    sizes = blocks.agg(F.sum("vocabulary").alias("words"), F.sum("tokens").alias("tokens")).first()
+    sizes = blocks.agg(F.sum("vocabulary").alias("words"), F.sum("tokens").alias("tokens"), F.count("*").alias("blocks")).first()
     word_buckets = max(1, math.ceil((sizes["words"] or 0) / words_asked))
-    buckets = max(1, math.ceil((sizes["tokens"] or 0) / pairs_asked))
+    buckets = max(1, math.ceil((sizes["tokens"] or 0) / grams_asked))
+    by_block, by_bucket = (max(1, min(n, WIDTH)) for n in (sizes["blocks"], buckets))
     words = written(answer_words(ask_words(blocks, word_buckets), word_buckets), "katz-words")
     tokens, distinct, *seen = _added(words.where("block < 0"), K + 3)
     unigrams = Unigrams.of(tokens, distinct, seen)
-    pairs = written(answer_pairs(ask_pairs(blocks, words, buckets, salt), word_buckets, unigrams), "katz-pairs")
-    discount = discounts(_added(pairs.where("kind = 2"), K + 1))
-    known = written(back_off(pairs, words, word_buckets, discount), "katz-known")
-    return evaluate(blocks, known, pairs, buckets, salt, unigrams, discount), unigrams
+    found = [unigrams.discount]
+    told = words.where("block >= 0").select(
+        F.lit(1).alias("level"), "bucket", "block", "at", "counts", "ids", "shared", *[F.lit(None).cast("binary").alias(c) for c in ("small", "held")]
+    )
+    for level in range(2, order + 1):
+        asked = ask_grams(blocks, told, level, buckets, salt, by_block)
+        grams = written(answer_grams(asked, level, level == order, buckets, found[-1], by_bucket), f"katz-{level}")
+        found.append(tuple(discounts(_added(grams.where("kind = 1"), K + 1))))
+        # Each block hears of each level, be it that it had nothing to ask.
+        heard = blocks.select(F.lit(level).alias("level"), F.lit(-1).alias("bucket"), "block")
+        answers = grams.where("kind = 0").drop("kind", "stats").unionByName(heard, allowMissingColumns=True)
+        told = told.unionByName(answers, allowMissingColumns=True)
+    return evaluate(blocks, told, buckets, salt, unigrams, found, by_block), unigrams

@@ -14,54 +14,58 @@ SCHEMA = "doc_id long, text string, train string, score int"
 
 
 class Plain:
-    """Katz back-off with dictionaries."""
+    """Katz back-off of any order with dictionaries; grams are tuples, a history has as many words as there are."""
 
-    def __init__(self, texts):
-        self.c, self.pairs = Counter(), Counter()
+    def __init__(self, texts, order=3):
+        self.order = order
+        self.counts = [Counter() for _ in range(order)]
         for text in texts:
-            for h, w in self.steps(text):
-                self.c[w] += 1
-                self.pairs[h, w] += 1
+            tokens = self.tokens(text)
+            for k in range(1, len(tokens)):
+                for size in range(1, min(order, k + 1) + 1):
+                    self.counts[size - 1][tuple(tokens[k - size + 1 : k + 1])] += 1
+        self.c = Counter({g[0]: r for g, r in self.counts[0].items()})
         self.n = sum(self.c.values())
-        self.d1, self.d2 = (katz.discounts(self.seen(x)) for x in (self.c, self.pairs))
-        lost = 1 - sum(self.cut(self.d1, r) for r in self.c.values()) / self.n if self.n else 1
+        self.d = [katz.discounts(self.seen(x)) for x in self.counts]
+        lost = 1 - sum(self.cut(1, r) for r in self.c.values()) / self.n if self.n else 1
         self.unknown = max(lost, 1 / (self.n + 1))
         self.fill = (1 - self.unknown) / (1 - lost) if self.n else 0
-        kept, seen = Counter(), Counter()
-        for (h, w), r in self.pairs.items():
-            kept[h] += self.cut(self.d2, r) / self.c[h]
-            seen[h] += self.word(w)
-        self.scale, self.alpha = {}, {}
-        for h in kept:
-            aside = max(1 - kept[h], 1 / (self.c[h] + 1))
-            self.scale[h], self.alpha[h] = (1 - aside) / kept[h], aside / (1 - seen[h])
+        self.scale, self.alpha, self.total = {}, {}, Counter()
+        for size in range(2, order + 1):
+            kept, below = Counter(), Counter()
+            for g, r in self.counts[size - 1].items():
+                self.total[g[:-1]] += r
+                kept[g[:-1]] += self.cut(size, r)
+                below[g[:-1]] += self.after(g[1:-1], g[-1])
+            for h in kept:
+                aside = max(1 - kept[h] / self.total[h], 1 / (self.total[h] + 1))
+                self.scale[h], self.alpha[h] = (1 - aside) / kept[h], aside / (1 - below[h])
 
     @staticmethod
-    def steps(text):
-        tokens = [*(text or "").encode().lower().split(), b""]
-        return zip([b"", *tokens], tokens, strict=False)
+    def tokens(text):
+        return [b"", *(text or "").encode().lower().split(), b""]
 
     @staticmethod
     def seen(counts):
         of = Counter(counts.values())
         return [of[r] for r in range(1, katz.K + 2)]
 
-    @staticmethod
-    def cut(d, r):
-        return r * (d[r - 1] if r <= katz.K else 1.0)
-
-    def word(self, w):
-        if not self.n:
-            return 1.0
-        return self.cut(self.d1, self.c[w]) / self.n * self.fill if self.c[w] else self.unknown
+    def cut(self, size, r):
+        return r * (self.d[size - 1][r - 1] if r <= katz.K else 1.0)
 
-    def pair(self, h, w):
-        if r := self.pairs[h, w]:
-            return self.cut(self.d2, r) / self.c[h] * self.scale[h]
-        return self.alpha.get(h, 1.0) * self.word(w)
+    def after(self, h, w):
+        """P(w | h); of the class of unknown words where w is one."""
+        if not h:
+            if not self.n:
+                return 1.0
+            return self.cut(1, self.c[w]) / self.n * self.fill if self.c[w] else self.unknown
+        if r := self.counts[len(h)][(*h, w)]:
+            return self.cut(len(h) + 1, r) * self.scale[h]
+        return self.alpha.get(h, 1.0) * self.after(h[1:], w)
 
     def score(self, text):
-        return sum(math.log10(self.pair(h, w)) for h, w in self.steps(text))
+        t = self.tokens(text)
+        return sum(math.log10(self.after(tuple(t[max(0, k - self.order + 1) : k]), t[k])) for k in range(1, len(t)))
 
 
 def texts():
@@ -72,17 +76,18 @@ def texts():
     return [None, "", "\t \n", "never seen words", *out, *out[:20], "the the " * 20_000]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block": 700, "words_asked": 60, "pairs_asked": 300, "salt": 40}])
-def test_scores_match_dictionaries(spark, sizes):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("sizes", [{}, {"block": 700, "words_asked": 60, "grams_asked": 300, "salt": 40}])
+def test_scores_match_dictionaries(spark, sizes, order):
     rows = [(k, t, "x", 1) for k, t in enumerate(texts())]
-    model = Plain([r[1] for r in rows if r[0] % 5])
+    model = Plain([r[1] for r in rows if r[0] % 5], order)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    found, unigrams = katz.score(docs, F.col("doc_id") % 5 != 0, **sizes)
+    found, unigrams = katz.score(docs, F.col("doc_id") % 5 != 0, order=order, **sizes)
     got = {r["id"]: r for r in found.collect()}
     assert len(got) == len(rows)
     assert (unigrams.tokens, unigrams.distinct) == (model.n, len(model.c))
     for doc_id, text, _, _ in rows:
-        r, tokens = got[doc_id], [w for _, w in model.steps(text)]
+        r, tokens = got[doc_id], model.tokens(text)[1:]
         assert r["train"] == (doc_id % 5 != 0)
         assert (r["n_tokens"], r["n_known"]) == (len(tokens), sum(model.c[w] > 0 for w in tokens))
         base = sum(math.log10((model.c[w] + 1) / (model.n + len(model.c) + 1)) for w in tokens)
@@ -94,9 +99,9 @@ def test_probabilities_sum_to_one():
     for seed in range(4):
         draw = random.Random(seed)
         model = Plain([" ".join(draw.choices("abcdefghij", [9, 8, 7, 5, 3, 2, 1, 1, 1, 1], k=draw.randint(1, 30))) for _ in range(seed * 30 + 2)])
-        assert sum(model.word(w) for w in model.c) + model.unknown == pytest.approx(1, abs=1e-12)
-        for h in model.alpha:
-            assert sum(model.pair(h, w) for w in model.c) + model.alpha[h] * model.unknown == pytest.approx(1, abs=1e-12)
+        for h in [(), *model.alpha]:
+            unknown = model.after(h, None)
+            assert sum(model.after(h, w) for w in model.c) + unknown == pytest.approx(1, abs=1e-12)
 
 
 def test_good_turing_discounts():
