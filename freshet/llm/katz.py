@@ -54,6 +54,8 @@ K = 5
 BLOCK, WORDS, GRAMS, SALT = 2_000_000, 250_000, 1_000_000, 250_000
 # Words of the longest gram, and most tasks of a stage.
 ORDER, WIDTH = 3, 50_000
+# Spark's setting by which shuffle files go at the end of a query.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END = b""
 
 _BLOCK = "block long, ids array<long>, train binary, lengths binary, codes binary, words binary, vocabulary long, tokens long"
@@ -110,6 +112,25 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """The stable order of non-negative numbers; a plain sort of numbers is several times faster where places fit in beside them."""
+    bits = max(1, len(keys).bit_length())
+    if len(keys) and int(keys.max()).bit_length() + bits > 63:
+        return np.argsort(keys, kind="stable")
+    return np.sort(keys << bits | np.arange(len(keys))) & ((1 << bits) - 1)
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers, ascending, and which of them each number is."""
+    order = _order(keys)
+    ordered = keys[order]
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(keys), dtype=np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], which
+
+
 def discounts(seen: list[int]) -> list[float]:
     """d(1), ..., d(K) from the numbers of items seen once, twice, ..., K + 1 times.
 
@@ -135,6 +156,11 @@ def discounted(counts: np.ndarray, discount: tuple[float, ...]) -> np.ndarray:
     return np.array([1.0, *discount])[np.where(counts <= K, counts, 0)] * counts
 
 
+def discounted_sum(small: np.ndarray, discount: tuple[float, ...]) -> np.ndarray:
+    """d(r) r, added up, of counts given as the sum of those over ``K``, then the numbers of those from 1 to ``K``."""
+    return small[:, 0] + small[:, 1:] @ (np.arange(1, K + 1) * np.array(discount))
+
+
 @dataclass(frozen=True)
 class Unigrams:
     """What the word probabilities rest on."""
@@ -299,7 +325,7 @@ def _longer(lower: _Grams, level: int, row: dict) -> _Grams:
     # A text's first word follows one end token, which the text before it left here.
     own = np.flatnonzero(place >= level - 2)
     wide = len(lower.count)
-    keys, which = np.unique(lower.token[own - 1] * wide + lower.token[own], return_inverse=True)
+    keys, which = _groups(lower.token[own - 1] * wide + lower.token[own])
     history, suffix = keys // wide, keys % wide
     token = np.full(len(place), -1, dtype=np.int64)
     token[own] = which
@@ -310,7 +336,7 @@ def _longer(lower: _Grams, level: int, row: dict) -> _Grams:
 def _questions(grams: _Grams, lower: _Grams, words: _Grams, buckets: int, salt: int) -> _Asked:
     """What must be asked: a history that no other block has is known in full, and so are its grams."""
     wide = len(lower.count)
-    by_id = np.argsort(lower.ids, kind="stable")
+    by_id = _order(lower.ids)
     rank = np.empty(wide, dtype=np.int64)
     rank[by_id] = np.arange(wide)
     open_ = lower.shared & (lower.count > 0)
@@ -322,9 +348,8 @@ def _questions(grams: _Grams, lower: _Grams, words: _Grams, buckets: int, salt:
         return to.astype(np.int64) * wide + rank[h]
 
     asked = np.flatnonzero(open_[grams.history] & (lower.count[grams.suffix] > 0))
-    h, w = grams.history[asked], words.ids[grams.word[asked]]
-    at = place(h, _scramble(w) % spread[h].astype(np.uint64))
-    order = np.lexsort((w, at))
+    h = grams.history[asked]
+    at = place(h, _scramble(words.ids[grams.word[asked]]) % spread[h].astype(np.uint64))
     here = np.zeros(wide, dtype=bool)
     here[grams.history] = True
     every = np.flatnonzero(here & open_)
@@ -332,7 +357,7 @@ def _questions(grams: _Grams, lower: _Grams, words: _Grams, buckets: int, salt:
     parts = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     entries = np.unique(place(np.repeat(every, times), parts))
     many = np.bincount(np.searchsorted(entries, at), minlength=len(entries))
-    return _Asked(asked[order], many, by_id[entries % wide] if wide else entries, entries // wide if wide else entries)
+    return _Asked(asked[_order(at)], many, by_id[entries % wide] if wide else entries, entries // wide if wide else entries)
 
 
 def _restored(row: dict, told: list[dict], buckets: int, salt: int) -> Iterator[tuple[_Grams, _Asked | None, list[dict]]]:
@@ -358,7 +383,7 @@ def _stats(counts: np.ndarray) -> list[int]:
 
 
 def _small(owner: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-    """For each owner, the sum of its counts over ``K``, then how many it has of 1 to ``K``."""
+    """For each owner, the sum of its counts (none is 0) over ``K``, then how many it has of 1 to ``K``."""
     of = np.bincount(owner * (K + 1) + np.where(counts <= K, counts, 0), minlength=size * (K + 1)).reshape(-1, K + 1)
     of[:, 0] = np.bincount(owner, weights=np.where(counts > K, counts, 0), minlength=size)
     return of
@@ -393,12 +418,12 @@ def ask_grams(blocks: DataFrame, told: DataFrame, level: int, buckets: int, salt
     return own.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, _ASKED)
 
 
-def answer_grams(asked: DataFrame, level: int, last: bool, buckets: int, discount: tuple[float, ...], width: int) -> DataFrame:
+def answer_grams(asked: DataFrame, level: int, last: bool, buckets: int, width: int) -> DataFrame:
     """Counts of grams over all blocks, and of each history the sums that its back-off weight rests on.
 
     Kind 0 answers a block, kind 1 has counts of counts. The sums of a history:
-    of grams of each discounted count, of larger counts, and of the discounted
-    counts (``discount``) that its grams have without their first word.
+    of its larger counts, and of grams of each discounted count (``small``), and
+    the same of the counts that these grams have without their first word (``held``).
     """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -410,28 +435,25 @@ def answer_grams(asked: DataFrame, level: int, last: bool, buckets: int, discoun
         many = [unpack(r["many"]) for r in rows]
         entries = np.concatenate([_risen(r["h"]) for r in rows])
         w, n, below = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("w", "n", "below"))
-        own, entry = np.unique(entries, return_inverse=True)
+        own, entry = _groups(entries)
         h = np.repeat(entry, np.concatenate(many))
-        order = np.lexsort((w, h))
-        fresh = np.ones(len(h), dtype=bool)
-        fresh[1:] = (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)
-        group = np.cumsum(fresh) - 1
-        total = np.bincount(group, weights=n[order]).astype(np.int64)
-        back = np.empty(len(h), dtype=np.int64)
-        back[order] = group
+        wide = int(w.max()) + 1 if len(w) else 1
+        grams, back = _groups(h * wide + w)
+        total = np.bincount(back, weights=n, minlength=len(grams)).astype(np.int64)
+        shorter = np.zeros(len(grams), dtype=np.int64)
+        shorter[back] = below
         some = total > 0
-        first, seen = order[fresh][some], total[some]
-        small = _small(h[first], seen, len(own))
-        held = np.bincount(h[first], weights=discounted(below[first], discount), minlength=len(own)).astype(float)
+        owner, seen = grams[some] // wide, total[some]
+        small, held = _small(owner, seen, len(own)), _small(owner, shorter[some], len(own))
         ids = np.zeros(len(total), dtype=np.int64)
         # Frequent grams get small numbers; one that a single block has needs none.
-        listed = np.flatnonzero(some & (np.bincount(group) > 1)) if len(h) else ids
+        listed = np.flatnonzero(some & (np.bincount(back, minlength=len(grams)) > 1))
         listed = listed[np.argsort(-total[listed], kind="stable")]
         ids[listed] = np.arange(len(listed)) * buckets + bucket + 1
         at = np.split(back, np.cumsum([m.sum() for m in many])[:-1])
         into = np.split(entry, np.cumsum([len(m) for m in many])[:-1])
         for row, g, e in zip(rows, at, into, strict=True):
-            out.append((0, level, bucket, row["block"], pack(total[g]), None if last else pack(ids[g]), pack(small[e].T.ravel()), pack(held[e]), None))
+            out.append((0, level, bucket, row["block"], pack(total[g]), None if last else pack(ids[g]), pack(small[e].T.ravel()), pack(held[e].T.ravel()), None))
         out.append((1, level, bucket, None, None, None, None, None, _stats(seen)))
         return _table(out, _schema(_ANSWER))
 
@@ -446,7 +468,7 @@ def weights(small: np.ndarray, mass: np.ndarray, discount: tuple[float, ...]) ->
     """
     r = np.arange(1, K + 1)
     count = small[:, 0] + small[:, 1:] @ r
-    kept = small[:, 0] + small[:, 1:] @ (r * np.array(discount))
+    kept = discounted_sum(small, discount)
     aside = np.maximum(1 - kept / count, 1 / (count + 1))
     return aside / (1 - mass), (1 - aside) / kept
 
@@ -469,15 +491,13 @@ def evaluate(
                 # What this block knows of histories that it alone has, then what buckets answered on the others.
                 alone = np.flatnonzero(seen & ~lower.shared[grams.history])
                 small = _small(grams.history[alone], grams.count[alone], size)
-                below = discounted(lower.count[grams.suffix[alone]], found[level - 2])
-                held = np.bincount(grams.history[alone], weights=below, minlength=size).astype(float)
+                held = _small(grams.history[alone], lower.count[grams.suffix[alone]], size)
                 if answers:
-                    sums = np.concatenate([unpack(t["small"]).reshape(K + 1, -1).T for t in answers])
-                    np.add.at(small, asked.histories, sums)
-                    np.add.at(held, asked.histories, np.concatenate([unpack(t["held"]) for t in answers]))
+                    for sums, name in ((small, "small"), (held, "held")):
+                        np.add.at(sums, asked.histories, np.concatenate([unpack(t[name]).reshape(K + 1, -1).T for t in answers]))
                 alpha, scale = np.ones(size), np.zeros(size)
                 some = small.any(axis=1)
-                alpha[some], scale[some] = weights(small[some], (held * factor[lower.suffix])[some], found[level - 1])
+                alpha[some], scale[some] = weights(small[some], (discounted_sum(held, found[level - 2]) * factor[lower.suffix])[some], found[level - 1])
                 # A gram that was seen, or the gram without its first word after backing off.
                 p = discounted(grams.count, found[level - 1]) * scale[grams.history]
                 back = np.log10(alpha[grams.history]) + logs[grams.suffix]
@@ -503,6 +523,17 @@ def _added(stats: DataFrame, size: int) -> list[int]:
     return [row[f"s{k}"] for k in range(size)]
 
 
+def _step(df: DataFrame, name: str) -> DataFrame:
+    """A written table. The shuffles behind it are not read again, and give their disk back at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(RELEASE, "false")
+    conf.set(RELEASE, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(RELEASE, before)
+
+
 def score(
     docs: DataFrame,
     train: Column,
@@ -519,12 +550,12 @@ def score(
     ``train`` says which rows the model learns from, ``order`` how many words
     its longest grams have. Also returns what the word probabilities rest on.
     """
-    blocks = written(blocks_of(docs, train, key, text, block), "katz-blocks")
+    blocks = _step(blocks_of(docs, train, key, text, block), "katz-blocks")
     sizes = blocks.agg(F.sum("vocabulary").alias("words"), F.sum("tokens").alias("tokens"), F.count("*").alias("blocks")).first()
     word_buckets = max(1, math.ceil((sizes["words"] or 0) / words_asked))
     buckets = max(1, math.ceil((sizes["tokens"] or 0) / grams_asked))
     by_block, by_bucket = (max(1, min(n, WIDTH)) for n in (sizes["blocks"], buckets))
-    words = written(answer_words(ask_words(blocks, word_buckets), word_buckets), "katz-words")
+    words = _step(answer_words(ask_words(blocks, word_buckets), word_buckets), "katz-words")
     tokens, distinct, *seen = _added(words.where("block < 0"), K + 3)
     unigrams = Unigrams.of(tokens, distinct, seen)
     found = [unigrams.discount]
@@ -533,7 +564,7 @@ def score(
     )
     for level in range(2, order + 1):
         asked = ask_grams(blocks, told, level, buckets, salt, by_block)
-        grams = written(answer_grams(asked, level, level == order, buckets, found[-1], by_bucket), f"katz-{level}")
+        grams = _step(answer_grams(asked, level, level == order, buckets, by_bucket), f"katz-{level}")
         found.append(tuple(discounts(_added(grams.where("kind = 1"), K + 1))))
         # Each block hears of each level, be it that it had nothing to ask.
         heard = blocks.select(F.lit(level).alias("level"), F.lit(-1).alias("bucket"), "block")
