@@ -117,7 +117,11 @@ def _order(keys: np.ndarray) -> np.ndarray:
     bits = max(1, len(keys).bit_length())
     if len(keys) and int(keys.max()).bit_length() + bits > 63:
         return np.argsort(keys, kind="stable")
-    return np.sort(keys << bits | np.arange(len(keys))) & ((1 << bits) - 1)
+    both = keys << bits
+    both |= np.arange(len(keys))
+    both.sort()
+    both &= (1 << bits) - 1
+    return both
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,8 +130,8 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ordered = keys[order]
     fresh = np.ones(len(keys), dtype=bool)
     fresh[1:] = ordered[1:] != ordered[:-1]
-    which = np.empty(len(keys), dtype=np.int64)
-    which[order] = np.cumsum(fresh) - 1
+    which = np.empty(len(keys), dtype=np.int32)
+    which[order] = np.cumsum(fresh, dtype=np.int32) - 1
     return ordered[fresh], which
 
 
@@ -314,22 +318,27 @@ def _single(row: dict, told: list[dict]) -> _Grams:
     for a in told:
         at = _risen(a["at"])
         count[at], ids[at], shared[at] = unpack(a["counts"]), unpack(a["ids"]), unpack(a["shared"])
-    none = np.zeros(wide, dtype=np.int64)
-    return _Grams(unpack(row["codes"]), none, none, np.arange(wide), none, count, ids, shared > 0)
+    none = np.zeros(wide, dtype=np.int32)
+    return _Grams(unpack(row["codes"]).astype(np.int32), none, none, np.arange(wide, dtype=np.int32), none, count, ids, shared > 0)
 
 
 def _longer(lower: _Grams, level: int, row: dict) -> _Grams:
     """The grams of one word more, as this block alone knows them."""
     lengths = unpack(row["lengths"])
-    place = np.arange(len(lower.token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     # A text's first word follows one end token, which the text before it left here.
-    own = np.flatnonzero(place >= level - 2)
+    late = np.ones(len(lower.token), dtype=bool)
+    starts = np.cumsum(lengths) - lengths
+    for skipped in range(level - 2):
+        late[(starts + skipped)[lengths > skipped]] = False
     wide = len(lower.count)
-    keys, which = _groups(lower.token[own - 1] * wide + lower.token[own])
-    history, suffix = keys // wide, keys % wide
-    token = np.full(len(place), -1, dtype=np.int64)
-    token[own] = which
-    n = np.bincount(which, weights=_train_mask(row)[own], minlength=len(keys)).astype(np.int64)
+    keys = np.roll(lower.token, 1).astype(np.int64)[late]
+    keys *= wide
+    keys += lower.token[late]
+    keys, which = _groups(keys)
+    history, suffix = (keys // wide).astype(np.int32), (keys % wide).astype(np.int32)
+    token = np.full(len(late), -1, dtype=np.int32)
+    token[late] = which
+    n = np.bincount(which[_train_mask(row)[late]], minlength=len(keys))
     return _Grams(token, history, suffix, lower.word[suffix], n, n.copy(), np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool))
 
 
@@ -384,8 +393,9 @@ def _stats(counts: np.ndarray) -> list[int]:
 
 def _small(owner: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     """For each owner, the sum of its counts (none is 0) over ``K``, then how many it has of 1 to ``K``."""
-    of = np.bincount(owner * (K + 1) + np.where(counts <= K, counts, 0), minlength=size * (K + 1)).reshape(-1, K + 1)
-    of[:, 0] = np.bincount(owner, weights=np.where(counts > K, counts, 0), minlength=size)
+    of = np.bincount(owner.astype(np.int64) * (K + 1) + np.where(counts <= K, counts, 0), minlength=size * (K + 1)).reshape(-1, K + 1)
+    large = counts > K
+    of[:, 0] = np.bincount(owner[large], weights=counts[large], minlength=size)
     return of
 
 
@@ -436,7 +446,7 @@ def answer_grams(asked: DataFrame, level: int, last: bool, buckets: int, width:
         entries = np.concatenate([_risen(r["h"]) for r in rows])
         w, n, below = (np.concatenate([unpack(r[c]) for r in rows]) for c in ("w", "n", "below"))
         own, entry = _groups(entries)
-        h = np.repeat(entry, np.concatenate(many))
+        h = np.repeat(entry.astype(np.int64), np.concatenate(many))
         wide = int(w.max()) + 1 if len(w) else 1
         grams, back = _groups(h * wide + w)
         total = np.bincount(back, weights=n, minlength=len(grams)).astype(np.int64)
