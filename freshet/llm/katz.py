@@ -470,15 +470,12 @@ def answer_grams(asked: DataFrame, level: int, last: bool, buckets: int, width:
     return asked.repartition(width, "bucket").groupBy("bucket").applyInArrow(run, _ANSWER)
 
 
-def weights(small: np.ndarray, mass: np.ndarray, discount: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+def weights(count: np.ndarray, kept: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """alpha(h), and the factor on discounted counts, of histories.
 
-    ``small``: the sum of counts over ``K``, then the numbers of grams with
-    counts 1 to ``K``; ``mass``: what the level below gives to the words seen.
+    ``count`` and ``kept``: the counts of their grams, and these discounted;
+    ``mass``: what the level below gives to the words seen.
     """
-    r = np.arange(1, K + 1)
-    count = small[:, 0] + small[:, 1:] @ r
-    kept = discounted_sum(small, discount)
     aside = np.maximum(1 - kept / count, 1 / (count + 1))
     return aside / (1 - mass), (1 - aside) / kept
 
@@ -500,14 +497,23 @@ def evaluate(
                 size, seen = len(lower.count), grams.count > 0
                 # What this block knows of histories that it alone has, then what buckets answered on the others.
                 alone = np.flatnonzero(seen & ~lower.shared[grams.history])
-                small = _small(grams.history[alone], grams.count[alone], size)
-                held = _small(grams.history[alone], lower.count[grams.suffix[alone]], size)
-                if answers:
-                    for sums, name in ((small, "small"), (held, "held")):
-                        np.add.at(sums, asked.histories, np.concatenate([unpack(t[name]).reshape(K + 1, -1).T for t in answers]))
+                mine, r = grams.history[alone], grams.count[alone]
+                of = (r, discounted(r, found[level - 1]), discounted(lower.count[grams.suffix[alone]], found[level - 2]))
+                count, kept, held = (np.bincount(mine, weights=v, minlength=size).astype(float) for v in of)
+                del alone, mine, r, of
+                at = 0
+                for t in answers:
+                    small, below = (unpack(t[name]).reshape(K + 1, -1).T for name in ("small", "held"))
+                    h = asked.histories[at : at + len(small)]
+                    at += len(small)
+                    # No history is twice in one bucket.
+                    count[h] += discounted_sum(small, (1.0,) * K)
+                    kept[h] += discounted_sum(small, found[level - 1])
+                    held[h] += discounted_sum(below, found[level - 2])
                 alpha, scale = np.ones(size), np.zeros(size)
-                some = small.any(axis=1)
-                alpha[some], scale[some] = weights(small[some], (discounted_sum(held, found[level - 2]) * factor[lower.suffix])[some], found[level - 1])
+                some = count > 0
+                alpha[some], scale[some] = weights(count[some], kept[some], (held * factor[lower.suffix])[some])
+                del asked, answers, count, kept, held, some
                 # A gram that was seen, or the gram without its first word after backing off.
                 p = discounted(grams.count, found[level - 1]) * scale[grams.history]
                 back = np.log10(alpha[grams.history]) + logs[grams.suffix]
