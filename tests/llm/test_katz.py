@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -131,3 +132,41 @@ def test_missing_ids_repeats_and_no_training_texts(spark):
     assert unigrams.tokens == 0 and all(r["n_known"] == 0 and r["score"] == 0.0 for r in got)
     found, _ = katz.score(docs.where("doc_id > 5"), F.lit(True))
     assert found.count() == 0
+
+
+class Captured:
+    """Stands for a frame, and keeps the function that is applied to its groups."""
+
+    def __getattr__(self, name):
+        def call(*given):
+            if name == "applyInArrow":
+                self.run = given[0]
+            return self
+
+        return call
+
+
+def test_a_block_needs_few_bytes_a_token(spark, monkeypatch):
+    draw = random.Random(3)
+    weights = [1 / (k + 1) for k in range(20_000)]
+    docs = [(k, " ".join(f"w{w}" for w in draw.choices(range(20_000), weights, k=2000)), "", 0) for k in range(300)]
+    kept, evaluate = [], katz.evaluate
+    monkeypatch.setattr(katz, "evaluate", lambda *given: kept.append(given) or evaluate(*given))
+    found, _ = katz.score(spark.createDataFrame(docs, SCHEMA).repartition(2), F.lit(True), block=300_000)
+    assert found.count() == 300
+    blocks, told, *rest = kept[0]
+    held = Captured()
+    katz.evaluate(held, held, *rest)
+    left = blocks.select("block", "ids", "train", "lengths", "codes", "vocabulary", "tokens").limit(1).toArrow()
+    right = told.where(F.col("block") == left["block"][0].as_py()).toArrow()
+    tokens = left["tokens"][0].as_py()
+    assert tokens > 250_000
+    # Blocks know the numbers of pairs.
+    assert told.where("level = 2 AND ids IS NOT NULL").count() == 0
+    tracemalloc.start()
+    try:
+        held.run(None, left.drop_columns("tokens"), right)
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most < 140 * tokens
